@@ -1,0 +1 @@
+"""Intentionally empty: the feed is monthly files, late rows are handled by re-running a month."""
