@@ -5,12 +5,15 @@ clean but a repeated copy or an outlier. A row with a null and a broken rule is
 sets, so the classes are predicates on a row, not one label.
 
 Only the repeated copies need other rows to be known. The row sets keep that exchange to
-clean rows without any null (others are never duplicates); the counts, the report and the
-single-scan ``outcomes`` fold all rows once and weigh them by their number of copies.
+clean rows without any null (others are never duplicates); the counts and the report fold
+all rows once and weigh them by their number of copies.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripmill.functions.measures import share
@@ -26,20 +29,11 @@ class Classification:
         self.profile = profile
         self.columns = rows.columns
 
-    # Row predicates
-
-    def _clean(self) -> Column:
-        return ~self.profile.missing() & ~self.profile.broken()
-
-    def _complete(self) -> Column:
-        return ~any_null(self.columns)
+    # Row flags
 
     def flags(self) -> DataFrame:
         """All rule flags and row-level categories as columns, in one projection."""
-        named = {rule.name: rule.broken() for rule in self.profile.rules}
-        named["is_null"] = self.profile.missing()
-        named["is_outlier"] = self.profile.outlier()
-        return self.rows.withColumns(named)
+        return _flagged(self.rows, self.profile)
 
     # Row sets
 
@@ -51,26 +45,35 @@ class Classification:
     def nulls(self) -> DataFrame:
         return self.rows.where(self.profile.missing())
 
+    def _clean(self) -> Column:
+        return ~self.profile.missing() & ~self.profile.broken()
+
     def _folded_candidates(self) -> DataFrame:
-        return fold_copies(self.rows.where(self._clean() & self._complete()), COPIES)
+        """Clean rows without nulls, folded.
 
-    def _clean_incomplete(self) -> DataFrame:
-        return self.rows.where(self._clean() & ~self._complete())
+        The filter holds for every group; it keeps the count in the plan, so that first and
+        further copies read the same exchange even where the count is not needed.
+        """
+        complete = ~any_null(self.columns)
+        folded = fold_copies(self.rows.where(self._clean() & complete), COPIES)
+        return folded.where(F.col(COPIES) > 0)
 
     def duplicates(self) -> DataFrame:
         """Copies of a clean row after its first one."""
         repeated = self._folded_candidates().where(F.col(COPIES) > 1)
         return unfold_copies(repeated.withColumn(COPIES, F.col(COPIES) - 1), COPIES)
 
-    def _distinct_clean(self, keep: Column) -> DataFrame:
-        kept_once = self._folded_candidates().where(keep).drop(COPIES)
-        return kept_once.unionByName(self._clean_incomplete().where(keep))
+    def _clean_once(self, keep: Column) -> DataFrame:
+        """Clean rows without their repeated copies."""
+        candidates = self._folded_candidates().drop(COPIES)
+        others = self.rows.where(self._clean() & any_null(self.columns))
+        return candidates.where(keep).unionByName(others.where(keep))
 
     def outliers(self) -> DataFrame:
-        return self._distinct_clean(self.profile.outlier())
+        return self._clean_once(self.profile.outlier())
 
     def valid(self) -> DataFrame:
-        return self._distinct_clean(~self.profile.outlier())
+        return self._clean_once(~self.profile.outlier())
 
     def quarantined(self) -> DataFrame:
         reason = "quarantine_reason"
@@ -81,52 +84,68 @@ class Classification:
             .unionByName(self.outliers().withColumn(reason, F.lit("outlier")))
         )
 
-    # One scan, one exchange for everything
-
-    def _weighed(self) -> DataFrame:
-        """Distinct rows with how many of their copies fall in each class."""
-        copies = F.col(COPIES)
-        repeats = F.when(self._clean() & self._complete(), copies - 1).otherwise(F.lit(0))
-        kept = F.when(self._clean(), copies - F.col("_duplicate")).otherwise(F.lit(0))
-        outlier = self.profile.outlier()
-        return (
-            fold_copies(self.rows, COPIES)
-            .withColumn("_duplicate", repeats.cast("bigint"))
-            .withColumns(
-                {
-                    "_invalid": F.when(self.profile.broken(), copies).otherwise(F.lit(0)),
-                    "_null": F.when(self.profile.missing(), copies).otherwise(F.lit(0)),
-                    "_outlier": F.when(outlier, kept).otherwise(F.lit(0)),
-                    "_valid": F.when(~outlier, kept).otherwise(F.lit(0)),
-                }
-            )
-        )
-
     def outcomes(self) -> DataFrame:
         """Every classified row with ``class``, ``violation_reasons``, ``quarantine_reason``.
 
-        A row that is both invalid and quarantined appears in both classes.
+        A row that is both invalid and quarantined appears in both classes. Rows that cannot
+        be duplicates are labelled where they are read; the first and the further copies of
+        the others share one exchange.
         """
-        no_text = F.lit(None).cast("string")
-
-        def entry(label: str, times: str, violation: Column, quarantine: Column) -> Column:
-            return F.struct(
-                F.lit(label).alias("class"),
-                violation.alias("violation_reasons"),
-                quarantine.alias("quarantine_reason"),
-                F.col(times).alias(COPIES),
+        folded = self._folded_candidates()
+        far = self.profile.outlier()
+        first = folded.select(
+            *self.columns,
+            *_outcome(
+                F.when(far, "quarantined").otherwise("valid"), None, F.when(far, F.lit("outlier"))
+            ),
+        )
+        repeats = unfold_copies(
+            folded.where(F.col(COPIES) > 1).withColumn(COPIES, F.col(COPIES) - 1), COPIES
+        ).select("*", *_outcome(F.lit("quarantined"), None, F.lit("duplicate")))
+        return self._labelled_in_place().unionByName(first).unionByName(repeats)
+
+    def _labelled_in_place(self) -> DataFrame:
+        flagged = _flagged(self.rows, self.profile).where(
+            F.col("is_invalid") | any_null(self.columns)
+        )
+        clean = ~F.col("is_null") & ~F.col("is_invalid")
+        reasons = F.concat_ws(
+            ", ", *(F.when(F.col(r.name), F.lit(r.name)) for r in self.profile.rules)
+        )
+        held_back = F.col("is_null") | (clean & F.col("is_outlier"))
+        why = F.when(F.col("is_null"), F.lit("null")).otherwise(F.lit("outlier"))
+        classes = F.array_compact(
+            F.array(
+                F.when(F.col("is_invalid"), F.struct(*_outcome(F.lit("invalid"), reasons, None))),
+                F.when(held_back, F.struct(*_outcome(F.lit("quarantined"), None, why))),
+                F.when(
+                    clean & ~F.col("is_outlier"), F.struct(*_outcome(F.lit("valid"), None, None))
+                ),
             )
+        )
+        return flagged.select(*self.columns, F.inline(classes))
+
+    # One scan, one exchange for all totals
 
-        entries = F.array(
-            entry("valid", "_valid", no_text, no_text),
-            entry("invalid", "_invalid", self.profile.reasons(), no_text),
-            entry("quarantined", "_null", no_text, F.lit("null")),
-            entry("quarantined", "_duplicate", no_text, F.lit("duplicate")),
-            entry("quarantined", "_outlier", no_text, F.lit("outlier")),
+    def _weighed(self) -> DataFrame:
+        """Distinct rows with flags and how many of their copies fall in each class."""
+        folded = fold_copies(self.rows, COPIES)
+        flagged = _flagged(folded, self.profile).withColumn("_complete", ~any_null(self.columns))
+        # Each step refers to the columns of the one before, so nothing is evaluated twice.
+        clean = flagged.withColumn("_clean", ~F.col("is_null") & ~F.col("is_invalid"))
+        copies, zero = F.col(COPIES), F.lit(0).cast("bigint")
+        repeats = F.when(F.col("_clean") & F.col("_complete"), copies - 1).otherwise(zero)
+        kept = clean.withColumn("_duplicate", repeats).withColumn(
+            "_kept", F.when(F.col("_clean"), copies - F.col("_duplicate")).otherwise(zero)
+        )
+        return kept.withColumns(
+            {
+                "_invalid": F.when(F.col("is_invalid"), copies).otherwise(zero),
+                "_null": F.when(F.col("is_null"), copies).otherwise(zero),
+                "_outlier": F.when(F.col("is_outlier"), F.col("_kept")).otherwise(zero),
+                "_valid": F.when(F.col("is_outlier"), zero).otherwise(F.col("_kept")),
+            }
         )
-        populated = F.filter(entries, lambda e: e[COPIES] > 0)
-        exploded = self._weighed().select(*self.columns, F.inline(populated))
-        return unfold_copies(exploded, COPIES)
 
     def counts(self) -> DataFrame:
         """One row: totals per class, per quarantine category and per rule."""
@@ -140,8 +159,8 @@ class Classification:
             _total("_null", "null_rows"),
             _total("_duplicate", "duplicate_rows"),
             _total("_outlier", "outlier_rows"),
-            _weight(self.profile.missing() & self.profile.broken(), "null_and_invalid_rows"),
-            *(_weight(rule.broken(), rule.name) for rule in self.profile.rules),
+            _weight(F.col("is_null") & F.col("is_invalid"), "null_and_invalid_rows"),
+            *(_weight(F.col(rule.name), rule.name) for rule in self.profile.rules),
         )
 
     def report(self) -> DataFrame:
@@ -153,7 +172,7 @@ class Classification:
             _total("_null", "null"),
             _total("_duplicate", "duplicate"),
             _total("_outlier", "outlier"),
-            *(_weight(rule.broken(), rule.name) for rule in self.profile.rules),
+            *(_weight(F.col(rule.name), rule.name) for rule in self.profile.rules),
             *(_weight(F.col(c).isNull(), f"null_{c}") for c in self.profile.required),
             *_extremes(self.profile.ranges),
         )
@@ -161,11 +180,11 @@ class Classification:
 
     def row_profile(self) -> DataFrame:
         """The part of the report that needs no exchange: one narrow scan, no duplicates."""
-        return self.rows.agg(
+        return self.flags().agg(
             F.count(F.lit(1)).alias("total_rows"),
-            F.count_if(self.profile.broken()).alias("invalid_rows"),
-            F.count_if(self.profile.missing()).alias("null"),
-            *(F.count_if(rule.broken()).alias(rule.name) for rule in self.profile.rules),
+            F.count_if("is_invalid").alias("invalid_rows"),
+            F.count_if("is_null").alias("null"),
+            *(F.count_if(rule.name).alias(rule.name) for rule in self.profile.rules),
             *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self.profile.required),
             *_extremes(self.profile.ranges),
         )
@@ -175,6 +194,14 @@ class Classification:
         return gate_row(self.row_profile(), max_invalid_ratio, max_null_ratio)
 
 
+def _flagged(rows: DataFrame, profile: QualityProfile) -> DataFrame:
+    named = {rule.name: rule.broken() for rule in profile.rules}
+    named["is_null"] = profile.missing()
+    named["is_outlier"] = profile.outlier()
+    broken = reduce(or_, (F.col(rule.name) for rule in profile.rules))
+    return rows.withColumns(named).withColumn("is_invalid", broken)
+
+
 def gate_row(profile: DataFrame, max_invalid_ratio: float, max_null_ratio: float) -> DataFrame:
     """Ratios over the totals of a one-row profile; a limit is broken only when exceeded."""
     ratios = profile.select(
@@ -211,6 +238,15 @@ def nest_report(flat: DataFrame, profile: QualityProfile = TRIPS) -> DataFrame:
     )
 
 
+def _outcome(label: Column, violation: Column | None, quarantine: Column | None) -> list[Column]:
+    no_text = F.lit(None).cast("string")
+    return [
+        label.alias("class"),
+        (no_text if violation is None else violation).alias("violation_reasons"),
+        (no_text if quarantine is None else quarantine).alias("quarantine_reason"),
+    ]
+
+
 def _extremes(columns: tuple[str, ...]) -> list[Column]:
     wanted = []
     for name in columns:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tripmill.functions.calendar import hour_start
 from tripmill.functions.measures import share
@@ -98,16 +98,13 @@ def weather_coverage(enriched: DataFrame) -> DataFrame:
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose non-null key has no parent."""
-    keys = parent.select(F.col(parent_key).alias("_parent_key")).where("_parent_key is not null")
-    # One row per key either side: a hot foreign key is a single row in the anti-join.
-    missing = (
-        child.where(F.col(key).isNotNull())
-        .select(key)
-        .distinct()
-        .join(keys, F.col(key) == F.col("_parent_key"), "left_anti")
-    )
-    return missing
+    """Non-null child keys without a parent, with the number of child rows of each.
+
+    The child is reduced to one row per key before the join, so a hot key joins once.
+    """
+    keys = parent.select(F.col(parent_key).alias(key))
+    counted = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(keys, [key], "left_anti")
 
 
 def null_safe_lookup(rows: DataFrame, **values) -> DataFrame:
@@ -115,7 +112,3 @@ def null_safe_lookup(rows: DataFrame, **values) -> DataFrame:
     for name, value in values.items():
         rows = rows.where(F.col(name).eqNullSafe(F.lit(value)))
     return rows
-
-
-def matches(column: Column, value) -> Column:
-    return column == F.lit(value)

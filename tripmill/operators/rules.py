@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -84,7 +85,7 @@ class QualityProfile:
     required: tuple[str, ...] = REQUIRED
     critical: tuple[str, ...] = CRITICAL
     ranges: tuple[str, ...] = RANGE_REPORTED
-    outlier: callable = trip_outlier
+    outlier: Callable[[], Column] = trip_outlier
 
     def missing(self) -> Column:
         return any_null(self.critical)
