@@ -123,7 +123,8 @@ class Classification:
                 ),
             )
         )
-        return flagged.select(*self.columns, F.inline(classes))
+        # Few rows of every scan task remain: gather them, so that a write makes few files.
+        return flagged.select(*self.columns, F.inline(classes)).hint("rebalance")
 
     # One scan, one exchange for all totals
 

@@ -132,7 +132,7 @@ def enrich_range(spark: SparkSession, settings: Settings, start: date, end: date
     """Curate the staged dates in [start, end]; returns the coverage row of what was written."""
     trips = read_dates(spark, settings.staging, start, end)
     weather = read_weather_months(spark, settings.raw_weather, start, end)
-    sinks.write_dates(enrich_hourly(trips, weather), settings.curated)
+    sinks.write_dates(enrich_hourly(trips, weather), settings.curated, clustered=True)
     curated = read_curated(spark, settings.curated)
     in_range = curated.where(F.col("pickup_date").between(F.lit(start), F.lit(end)))
     return weather_coverage(in_range).first()

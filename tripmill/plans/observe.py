@@ -23,7 +23,7 @@ def elapsed_seconds(start: Column, end: Column) -> Column:
 
 
 def _epoch(ts: Column) -> Column:
-    return elapsed_seconds(F.lit("1970-01-01").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
 
 
 def _newest(runs: DataFrame, count: int) -> DataFrame:
@@ -151,7 +151,9 @@ def alerts(runs: DataFrame, row_ratio: float = 2.0, max_seconds: float = 3600.0)
             "pipeline_failure",
             "critical",
             F.format_string(
-                "Partition %s failed: %s", F.col("partition_date"), F.col("error_message")
+                "Partition %s failed: %s",
+                F.col("partition_date"),
+                F.coalesce("error_message", F.lit("None")),
             ),
         ),
         alert(

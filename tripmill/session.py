@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The three class folders are written side by side instead of sorting rows by class.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 

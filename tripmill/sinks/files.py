@@ -15,12 +15,10 @@ def write_once(rows: DataFrame, path: str, overwrite: bool = False) -> None:
 def write_outcomes(outcomes: DataFrame, root: str, partition: str) -> str:
     """Replace one validated month: a ``class=`` folder each for valid, invalid, quarantined.
 
-    All classes are written by one job. The class folders are balanced by AQE, a large class
-    is split over many files.
+    All classes are written by one job.
     """
     path = f"{root}/partition={partition}"
-    balanced = outcomes.hint("rebalance", F.col("class"))
-    balanced.write.mode("overwrite").partitionBy("class").parquet(path)
+    outcomes.write.mode("overwrite").partitionBy("class").parquet(path)
     return path
 
 
@@ -29,13 +27,6 @@ def write_report(report: DataFrame, root: str, partition: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(f"{root}/partition={partition}")
 
 
-def _dated(rows: DataFrame) -> DataFrame:
-    # Rebalancing puts a date into one partition, and so one file, until it exceeds the
-    # advisory partition size; then AQE splits it. A hot date never ends up in one task.
-    balanced = rows.hint("rebalance", F.col("pickup_date"))
-    return balanced.sortWithinPartitions("pickup_date", "pickup_datetime")
-
-
 def write_staging(rows: DataFrame, root: str, partition: str) -> None:
     """Replace what one source month staged: ``source_month=<month>/pickup_date=<date>``.
 
@@ -43,13 +34,26 @@ def write_staging(rows: DataFrame, root: str, partition: str) -> None:
     date that the other month has staged.
     """
     path = f"{root}/source_month={partition}"
-    _dated(rows).write.mode("overwrite").partitionBy("pickup_date").parquet(path)
+    _by_date(rows).write.mode("overwrite").partitionBy("pickup_date").parquet(path)
+
+
+def _by_date(rows: DataFrame) -> DataFrame:
+    # Rebalancing puts a date into one partition, and so one file, until it exceeds the
+    # advisory partition size; then AQE splits it. A hot date never ends up in one task.
+    return _sorted(rows.hint("rebalance", F.col("pickup_date")))
+
 
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.sortWithinPartitions("pickup_date", "pickup_datetime")
 
-def write_dates(rows: DataFrame, root: str) -> None:
-    """Replace exactly the dates present in ``rows``, leaving other ``pickup_date=`` folders."""
+
+def write_dates(rows: DataFrame, root: str, clustered: bool = False) -> None:
+    """Replace exactly the dates present in ``rows``, leaving other ``pickup_date=`` folders.
+
+    ``clustered`` rows come straight from files of one date each: they are not shuffled.
+    """
     (
-        _dated(rows)
+        (_sorted(rows) if clustered else _by_date(rows))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("pickup_date")

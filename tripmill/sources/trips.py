@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
@@ -77,13 +77,16 @@ def read_validated(spark: SparkSession, root: str, partition: str, label: str =
 
 
 def read_dates(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Staged trips picked up in [start, end]; other date directories are pruned."""
+    """Staged trips picked up in [start, end], whichever source month staged them.
+
+    Only the date directories of the range are listed; those that do not exist are skipped.
+    """
+    days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
+    wanted = ",".join(day.isoformat() for day in days)
+    path = f"{root}/source_month=*/pickup_date={{{wanted}}}"
     missing = f"No staging data between {start} and {end}"
-    staged = read_parquet(spark, root, missing, mergeSchema=True)
-    rows = staged.where(F.col("pickup_date").between(F.lit(start), F.lit(end)))
-    if rows.isEmpty():
-        raise MissingPartitionError(missing)
-    return rows.drop("source_month")
+    staged = read_parquet(spark, path, missing, mergeSchema=True, basePath=root)
+    return staged.drop("source_month")
 
 
 def read_curated(spark: SparkSession, root: str) -> DataFrame:
