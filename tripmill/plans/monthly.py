@@ -167,11 +167,12 @@ def run_month(spark: SparkSession, settings: Settings, log: history.RunLog, part
     return MonthResult(partition, "success", report.total_rows, staged)
 
 
-def publish_marts(spark: SparkSession, settings: Settings) -> tuple[Marts, DataFrame]:
+def publish_marts(spark: SparkSession, settings: Settings) -> tuple[Marts, list[Row]]:
     """Rebuild fact and marts from all curated trips, test them and load the serving tables.
 
     The fact is written once; the marts, the tests and the serving queries read it from there.
-    Returns the stored marts and the result of each test.
+    A failing test stops the job before the serving tables are touched, unless the settings
+    say otherwise. Returns the stored marts and the result of each test.
     """
     zones = read_zones(spark, settings.raw_zones)
     fact = fct_trips(stg_trips(read_curated(spark, settings.curated)), zones)
@@ -180,7 +181,10 @@ def publish_marts(spark: SparkSession, settings: Settings) -> tuple[Marts, DataF
     stored_fact = spark.read.parquet(fact_path)
     sinks.write_marts(build_marts(stored_fact, zones), settings.marts)
     marts = sinks.read_marts(spark, settings.marts)
-    results = check_results(mart_checks(stored_fact, marts))
+    results = check_results(mart_checks(stored_fact, marts)).collect()
+    failed = [f"{row.check} ({row.violations})" for row in results if row.violations]
+    if failed and settings.fail_on_checks:
+        raise QualityError(f"Dataset tests failed: {', '.join(failed)}")
     sinks.load_marts(marts, settings.serving_database)
     return marts, results
 

@@ -13,6 +13,7 @@ class Settings:
     pipeline_name: str = "taxi_pipeline"
     max_invalid_ratio: float = 0.20
     max_null_ratio: float = 0.10
+    fail_on_checks: bool = True
     alert_row_ratio: float = 2.0
     alert_max_seconds: float = 3600.0
     serving_database: str = "marts"
