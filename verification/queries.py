@@ -34,18 +34,19 @@ WEATHER_START, WEATHER_END, WEATHER_LABEL = date(2024, 1, 5), date(2024, 1, 20),
 STAGED_START, STAGED_END = date(1996, 2, 1), date(1996, 2, 29)
 
 
-def query(build: Query) -> Query:
-    """Register under the function's name; dates leave as ISO text in both engines."""
+def query(key: str | None = None) -> Callable[[Query], Query]:
+    """Register a query; dates leave as ISO text in both engines."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        result = build(spark, sf_dir)
-        return result.select(
-            *(F.col(c).cast("string").alias(c) if t == "date" else F.col(c) for c, t in result.dtypes)
-        )
+    def register(build: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            rows = build(spark, sf_dir)
+            dates = {c: F.col(c).cast("string") for c, kind in rows.dtypes if kind == "date"}
+            return rows.withColumns(dates) if dates else rows
 
-    run.__name__ = build.__name__
-    QUERIES[build.__name__] = run
-    return build
+        QUERIES[key or build.__name__] = run
+        return build
+
+    return register
 
 
 # Inputs
@@ -128,7 +129,7 @@ def order_months(spark, d):
 # Sources
 
 
-@query
+@query()
 def scan_month(spark, d):
     months = trips(spark, d).groupBy(month_key(F.col("pickup_datetime")).alias("partition_date"))
     return months.agg(
@@ -138,7 +139,7 @@ def scan_month(spark, d):
     )
 
 
-@query
+@query()
 def scan_date_range(spark, d):
     staged = normalized(spark, d)
     return staged.where(F.col("pickup_date").between(F.lit(STAGED_START), F.lit(STAGED_END))).select(
@@ -146,7 +147,7 @@ def scan_date_range(spark, d):
     )
 
 
-@query
+@query("union_relaxed")
 def union_relaxed_types(spark, d):
     other = rides(spark, d).withColumns(
         {
@@ -157,13 +158,13 @@ def union_relaxed_types(spark, d):
     return union_relaxed([trips(spark, d), other])
 
 
-@query
+@query("union_by_name")
 def union_by_name_missing(spark, d):
     with_fee = rides(spark, d).withColumn("airport_fee", F.col("fare_amount") * 0.5)
     return union_by_name([trips(spark, d), with_fee])
 
 
-@query
+@query()
 def weather_parse(spark, d):
     """Hours packed into one JSON document per day, then parsed back from the text."""
     hours = view(spark, d, "hourly_weather").withColumn(
@@ -189,12 +190,12 @@ def weather_parse(spark, d):
     return parse_weather(texts.select(weather_document(F.col("text")).alias("doc")).select("doc.*"))
 
 
-@query
+@query()
 def dim_zones(spark, d):
     return zones(spark, d)
 
 
-@query
+@query()
 def checksum_text(spark, d):
     return table(spark, d, "documents").select(
         "doc_id",
@@ -203,13 +204,13 @@ def checksum_text(spark, d):
     )
 
 
-@query
+@query()
 def json_props(spark, d):
     key = F.get_json_object("props", "$.k").cast("bigint")
     return table(spark, d, "events").groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("events"))
 
 
-@query
+@query()
 def plan_sources(spark, d):
     return planned_sources(order_months(spark, d), Settings(root="/data"))
 
@@ -217,12 +218,12 @@ def plan_sources(spark, d):
 # Names, types, quality
 
 
-@query
+@query("rename_canonical")
 def canonical_names(spark, d):
     return rename_canonical(view(spark, d, "raw_trips"))
 
 
-@query
+@query("cast_types")
 def cast_feed_types(spark, d):
     """A feed that delivers every column as text."""
     feed = trips(spark, d)
@@ -231,7 +232,7 @@ def cast_feed_types(spark, d):
     )
 
 
-@query
+@query()
 def classify_counts(spark, d):
     return quality(spark, d).counts().select(
         "total_rows",
@@ -245,12 +246,12 @@ def classify_counts(spark, d):
     )
 
 
-@query
+@query()
 def rule_counts(spark, d):
     return quality(spark, d).row_profile().select(*(rule.name for rule in TRIP_RULES))
 
 
-@query
+@query()
 def rule_flags(spark, d):
     names = [rule.name for rule in TRIP_RULES]
     return quality(spark, d).flags().select(
@@ -258,55 +259,55 @@ def rule_flags(spark, d):
     )
 
 
-@query
+@query()
 def valid_rows(spark, d):
     return quality(spark, d).valid()
 
 
-@query
+@query()
 def invalid_rows(spark, d):
     return quality(spark, d).invalid()
 
 
-@query
+@query()
 def quarantined_rows(spark, d):
     return quality(spark, d).quarantined()
 
 
-@query
+@query()
 def null_rows(spark, d):
     return quality(spark, d).nulls()
 
 
-@query
+@query()
 def duplicate_rows(spark, d):
     return quality(spark, d).duplicates()
 
 
-@query
+@query()
 def outlier_rows(spark, d):
     return quality(spark, d).outliers()
 
 
-@query
+@query()
 def violation_reasons(spark, d):
     invalid = quality(spark, d).invalid()
     return invalid.groupBy("violation_reasons").agg(F.count(F.lit(1)).alias("rows_found"))
 
 
-@query
+@query()
 def quarantine_reasons(spark, d):
     held = quality(spark, d).quarantined()
     return held.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("rows_found"))
 
 
-@query
+@query()
 def outcome_rows(spark, d):
     """What one write job lays down for all three classes."""
     return quality(spark, d).outcomes()
 
 
-@query
+@query()
 def quality_report(spark, d):
     report = quality(spark, d).report()
     flat = [
@@ -323,7 +324,7 @@ def quality_report(spark, d):
     return report.select(*totals, *flat, *ranges)
 
 
-@query
+@query()
 def threshold_gate(spark, d):
     return quality(spark, d).gate(0.20, 0.10)
 
@@ -331,57 +332,57 @@ def threshold_gate(spark, d):
 # Derived columns
 
 
-@query
+@query("normalize")
 def normalized_trips(spark, d):
     staged = normalized(spark, d)
     return staged.select("trip_key", *staging_columns(staged).columns)
 
 
-@query
+@query()
 def payment_labels(spark, d):
     codes = trips(spark, d).groupBy("payment_type").agg(F.count(F.lit(1)).alias("trips"))
     return codes.select("payment_type", payment_label(F.col("payment_type")).alias("label"), "trips")
 
 
-@query
+@query()
 def weekday_demand(spark, d):
     return normalized(spark, d).groupBy("pickup_day_of_week").agg(
         F.count(F.lit(1)).alias("trips"), stable_sum(F.col("total_charge")).alias("revenue")
     )
 
 
-@query
+@query()
 def avg_speed(spark, d):
     return normalized(spark, d).select("trip_key", "pickup_datetime", "average_speed")
 
 
-@query
+@query()
 def airport_trips(spark, d):
     return normalized(spark, d).groupBy("is_airport_trip").agg(
         F.count(F.lit(1)).alias("trips"), stable_avg(F.col("trip_distance")).alias("avg_miles")
     )
 
 
-@query
+@query()
 def total_charge(spark, d):
     return normalized(spark, d).select("trip_key", "pickup_datetime", "total_charge")
 
 
-@query
+@query()
 def wmo_labels(spark, d):
     code = F.get_json_object("props", "$.k").cast("bigint")
     codes = table(spark, d, "events").groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n"))
     return codes.select("code", weather_label(F.col("code")).alias("label"), F.col("n").alias("events"))
 
 
-@query
+@query()
 def hour_bucket_demand(spark, d):
     return rides(spark, d).groupBy(hour_start(F.col("pickup_datetime")).alias("pickup_hour")).agg(
         F.count(F.lit(1)).alias("rides")
     )
 
 
-@query
+@query()
 def month_series(spark, d):
     """Orders per month of the calendar, empty months included."""
     orders = table(spark, d, "orders")
@@ -392,7 +393,7 @@ def month_series(spark, d):
     return months.select("partition_date", "month_start", F.coalesce("n", F.lit(0)).alias("orders"))
 
 
-@query
+@query()
 def day_series(spark, d):
     """Events per day of the calendar, empty days included."""
     events = table(spark, d, "events")
@@ -402,7 +403,7 @@ def day_series(spark, d):
     return days.join(found, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("events"))
 
 
-@query
+@query()
 def month_bounds(spark, d):
     day = F.to_date("o_orderdate")
     return table(spark, d, "orders").groupBy(
@@ -413,12 +414,12 @@ def month_bounds(spark, d):
 # Joins
 
 
-@query
+@query("enrich_hourly")
 def enriched_hourly(spark, d):
     return curated(spark, d)
 
 
-@query
+@query("enrich_hourly_dedupe")
 def enriched_hourly_dedupe(spark, d):
     """Two readings per hour, one of them kept."""
     hours = weather(spark, d)
@@ -428,7 +429,7 @@ def enriched_hourly_dedupe(spark, d):
     )
 
 
-@query
+@query("enrich_hourly_fan_out")
 def enriched_hourly_fan_out(spark, d):
     """Two readings per hour double the trips of that hour."""
     hours = weather(spark, d)
@@ -438,29 +439,29 @@ def enriched_hourly_fan_out(spark, d):
     )
 
 
-@query
+@query("weather_coverage")
 def weather_coverage_of_rides(spark, d):
     return weather_coverage(curated(spark, d))
 
 
-@query
+@query()
 def stg_trips(spark, d):
     return mart_plans.stg_trips(curated(spark, d))
 
 
-@query
+@query()
 def fct_trips(spark, d):
     return fact(spark, d)
 
 
-@query
+@query()
 def orphan_pickup_zones(spark, d):
     return orphans(fact(spark, d), "pickup_location_id", zones(spark, d), "location_id").select(
         "pickup_location_id", F.col("rows").alias("trips")
     )
 
 
-@query
+@query()
 def orphan_dropoff_zones(spark, d):
     return orphans(fact(spark, d), "dropoff_location_id", zones(spark, d), "location_id").select(
         "dropoff_location_id", F.col("rows").alias("trips")
@@ -470,99 +471,99 @@ def orphan_dropoff_zones(spark, d):
 # Marts and serving
 
 
-@query
+@query()
 def daily_demand(spark, d):
     return mart_plans.daily_demand(normalized(spark, d))
 
 
-@query
+@query()
 def hourly_demand(spark, d):
     return mart_plans.hourly_demand(normalized(spark, d))
 
 
-@query
+@query()
 def route_performance(spark, d):
     return mart_plans.route_performance(normalized(spark, d))
 
 
-@query
+@query()
 def weather_impact(spark, d):
     return marts(spark, d).weather_impact
 
 
-@query
+@query()
 def mart_row_counts(spark, d):
     return mart_plans.mart_row_counts(marts(spark, d)).select("mart", F.col("rows").alias("mart_rows"))
 
 
-@query
+@query()
 def demand_all(spark, d):
     return serving.demand(marts(spark, d))
 
 
-@query
+@query()
 def demand_filtered(spark, d):
     return serving.demand(marts(spark, d), DEMAND_START, DEMAND_END, DEMAND_ZONE)
 
 
-@query
+@query()
 def revenue_by_date(spark, d):
     return serving.revenue(marts(spark, d))
 
 
-@query
+@query()
 def top_routes(spark, d):
     return serving.routes(marts(spark, d))
 
 
-@query
+@query()
 def weather_impact_filtered(spark, d):
     return serving.weather_impact(marts(spark, d), WEATHER_START, WEATHER_END, WEATHER_LABEL)
 
 
-@query
+@query()
 def kpi(spark, d):
     row = serving.kpi(marts(spark, d), DEMAND_START, DEMAND_END)
     return row.withColumn("avg_duration", F.round("avg_duration", 4))
 
 
-@query
+@query()
 def daily_trips_in_range(spark, d):
     return serving.trips_by_day(marts(spark, d), DEMAND_START, DEMAND_END)
 
 
-@query
+@query()
 def trips_by_hour(spark, d):
     return serving.trips_by_hour(marts(spark, d))
 
 
-@query
+@query()
 def top_zones(spark, d):
     return serving.top_zones(marts(spark, d), DEMAND_START, DEMAND_END)
 
 
-@query
+@query()
 def top_zone_ids(spark, d):
     return serving.top_zone_ids(marts(spark, d))
 
 
-@query
+@query()
 def revenue_trend(spark, d):
     return serving.revenue_trend(marts(spark, d), DEMAND_START, DEMAND_END)
 
 
-@query
+@query()
 def top_routes_named(spark, d):
     return serving.top_routes_named(marts(spark, d))
 
 
-@query
+@query()
 def weather_summary(spark, d):
     rows = serving.weather_summary(marts(spark, d))
     return rows.withColumn("avg_duration", F.round("avg_duration", 4))
 
 
-@query
+@query()
 def payment_breakdown(spark, d):
     return serving.payment_breakdown(normalized(spark, d))
 
@@ -574,31 +575,31 @@ def _summary(rows, violations):
     return checks.summary(rows, violations)
 
 
-@query
+@query()
 def not_null_check(spark, d):
     rows = fact(spark, d)
     return _summary(rows, checks.not_null(rows, "weather_condition"))
 
 
-@query
+@query()
 def unique_zone_ids(spark, d):
     rows = zones(spark, d)
     return _summary(rows, checks.unique(rows, "location_id"))
 
 
-@query
+@query()
 def unique_trip_keys(spark, d):
     return checks.unique(trips(spark, d), "trip_key").select("trip_key", F.col("rows").alias("trips"))
 
 
-@query
+@query()
 def accepted_payment(spark, d):
     rows = normalized(spark, d)
     labels = list(PAYMENT_LABELS.values())
     return _summary(rows, checks.accepted_values(rows, "payment_type", labels))
 
 
-@query
+@query()
 def accepted_event_types(spark, d):
     rows = table(spark, d, "events")
     return checks.accepted_values(rows, "event_type", ["view", "click"]).select(
@@ -606,19 +607,19 @@ def accepted_event_types(spark, d):
     )
 
 
-@query
+@query()
 def dup_keys_daily(spark, d):
     rows = marts(spark, d).daily_demand
     return _summary(rows, checks.unique_together(rows, ["date", "pickup_location_id"]))
 
 
-@query
+@query()
 def dup_keys_hourly(spark, d):
     rows = marts(spark, d).hourly_demand
     return _summary(rows, checks.unique_together(rows, ["date", "hour"]))
 
 
-@query
+@query()
 def dup_keys_route(spark, d):
     rows = marts(spark, d).route_performance
     return _summary(
@@ -626,7 +627,7 @@ def dup_keys_route(spark, d):
     )
 
 
-@query
+@query()
 def dup_keys_weather(spark, d):
     rows = marts(spark, d).weather_impact
     return _summary(
@@ -634,7 +635,7 @@ def dup_keys_weather(spark, d):
     )
 
 
-@query
+@query()
 def mart_check_results(spark, d):
     """All dataset tests over the ride fact and its marts."""
     rides_fact = fact(spark, d)
@@ -643,7 +644,7 @@ def mart_check_results(spark, d):
     )
 
 
-@query
+@query()
 def curated_null_counts(spark, d):
     return checks.null_counts(
         curated(spark, d),
@@ -651,7 +652,7 @@ def curated_null_counts(spark, d):
     )
 
 
-@query
+@query()
 def curated_ranges(spark, d):
     return checks.value_ranges(
         curated(spark, d),
@@ -659,7 +660,7 @@ def curated_ranges(spark, d):
     )
 
 
-@query
+@query()
 def reconcile_counts(spark, d):
     """Total, valid and normalized rows of one pass each; the last two must agree."""
     checked = quality(spark, d)
@@ -673,7 +674,7 @@ def reconcile_counts(spark, d):
     )
 
 
-@query
+@query("dates_written")
 def written_dates(spark, d):
     return dates_written(normalized(spark, d))
 
@@ -681,7 +682,7 @@ def written_dates(spark, d):
 # History, manifest, orchestration
 
 
-@query
+@query()
 def runs_upsert(spark, d):
     """A log with the start and the end of every run, reduced to its latest states."""
     final = runs(spark, d)
@@ -699,60 +700,60 @@ def runs_upsert(spark, d):
     return history.latest_runs(started.unionByName(ended))
 
 
-@query
+@query()
 def list_runs(spark, d):
     return history.list_runs(runs(spark, d), "trips", 50)
 
 
-@query
+@query()
 def latest_run_per_partition(spark, d):
     return history.latest_run_per_partition(runs(spark, d))
 
 
-@query
+@query()
 def latest_run(spark, d):
     return history.latest_run(runs(spark, d))
 
 
-@query
+@query()
 def completed_partitions(spark, d):
     return history.completed_partitions(runs(spark, d))
 
 
-@query
+@query()
 def pending_partitions(spark, d):
     planned = order_months(spark, d).select("partition_date")
     return history.pending_partitions(planned, runs(spark, d), "trips")
 
 
-@query
+@query()
 def manifest_upsert(spark, d):
     return manifest(spark, d)
 
 
-@query
+@query()
 def manifest_lookup(spark, d):
     return history.manifest_lookup(manifest(spark, d), "1-URGENT", "1997-03")
 
 
-@query
+@query()
 def list_ingestions(spark, d):
     return history.list_ingestions(manifest(spark, d)).select(
         "source_name", "partition_date", "downloaded_at", "file_size", "row_count", "status"
     )
 
 
-@query
+@query()
 def rows_per_source(spark, d):
     return history.rows_per_source(manifest(spark, d))
 
 
-@query
+@query()
 def ingest_summary(spark, d):
     return history.ingest_summary(manifest(spark, d))
 
 
-@query
+@query()
 def pending_ingests(spark, d):
     """Sources by month; only downloads of at least 5,000 rows left a file behind."""
     log = view(spark, d, "manifest_log")
@@ -776,26 +777,26 @@ def pending_ingests(spark, d):
 # Metrics and alerts
 
 
-@query
+@query()
 def run_metrics(spark, d):
     return observe.run_metrics(runs(spark, d), manifest(spark, d))
 
 
-@query
+@query()
 def metric_rules(spark, d):
     return observe.metric_rules(observe.run_metrics(runs(spark, d), manifest(spark, d)))
 
 
-@query
+@query()
 def row_count_change(spark, d):
     return observe.row_count_change(runs(spark, d))
 
 
-@query
+@query()
 def missing_partitions(spark, d):
     return observe.missing_partitions(runs(spark, d))
 
 
-@query
+@query()
 def alerts(spark, d):
     return observe.alerts(runs(spark, d))
