@@ -30,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DEMAND_START, DEMAND_END, DEMAND_ZONE = date(1997, 1, 1), date(1998, 12, 31), 100
-WEATHER_START, WEATHER_END, WEATHER_LABEL = date(2024, 1, 5), date(2024, 1, 20), "clear"
+WEATHER_START, WEATHER_END, WEATHER_LABEL = date(2024, 1, 5), date(2024, 1, 20), "unknown"
 STAGED_START, STAGED_END = date(1996, 2, 1), date(1996, 2, 29)
 
 
