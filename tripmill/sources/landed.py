@@ -107,7 +107,7 @@ def text_rows(document: Column) -> Column:
 def file_rows(spark: SparkSession, kind: str, *paths: str) -> DataFrame:
     """Rows per file (``path``, ``row_count``) of parquet, csv or json files."""
     if kind == "json":
-        documents = spark.read.option("wholetext", True).text(list(paths))
+        documents = spark.read.text(list(paths), wholetext=True)
         return documents.select(
             F.col("_metadata.file_path").alias("path"), text_rows(F.col("value")).alias("row_count")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmill.errors import MissingPartitionError
@@ -40,8 +40,10 @@ def read_parquet_relaxed(spark: SparkSession, path: str, missing: str) -> DataFr
     """
     try:
         return read_parquet(spark, path, missing, mergeSchema=True)
-    except PySparkException as error:
-        if error.getCondition() != "CANNOT_MERGE_SCHEMAS" and not _merge_failed(error):
+    except MissingPartitionError:
+        raise
+    except Exception as error:  # a plain JVM error in classic sessions
+        if "CANNOT_MERGE" not in str(error):
             raise
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     by_schema: dict[str, tuple] = {}
@@ -53,10 +55,6 @@ def read_parquet_relaxed(spark: SparkSession, path: str, missing: str) -> DataFr
     )
 
 
-def _merge_failed(error: PySparkException) -> bool:
-    return "CANNOT_MERGE" in str(error)
-
-
 def scan_month(spark: SparkSession, root: str, partition: str) -> DataFrame:
     """Raw trips of one 'YYYY-MM' month: only that directory is listed and read."""
     year, month = partition.split("-")
