@@ -11,9 +11,6 @@ all rows once and weigh them by their number of copies.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripmill.functions.measures import share
@@ -109,9 +106,7 @@ class Classification:
             F.col("is_invalid") | any_null(self.columns)
         )
         clean = ~F.col("is_null") & ~F.col("is_invalid")
-        reasons = F.concat_ws(
-            ", ", *(F.when(F.col(r.name), F.lit(r.name)) for r in self.profile.rules)
-        )
+        reasons = self.profile.reasons()
         held_back = F.col("is_null") | (clean & F.col("is_outlier"))
         why = F.when(F.col("is_null"), F.lit("null")).otherwise(F.lit("outlier"))
         classes = F.array_compact(
@@ -130,51 +125,42 @@ class Classification:
 
     def _weighed(self) -> DataFrame:
         """Distinct rows with flags and how many of their copies fall in each class."""
-        folded = fold_copies(self.rows, COPIES)
-        flagged = _flagged(folded, self.profile).withColumn("_complete", ~any_null(self.columns))
-        # Each step refers to the columns of the one before, so nothing is evaluated twice.
-        clean = flagged.withColumn("_clean", ~F.col("is_null") & ~F.col("is_invalid"))
-        copies, zero = F.col(COPIES), F.lit(0).cast("bigint")
-        repeats = F.when(F.col("_clean") & F.col("_complete"), copies - 1).otherwise(zero)
-        kept = clean.withColumn("_duplicate", repeats).withColumn(
-            "_kept", F.when(F.col("_clean"), copies - F.col("_duplicate")).otherwise(zero)
-        )
-        return kept.withColumns(
-            {
-                "_invalid": F.when(F.col("is_invalid"), copies).otherwise(zero),
-                "_null": F.when(F.col("is_null"), copies).otherwise(zero),
-                "_outlier": F.when(F.col("is_outlier"), F.col("_kept")).otherwise(zero),
-                "_valid": F.when(F.col("is_outlier"), zero).otherwise(F.col("_kept")),
-            }
+        flagged = _flagged(fold_copies(self.rows, COPIES), self.profile)
+        # Each step refers to columns of the one before, so nothing is evaluated twice.
+        return (
+            flagged.withColumn("_complete", ~any_null(self.columns))
+            .selectExpr("*", "not (is_null or is_invalid) as _clean")
+            .selectExpr("*", f"if(_clean and _complete, {COPIES} - 1, 0L) as _duplicate")
+            .selectExpr("*", f"if(_clean, {COPIES} - _duplicate, 0L) as _kept")
         )
 
     def counts(self) -> DataFrame:
         """One row: totals per class, per quarantine category and per rule."""
         return self._weighed().agg(
-            _weight(F.lit(True), "total_rows"),
-            _total("_valid", "valid_rows"),
-            _total("_invalid", "invalid_rows"),
-            F.coalesce(
-                F.sum(F.col("_null") + F.col("_duplicate") + F.col("_outlier")), F.lit(0)
-            ).alias("quarantined_rows"),
-            _total("_null", "null_rows"),
+            _total(COPIES, "total_rows"),
+            _total("if(is_outlier, 0L, _kept)", "valid_rows"),
+            _total(f"if(is_invalid, {COPIES}, 0L)", "invalid_rows"),
+            _total(
+                f"if(is_null, {COPIES}, if(is_outlier, _kept, 0L) + _duplicate)", "quarantined_rows"
+            ),
+            _total(f"if(is_null, {COPIES}, 0L)", "null_rows"),
             _total("_duplicate", "duplicate_rows"),
-            _total("_outlier", "outlier_rows"),
-            _weight(F.col("is_null") & F.col("is_invalid"), "null_and_invalid_rows"),
-            *(_weight(F.col(rule.name), rule.name) for rule in self.profile.rules),
+            _total("if(is_outlier, _kept, 0L)", "outlier_rows"),
+            _total(f"if(is_null and is_invalid, {COPIES}, 0L)", "null_and_invalid_rows"),
+            *(_total(f"if({r.name}, {COPIES}, 0L)", r.name) for r in self.profile.rules),
         )
 
     def report(self) -> DataFrame:
         """One nested row: the quality report of the table."""
         flat = self._weighed().agg(
-            _weight(F.lit(True), "total_rows"),
-            _total("_valid", "valid_rows"),
-            _total("_invalid", "invalid_rows"),
-            _total("_null", "null"),
+            _total(COPIES, "total_rows"),
+            _total("if(is_outlier, 0L, _kept)", "valid_rows"),
+            _total(f"if(is_invalid, {COPIES}, 0L)", "invalid_rows"),
+            _total(f"if(is_null, {COPIES}, 0L)", "null"),
             _total("_duplicate", "duplicate"),
-            _total("_outlier", "outlier"),
-            *(_weight(F.col(rule.name), rule.name) for rule in self.profile.rules),
-            *(_weight(F.col(c).isNull(), f"null_{c}") for c in self.profile.required),
+            _total("if(is_outlier, _kept, 0L)", "outlier"),
+            *(_total(f"if({r.name}, {COPIES}, 0L)", r.name) for r in self.profile.rules),
+            *(_total(f"if({c} is null, {COPIES}, 0L)", f"null_{c}") for c in self.profile.required),
             *_extremes(self.profile.ranges),
         )
         return nest_report(flat, self.profile)
@@ -183,10 +169,10 @@ class Classification:
         """The part of the report that needs no exchange: one narrow scan, no duplicates."""
         return self.flags().agg(
             F.count(F.lit(1)).alias("total_rows"),
-            F.count_if("is_invalid").alias("invalid_rows"),
-            F.count_if("is_null").alias("null"),
-            *(F.count_if(rule.name).alias(rule.name) for rule in self.profile.rules),
-            *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self.profile.required),
+            F.expr("count_if(is_invalid) as invalid_rows"),
+            F.expr("count_if(is_null) as `null`"),
+            *(F.expr(f"count_if({r.name}) as {r.name}") for r in self.profile.rules),
+            *(F.expr(f"count_if({c} is null) as null_{c}") for c in self.profile.required),
             *_extremes(self.profile.ranges),
         )
 
@@ -196,11 +182,10 @@ class Classification:
 
 
 def _flagged(rows: DataFrame, profile: QualityProfile) -> DataFrame:
-    named = {rule.name: rule.broken() for rule in profile.rules}
-    named["is_null"] = profile.missing()
-    named["is_outlier"] = profile.outlier()
-    broken = reduce(or_, (F.col(rule.name) for rule in profile.rules))
-    return rows.withColumns(named).withColumn("is_invalid", broken)
+    flags = [f"{rule.flag} as {rule.name}" for rule in profile.rules]
+    broken = " or ".join(rule.name for rule in profile.rules)
+    named = rows.selectExpr("*", *flags, f"{broken} as is_invalid")
+    return named.withColumns({"is_null": profile.missing(), "is_outlier": profile.outlier()})
 
 
 def gate_row(profile: DataFrame, max_invalid_ratio: float, max_null_ratio: float) -> DataFrame:
@@ -249,16 +234,12 @@ def _outcome(label: Column, violation: Column | None, quarantine: Column | None)
 
 
 def _extremes(columns: tuple[str, ...]) -> list[Column]:
-    wanted = []
-    for name in columns:
-        number = F.col(name).cast("double")
-        wanted += [F.min(number).alias(f"min_{name}"), F.max(number).alias(f"max_{name}")]
-    return wanted
-
-
-def _total(column: str, name: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0)).alias(name)
+    return [
+        F.expr(f"{bound}(cast({name} as double)) as {bound}_{name}")
+        for name in columns
+        for bound in ("min", "max")
+    ]
 
 
-def _weight(condition: Column, name: str) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col(COPIES))), F.lit(0)).alias(name)
+def _total(amount: str, name: str) -> Column:
+    return F.expr(f"coalesce(sum({amount}), 0L) as `{name}`")

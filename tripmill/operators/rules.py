@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -30,8 +28,10 @@ class Rule:
     description: str
     predicate: str
 
-    def broken(self) -> Column:
-        return F.coalesce(F.expr(self.predicate), F.lit(False))
+    @property
+    def flag(self) -> str:
+        """SQL that is true for a violating row and false for any other."""
+        return f"coalesce({self.predicate}, false)"
 
 
 _FIRST_ZONE, _LAST_ZONE = LOCATION_ID_RANGE
@@ -91,17 +91,16 @@ class QualityProfile:
         return any_null(self.critical)
 
     def broken(self) -> Column:
-        return reduce(or_, (rule.broken() for rule in self.rules))
+        return F.expr(" or ".join(rule.flag for rule in self.rules))
 
     def reasons(self) -> Column:
         """Names of the broken rules in rule order, joined with ', '."""
-        return F.concat_ws(
-            ", ", *(F.when(F.expr(rule.predicate), F.lit(rule.name)) for rule in self.rules)
-        )
+        named = ", ".join(f"if({rule.predicate}, '{rule.name}', null)" for rule in self.rules)
+        return F.expr(f"concat_ws(', ', {named})")
 
 
 def any_null(columns: tuple[str, ...] | list[str]) -> Column:
-    return reduce(or_, (F.col(c).isNull() for c in columns))
+    return F.expr(" or ".join(f"`{c}` is null" for c in columns))
 
 
 TRIPS = QualityProfile()

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # The three class folders are written side by side instead of sorting rows by class.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # Do not record a Python call site for every column expression (halves plan building).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
