@@ -26,6 +26,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "4000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

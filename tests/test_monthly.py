@@ -132,6 +132,22 @@ def test_failing_dataset_test_blocks_the_serving_tables(spark, settings, tmp_pat
     assert spark.table(f"{settings.serving_database}.dim_zones").count() == 1
 
 
+def test_fact_is_rebuilt_for_changed_months_only(spark, settings, tmp_path):
+    monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    root = tmp_path / "marts" / "fct_trips"
+    january = {p.name for p in root.glob("pickup_date=2025-01-01/*.parquet")}
+    february = {p.name for p in root.glob("pickup_date=2025-02-01/*.parquet")}
+    monthly.backfill(spark, settings, "2025-02-01", "2025-02-28")
+    assert {p.name for p in root.glob("pickup_date=2025-01-01/*.parquet")} == january
+    assert {p.name for p in root.glob("pickup_date=2025-02-01/*.parquet")} != february
+    zones = landing.write_zones(tmp_path)
+    zones.write_text(zones.read_text().replace("Garment District", "Garment Quarter"))
+    monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    fact = spark.read.parquet(str(root))
+    assert fact.where("pickup_zone = 'Garment District'").isEmpty()
+    assert fact.count() == 6
+
+
 def test_fact_roles(spark, settings):
     monthly.run_range(spark, settings, day="2025-01-15")
     fact = spark.read.parquet(f"{settings.marts}/fct_trips")

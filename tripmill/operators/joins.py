@@ -19,13 +19,12 @@ def fits_broadcast(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_text_bytes: int = MAX_BROADCAST_TEXT_BYTES,
 ) -> bool:
-    """Measure a dimension, reading at most ``max_rows`` + 1 of its rows."""
+    """Measure a dimension by one pass over it that returns a single row."""
     texts = [name for name, kind in dim.dtypes if kind in ("string", "binary")]
-    text_bytes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
-    measured = dim.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), sum(text_bytes, F.lit(0)).alias("text_bytes")
-    )
-    size = measured.first()
+    text_bytes = " + ".join(["0L", *(f"coalesce(sum(octet_length(`{c}`)), 0L)" for c in texts)])
+    size = dim.agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(text_bytes).alias("text_bytes")
+    ).first()
     return size["rows"] <= max_rows and size["text_bytes"] <= max_text_bytes
 
 

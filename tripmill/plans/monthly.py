@@ -21,7 +21,7 @@ from tripmill.operators.joins import enrich_hourly, weather_coverage
 from tripmill.operators.normalize import normalize
 from tripmill.plans import history
 from tripmill.plans.marts import Marts, build_marts, fct_trips, mart_row_counts, stg_trips
-from tripmill.schema import MANIFEST_SCHEMA
+from tripmill.schema import FACT_COLUMNS, MANIFEST_SCHEMA
 from tripmill.settings import Settings
 from tripmill.sinks import files as sinks
 from tripmill.sources import landed
@@ -133,9 +133,8 @@ def enrich_range(spark: SparkSession, settings: Settings, start: date, end: date
     trips = read_dates(spark, settings.staging, start, end)
     weather = read_weather_months(spark, settings.raw_weather, start, end)
     sinks.write_dates(enrich_hourly(trips, weather), settings.curated, clustered=True)
-    curated = read_curated(spark, settings.curated)
-    in_range = curated.where(F.col("pickup_date").between(F.lit(start), F.lit(end)))
-    return weather_coverage(in_range).first()
+    curated = read_dates(spark, settings.curated, start, end, by_source_month=False)
+    return weather_coverage(curated).first()
 
 
 def run_month(spark: SparkSession, settings: Settings, log: history.RunLog, partition: str) -> MonthResult:
@@ -167,21 +166,52 @@ def run_month(spark: SparkSession, settings: Settings, log: history.RunLog, part
     return MonthResult(partition, "success", report.total_rows, staged)
 
 
-def publish_marts(spark: SparkSession, settings: Settings) -> tuple[Marts, list[Row]]:
-    """Rebuild fact and marts from all curated trips, test them and load the serving tables.
+def publish_fact(
+    spark: SparkSession, settings: Settings, zones: DataFrame, months: list[str] | None = None
+) -> DataFrame:
+    """Write the fact by pickup date and return the stored table.
+
+    With ``months``, only their dates are replaced, provided a fact exists that was built
+    with the same zones; otherwise the fact is rebuilt from all curated trips. Curated files
+    hold one date each, so neither way shuffles.
+    """
+    path = f"{settings.marts}/fct_trips"
+    if months is not None and _built_with(spark, settings, zones):
+        for partition in months:
+            curated = read_dates(
+                spark, settings.curated, *month_bounds(partition), by_source_month=False
+            )
+            sinks.write_dates(fct_trips(stg_trips(curated), zones), path, clustered=True)
+    else:
+        fact = fct_trips(stg_trips(read_curated(spark, settings.curated)), zones)
+        sinks.replace_dates(fact, path)
+    return spark.read.parquet(path).select(*FACT_COLUMNS)
+
+
+def _built_with(spark: SparkSession, settings: Settings, zones: DataFrame) -> bool:
+    try:
+        read_parquet(spark, f"{settings.marts}/fct_trips", "No fact")
+        before = read_parquet(spark, f"{settings.marts}/dim_zones", "No zones")
+    except MissingPartitionError:
+        return False
+    return before.exceptAll(zones).isEmpty() and zones.exceptAll(before).isEmpty()
+
+
+def publish_marts(
+    spark: SparkSession, settings: Settings, months: list[str] | None = None
+) -> tuple[Marts, list[Row]]:
+    """Build fact and marts, test them and load the serving tables.
 
     The fact is written once; the marts, the tests and the serving queries read it from there.
     A failing test stops the job before the serving tables are touched, unless the settings
-    say otherwise. Returns the stored marts and the result of each test.
+    say otherwise. ``months`` tells what has changed, None stands for everything. Returns the
+    stored marts and the result of each test.
     """
     zones = read_zones(spark, settings.raw_zones)
-    fact = fct_trips(stg_trips(read_curated(spark, settings.curated)), zones)
-    fact_path = f"{settings.marts}/fct_trips"
-    fact.write.mode("overwrite").parquet(fact_path)
-    stored_fact = spark.read.parquet(fact_path)
-    sinks.write_marts(build_marts(stored_fact, zones), settings.marts)
+    fact = publish_fact(spark, settings, zones, months)
+    sinks.write_marts(build_marts(fact, zones), settings.marts)
     marts = sinks.read_marts(spark, settings.marts)
-    results = check_results(mart_checks(stored_fact, marts)).collect()
+    results = check_results(mart_checks(fact, marts)).collect()
     failed = [f"{row.check} ({row.violations})" for row in results if row.violations]
     if failed and settings.fail_on_checks:
         raise QualityError(f"Dataset tests failed: {', '.join(failed)}")
@@ -214,7 +244,7 @@ def run_range(
             results.append(MonthResult(partition, "skipped"))
         else:
             results.append(run_month(spark, settings, log, partition))
-    publish_marts(spark, settings)
+    publish_marts(spark, settings, [r.partition for r in results if r.status != "skipped"])
     return results
 
 

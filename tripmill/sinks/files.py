@@ -61,6 +61,11 @@ def write_dates(rows: DataFrame, root: str, clustered: bool = False) -> None:
     )
 
 
+def replace_dates(rows: DataFrame, root: str) -> None:
+    """Replace a whole ``pickup_date=`` table with rows that come from files of one date each."""
+    _sorted(rows).write.mode("overwrite").partitionBy("pickup_date").parquet(root)
+
+
 def dates_written(rows: DataFrame) -> DataFrame:
     """Distinct pickup dates as sorted ISO strings."""
     days = rows.select(F.date_format("pickup_date", "yyyy-MM-dd").alias("pickup_date"))

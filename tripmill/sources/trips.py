@@ -74,17 +74,20 @@ def read_validated(spark: SparkSession, root: str, partition: str, label: str =
     return rows.where(F.col("class") == label).drop("class", *unused)
 
 
-def read_dates(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Staged trips picked up in [start, end], whichever source month staged them.
+def read_dates(
+    spark: SparkSession, root: str, start: date, end: date, by_source_month: bool = True
+) -> DataFrame:
+    """Trips picked up in [start, end] from ``pickup_date=`` folders.
 
-    Only the date directories of the range are listed; those that do not exist are skipped.
+    Staged trips lie one level below their source month; whichever month staged them counts.
+    Only the folders of the range are listed, dates without a folder are skipped.
     """
     days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
     wanted = ",".join(day.isoformat() for day in days)
-    path = f"{root}/source_month=*/pickup_date={{{wanted}}}"
-    missing = f"No staging data between {start} and {end}"
-    staged = read_parquet(spark, path, missing, mergeSchema=True, basePath=root)
-    return staged.drop("source_month")
+    level = "source_month=*/" if by_source_month else ""
+    missing = f"No data between {start} and {end} in {root}"
+    path = f"{root}/{level}pickup_date={{{wanted}}}"
+    return read_parquet(spark, path, missing, mergeSchema=True, basePath=root).drop("source_month")
 
 
 def read_curated(spark: SparkSession, root: str) -> DataFrame:
