@@ -16,7 +16,7 @@ import time
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmill.operators.canonical import canonical_trips
 from tripmill.operators.classify import Classification
@@ -25,11 +25,13 @@ from tripmill.operators.normalize import normalize
 from tripmill.plans import marts as mart_plans, serving
 from tripmill.plans.marts import Marts
 from tripmill.session import build_session
+from tripmill.sources.trips import union_relaxed
 from verification.fixtures import view
 from verification.queries import weather, zones
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+MONTH_ROWS = 3_480_000
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 
@@ -105,6 +107,30 @@ def main() -> None:
         "top_zones": (marts.daily_demand, lambda: serving.top_zones(marts, *span).collect()),
         "top_routes": (marts.route_performance, lambda: serving.routes(marts).collect()),
     }
+    # The size of a real month: the raw rows several times over, under new keys.
+    times = range(1, 1 + round(MONTH_ROWS / raw.count()))
+    month = stored(
+        spark,
+        union_relaxed([raw.withColumn("trip_key", F.col("trip_key") + t * 10**10) for t in times]),
+        f"{scratch}/month",
+    )
+    month_quality = Classification(canonical_trips(month))
+    month_valid = stored(spark, month_quality.valid(), f"{scratch}/month_valid")
+    month_staged = stored(spark, normalize(month_valid), f"{scratch}/month_staged")
+    month_stages: dict[str, tuple[DataFrame, Callable[[], object]]] = {
+        "read_raw": (month, lambda: noop(month)),
+        "validate": (month, lambda: month_quality.counts().collect()),
+        "split_outcomes": (month, lambda: noop(month_quality.outcomes())),
+        "normalize": (month_valid, lambda: noop(normalize(month_valid))),
+        "enrich_hourly": (month_staged, lambda: noop(enrich_hourly(month_staged, hours))),
+        "daily_demand": (month_staged, lambda: noop(mart_plans.daily_demand(month_staged))),
+    }
+    month_scale = {
+        name: {"rows": source.count(), "sec": (took := round(timed(stage), 4))}
+        | {"rows_per_second": round(source.count() / took)}
+        for name, (source, stage) in month_stages.items()
+    }
+
     seconds = {name: round(timed(stage), 4) for name, (_, stage) in stages.items()}
     rows = {name: source.count() for name, (source, _) in stages.items()}
     rates = {name: round(rows[name] / seconds[name]) for name in stages}
@@ -117,6 +143,7 @@ def main() -> None:
                 "queries": seconds,
                 "input_rows": rows,
                 "rows_per_second": rates,
+                "month_scale": month_scale,
                 "sf": os.path.basename(SF_DIR.rstrip("/")),
                 "cpus": CPUS,
             }

@@ -221,9 +221,23 @@ def test_invalid_rows_need_no_exchange(make_trips):
     assert "Exchange" not in plan_of(Classification(make_trips({}, {})).invalid())
 
 
-def test_duplicates_are_counted_before_the_exchange(make_trips):
-    plan = plan_of(Classification(make_trips({}, {})).valid())
-    assert "partial_count" in plan
-    assert "Window" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "Python" not in plan
+def test_copies_fold_before_the_exchange(make_trips):
+    quality = Classification(make_trips({}, {}))
+    plan = plan_of(quality.valid())
+    aggregates, exchange = plan.split("Exchange hashpartitioning")
+    assert aggregates.count("HashAggregate") == exchange.count("HashAggregate") == 1
+    assert "Window" not in plan and "Python" not in plan
+
+
+def test_few_and_many_copies_share_one_exchange(make_trips):
+    outcomes = Classification(make_trips(*[{}] * 300, {"fare_amount": -1.0})).outcomes()
+    assert len(outcomes.collect()) == 301
+    final = plan_of(outcomes).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 1
+
+
+def test_branch_for_many_copies_vanishes_when_there_are_none(make_trips):
+    outcomes = Classification(make_trips({}, {}, {"fare_amount": -1.0})).outcomes()
+    outcomes.collect()
+    final = plan_of(outcomes).split("== Initial Plan ==")[0]
+    assert "_block" not in final

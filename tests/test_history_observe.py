@@ -160,6 +160,15 @@ def test_manifest_keeps_the_latest_record(manifest_log):
     assert tuple(history.ingest_summary(manifest).first()) == (4, 3, 1)
 
 
+def test_manifest_log_replaces_by_source_and_partition(spark, tmp_path):
+    log = history.ManifestLog(spark, str(tmp_path / "manifest"))
+    log.record(source_name="trips", partition_date="2025-01", status="failed")
+    log.record(source_name="trips", partition_date="2025-01", status="success", row_count=5)
+    log.record(source_name="zones", status="success", row_count=4)
+    rows = {(r.source_name, r.partition_date): r.status for r in log.ingestions().collect()}
+    assert rows == {("trips", "2025-01"): "success", ("zones", ""): "success"}
+
+
 def test_pending_needs_record_and_file(spark, manifest_log):
     planned = manifest_log.select("source_name", "partition_date", "file_path").dropDuplicates().where(
         "partition_date is not null"

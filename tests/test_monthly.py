@@ -12,7 +12,7 @@ from tripmill.operators import checks
 from tripmill.plans import history, monthly, serving
 from tripmill.schema import CRITICAL, CURATED_COLUMNS, STAGING_COLUMNS
 from tripmill.settings import Settings
-from tripmill.sinks.files import serving_marts
+from tripmill.sinks.files import serving_marts, staging_view
 from tripmill.sources.trips import read_curated, read_validated
 
 
@@ -74,9 +74,10 @@ def test_full_range(spark, settings):
     assert [(r.input_rows, r.output_rows) for r in results] == [(5, 4), (3, 3)]
     # The stray January trip is staged under February and January's dates are intact.
     assert read_curated(spark, settings.curated).count() == 6
-    counts = monthly.loaded_counts(spark, settings)
-    assert counts["dim_zones"] == 4
-    assert counts["daily_demand"] == 5
+    published = monthly.publish_marts(spark, settings, [])
+    assert published.loaded_rows["dim_zones"] == 4
+    assert published.loaded_rows["daily_demand"] == 5
+    assert len(published.checks) == 21
     log = history.RunLog(spark, settings.run_log)
     assert log.runs().count() == 2
     assert log.is_complete(settings.pipeline_name, "2025-02")
@@ -127,7 +128,7 @@ def test_failing_dataset_test_blocks_the_serving_tables(spark, settings, tmp_pat
     lenient = Settings(
         root=settings.root, serving_database=settings.serving_database, fail_on_checks=False
     )
-    _, results = monthly.publish_marts(spark, lenient)
+    results = monthly.publish_marts(spark, lenient).checks
     assert sum(r.violations > 0 for r in results) == 2 and len(results) == 21
     assert spark.table(f"{settings.serving_database}.dim_zones").count() == 1
 
@@ -153,5 +154,7 @@ def test_fact_roles(spark, settings):
     fact = spark.read.parquet(f"{settings.marts}/fct_trips")
     row = fact.where(F.col("pickup_location_id") == 132).first()
     assert (row.pickup_zone, row.dropoff_borough) == ("Airport", "Bronx")
+    staging_view(read_curated(spark, settings.curated))
+    assert spark.table("stg_trips").schema["passenger_count"].dataType.simpleString() == "int"
     assert fact.schema["pickup_hour"].dataType.simpleString() == "int"
     assert fact.schema["trip_duration_seconds"].dataType.simpleString() == "double"

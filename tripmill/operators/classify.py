@@ -18,6 +18,7 @@ from tripmill.operators.copies import fold_copies, unfold_copies
 from tripmill.operators.rules import TRIPS, QualityProfile, any_null
 
 COPIES = "_copies"
+NUMBER = "_number"
 
 
 class Classification:
@@ -48,17 +49,19 @@ class Classification:
     def _folded_candidates(self) -> DataFrame:
         """Clean rows without nulls, folded.
 
-        The filter holds for every group; it keeps the count in the plan, so that first and
-        further copies read the same exchange even where the count is not needed.
+        Unfolding reads this twice, for few and for many copies, from one exchange.
         """
-        complete = ~any_null(self.columns)
-        folded = fold_copies(self.rows.where(self._clean() & complete), COPIES)
-        return folded.where(F.col(COPIES) > 0)
+        return fold_copies(self.rows.where(self._clean() & ~any_null(self.columns)), COPIES)
+
+    def _numbered_candidates(self, keep: Column | None = None) -> DataFrame:
+        """Candidates one by one; copy number 1 is the first of its kind."""
+        folded = self._folded_candidates()
+        return unfold_copies(folded if keep is None else folded.where(keep), COPIES, NUMBER)
 
     def duplicates(self) -> DataFrame:
         """Copies of a clean row after its first one."""
-        repeated = self._folded_candidates().where(F.col(COPIES) > 1)
-        return unfold_copies(repeated.withColumn(COPIES, F.col(COPIES) - 1), COPIES)
+        repeated = self._numbered_candidates(F.col(COPIES) > 1)
+        return repeated.where(F.col(NUMBER) > 1).drop(NUMBER)
 
     def _clean_once(self, keep: Column) -> DataFrame:
         """Clean rows without their repeated copies."""
@@ -74,32 +77,27 @@ class Classification:
 
     def quarantined(self) -> DataFrame:
         reason = "quarantine_reason"
-        return (
-            self.nulls()
-            .withColumn(reason, F.lit("null"))
-            .unionByName(self.duplicates().withColumn(reason, F.lit("duplicate")))
-            .unionByName(self.outliers().withColumn(reason, F.lit("outlier")))
+        missing, far = self.profile.missing(), self.profile.outlier()
+        in_place = self.rows.where(missing | (self._clean() & any_null(self.columns) & far))
+        why = F.when(missing, F.lit("null")).otherwise(F.lit("outlier"))
+        repeat = F.col(NUMBER) > 1
+        numbered = self._numbered_candidates((F.col(COPIES) > 1) | far).where(repeat | far)
+        label = F.when(repeat, F.lit("duplicate")).otherwise(F.lit("outlier"))
+        return in_place.withColumn(reason, why).unionByName(
+            numbered.withColumn(reason, label).drop(NUMBER)
         )
 
     def outcomes(self) -> DataFrame:
         """Every classified row with ``class``, ``violation_reasons``, ``quarantine_reason``.
 
         A row that is both invalid and quarantined appears in both classes. Rows that cannot
-        be duplicates are labelled where they are read; the first and the further copies of
-        the others share one exchange.
+        be duplicates are labelled where they are read.
         """
-        folded = self._folded_candidates()
-        far = self.profile.outlier()
-        first = folded.select(
-            *self.columns,
-            *_outcome(
-                F.when(far, "quarantined").otherwise("valid"), None, F.when(far, F.lit("outlier"))
-            ),
-        )
-        repeats = unfold_copies(
-            folded.where(F.col(COPIES) > 1).withColumn(COPIES, F.col(COPIES) - 1), COPIES
-        ).select("*", *_outcome(F.lit("quarantined"), None, F.lit("duplicate")))
-        return self._labelled_in_place().unionByName(first).unionByName(repeats)
+        repeat, far = F.col(NUMBER) > 1, self.profile.outlier()
+        why = F.when(repeat, F.lit("duplicate")).when(far, F.lit("outlier"))
+        label = F.when(why.isNull(), F.lit("valid")).otherwise(F.lit("quarantined"))
+        numbered = self._numbered_candidates().select(*self.columns, *_outcome(label, None, why))
+        return self._labelled_in_place().unionByName(numbered)
 
     def _labelled_in_place(self) -> DataFrame:
         flagged = _flagged(self.rows, self.profile).where(
@@ -109,17 +107,15 @@ class Classification:
         reasons = self.profile.reasons()
         held_back = F.col("is_null") | (clean & F.col("is_outlier"))
         why = F.when(F.col("is_null"), F.lit("null")).otherwise(F.lit("outlier"))
-        classes = F.array_compact(
-            F.array(
-                F.when(F.col("is_invalid"), F.struct(*_outcome(F.lit("invalid"), reasons, None))),
-                F.when(held_back, F.struct(*_outcome(F.lit("quarantined"), None, why))),
-                F.when(
-                    clean & ~F.col("is_outlier"), F.struct(*_outcome(F.lit("valid"), None, None))
-                ),
-            )
+        kept = clean & ~F.col("is_outlier")
+        classes = F.array(
+            F.struct(*_outcome(F.when(F.col("is_invalid"), F.lit("invalid")), reasons, None)),
+            F.struct(*_outcome(F.when(held_back, F.lit("quarantined")), None, why)),
+            F.struct(*_outcome(F.when(kept, F.lit("valid")), None, None)),
         )
         # Few rows of every scan task remain: gather them, so that a write makes few files.
-        return flagged.select(*self.columns, F.inline(classes)).hint("rebalance")
+        gathered = flagged.hint("rebalance", *(F.col(c) for c in self.columns))
+        return gathered.select(*self.columns, F.inline(classes)).where("class is not null")
 
     # One scan, one exchange for all totals
 

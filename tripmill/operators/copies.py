@@ -19,29 +19,34 @@ def fold_copies(rows: DataFrame, copies: str = "copies") -> DataFrame:
 
 
 def unfold_copies(
-    folded: DataFrame, copies: str = "copies", light: int = LIGHT, block: int = BLOCK
+    folded: DataFrame,
+    copies: str = "copies",
+    number: str | None = None,
+    light: int = LIGHT,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """Every row repeated ``copies`` times, none for 0.
+    """Every row repeated ``copies`` times, none for 0; ``number`` names a 1-based counter.
 
     Up to ``light`` copies are produced where the row is. A row with more is cut into
     blocks which are spread over all shuffle partitions, so no task emits a hot row alone.
     """
+    counter = number or "_number"
     columns = [c for c in folded.columns if c != copies]
     few = folded.where(F.col(copies).between(1, light)).select(
-        *columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias("_copy")
+        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))).alias(counter)
     )
-    blocks = (
-        folded.where(F.col(copies) > light)
-        .select(
-            *columns,
-            copies,
-            F.explode(F.sequence(F.lit(0), F.expr(f"({copies} - 1) div {block}"))).alias("_block"),
-        )
-        .withColumn("_left", F.least(F.lit(block), F.col(copies) - F.col("_block") * block))
+    blocks = folded.where(F.col(copies) > light).select(
+        *columns,
+        copies,
+        F.explode(F.expr(f"sequence(0L, ({copies} - 1) div {block})")).alias("_block"),
     )
     # An explicit partition number keeps AQE from merging the few, heavy block rows.
     partitions = int(folded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     many = blocks.repartition(partitions, "_block", *columns).select(
-        *columns, F.explode(F.sequence(F.lit(1), F.col("_left"))).alias("_copy")
+        *columns,
+        F.explode(
+            F.expr(f"sequence(_block * {block} + 1, least({copies}, (_block + 1) * {block}))")
+        ).alias(counter),
     )
-    return few.unionByName(many).select(*columns)
+    rows = few.unionByName(many)
+    return rows if number else rows.drop(counter)

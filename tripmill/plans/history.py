@@ -36,6 +36,11 @@ def append_log(records: DataFrame, path: str) -> None:
     records.write.mode("append").parquet(path)
 
 
+def _one_row(spark: SparkSession, schema: str, fields: dict) -> DataFrame:
+    columns = [part.split()[0] for part in schema.split(", ")]
+    return spark.createDataFrame([tuple(fields.get(c) for c in columns)], schema).coalesce(1)
+
+
 def compact(latest: DataFrame, target: str) -> None:
     """Write the current view of a log to a new folder in few files."""
     latest.hint("rebalance").write.mode("errorifexists").parquet(target)
@@ -89,10 +94,7 @@ class RunLog:
         self.path = path
 
     def record(self, **fields) -> None:
-        columns = [part.split()[0] for part in RUN_LOG_SCHEMA.split(", ")]
-        fields = {"recorded_at": utc_now(), **fields}
-        row = self.spark.createDataFrame([tuple(fields.get(c) for c in columns)], RUN_LOG_SCHEMA)
-        append_log(row.coalesce(1), self.path)
+        append_log(_one_row(self.spark, RUN_LOG_SCHEMA, {"recorded_at": utc_now(), **fields}), self.path)
 
     def runs(self) -> DataFrame:
         return latest_runs(read_log(self.spark, self.path, RUN_LOG_SCHEMA))
@@ -132,6 +134,18 @@ def pending_ingests(planned: DataFrame, manifest: DataFrame, listed_keys: DataFr
     return planned.join(ingested, MANIFEST_KEYS, "left_anti")
 
 
+class ManifestLog:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+
+    def record(self, **fields) -> None:
+        append_log(_one_row(self.spark, MANIFEST_SCHEMA, {"downloaded_at": utc_now(), **fields}), self.path)
+
+    def ingestions(self) -> DataFrame:
+        return latest_ingestions(read_log(self.spark, self.path, MANIFEST_SCHEMA))
+
+
 def rows_per_source(manifest: DataFrame) -> DataFrame:
     succeeded = manifest.where("status = 'success'")
     return succeeded.groupBy("source_name").agg(

@@ -20,7 +20,7 @@ from tripmill.operators.classify import Classification, gate_row, nest_report
 from tripmill.operators.joins import enrich_hourly, weather_coverage
 from tripmill.operators.normalize import normalize
 from tripmill.plans import history
-from tripmill.plans.marts import Marts, build_marts, fct_trips, mart_row_counts, stg_trips
+from tripmill.plans.marts import Marts, build_marts, fct_trips, stg_trips
 from tripmill.schema import FACT_COLUMNS, MANIFEST_SCHEMA
 from tripmill.settings import Settings
 from tripmill.sinks import files as sinks
@@ -38,6 +38,13 @@ class MonthResult:
     output_rows: int | None = None
 
 
+@dataclass(frozen=True)
+class Published:
+    marts: Marts
+    checks: list[Row]
+    loaded_rows: dict[str, int]
+
+
 def resolve_range(
     settings: Settings, day: str | None = None, start: str | None = None, end: str | None = None
 ) -> tuple[date, date]:
@@ -199,13 +206,12 @@ def _built_with(spark: SparkSession, settings: Settings, zones: DataFrame) -> bo
 
 def publish_marts(
     spark: SparkSession, settings: Settings, months: list[str] | None = None
-) -> tuple[Marts, list[Row]]:
+) -> Published:
     """Build fact and marts, test them and load the serving tables.
 
     The fact is written once; the marts, the tests and the serving queries read it from there.
     A failing test stops the job before the serving tables are touched, unless the settings
-    say otherwise. ``months`` tells what has changed, None stands for everything. Returns the
-    stored marts and the result of each test.
+    say otherwise. ``months`` tells what has changed, None stands for everything.
     """
     zones = read_zones(spark, settings.raw_zones)
     fact = publish_fact(spark, settings, zones, months)
@@ -215,13 +221,8 @@ def publish_marts(
     failed = [f"{row.check} ({row.violations})" for row in results if row.violations]
     if failed and settings.fail_on_checks:
         raise QualityError(f"Dataset tests failed: {', '.join(failed)}")
-    sinks.load_marts(marts, settings.serving_database)
-    return marts, results
-
-
-def loaded_counts(spark: SparkSession, settings: Settings) -> dict[str, int]:
-    counts = mart_row_counts(sinks.serving_marts(spark, settings.serving_database))
-    return {row.mart: row.rows for row in counts.collect()}
+    counts = sinks.load_marts(marts, settings.serving_database)
+    return Published(marts, results, counts)
 
 
 def run_range(

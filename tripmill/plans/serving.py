@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tripmill.functions.measures import stable_sum
 from tripmill.operators.joins import dimension_join
+from tripmill.plans.history import list_runs
 from tripmill.plans.marts import Marts
 
 MAX_LIMIT = 1000
@@ -148,3 +149,7 @@ def weather_summary(marts: Marts) -> DataFrame:
 def payment_breakdown(fact: DataFrame) -> DataFrame:
     totals = fact.groupBy("payment_type").agg(F.count(F.lit(1)).alias("trip_count"))
     return totals.orderBy(F.col("trip_count").desc(), F.col("payment_type").asc_nulls_last())
+
+
+def pipeline_runs(runs: DataFrame, limit: int = 50) -> DataFrame:
+    return list_runs(runs, limit=check_limit(limit))

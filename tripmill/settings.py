@@ -10,7 +10,7 @@ class Settings:
     root: str
     default_start: str = "2025-01-01"
     default_end: str = "2025-01-31"
-    pipeline_name: str = "taxi_pipeline"
+    pipeline_name: str = "trips"
     max_invalid_ratio: float = 0.20
     max_null_ratio: float = 0.10
     fail_on_checks: bool = True

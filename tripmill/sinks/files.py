@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripmill.plans.marts import Marts
+from tripmill.plans.marts import Marts, mart_row_counts, stg_trips
 
 
 def write_once(rows: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -83,12 +83,19 @@ def read_marts(spark: SparkSession, root: str) -> Marts:
     return Marts(**{name: spark.read.parquet(f"{root}/{name}") for name in names})
 
 
-def load_marts(marts: Marts, database: str) -> None:
-    """Replace the serving tables with the marts."""
+def staging_view(curated: DataFrame, name: str = "stg_trips") -> None:
+    """Register the staging model as a view; nothing is computed."""
+    stg_trips(curated).createOrReplaceTempView(name)
+
+
+def load_marts(marts: Marts, database: str) -> dict[str, int]:
+    """Replace the serving tables with the marts; returns the rows of each loaded table."""
     spark = marts.dim_zones.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, mart in marts.items().items():
         mart.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+    loaded = mart_row_counts(serving_marts(spark, database))
+    return {row.mart: row.rows for row in loaded.collect()}
 
 
 def serving_marts(spark: SparkSession, database: str) -> Marts:

@@ -729,7 +729,7 @@ from runs""",
 oracle(
     "list_runs",
     RUNS,
-    "select * from runs where pipeline_name = 'trips' order by started_at desc, run_id desc limit 50",
+    "select * from runs order by started_at desc, run_id desc limit 50",
 )
 oracle("latest_run_per_partition", LATEST_RUNS, "select * from latest")
 oracle(

@@ -702,7 +702,7 @@ def runs_upsert(spark, d):
 
 @query()
 def list_runs(spark, d):
-    return history.list_runs(runs(spark, d), "trips", 50)
+    return serving.pipeline_runs(runs(spark, d))
 
 
 @query()
