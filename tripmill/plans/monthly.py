@@ -239,12 +239,16 @@ def run_range(
     """
     log = history.RunLog(spark, settings.run_log)
     first, last = resolve_range(settings, day, start, end)
+    months = month_keys(spark, first, last)
+    planned = spark.createDataFrame([(m,) for m in months], "partition_date string")
+    pending = history.pending_partitions(planned, log.runs(), settings.pipeline_name)
+    todo = set(months) if force else {row.partition_date for row in pending.collect()}
     results = []
-    for partition in month_keys(spark, first, last):
-        if not force and log.is_complete(settings.pipeline_name, partition):
-            results.append(MonthResult(partition, "skipped"))
-        else:
+    for partition in months:
+        if partition in todo:
             results.append(run_month(spark, settings, log, partition))
+        else:
+            results.append(MonthResult(partition, "skipped"))
     publish_marts(spark, settings, [r.partition for r in results if r.status != "skipped"])
     return results
 
