@@ -4,9 +4,8 @@ Invalid means a rule is broken. Quarantined means a critical column is null, or
 clean but a repeated copy or an outlier. A row with a null and a broken rule is in both
 sets, so the classes are predicates on a row, not one label.
 
-Only the repeated copies need other rows to be known. The row sets keep that exchange to
-clean rows without any null (others are never duplicates); the counts and the report fold
-all rows once and weigh them by their number of copies.
+Only the repeated copies need other rows to be known. That exchange is kept to clean rows
+without any null (others are never duplicates); all else is decided where a row is read.
 """
 
 from __future__ import annotations
@@ -117,60 +116,70 @@ class Classification:
         gathered = flagged.hint("rebalance", *(F.col(c) for c in self.columns))
         return gathered.select(*self.columns, F.inline(classes)).where("class is not null")
 
-    # One scan, one exchange for all totals
-
-    def _weighed(self) -> DataFrame:
-        """Distinct rows with flags and how many of their copies fall in each class."""
-        flagged = _flagged(fold_copies(self.rows, COPIES), self.profile)
-        # Each step refers to columns of the one before, so nothing is evaluated twice.
-        return (
-            flagged.withColumn("_complete", ~any_null(self.columns))
-            .selectExpr("*", "not (is_null or is_invalid) as _clean")
-            .selectExpr("*", f"if(_clean and _complete, {COPIES} - 1, 0L) as _duplicate")
-            .selectExpr("*", f"if(_clean, {COPIES} - _duplicate, 0L) as _kept")
-        )
-
-    def counts(self) -> DataFrame:
-        """One row: totals per class, per quarantine category and per rule."""
-        return self._weighed().agg(
-            _total(COPIES, "total_rows"),
-            _total("if(is_outlier, 0L, _kept)", "valid_rows"),
-            _total(f"if(is_invalid, {COPIES}, 0L)", "invalid_rows"),
-            _total(
-                f"if(is_null, {COPIES}, if(is_outlier, _kept, 0L) + _duplicate)", "quarantined_rows"
-            ),
-            _total(f"if(is_null, {COPIES}, 0L)", "null_rows"),
-            _total("_duplicate", "duplicate_rows"),
-            _total("if(is_outlier, _kept, 0L)", "outlier_rows"),
-            _total(f"if(is_null and is_invalid, {COPIES}, 0L)", "null_and_invalid_rows"),
-            *(_total(f"if({r.name}, {COPIES}, 0L)", r.name) for r in self.profile.rules),
-        )
-
-    def report(self) -> DataFrame:
-        """One nested row: the quality report of the table."""
-        flat = self._weighed().agg(
-            _total(COPIES, "total_rows"),
-            _total("if(is_outlier, 0L, _kept)", "valid_rows"),
-            _total(f"if(is_invalid, {COPIES}, 0L)", "invalid_rows"),
-            _total(f"if(is_null, {COPIES}, 0L)", "null"),
-            _total("_duplicate", "duplicate"),
-            _total("if(is_outlier, _kept, 0L)", "outlier"),
-            *(_total(f"if({r.name}, {COPIES}, 0L)", r.name) for r in self.profile.rules),
-            *(_total(f"if({c} is null, {COPIES}, 0L)", f"null_{c}") for c in self.profile.required),
-            *_extremes(self.profile.ranges),
-        )
-        return nest_report(flat, self.profile)
+    # Totals
 
     def row_profile(self) -> DataFrame:
         """The part of the report that needs no exchange: one narrow scan, no duplicates."""
-        return self.flags().agg(
-            F.count(F.lit(1)).alias("total_rows"),
+        return self.flags().agg(*self._row_totals())
+
+    def _row_totals(self) -> list[Column]:
+        return [
+            F.expr("count(1) as total_rows"),
             F.expr("count_if(is_invalid) as invalid_rows"),
             F.expr("count_if(is_null) as `null`"),
+            F.expr("count_if(is_null and is_invalid) as null_and_invalid_rows"),
             *(F.expr(f"count_if({r.name}) as {r.name}") for r in self.profile.rules),
             *(F.expr(f"count_if({c} is null) as null_{c}") for c in self.profile.required),
             *_extremes(self.profile.ranges),
+        ]
+
+    def _totals(self) -> DataFrame:
+        """One flat row. Rows that cannot be duplicates are counted where they are read."""
+        loose = self.flags().withColumn(
+            "_loose", ~F.expr("is_null or is_invalid") & any_null(self.columns)
+        )
+        in_place = loose.agg(
+            *self._row_totals(),
+            F.expr("count_if(_loose and not is_outlier) as loose_valid"),
+            F.expr("count_if(_loose and is_outlier) as loose_outlier"),
         )
+        folded = self._folded_candidates().withColumn("is_outlier", self.profile.outlier())
+        groups = folded.agg(
+            F.expr(f"sum({COPIES} - 1) as duplicate"),
+            F.expr("count_if(not is_outlier) as strict_valid"),
+            F.expr("count_if(is_outlier) as strict_outlier"),
+        )
+        both = in_place.unionByName(groups, allowMissingColumns=True)
+        counted = [c for c in both.columns if not c.startswith(("min_", "max_"))]
+        merged = both.agg(
+            *(F.expr(f"coalesce(max(`{c}`), 0L) as `{c}`") for c in counted),
+            *(F.max(c).alias(c) for c in both.columns if c not in counted),
+        )
+        return merged.withColumns(
+            {
+                "valid_rows": F.expr("loose_valid + strict_valid"),
+                "outlier": F.expr("loose_outlier + strict_outlier"),
+                "quarantined_rows": F.expr("`null` + duplicate + loose_outlier + strict_outlier"),
+            }
+        )
+
+    def counts(self) -> DataFrame:
+        """One row: totals per class, per quarantine category and per rule."""
+        return self._totals().select(
+            "total_rows",
+            "valid_rows",
+            "invalid_rows",
+            "quarantined_rows",
+            F.col("null").alias("null_rows"),
+            F.col("duplicate").alias("duplicate_rows"),
+            F.col("outlier").alias("outlier_rows"),
+            "null_and_invalid_rows",
+            *(rule.name for rule in self.profile.rules),
+        )
+
+    def report(self) -> DataFrame:
+        """One nested row: the quality report of the table."""
+        return nest_report(self._totals(), self.profile)
 
     def gate(self, max_invalid_ratio: float, max_null_ratio: float) -> DataFrame:
         """One row: the two ratios, their limits and whether the table passes."""
@@ -235,7 +244,3 @@ def _extremes(columns: tuple[str, ...]) -> list[Column]:
         for name in columns
         for bound in ("min", "max")
     ]
-
-
-def _total(amount: str, name: str) -> Column:
-    return F.expr(f"coalesce(sum({amount}), 0L) as `{name}`")
