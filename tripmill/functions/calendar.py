@@ -17,6 +17,11 @@ def hour_start(ts: Column) -> Column:
     return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
 
 
+def hour_number(ts: Column) -> Column:
+    """Hours since 1970 of a naive timestamp: an integer key, which joins faster than a time."""
+    return F.unix_date(F.to_date(ts)).cast("bigint") * 24 + F.hour(ts)
+
+
 def whole_seconds(start: Column, end: Column) -> Column:
     """Elapsed whole seconds between two naive timestamps, truncated toward zero."""
     return (end - start).cast("interval second").cast("bigint")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripmill.functions.calendar import hour_start
+from tripmill.functions.calendar import hour_number
 from tripmill.functions.measures import share
 from tripmill.operators.latest import latest_per_key
 from tripmill.schema import WEATHER_COLUMNS
@@ -80,9 +80,10 @@ def enrich_hourly(trips: DataFrame, weather: DataFrame, dedupe: bool = False) ->
     hourly = weather.select("weather_hour", *WEATHER_COLUMNS)
     if dedupe:
         hourly = latest_per_key(hourly, ["weather_hour"], list(WEATHER_COLUMNS))
-    hour = "_pickup_hour"
-    keyed = trips.withColumn(hour, hour_start(F.col("pickup_datetime")))
-    joined = dimension_join(keyed, hourly.withColumnRenamed("weather_hour", hour), [hour])
+    hour = "_hour"
+    keyed = trips.withColumn(hour, hour_number(F.col("pickup_datetime")))
+    by_hour = hourly.select(hour_number(F.col("weather_hour")).alias(hour), *WEATHER_COLUMNS)
+    joined = dimension_join(keyed, by_hour, [hour])
     return joined.drop(hour).withColumn("weather_joined", F.col("temperature").isNotNull())
 
 
