@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -64,58 +65,62 @@ def summary(rows: DataFrame, violations: DataFrame) -> DataFrame:
     )
 
 
+# Columns that must not be null and keys that must be unique, per table.
+REQUIRED_COLUMNS = {
+    "dim_zones": ("location_id", "zone"),
+    "fct_trips": ("pickup_datetime", "dropoff_datetime"),
+    "daily_demand": ("date", "pickup_location_id", "trip_count"),
+    "hourly_demand": ("date", "hour"),
+    "route_performance": ("pickup_location_id", "dropoff_location_id"),
+    "weather_impact": ("date", "weather_condition"),
+}
+MART_KEYS = {
+    "daily_demand": ["date", "pickup_location_id"],
+    "hourly_demand": ["date", "hour"],
+    "route_performance": ["pickup_location_id", "dropoff_location_id"],
+    "weather_impact": ["date", "weather_condition", "precipitation"],
+}
+ZONE_KEYS = ("pickup_location_id", "dropoff_location_id")
+
+
 @dataclass(frozen=True)
 class Check:
     name: str
     violations: DataFrame
 
 
-def mart_checks(fact: DataFrame, marts) -> list[Check]:
-    """The dataset tests of the dimension, the fact and the marts."""
-    zones = marts.dim_zones
-    required = {
-        "dim_zones": ("location_id", "zone"),
-        "fct_trips": ("pickup_datetime", "dropoff_datetime"),
-        "daily_demand": ("date", "pickup_location_id", "trip_count"),
-        "hourly_demand": ("date", "hour"),
-        "route_performance": ("pickup_location_id", "dropoff_location_id"),
-        "weather_impact": ("date", "weather_condition"),
-    }
-    keys = {
-        "daily_demand": ["date", "pickup_location_id"],
-        "hourly_demand": ["date", "hour"],
-        "route_performance": ["pickup_location_id", "dropoff_location_id"],
-        "weather_impact": ["date", "weather_condition", "precipitation"],
-    }
-    tables = {**marts.items(), "fct_trips": fact}
-    checks = [
-        Check(f"not_null_{table}_{column}", not_null(tables[table], column))
-        for table, columns in required.items()
-        for column in columns
-    ]
-    checks.append(Check("unique_dim_zones_location_id", unique(zones, "location_id")))
-    for end in ("pickup_location_id", "dropoff_location_id"):
-        found = relationships(fact, end, zones, "location_id")
-        checks.append(Check(f"relationships_fct_trips_{end}", found))
+def key_checks(fact: DataFrame, marts) -> list[Check]:
+    """Tests on keys and values: uniqueness, zone relationships, accepted labels."""
+    zones, tables = marts.dim_zones, marts.items()
     labels = list(PAYMENT_LABELS.values())
-    outside = accepted_values(fact, "payment_type", labels)
-    checks.append(Check("accepted_values_fct_trips_payment_type", outside))
-    checks += [
-        Check(f"unique_{table}", unique_together(tables[table], columns))
-        for table, columns in keys.items()
+    return [
+        Check("unique_dim_zones_location_id", unique(zones, "location_id")),
+        *(
+            Check(f"relationships_fct_trips_{key}", relationships(fact, key, zones, "location_id"))
+            for key in ZONE_KEYS
+        ),
+        Check(
+            "accepted_values_fct_trips_payment_type", accepted_values(fact, "payment_type", labels)
+        ),
+        *(
+            Check(f"unique_{table}", unique_together(tables[table], columns))
+            for table, columns in MART_KEYS.items()
+        ),
     ]
-    return checks
 
 
-def check_results(checks: list[Check]) -> DataFrame:
-    """One row per check: name and number of violations, in one job."""
-    counted = [
-        c.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(c.name).alias("check"), "violations"
-        )
-        for c in checks
-    ]
-    result = counted[0]
-    for other in counted[1:]:
-        result = result.unionByName(other)
-    return result
+def mart_check_results(fact: DataFrame, marts) -> DataFrame:
+    """One row per dataset test of the dimension, the fact and the marts: name, violations.
+
+    The null tests of a table are one scan of it.
+    """
+    tables = {**marts.items(), "fct_trips": fact}
+    parts = []
+    for table, columns in REQUIRED_COLUMNS.items():
+        counted = null_counts(tables[table], columns)
+        entries = ", ".join(f"'not_null_{table}_{c}', `{c}`" for c in columns)
+        parts.append(counted.selectExpr(f"stack({len(columns)}, {entries}) as (check, violations)"))
+    for check in key_checks(fact, marts):
+        found = check.violations.agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(found.select(F.lit(check.name).alias("check"), "violations"))
+    return reduce(DataFrame.unionByName, parts)

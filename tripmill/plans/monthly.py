@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tripmill.errors import IngestError, MissingPartitionError, QualityError
 from tripmill.functions.calendar import month_bounds, months_between_dates
 from tripmill.operators.canonical import canonical_trips
-from tripmill.operators.checks import check_results, mart_checks
+from tripmill.operators.checks import mart_check_results
 from tripmill.operators.classify import Classification, gate_row, nest_report
 from tripmill.operators.joins import enrich_hourly, weather_coverage
 from tripmill.operators.normalize import normalize
@@ -217,7 +217,7 @@ def publish_marts(
     fact = publish_fact(spark, settings, zones, months)
     sinks.write_marts(build_marts(fact, zones), settings.marts)
     marts = sinks.read_marts(spark, settings.marts)
-    results = check_results(mart_checks(fact, marts)).collect()
+    results = mart_check_results(fact, marts).collect()
     failed = [f"{row.check} ({row.violations})" for row in results if row.violations]
     if failed and settings.fail_on_checks:
         raise QualityError(f"Dataset tests failed: {', '.join(failed)}")

@@ -16,6 +16,15 @@ METRIC_RULES = (
     ("run_duration_seconds", ">", 3600.0, "SlowPipeline", "warning"),
 )
 
+# Texts of the alerts.
+NO_RUNS = "No pipeline runs recorded."
+RUN_FAILED = "Partition %s failed: %s"
+NO_SUCCESS = "No successful runs recorded."
+NO_ROWS = "Latest run produced 0 rows."
+ROWS_CHANGED = "Input rows changed %.1fx between partitions %s and %s."
+RUN_SLOW = "Latest run took %.0fs (>%.0fs)."
+MONTH_GAP = "Gap in processed partitions between %s and %s."
+
 
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Seconds with fractions between two times; null while a run has no end."""
@@ -151,7 +160,7 @@ def alerts(runs: DataFrame, row_ratio: float = 2.0, max_seconds: float = 3600.0)
             "pipeline_failure",
             "critical",
             F.format_string(
-                "Partition %s failed: %s",
+                RUN_FAILED,
                 F.col("partition_date"),
                 F.coalesce("error_message", F.lit("None")),
             ),
@@ -160,22 +169,20 @@ def alerts(runs: DataFrame, row_ratio: float = 2.0, max_seconds: float = 3600.0)
             totals.where("successes = 0"),
             "no_data",
             "critical",
-            F.when(F.col("runs") == 0, "No pipeline runs recorded.").otherwise(
-                "No successful runs recorded."
-            ),
+            F.when(F.col("runs") == 0, NO_RUNS).otherwise(NO_SUCCESS),
         ),
         alert(
             last_success.where(F.coalesce("output_rows", F.lit(0)) == 0),
             "no_data",
             "critical",
-            F.lit("Latest run produced 0 rows."),
+            F.lit(NO_ROWS),
         ),
         alert(
             change,
             "row_count_change",
             "warning",
             F.format_string(
-                "Input rows changed %.1fx between partitions %s and %s.",
+                ROWS_CHANGED,
                 F.col("ratio"),
                 F.col("previous_partition"),
                 F.col("last_partition"),
@@ -185,14 +192,14 @@ def alerts(runs: DataFrame, row_ratio: float = 2.0, max_seconds: float = 3600.0)
             last_success.where(seconds > max_seconds),
             "excessive_duration",
             "warning",
-            F.format_string(f"Latest run took %.0fs (>{max_seconds:.0f}s).", seconds),
+            F.format_string(RUN_SLOW, seconds, F.lit(float(max_seconds))),
         ),
         alert(
             missing_partitions(runs, first_only=True),
             "missing_partition",
             "warning",
             F.format_string(
-                "Gap in processed partitions between %s and %s.",
+                MONTH_GAP,
                 F.col("before_gap"),
                 F.col("after_gap"),
             ),

@@ -12,7 +12,10 @@ from tripmill.settings import Settings
 
 LISTING_SCHEMA = "path string, file_size bigint, modified_at timestamp"
 
-# Hourly variables and zone of the weather feed, as they appear in its URL.
+# Where the files of a source lie (year, month) and how its URL asks for hours.
+TRIPS_KEY = "raw/taxi_trips/year=%1$s/month=%2$s/yellow_tripdata_%1$s-%2$s.parquet"
+ZONES_KEY = "raw/taxi_zones/taxi_zone_lookup.csv"
+WEATHER_KEY = "raw/weather/year=%1$s/month=%2$s/weather_%1$s-%2$s.json"
 WEATHER_VARIABLES = "temperature_2m%2Cprecipitation%2Cwind_speed_10m%2Cweather_code"
 WEATHER_ZONE = "America%2FNew_York"
 
@@ -23,37 +26,37 @@ def planned_sources(months: DataFrame, settings: Settings) -> DataFrame:
     ``months`` has ``month_start``, ``month_end`` and ``partition_date`` ('YYYY-MM').
     """
     key = F.col("partition_date")
-    folder = F.concat(F.lit("year="), F.substring(key, 1, 4), F.lit("/month="), F.substring(key, 6, 2))
-    trips = months.select(
-        F.lit("taxi_trips").alias("source_name"),
-        key,
-        F.format_string(settings.trips_url.replace("%s", "%1$s"), key).alias("source_url"),
-        F.concat(
-            F.lit("raw/taxi_trips/"), folder, F.lit("/yellow_tripdata_"), key, F.lit(".parquet")
-        ).alias("file_path"),
-    )
+    year, month = F.substring(key, 1, 4), F.substring(key, 6, 2)
     position = f"latitude={settings.weather_latitude}&longitude={settings.weather_longitude}"
-    weather = months.select(
-        F.lit("weather").alias("source_name"),
-        key,
-        F.concat(
-            F.lit(f"{settings.weather_url}?{position}&start_date="),
-            F.date_format("month_start", "yyyy-MM-dd"),
-            F.lit("&end_date="),
-            F.date_format("month_end", "yyyy-MM-dd"),
-            F.lit(f"&hourly={WEATHER_VARIABLES}&timezone={WEATHER_ZONE}"),
-        ).alias("source_url"),
-        F.concat(F.lit("raw/weather/"), folder, F.lit("/weather_"), key, F.lit(".json")).alias(
-            "file_path"
+    monthly = {
+        "taxi_trips": (F.format_string(settings.trips_url, key), TRIPS_KEY),
+        "weather": (
+            F.concat(
+                F.lit(f"{settings.weather_url}?{position}&start_date="),
+                F.date_format("month_start", "yyyy-MM-dd"),
+                F.lit("&end_date="),
+                F.date_format("month_end", "yyyy-MM-dd"),
+                F.lit(f"&hourly={WEATHER_VARIABLES}&timezone={WEATHER_ZONE}"),
+            ),
+            WEATHER_KEY,
         ),
-    )
-    zones = months.groupBy().agg(F.count(F.lit(1)).alias("months")).select(
+    }
+    files = [
+        F.struct(
+            F.lit(name).alias("source_name"),
+            key.alias("partition_date"),
+            url.alias("source_url"),
+            F.format_string(path, year, month).alias("file_path"),
+        )
+        for name, (url, path) in monthly.items()
+    ]
+    zones = months.agg(F.count(F.lit(1))).select(
         F.lit("taxi_zones").alias("source_name"),
         F.lit("").alias("partition_date"),
         F.lit(settings.zones_url).alias("source_url"),
-        F.lit("raw/taxi_zones/taxi_zone_lookup.csv").alias("file_path"),
+        F.lit(ZONES_KEY).alias("file_path"),
     )
-    return trips.unionByName(weather).unionByName(zones)
+    return months.select(F.inline(F.array(*files))).unionByName(zones)
 
 
 def plan(spark: SparkSession, start: date, end: date, settings: Settings) -> DataFrame:

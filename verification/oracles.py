@@ -213,7 +213,11 @@ MONTHS = [
 
 
 def oracle(key: str, ctes: list[str], body: str) -> None:
-    ORACLES[key] = f"with {', '.join(ctes)} {body}" if ctes else body
+    sql = f"with {', '.join(ctes)} {body}" if ctes else body
+    if key in q.NULLABLE_INTEGERS:
+        doubles = ", ".join(f"cast({c} as double) as {c}" for c in q.NULLABLE_INTEGERS[key])
+        sql = f"select * replace ({doubles}) from ({sql}) result"
+    ORACLES[key] = sql
 
 
 def text(column: str) -> str:
