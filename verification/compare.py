@@ -66,7 +66,8 @@ def main() -> None:
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
-        print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - started:.2f}s {problem or ''}", flush=True)
+        state = "FAIL" if problem else "ok  "
+        print(f"{state} {name} {time.time() - started:.2f}s {problem or str()}", flush=True)
     print(f"{len(names) - failed} of {len(names)} agree")
 
 
