@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 LIGHT = 256
-BLOCK = 100_000
+BLOCK = 10_000
 
 
 def fold_copies(rows: DataFrame, copies: str = "copies") -> DataFrame:
