@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tripmill.llm import exact_dedup, sharding
+from tripmill.llm import exact_dedup, sharding, substring_dedup
 
 QUERIES = {
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_sharding": sharding.op8_sharding,
 }
 
 SQL = {
+    "op2_substring_dedup": substring_dedup.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
 }
