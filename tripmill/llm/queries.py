@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripmill.llm import exact_dedup, near_dedup, sharding, substring_dedup
+from tripmill.llm import exact_dedup, near_dedup, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_sharding": sharding.op8_sharding,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 
 SQL = {
