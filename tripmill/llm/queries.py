@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tripmill.llm import exact_dedup, near_dedup, sharding, substring_dedup, toxicity
+from tripmill.llm import exact_dedup, fingerprints, html_text, near_dedup, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_near_dedup": near_dedup.op3_near_dedup,
+    "op4_fingerprints": fingerprints.op4_fingerprints,
+    "op6_html_text": html_text.op6_html_text,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
