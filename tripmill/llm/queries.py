@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripmill.llm import exact_dedup, fingerprints, html_text, near_dedup, sharding, substring_dedup, toxicity
+from tripmill.llm import exact_dedup, fingerprints, html_text, line_dedup, near_dedup, sharding, substring_dedup, toxicity
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_fingerprints": fingerprints.op4_fingerprints,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_line_dedup": line_dedup.ORACLE,
     "op2_substring_dedup": substring_dedup.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
 }
