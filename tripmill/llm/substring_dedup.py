@@ -7,7 +7,7 @@ joined by an edge, and as k-mers then touch or overlap, an edge fixes all its wo
 1. Nodes are counted; only nodes with two or more occurrences matter from here on.
 2. Edges between neighbouring repeated nodes are counted. Where an edge, the node behind it and the next edge occur equally
    often, the path does not branch there: such edges compact into one path, whose every occurrence has the same words.
-3. The coordinates of the paths lead back to the texts. Of each path the code of all its words (128 bits) is taken; of
+3. The coordinates of the paths lead back to the texts. Of each path the code of all its words (96 bits) is taken; of
    windows that hold a repeated node but lie in no path (near branches and ends), the code of each window. Codes that
    occur twice or more are the long repeated spans.
 4. The words under these spans go, and the rest is digested.
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import read
+from tripmill.llm.common import read, written
 from tripmill.llm.shingles import chunks, gram_codes, joined_codes, mixed, powers, sliding
 
 WINDOW = 35
@@ -41,9 +41,11 @@ HIGHEST = np.uint64(2**64 - 1)
 ROWS_AT_ONCE = 1024
 
 NODES = "key long, at int, node long"
-PIECES = "key long, at int, length int, code_a long, code_b long"
+PIECES = "key long, span long, code_a long, code_b int"  # span: first word << 32 | words
 NODES_SCHEMA = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("node", pa.int64())])
-PIECES_SCHEMA = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("length", pa.int32()), ("code_a", pa.int64()), ("code_b", pa.int64())])
+PIECES_SCHEMA = pa.schema([("key", pa.int64()), ("span", pa.int64()), ("code_a", pa.int64()), ("code_b", pa.int32())])
+PACKED = "key long, doc_id long, size int, packed binary"
+PACKED_SCHEMA = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("packed", pa.binary())])
 KEPT = "key long, doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 KEPT_SCHEMA = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
@@ -60,6 +62,23 @@ def text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
                 yield [column[a:b] for column in columns]
 
 
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, as they are shuffled whole."""
+    for keys, ids, texts in text_chunks(batches):
+        packed = [pa.compress(text, codec="zstd", asbytes=True) for text in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((keys, ids, [len(t) for t in texts], packed), PACKED_SCHEMA, strict=True)], schema=PACKED_SCHEMA)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+    """Columns of some rows at a time with the texts as they were; expects key, doc_id, size, packed and others."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+            keys, ids, sizes, packed, *others = (column.to_pylist() for column in batch.slice(begin, ROWS_AT_ONCE).columns)
+            for a, b in chunks(sizes):
+                texts = [pa.decompress(x, n, codec="zstd", asbytes=True) if n else b"" for x, n in zip(packed[a:b], sizes[a:b], strict=True)]
+                yield [keys[a:b], ids[a:b], texts, *(column[a:b] for column in others)]
+
+
 class Grid:
     """Codes of the texts' k-mers, and which of them their windows select."""
 
@@ -107,7 +126,7 @@ def piece_emitter(window: int, k: int):
     """Spans to compare: whole paths, and windows with a repeated node that no path covers."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, _, texts, nodes, starts, ends in text_chunks(batches):
+        for keys, _, texts, nodes, starts, ends in unpacked(batches):
             chosen = [i for i, own in enumerate(nodes) if own]
             if not chosen:
                 continue
@@ -135,10 +154,11 @@ def piece_emitter(window: int, k: int):
             if not len(at):
                 continue
             owner = np.searchsorted(grid.bounds, at, "right") - 1
+            code_a = span_codes(grid.codes, at, length, mixed(np.array([1], np.uint64))[0] | np.uint64(1))
+            code_b = span_codes(mixed(grid.codes ^ SECOND), at, length, SECOND)
             columns = (
-                np.array([keys[i] for i in chosen], np.int64)[owner], grid.place[at].astype(np.int32), length.astype(np.int32),
-                span_codes(grid.codes, at, length, mixed(np.array([1], np.uint64))[0] | np.uint64(1)).view(np.int64),
-                span_codes(mixed(grid.codes ^ SECOND), at, length, SECOND).view(np.int64),
+                np.array([keys[i] for i in chosen], np.int64)[owner], grid.place[at] << 32 | length,
+                mixed(code_a ^ length.astype(np.uint64)).view(np.int64), (code_b >> np.uint64(32)).astype(np.uint32).view(np.int32),
             )
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=PIECES_SCHEMA)
 
@@ -147,16 +167,17 @@ def piece_emitter(window: int, k: int):
 
 def remover(with_text: bool):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, ids, texts, spans in text_chunks(batches):
+        for keys, ids, texts, spans in unpacked(batches):
             rows = []
             for key, doc_id, text, own in zip(keys, ids, texts, spans, strict=True):
                 words = text.split()
                 kept = words
                 if own:
                     cover = np.zeros(len(words) + 1, np.int64)
-                    at = np.array([s["at"] for s in own])
+                    span = np.array(own, np.int64)
+                    at, length = span >> 32, span & 0xFFFFFFFF
                     np.add.at(cover, at, 1)
-                    np.add.at(cover, at + np.array([s["length"] for s in own]), -1)
+                    np.add.at(cover, at + length, -1)
                     kept = list(compress(words, (np.cumsum(cover[:-1]) == 0).tolist()))
                 joined = b" ".join(kept)
                 rows.append((key, doc_id, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode() if with_text else None))
@@ -203,14 +224,15 @@ def without_repeats(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
         key = F.xxhash64(identity, body)
     else:
         key = identity
-    # Both joins with the texts deal them out alike, by one exchange.
     texts = docs.select(key.alias("key"), identity.alias("doc_id"), body.cast("binary").alias("text"))
-    marks = paths(repeated_nodes(texts, window, k), k)
-    pieces = texts.join(marks, "key", "left").select("key", "doc_id", "text", "nodes", "starts", "ends")
+    marks = paths(written(repeated_nodes(texts, window, k), "nodes"), k)
+    # Both joins with the texts deal them out alike, by one exchange.
+    packed = texts.mapInArrow(pack, PACKED)
+    pieces = packed.join(marks, "key", "left").select("key", "doc_id", "size", "packed", "nodes", "starts", "ends")
     pieces = pieces.mapInArrow(piece_emitter(window, k), PIECES)
-    same = pieces.groupBy("code_a", "code_b", "length").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    spans = pieces.join(same, ["code_a", "code_b", "length"]).groupBy("key").agg(F.collect_list(F.struct("at", "length")).alias("spans"))
-    whole = texts.join(spans, "key", "left").select("key", "doc_id", "text", "spans")
+    same = pieces.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    spans = pieces.join(same, ["code_a", "code_b"]).groupBy("key").agg(F.collect_list("span").alias("spans"))
+    whole = packed.join(spans, "key", "left").select("key", "doc_id", "size", "packed", "spans")
     return whole.mapInArrow(remover(with_text), KEPT).drop("key")
 
 
