@@ -6,13 +6,14 @@ minhashes: as many tables as plain banding would compute BANDS ** 2 * 2 * ROWS m
 shares a key with probability (1 - (1 - 0.8 ** 2) ** 10) ** 2 = 0.99993; likelier pairs are surer.
 
 Documents with one and the same set form a class first, and classes stand for their documents from then on. In a bucket,
-classes are compared with its leader only, and components follow from the confirmed links. Buckets whose classes have all
-come to one component are done. Of the others, those of up to SMALL classes compare what lies in different components;
-larger ones are split by a third collection, tensored with the key, and begin anew; those still large afterwards take one
-leader after the other. So a bucket of thousands of near copies costs one comparison per copy, and nothing is capped.
+classes are compared with its leader only, and components follow from the confirmed links; so a bucket of thousands of near
+copies costs one comparison per copy. Buckets whose classes have all come to one component are done. The classes of all
+others go through an exact join: two sets that reach the limit share one of their rarest shingles, of which each set of n
+has n - ceil(0.8 n) + 1 to compare, and share it early enough for what follows to hold all they must have in common. Pairs within a component are never built, and of the components that share a shingle
+the largest is not compared with itself. Nothing is capped.
 
-A candidate pair goes on if its sizes allow the limit, and if at least LIKELY of its 3 * BANDS groups agree (a pair at the
-limit agrees in fewer with probability 2e-6); then the whole sets are intersected.
+A candidate pair goes on if its sizes allow the limit, and if at least LIKELY of its 2 * BANDS groups agree (a pair at the
+limit agrees in fewer with probability 1e-6); then the whole sets are intersected.
 
 Defined results: a document without words or text has no shingles and is linked with nothing, not even with another such;
 one with fewer words than a shingle has its whole sequence as the only shingle; rows with equal or null doc_id are separate
@@ -25,17 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import dropped, read, written
+from tripmill.llm.common import order_id, read, words, written
 from tripmill.llm.components import components
 from tripmill.llm.shingles import LOWER, gram_codes, joined_codes, mixed
 from tripmill.llm.substring_dedup import text_chunks
 
-BANDS, ROWS, COLLECTIONS = 10, 2, 3
-SMALL = 16
-LIKELY = 7
+BANDS, ROWS, COLLECTIONS = 10, 2, 2
+LIKELY = 3
 PERCENT = 80
 
 SIGNED = "node long, doc_id long, n_shingles int, set_a long, set_b long, bands array<long>"
@@ -110,12 +110,6 @@ def _tables(classes: DataFrame) -> DataFrame:
     return left.select("node", "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), "node")
 
 
-def _split(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, node) of the buckets, tensored with the third collection."""
-    third = classes.select("node", F.slice("bands", 2 * BANDS + 1, BANDS).alias("z"))
-    return members.join(third, "node").select("key", "node", F.explode("z").alias("z")).select(F.xxhash64("key", "z").alias("key"), "node")
-
-
 def _crowded(members: DataFrame) -> DataFrame:
     """Members of buckets with two or more classes, with the bucket's leader and size."""
     buckets = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
@@ -136,15 +130,30 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFra
     return pairs.where(100 * F.col("both") >= PERCENT * (F.col("total") - F.col("both"))).select("a", "b")
 
 
-def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
 def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, with roots, of buckets of three or more classes in two or more components."""
-    members = _with_roots(members.where("size > 2"), roots)
-    mixed_buckets = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    return members.join(mixed_buckets, "key")
+    """(node, root) of the classes in buckets of three or more classes that lie in two or more components."""
+    members = members.where("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_buckets = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    return members.join(open_buckets, "key").select("node", "root").distinct()
+
+
+def _across(unsettled: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of classes of different components that share a shingle among their rarest."""
+    shingles = sets.join(unsettled, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    counts = shingles.groupBy("shingle").agg(F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high"))
+    rarest = Window.partitionBy("node").orderBy("f", "shingle")
+    prefix = shingles.join(counts, "shingle").withColumn("rank", F.row_number().over(rarest))
+    longest = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    prefix = prefix.where((F.col("rank") <= longest) & (F.col("low") != F.col("high"))).select("shingle", "node", "root", "n", "rank")
+    prefix = written(prefix, "prefix")
+    largest = prefix.groupBy("shingle", "root").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
+    one = prefix.join(largest, "shingle").where("root <> largest")
+    one = one.select("shingle", "largest", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("rank").alias("rank_a"))
+    other = prefix.select("shingle", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"), F.col("rank").alias("rank_b"))
+    # Seen from the first shingle that two sets share, what is left of either must hold all they share.
+    both = f"{100 + PERCENT} * (1 + least(n_a - rank_a, n_b - rank_b)) >= {PERCENT} * (n_a + n_b)"
+    fits = f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b) AND {both}"
+    return one.join(other, "shingle").where(f"root_a <> root_b AND (root_b = largest OR a < b) AND {fits}").select("a", "b").distinct()
 
 
 def linked(classes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
@@ -153,56 +162,65 @@ def linked(classes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     involved = members.select("node").distinct()
     sets = written(texts.join(involved, "node", "left_semi").select("node", "text").mapInArrow(set_emitter(n), SETS), "sets")
     star = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    edges = written(_confirmed(star, classes, sets), "links")
-    roots = components(edges)
-    split = False
-    while True:
-        unsettled = written(_unsettled(members, roots), "unsettled")
-        if unsettled.isEmpty():
-            return roots
-        small = unsettled.where(F.col("size") <= SMALL).where("node <> leader")
-        one, other = small.select("key", F.col("node").alias("a"), F.col("root").alias("root_a")), small.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        pairs = one.join(other, "key").where("a < b AND root_a <> root_b").select("a", "b")
-        large = unsettled.where(F.col("size") > SMALL)
-        if not split:
-            members, split = written(_crowded(_split(large.select("key", "node"), classes)), "members"), True
-        else:  # the leader is done; the next takes its place
-            members = written(_crowded(large.where("node <> leader").select("key", "node")), "members")
-        pairs = pairs.union(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))).distinct()
-        # What earlier rounds have linked needs no second look.
-        pairs = _with_roots(pairs.withColumnRenamed("a", "node"), roots).select("b", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        pairs = _with_roots(pairs.withColumnRenamed("b", "node"), roots).where("root_a <> root").select("a", F.col("node").alias("b"))
-        more = written(_confirmed(pairs, classes, sets), "links")
-        if not more.isEmpty():
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = components(known.union(more))
-        dropped(unsettled)
+    roots = components(written(_confirmed(star, classes, sets), "links"))
+    unsettled = written(_unsettled(members, roots), "unsettled")
+    if unsettled.isEmpty():
+        return roots
+    more = written(_confirmed(_across(unsettled, sets), classes, sets), "links")
+    return roots if more.isEmpty() else components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
-def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", n: int = 5, seed: int = 1) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and node of every row; `node` tells rows apart that share a doc_id."""
-    body, identity = F.coalesce(F.col(text), F.lit("")), F.col(doc_id).cast("long")
+def _node(docs: DataFrame, text: str, doc_id: str) -> tuple[Column, bool]:
+    """What tells rows apart: doc_id if that does, else a hash of it and the text."""
+    identity = F.col(doc_id).cast("long")
     ids = docs.select(identity.alias("id")).groupBy("id").count()
     unique = ids.where("id IS NULL OR count > 1").isEmpty()
-    node: Column = identity if unique else F.xxhash64(identity, body)
-    texts = docs.select(node.alias("node"), identity.alias("doc_id"), body.cast("binary").alias("text"))
+    return identity if unique else F.xxhash64(identity, F.coalesce(F.col(text), F.lit(""))), unique
+
+
+def _grouped(docs: DataFrame, node: Column, text: str, doc_id: str, n: int, seed: int) -> DataFrame:
+    """node, doc_id, n_shingles and root (null without shingles) of every row."""
+    texts = docs.select(node.alias("node"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     signed = written(texts.mapInArrow(signer(n, seed), SIGNED), "signed")
     sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
     classes = written(sets.agg(F.min("node").alias("node"), F.first("bands").alias("bands")), "classes")
     roots = linked(classes, texts, n)
-    # Sets of documents to classes, classes to components, components to their smallest doc_id.
+    # Sets of documents to classes, classes to components.
     named = classes.select("set_a", "set_b", "n_shingles", F.col("node").alias("class")).join(roots.withColumnRenamed("node", "class"), "class", "left")
     named = named.select("set_a", "set_b", "n_shingles", F.coalesce("root", "class").alias("root"))
-    rows = signed.select("node", "doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
+    keys = ["set_a", "set_b", "n_shingles"]
+    return signed.select("node", "doc_id", *keys).join(named, keys, "left").select("node", "doc_id", "n_shingles", "root")
+
+
+def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", n: int = 5, seed: int = 1) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row."""
+    node, unique = _node(docs, text, doc_id)
+    rows = _grouped(docs, node, text, doc_id, n, seed)
+    smallest = F.coalesce("root", "doc_id")
+    if not unique:
+        rows = rows.join(rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "root", "left")
+        smallest = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    rows = rows.withColumn("component_id", smallest)
+    return rows.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", n: int = 5, seed: int = 1) -> DataFrame:
+    """`docs` without near duplicates: of each component the row of the smallest doc_id, of several such the first by a
+    hash of the text. Rows without shingles all stay.
+    """
+    node, unique = _node(docs, text, doc_id)
+    rows = _grouped(docs, node, text, doc_id, n, seed).where("root IS NOT NULL")
     if unique:
-        smallest = F.coalesce("root", "doc_id")
+        going = rows.where("doc_id <> root")
     else:
-        least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-        rows = rows.join(least, "root", "left")
-        smallest = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
-    rows = rows.withColumn("component_id", smallest)
-    return rows.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "node")
+        first = F.min(F.struct(order_id(F.col("doc_id")).alias("o"), F.col("node").alias("first")))
+        going = rows.join(rows.groupBy("root").agg(first.alias("f")), "root").where("node <> f.first")
+    left = docs.withColumn("_node", node).join(going.select(F.col("node").alias("_node")).distinct(), "_node", "left_anti")
+    if not unique:  # rows that are equal in id and text stay once, unless they have no words
+        again = left.where(F.size(words(F.col(text))) > 0).dropDuplicates(["_node"])
+        left = again.unionByName(left.where(F.size(words(F.col(text))) == 0))
+    return left.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"), n=2).drop("node")
+    return near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"), n=2)
