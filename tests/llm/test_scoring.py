@@ -1,0 +1,234 @@
+"""Fingerprints, mixing, toxicity and page texts."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from tripmill.llm import fingerprints, html_text, mixing, toxicity
+
+# fingerprints
+
+
+def shown(components):
+    return "".join("-" * 16 if c is None else f"{c & (2**64 - 1):016x}" for c in components)
+
+
+def compared(rows):
+    """By doc_id, for distinct ids; rows without doc_id last."""
+    order = sorted(rows, key=lambda r: (brute.LAST if r[0] is None else r[0], r[1] or ""))
+    out = {}
+    for k, (i, t) in enumerate(order):
+        t, after = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        a, b, c = brute.components(t), brute.components(edited), brute.components(after)
+        out[i] = (len(t), hashlib.sha256(edited.encode()).hexdigest(), shown(a), shown(b), brute.likeness(a, b), brute.likeness(a, c))
+    return out
+
+
+def test_fingerprints_random(docs, random_rows):
+    rows = random_rows(21, 700)  # several ranges
+    got = {r["doc_id"]: tuple(r)[1:] for r in fingerprints.compared(docs(rows)).collect()}
+    want = compared(rows)
+    assert got.keys() == want.keys()
+    assert all(got[i][:4] == want[i][:4] and got[i][4:] == pytest.approx(want[i][4:]) for i in want)
+
+
+def test_fingerprints_odd_rows(docs, odd_rows):
+    rows = [r for r in {i: (i, t) for i, t in odd_rows}.values() if r[0] != 11 and r[0] != 12] + [(11, "so it goes " * 500)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in fingerprints.compared(docs(rows)).collect()}
+    want = compared(rows)
+    assert {i: x[:4] for i, x in got.items()} == {i: x[:4] for i, x in want.items()}
+    assert fingerprints.compared(docs(odd_rows)).count() == len(odd_rows)
+
+
+def test_fingerprints_see_order(docs):
+    base = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[200:] + base[:200])), (3, " ".join(base[:50] + ["x"] + base[50:])), (4, " ".join(base))]
+    own = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs(rows)).collect()}
+    assert own[1] == own[4]
+    assert brute.likeness(own[1], own[3]) > brute.likeness(own[1], own[2])
+
+
+def test_fingerprints_empty_lone_and_native(docs):
+    assert fingerprints.compared(docs([])).isEmpty()
+    lone = fingerprints.compared(docs([(1, "a b c")]).withColumn("own", F.lit(3))).first()
+    assert lone["near_next"] == 1.0
+    plan = fingerprints.compared(docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# mixing
+
+SYLLABLES = {"en": ["the", "and", "ing", "of"], "de": ["der", "und", "ung", "ein"], "fr": ["le", "et", "eau", "une"], "es": ["el", "y", "cion", "una"]}
+
+
+@pytest.fixture
+def mixed_docs(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        lang = rng.choices(list(SYLLABLES), (70, 15, 10, 5))[0]
+        other = rng.choice(list(SYLLABLES))
+        text = " ".join(rng.choice(SYLLABLES[lang if rng.random() < 0.9 else other]) for _ in range(rng.randrange(80)))
+        rows.append((i, text, lang))
+    return spark.createDataFrame(rows, "doc_id long, text string, domain string").repartition(3)
+
+
+@pytest.mark.parametrize("least", [0.0, 1.0])
+def test_mixing_meets_targets(mixed_docs, least):
+    targets = {"en": 0.4, "de": 0.3, "fr": 0.2, "es": 0.1}
+    rows = mixing.mixed(mixed_docs, mixed_docs.where("doc_id % 2 = 0"), targets, least=least).collect()
+    held = np.zeros(4)
+    for r in rows:
+        held += r["n_words"] * r["rate"] * np.array(r["percents"]) / sum(r["percents"])
+        assert r["rate"] >= least and abs(r["copies"] - r["rate"]) <= 1
+    assert held / held.sum() == pytest.approx(list(targets.values()), abs=1e-4)
+    best = [list(targets)[int(np.argmax(r["percents"]))] == r["domain"] for r in rows if r["n_words"] > 10]
+    assert np.mean(best) > 0.95
+    if least == 0.0:
+        assert held.sum() == pytest.approx(sum(r["n_words"] for r in rows), rel=1e-4)
+
+
+def test_mixing_follows_plain_descent(mixed_docs):
+    """The same rates as projected gradient descent over all documents at once."""
+    targets = {"en": 0.25, "de": 0.25, "fr": 0.25, "es": 0.25}
+    rows = [r for r in mixing.mixed(mixed_docs, mixed_docs, targets).collect() if r["n_words"]]
+    t = np.array([r["n_words"] for r in rows], float)
+    p = np.array([r["percents"] for r in rows], float)
+    p /= p.sum(1, keepdims=True)
+    sizes = t @ p
+    rate = np.ones(len(rows))
+    for _ in range(mixing.STEPS):
+        rate = np.maximum(0, rate - p @ (((t * rate) @ p - t.sum() / 4) / sizes))
+    assert [r["rate"] for r in rows] == pytest.approx(list(rate), abs=1e-3)
+
+
+def test_mixing_odd_rows(docs, odd_rows):
+    own = docs(odd_rows).withColumn("domain", F.when(F.col("doc_id") > 8, F.lit("en"))).withColumn("_b", F.lit(4)).withColumn("rate", F.lit(9))
+    out = mixing.mixed(own.drop("_b"), own, mixing.TARGETS).collect()
+    assert len(out) == len(odd_rows) and all(r["rate"] >= 0 and sum(r["percents"]) for r in out)
+    assert {r["n_words"] for r in out if r["doc_id"] in (8, 9, 10)} == {0}
+    none = own.where("doc_id > 10000")
+    assert mixing.mixed(none, own, mixing.TARGETS).isEmpty()
+    assert {r["rate"] for r in mixing.mixed(own, none, {"a": 0.5, "b": 0.5}).collect()} == {1.0}
+
+
+def test_mixing_stays_in_the_jvm(mixed_docs):
+    plan = mixing.mixed(mixed_docs, mixed_docs, mixing.TARGETS)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# toxicity
+
+
+def labelled(n, seed=3):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        own = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{rng.choice('aeiou')}{rng.randrange(40)}" for _ in range(rng.randrange(5, 60))]
+        toxic = rng.random() < 0.2
+        if toxic:
+            for _ in range(rng.randrange(1, 4)):
+                own.insert(rng.randrange(len(own)), rng.choice(["scoundrel", "wretch", "vile" + rng.choice(["ly", "ness", "r"])]))
+        rows.append((i, " ".join(own)))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def test_toxicity_held_out(docs, spark):
+    rows, labels = labelled(1200)
+    out = {r["doc_id"]: r for r in toxicity.toxicity(docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    truth = {i: y for i, _, y in labels}
+    held = [r for r in out.values() if r["held_out"]]
+    assert 200 < len(held) < 400
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.98
+    text = dict(rows)
+    found = [text[r["doc_id"]][s["start"] : s["start"] + s["length"]] for r in held if truth[r["doc_id"]] for s in r["spans"]]
+    assert found and np.mean([w in ("scoundrel", "wretch") or w.startswith("vile") for w in found]) > 0.95
+
+
+def test_toxicity_odd_rows(docs, spark, odd_rows):
+    labels = spark.createDataFrame([(5, 1, 1), (6, 0, 0), (6, 0, None), (None, 1, 1), (99, 1, 1)], "doc_id long, quality int, toxic int")
+    own = docs(odd_rows).withColumn("score", F.lit("mine"))
+    assert toxicity.toxicity(own, labels).count() == len(odd_rows)
+    out = toxicity.toxicity(own, labels, carried=own.columns[:5]).collect()
+    assert sorted(map(str, (r["text"] for r in out))) == sorted(map(str, (t for _, t in odd_rows)))
+    none = labels.where("doc_id > 10000")
+    assert {r["score"] for r in toxicity.toxicity(own, none).collect()} == {0.0}
+    assert toxicity.toxicity(docs([]), none).isEmpty()
+
+
+def test_marginals_by_enumeration():
+    rng = np.random.default_rng(3)
+    moves = rng.normal(size=(2, 2))
+    lengths = np.array([3, 0, 1, 9, 5])
+    scores = rng.normal(size=lengths.sum()) * 3
+    got, pairs = toxicity.Lattice(lengths).marginals(scores, moves, pairs=True)
+    at, total = 0, np.zeros((2, 2))
+    for n in lengths:
+        own, whole, share, moved = scores[at : at + n], 0.0, np.zeros(n), np.zeros((2, 2))
+        for states in itertools.product((0, 1), repeat=int(n)):
+            steps = list(zip((0, *states[:-1]), states, strict=False))
+            weight = np.exp(sum(own[i] * s for i, s in enumerate(states)) + sum(moves[x] for x in steps))
+            whole += weight
+            share += weight * np.array(states)
+            for x in steps:
+                moved[x] += weight
+        assert got[at : at + n] == pytest.approx(share / whole)
+        total += moved / whole
+        at += n
+    assert pairs == pytest.approx(total)
+
+
+def test_marginals_of_long_sequences():
+    rng = np.random.default_rng(4)
+    moves, scores = rng.normal(size=(2, 2)), rng.normal(size=3000) * 8
+    step, forward, backward = np.exp(moves), np.zeros((3001, 2)), np.ones((3001, 2))
+    forward[0] = (1, 0)
+    for i, s in enumerate(scores):
+        forward[i + 1] = forward[i] @ step * (1, np.exp(s))
+        forward[i + 1] /= forward[i + 1].sum()
+    for i in range(2999, -1, -1):
+        backward[i] = step @ ((1, np.exp(scores[i])) * backward[i + 1])
+        backward[i] /= backward[i].sum()
+    both = forward[1:] * backward[1:]
+    assert toxicity.Lattice(np.array([3000])).marginals(scores, moves) == pytest.approx(both[:, 1] / both.sum(1))
+
+
+# pages
+
+PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></li></ul></nav><!-- c --><div class="ad">Buy</div>%s
+<aside>Side</aside><div id="cookie-notice">We use</div><form><label>Mail</label></form>
+<section class="comments"><article class="comment"><p>I agree</p></article></section><footer>&copy; f</footer></body></html>"""
+
+
+def test_page_with_article():
+    inner = "<article><h1>A &amp; b</h1><p><b>First\n  para.<br><p>Se<i>co</i>nd&nbsp;one &#x41;</p><div class='share'>Tweet</div><ul><li>x<li>y</ul></article>"
+    assert html_text.main_text(PAGE % inner) == "A & b\nFirst para.\nSecond one A\nx\ny"
+
+
+def test_page_without_article():
+    inner = "<div id='content'><h2>Head</h2><p>Some words that are long enough to be a text.</p><p>And <a href='q'>linked</a> ones too, more of them.</p></div>"
+    assert html_text.main_text(PAGE % inner) == "Head\nSome words that are long enough to be a text.\nAnd linked ones too, more of them."
+
+
+def test_odd_pages(spark):
+    pages = [
+        (1, "u", None), (2, None, ""), (3, "u", "plain &lt;"), (4, "u", "<p>open <b>bold <i>it"), (5, "u", "<article><p>cut off in a tag</p><a hre"), (6, "u", "</div></p>x"),
+        (7, "u", "<nav><li>m<article><p>in an open menu</p></article>"), (None, "u", "<main>" + "<p>word word</p>" * 20_000 + "</main>"), (1, "u", None),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit("mine"))
+    out = {(r["page_id"], r["url"]): r for r in html_text.page_texts(df).collect()}
+    assert html_text.page_texts(df).count() == len(pages)
+    assert [out[i, "u"]["text"] for i in (1, 3, 4, 5, 6, 7)] == ["", "plain <", "open bold it", "cut off in a tag", "x", "in an open menu"]
+    assert out[None, "u"]["n_chars"] == 20_000 * 10 - 1 and out[2, None]["n_chars"] == 0
+    assert html_text.page_texts(df.where("page_id = 99")).isEmpty()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\x0c\r"
 LAST_ID = 2**63 - 1  # rows without a doc_id come after all others
 
 
@@ -47,7 +48,8 @@ def dropped(df: DataFrame) -> None:
 
 def words(text: Column) -> Column:
     """Words between white space, as an array; none for null and for blank texts."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda word: word != "")
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WORD_GAP))
 
 
 def lowered(text: Column) -> Column:

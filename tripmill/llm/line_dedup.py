@@ -25,22 +25,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import order_id, read, written
+from tripmill.llm.common import BLANKS, order_id, read, words, written
 
 MIN_WORDS = 5
 MOST_BROADCAST = 1_000_000  # line hashes, 16 bytes each; more are joined by a shuffle
 
-BLANKS = " \t\n\x0b\x0c\r"
-
-
-def _words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(BLANKS)), r"[\x20\x09-\x0D]+")
-
 
 def _lines(rows: DataFrame) -> DataFrame:
     """All lines with words of (order, row, text): their place, words and two hashes."""
     lines = rows.select("order", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.where(F.btrim("line", F.lit(BLANKS)) != "").withColumn("w", _words(F.col("line")))
+    lines = lines.where(F.btrim("line", F.lit(BLANKS)) != "").withColumn("w", words(F.col("line")))
     return lines.withColumns({"ha": F.xxhash64("w"), "hb": F.xxhash64(F.lit("b"), F.col("w")), "n": F.size("w")})
 
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from tripmill.llm import exact_dedup, fingerprints, html_text, line_dedup, near_dedup, sharding, substring_dedup, toxicity
+import corpus_pipeline
+from tripmill.llm import exact_dedup, fingerprints, html_text, line_dedup, mixing, near_dedup, packing, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_fingerprints": fingerprints.op4_fingerprints,
+    "op5_mixing": mixing.op5_mixing,
     "op6_html_text": html_text.op6_html_text,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_packing": packing.op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {

@@ -26,9 +26,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmill.llm.common import read
 from tripmill.llm.shingles import chunks
@@ -41,6 +42,7 @@ ROUNDS, RATE, DECAY = 40, 0.3, 1e-4
 BLOCK = 32
 THRESHOLD = 0.3
 MOST_WORDS = 300_000  # that a task remembers
+ROWS_AT_ONCE = 1024
 
 TOKEN = re.compile(r"[^\W_]+")
 
@@ -265,28 +267,36 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def scorer(model: Field):
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Scores(model)
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for a, b in chunks([len(t) for t in texts]):
-                own = texts[a:b]
-                if model.logistic is None:
-                    yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "score": model.constant, "spans": [[] for _ in own]})
-                    continue
-                words_of = [TOKEN.findall(t.lower()) for t in own]
-                sums, probability, begin = summaries(words_of, known, model)
-                result = 1 / (1 + np.exp(-np.clip(sums @ model.logistic, -30, 30)))
-                spans: list[list] = [[] for _ in own]
-                hit = np.flatnonzero(probability >= 0.5)
-                for at, i in zip(hit.tolist(), (np.searchsorted(begin, hit, "right") - 1).tolist(), strict=True):
-                    spans[i].append(at - begin[i])
-                for i, places in enumerate(spans):
-                    if places:
-                        wanted = set(places)
-                        spans[i] = [{"start": m.start(), "length": m.end() - m.start()} for n, m in enumerate(TOKEN.finditer(own[i].lower())) if n in wanted]
-                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].array, "score": result, "spans": spans})
+def scorer(model: Field, text_at: int):
+    """Adds score and spans to the rows of a batch."""
+
+    def added(own: list[str]) -> tuple[list[float], list[list]]:
+        spans: list[list] = [[] for _ in own]
+        if model.logistic is None:
+            return [model.constant] * len(own), spans
+        words_of = [TOKEN.findall(t.lower()) for t in own]
+        sums, probability, begin = summaries(words_of, known, model)
+        hit = np.flatnonzero(probability >= 0.5)
+        for at, i in zip(hit.tolist(), (np.searchsorted(begin, hit, "right") - 1).tolist(), strict=True):
+            spans[i].append(at - begin[i])
+        for i, places in enumerate(spans):
+            if places:
+                wanted = set(places)
+                spans[i] = [{"start": m.start(), "length": m.end() - m.start()} for n, m in enumerate(TOKEN.finditer(own[i].lower())) if n in wanted]
+        return (1 / (1 + np.exp(-np.clip(sums @ model.logistic, -30, 30)))).tolist(), spans
+
+    known = Scores(model)
+    span = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows = batch.slice(begin, ROWS_AT_ONCE)
+                texts = [t or "" for t in rows.column(text_at).to_pylist()]
+                for a, b in chunks([len(t) for t in texts]):
+                    scores, spans = added(texts[a:b])
+                    columns = [*rows.slice(a, b - a).columns, pa.array(scores, pa.float64()), pa.array(spans, span)]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_score", "_spans"])
 
     return score
 
@@ -302,12 +312,19 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[li
     return [r["text"] for r in found], [int(r["toxic"] > 0) for r in found]
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted and spans (start and length in characters) of every row of `docs`."""
+def toxicity(docs: DataFrame, labels: DataFrame, *, carried: list[str] | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted and spans (start and length in characters) of every row of `docs`.
+
+    With `carried`, these columns of `docs` come first instead of doc_id.
+    """
     model = fitted(*sample(docs, labels))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    scored = rows.mapInPandas(scorer(model), "doc_id long, score double, spans array<struct<start:int,length:int>>")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "spans")
+    kept = [F.col(f"`{name}`") for name in carried or ["doc_id"]]
+    rows = docs.select(*kept, F.col("doc_id").alias("_doc_id"), F.col("text").cast("string").alias("_text"))
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("_score double, _spans array<struct<start:int,length:int>>").fields])
+    scored = rows.mapInArrow(scorer(model, len(rows.columns) - 1), schema)
+    return scored.select(
+        *kept, held_out(F.col("_doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"), F.col("_spans").alias("spans")
+    )
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
