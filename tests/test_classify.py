@@ -18,44 +18,50 @@ def at(hour, minute=0, day=1):
     return datetime(2025, 1, day, hour, minute)
 
 
+# Changes to a sound trip, the rules it breaks, and why it is held back.
+CASES = (
+    ({"tip_amount": -0.01, "pickup_location_id": 11}, "negative_tip", None),
+    ({"fare_amount": -7.5, "payment_type": 42}, "negative_fare, invalid_payment_type", None),
+    ({"dropoff_location_id": 0}, "invalid_dropoff_location", None),
+    ({"passenger_count": -2, "trip_distance": 250.5}, "invalid_passenger_count", None),
+    ({"dropoff_datetime": at(7, 59), "pickup_location_id": 266}, "dropoff_before_pickup, invalid_pickup_location", None),
+    ({"payment_type": None}, None, "null"),
+    ({"dropoff_location_id": None, "tip_amount": -1.0}, "negative_tip", "null"),
+    ({"trip_distance": 200.5}, None, "outlier"),
+    ({"dropoff_datetime": at(8, 1, day=2)}, None, "outlier"),
+    ({"trip_distance": 200.0}, None, None),
+    ({"dropoff_datetime": at(8, day=2)}, None, None),
+    ({"passenger_count": None}, None, None),
+    ({"pickup_location_id": 17}, None, None),
+    ({"pickup_location_id": 17}, None, "duplicate"),
+    ({"pickup_location_id": 17}, None, "duplicate"),
+)
+
+
 @pytest.fixture
 def defects(make_trips):
-    """One clean row, then one row per kind of defect; row 7 copies row 1."""
-    return make_trips(
-        {},
-        {"pickup_datetime": at(9), "dropoff_datetime": at(9, 30), "trip_distance": -1.0},
-        {"pickup_datetime": at(10), "dropoff_datetime": at(9)},
-        {"pickup_datetime": at(11), "dropoff_datetime": at(11, 30), "passenger_count": 15},
-        {"pickup_datetime": at(12), "dropoff_datetime": at(12, 30), "pickup_location_id": 999},
-        {"pickup_datetime": at(13), "dropoff_datetime": at(13, 30), "trip_distance": None},
-        {},
-        {"pickup_datetime": at(14), "dropoff_datetime": at(14, 30), "trip_distance": 500.0},
-    )
+    return make_trips(*(changes for changes, _, _ in CASES))
 
 
-def test_each_defect_gets_its_class(defects):
+def test_each_case_gets_its_classes(defects):
     quality = Classification(defects)
-    assert quality.valid().count() == 1
+    assert quality.valid().count() == sum(not broken and not held for _, broken, held in CASES)
     invalid = quality.invalid().select("violation_reasons").collect()
-    assert {r.violation_reasons for r in invalid} == {
-        "negative_distance",
-        "dropoff_before_pickup",
-        "invalid_passenger_count",
-        "invalid_pickup_location",
-    }
+    assert Counter(r[0] for r in invalid) == Counter(broken for _, broken, _ in CASES if broken)
     held = quality.quarantined().select("quarantine_reason").collect()
-    assert sorted(r.quarantine_reason for r in held) == ["duplicate", "null", "outlier"]
+    assert Counter(r[0] for r in held) == Counter(held for _, _, held in CASES if held)
 
 
 def test_report_numbers(defects):
     report = Classification(defects).report().first()
-    assert (report.total_rows, report.valid_rows) == (8, 1)
-    assert (report.invalid_rows, report.quarantined_rows) == (4, 3)
-    assert report.duplicate_count == 1
-    assert report.null_counts.trip_distance == 1
-    assert report.error_categories.negative_distance == 1
-    assert report.quarantine_categories.asDict() == {"null": 1, "duplicate": 1, "outlier": 1}
-    assert report.numeric_minmax.trip_distance.asDict() == {"min": -1.0, "max": 500.0}
+    assert (report.total_rows, report.valid_rows, report.invalid_rows) == (15, 4, 6)
+    assert (report.quarantined_rows, report.duplicate_count) == (6, 2)
+    assert report.null_counts.payment_type == 1 and report.null_counts.passenger_count == 1
+    errors = report.error_categories.asDict()
+    assert (errors["negative_tip"], errors["invalid_payment_type"], errors["negative_distance"]) == (2, 1, 0)
+    assert report.quarantine_categories.asDict() == {"null": 2, "duplicate": 2, "outlier": 2}
+    assert report.numeric_minmax.fare_amount.asDict() == {"min": -7.5, "max": 12.0}
+    assert report.numeric_minmax.passenger_count.asDict() == {"min": -2.0, "max": 1.0}
 
 
 def test_row_profile_agrees_with_report(defects):
@@ -69,14 +75,19 @@ def test_row_profile_agrees_with_report(defects):
 
 
 def test_outcomes_equal_the_three_sets(defects):
-    quality = Classification(defects)
     rows = Counter(
-        (r["class"], r.violation_reasons, r.quarantine_reason) for r in quality.outcomes().collect()
+        (r["class"], r.violation_reasons, r.quarantine_reason)
+        for r in Classification(defects).outcomes().collect()
     )
-    assert rows.total() == 8
-    assert rows[("valid", None, None)] == 1
-    assert rows[("quarantined", None, "duplicate")] == 1
-    assert rows[("invalid", "invalid_pickup_location", None)] == 1
+    expected = Counter()
+    for _, broken, held in CASES:
+        if broken:
+            expected["invalid", broken, None] += 1
+        if held:
+            expected["quarantined", None, held] += 1
+        if not broken and not held:
+            expected["valid", None, None] += 1
+    assert rows == expected
 
 
 def test_null_and_broken_rule_is_in_both_sets(make_trips):

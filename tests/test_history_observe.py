@@ -4,6 +4,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from tripmill.operators import checks
 from tripmill.operators.joins import null_safe_lookup
@@ -173,14 +174,31 @@ def test_pending_needs_record_and_file(spark, manifest_log):
     planned = manifest_log.select("source_name", "partition_date", "file_path").dropDuplicates().where(
         "partition_date is not null"
     )
-    listed = spark.createDataFrame([("raw/trips/2025-01",), ("raw/weather/2025-01",)], "file_path string")
-    pending = history.pending_ingests(planned, history.latest_ingestions(manifest_log), listed)
+    planned = planned.withColumn("file_path", F.concat("file_path", F.lit("/any-name.parquet")))
+    manifest = history.latest_ingestions(manifest_log)
+    sizes = manifest.where("partition_date = '2025-01'").select(
+        F.concat(F.lit("raw/"), "source_name", F.lit("/2025-01")).alias("folder"), "file_size"
+    )
+    pending = history.pending_ingests(planned, manifest, sizes)
     assert sorted((r.source_name, r.partition_date) for r in pending.collect()) == [
         ("trips", "2025-02"),
         ("weather", "2025-01"),
     ]
 
 
+def test_a_folder_that_has_changed_is_pending(spark, manifest_log):
+    planned = spark.createDataFrame(
+        [("trips", "2025-01", "raw/trips/2025-01/x.parquet")], "source_name string, partition_date string, file_path string"
+    )
+    manifest = history.latest_ingestions(manifest_log)
+    sizes = manifest.where("source_name = 'trips' and partition_date = '2025-01'").select(
+        F.lit("raw/trips/2025-01").alias("folder"), "file_size"
+    )
+    assert history.pending_ingests(planned, manifest, sizes).isEmpty()
+    grown = sizes.withColumn("file_size", F.col("file_size") + 1)
+    assert history.pending_ingests(planned, manifest, grown).count() == 1
+
+
 def test_metrics(make_runs, manifest_log, spark):
     runs = make_runs(
         run(1, "2025-01", "failed", error="x"), run(2, "2025-02", "success", 100, 90, seconds=12.5)

@@ -6,10 +6,11 @@ import landing
 import pytest
 from pyspark.sql import functions as F
 
-from tripmill.errors import MissingPartitionError, QualityError
+from tripmill.errors import IngestError, MissingPartitionError, QualityError
 from tripmill.functions.calendar import month_bounds
 from tripmill.operators import checks
 from tripmill.plans import history, monthly, serving
+from tripmill.plans.marts import build_marts
 from tripmill.schema import CRITICAL, CURATED_COLUMNS, STAGING_COLUMNS
 from tripmill.settings import Settings
 from tripmill.sinks.files import serving_marts, staging_view
@@ -36,67 +37,128 @@ def test_range_resolution():
     assert month_bounds("2025-02")[1] == date(2025, 2, 28)
 
 
+def month_rows(spark, path):
+    """All rows of a month-keyed table as strings, sorted."""
+    return sorted(map(str, spark.read.parquet(path).collect()))
+
+
+def state(spark, settings):
+    """What the job leaves behind: curated, fact and marts."""
+    marts = serving_marts(spark, settings.serving_database).items()
+    tables = {name: sorted(map(str, mart.collect())) for name, mart in marts.items()}
+    return {**tables, "curated": month_rows(spark, settings.curated), "fact": month_rows(spark, settings.fact)}
+
+
+def other(settings, tmp_path, name):
+    """The same landed files under another root."""
+    root = tmp_path / name
+    landing.land_all(root)
+    return Settings(
+        root=str(root), max_invalid_ratio=1.0, max_null_ratio=1.0, serving_database=f"{settings.serving_database}_{name}"
+    )
+
+
 def test_one_month_step_by_step(spark, settings):
     report = monthly.validate_month(spark, settings, "2025-01")
-    assert (report.total_rows, report.valid_rows) == (5, 4)
+    assert (report.total_rows, report.valid_rows) == (7, 6)
     assert (report.invalid_rows, report.quarantined_rows) == (1, 0)
     saved = spark.read.json(f"{settings.reports}/partition=2025-01").first()
-    assert saved.error_categories.negative_distance == 1
+    assert saved.error_categories.negative_fare == 1
     assert saved.null_counts.passenger_count == 1
-    assert monthly.normalize_month(spark, settings, "2025-01") == (4, 4)
+    assert monthly.normalize_month(spark, settings, "2025-01") == (6, 6)
     coverage = monthly.enrich_range(spark, settings, date(2025, 1, 1), date(2025, 1, 31))
-    assert (coverage.total_rows, coverage.unmatched_rows, coverage.coverage) == (4, 0, 1.0)
+    assert (coverage.total_rows, coverage.unmatched_rows, coverage.coverage) == (6, 0, 1.0)
     curated = read_curated(spark, settings.curated)
     assert checks.absent_columns(curated, CURATED_COLUMNS) == []
-    assert checks.absent_columns(curated.drop("wind_speed"), STAGING_COLUMNS + ("wind_speed",)) == [
-        "wind_speed"
-    ]
-    nulls = checks.null_counts(curated, CRITICAL).first()
-    assert set(nulls) == {0}
+    without = curated.drop("wind_speed")
+    assert checks.absent_columns(without, STAGING_COLUMNS + ("wind_speed",)) == ["wind_speed"]
+    assert set(checks.null_counts(curated, CRITICAL).first()) == {0}
     invalid = read_validated(spark, settings.validated, "2025-01", "invalid")
-    assert invalid.first().violation_reasons == "negative_distance"
+    assert invalid.first().violation_reasons == "negative_fare"
     assert "quarantine_reason" not in invalid.columns
 
 
 def test_gate_stops_before_anything_is_written(spark, settings, tmp_path):
     strict = Settings(root=str(tmp_path), max_invalid_ratio=0.1)
-    with pytest.raises(QualityError, match="Invalid row ratio 20.00% exceeds 10%"):
+    with pytest.raises(QualityError, match="Invalid row ratio 14.29% exceeds 10%"):
         monthly.validate_month(spark, strict, "2025-01")
     assert not (tmp_path / "validated").exists()
 
 
 def test_full_range(spark, settings):
     results = monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
-    assert [(r.partition, r.status) for r in results] == [
-        ("2025-01", "success"),
-        ("2025-02", "success"),
-    ]
-    assert [(r.input_rows, r.output_rows) for r in results] == [(5, 4), (3, 3)]
-    # The stray January trip is staged under February and January's dates are intact.
-    assert read_curated(spark, settings.curated).count() == 6
-    published = monthly.publish_marts(spark, settings, [])
+    assert [(r.partition, r.status) for r in results] == [("2025-01", "success"), ("2025-02", "success")]
+    assert [(r.input_rows, r.output_rows) for r in results] == [(7, 6), (5, 5)]
+    # Stray trips arrive with the month whose file brought them.
+    curated = read_curated(spark, settings.curated)
+    assert curated.count() == 11
+    assert curated.where("temperature is null").isEmpty()
+    published = monthly.publish_marts(spark, settings)
     assert published.loaded_rows["dim_zones"] == 4
-    assert published.loaded_rows["daily_demand"] == 5
+    assert published.loaded_rows["daily_demand"] == 9
     assert len(published.checks) == 21
     log = history.RunLog(spark, settings.run_log)
     assert log.runs().count() == 2
     assert log.is_complete(settings.pipeline_name, "2025-02")
     assert not log.is_complete(settings.pipeline_name, "2025-03")
 
+    before = state(spark, settings)
     again = monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
     assert [r.status for r in again] == ["skipped", "skipped"]
     forced = monthly.backfill(spark, settings, "2025-01-01", "2025-01-31")
     assert [r.status for r in forced] == ["success"]
-    # Re-running January picks up the trip that February's file brought.
-    assert read_curated(spark, settings.curated).count() == 7
+    assert state(spark, settings) == before
     latest = history.latest_run_per_partition(log.runs())
     assert latest.count() == 2 and log.runs().count() == 3
 
     marts = serving_marts(spark, settings.serving_database)
-    demand = serving.demand(marts, location_id=132).collect()
-    assert [(r.trip_count, r.total_revenue) for r in demand] == [(1, 14.0)]
-    top = serving.top_zones(marts, date(2025, 1, 1), date(2025, 12, 31)).collect()
-    assert (top[0].zone, top[0].trips) == ("Garment District", 6)
+    demand = serving.demand(marts, location_id=138).collect()
+    assert [(r.trip_count, r.total_revenue) for r in demand] == [(1, 44.0), (2, 81.5)]
+    top = serving.top_zones(marts, date(2024, 1, 1), date(2025, 12, 31)).collect()
+    assert (top[0].zone, top[0].trips) == ("Mill Yard", 4)
+
+
+def test_order_of_months_makes_no_difference(spark, settings, tmp_path):
+    monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    turned = other(settings, tmp_path, "turned")
+    monthly.run_range(spark, turned, day="2025-02-10")
+    monthly.run_range(spark, turned, day="2025-01-10")
+    assert state(spark, turned) == state(spark, settings)
+
+
+def test_months_left_behind_by_a_failure_are_published_later(spark, settings, tmp_path):
+    monthly.run_range(spark, settings, day="2025-01-15")
+    with pytest.raises(MissingPartitionError):
+        monthly.run_range(spark, settings, start="2025-02-01", end="2025-03-31")
+    assert read_curated(spark, settings.curated).count() == 11
+    assert spark.read.parquet(settings.fact).count() == 6
+    results = monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    assert [r.status for r in results] == ["skipped", "skipped"]
+    assert spark.read.parquet(settings.fact).count() == 11
+    whole = other(settings, tmp_path, "whole")
+    monthly.run_range(spark, whole, start="2025-01-01", end="2025-02-28")
+    assert state(spark, whole) == state(spark, settings)
+
+
+def test_dates_that_a_corrected_feed_lacks_vanish(spark, settings, tmp_path):
+    monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    kept = [row for row in landing.january() if row["tpep_pickup_datetime"].day != 9]
+    landing.write_trips(tmp_path, "2025-01", kept)
+    monthly.backfill(spark, settings, "2025-01-01", "2025-01-31")
+    for path in (settings.staging, settings.curated, settings.fact):
+        rows = spark.read.parquet(path)
+        assert rows.count() == 10 and rows.where("pickup_date = '2025-01-09'").isEmpty()
+    daily = serving_marts(spark, settings.serving_database).daily_demand
+    assert daily.where("date = '2025-01-09'").isEmpty() and daily.count() == 8
+
+
+def test_merged_marts_equal_marts_of_the_whole_fact(spark, settings):
+    monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    fact = spark.read.parquet(settings.fact)
+    stored = serving_marts(spark, settings.serving_database)
+    whole = build_marts(fact, stored.dim_zones).items()
+    for name, mart in stored.items().items():
+        assert sorted(map(str, mart.collect())) == sorted(map(str, whole[name].select(*mart.columns).collect()))
 
 
 def test_failed_month_is_recorded_and_stops_the_range(spark, settings):
@@ -111,17 +173,18 @@ def test_rerun_gives_the_same_result(spark, settings):
     first = monthly.validate_month(spark, settings, "2025-01")
     second = monthly.validate_month(spark, settings, "2025-01")
     assert first == second
-    assert read_validated(spark, settings.validated, "2025-01").count() == 4
+    assert read_validated(spark, settings.validated, "2025-01").count() == 6
 
 
 def test_months_without_data_are_skipped(spark, settings):
     span = (date(2025, 1, 1), date(2025, 3, 31))
     assert sorted(monthly.validate_range(spark, settings, *span)) == ["2025-01", "2025-02"]
-    assert monthly.normalize_range(spark, settings, *span) == {"2025-01": (4, 4), "2025-02": (3, 3)}
+    assert monthly.normalize_range(spark, settings, *span) == {"2025-01": (6, 6), "2025-02": (5, 5)}
+    assert monthly.enrich_range(spark, settings, *span).total_rows == 11
 
 
 def test_failing_dataset_test_blocks_the_serving_tables(spark, settings, tmp_path):
-    landing.write_zones(tmp_path).write_text("LocationID,Borough,Zone,service_zone\n100,M,G,Y\n")
+    landing.write_zones(tmp_path).write_text("LocationID,Borough,Zone,service_zone\n100,M,Y,B\n")
     with pytest.raises(QualityError, match="relationships_fct_trips_pickup_location_id"):
         monthly.run_range(spark, settings, day="2025-01-15")
     assert not spark.catalog.databaseExists(settings.serving_database)
@@ -133,27 +196,45 @@ def test_failing_dataset_test_blocks_the_serving_tables(spark, settings, tmp_pat
     assert spark.table(f"{settings.serving_database}.dim_zones").count() == 1
 
 
-def test_fact_is_rebuilt_for_changed_months_only(spark, settings, tmp_path):
+def test_only_changed_months_are_published(spark, settings, tmp_path):
     monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
     root = tmp_path / "marts" / "fct_trips"
-    january = {p.name for p in root.glob("pickup_date=2025-01-01/*.parquet")}
-    february = {p.name for p in root.glob("pickup_date=2025-02-01/*.parquet")}
+
+    def files(month):
+        return {p.name for p in root.glob(f"source_month={month}/*/*.parquet")}
+
+    january, february = files("2025-01"), files("2025-02")
     monthly.backfill(spark, settings, "2025-02-01", "2025-02-28")
-    assert {p.name for p in root.glob("pickup_date=2025-01-01/*.parquet")} == january
-    assert {p.name for p in root.glob("pickup_date=2025-02-01/*.parquet")} != february
+    assert files("2025-01") == january
+    assert files("2025-02") != february
     zones = landing.write_zones(tmp_path)
-    zones.write_text(zones.read_text().replace("Garment District", "Garment Quarter"))
+    zones.write_text(zones.read_text().replace("Mill Yard", "Mill Court"))
     monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
     fact = spark.read.parquet(str(root))
-    assert fact.where("pickup_zone = 'Garment District'").isEmpty()
-    assert fact.count() == 6
+    assert fact.where("pickup_zone = 'Mill Yard'").isEmpty()
+    assert fact.count() == 11
+    assert monthly.publish_marts(spark, settings, rebuild=True).loaded_rows["daily_demand"] == 9
+
+
+def test_current_metrics_and_alerts(spark, settings):
+    with pytest.raises(IngestError):
+        monthly.ingest_range(spark, settings, date(2025, 1, 1), date(2025, 3, 31))
+    monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    assert monthly.ingest_range(spark, settings, date(2025, 1, 1), date(2025, 2, 28)).total == 0
+    metrics = {(r.metric, r.label): r.value for r in monthly.current_metrics(spark, settings).collect()}
+    assert metrics["rows_ingested", "taxi_trips"] == 12
+    assert metrics["storage_bytes", None] > 10_000
+    assert monthly.current_alerts(spark, settings).isEmpty()
+    tight = Settings(root=settings.root, alert_row_ratio=1.1, alert_max_seconds=0.0)
+    names = {r.name for r in monthly.current_alerts(spark, tight).collect()}
+    assert names == {"row_count_change", "excessive_duration"}
 
 
 def test_fact_roles(spark, settings):
     monthly.run_range(spark, settings, day="2025-01-15")
-    fact = spark.read.parquet(f"{settings.marts}/fct_trips")
+    fact = spark.read.parquet(settings.fact)
     row = fact.where(F.col("pickup_location_id") == 132).first()
-    assert (row.pickup_zone, row.dropoff_borough) == ("Airport", "Bronx")
+    assert (row.pickup_zone, row.dropoff_borough) == ("Long Runway", "Bronx")
     staging_view(read_curated(spark, settings.curated))
     assert spark.table("stg_trips").schema["passenger_count"].dataType.simpleString() == "int"
     assert fact.schema["pickup_hour"].dataType.simpleString() == "int"

@@ -109,18 +109,34 @@ def key_checks(fact: DataFrame, marts) -> list[Check]:
     ]
 
 
-def mart_check_results(fact: DataFrame, marts) -> DataFrame:
+FACT_GROUPS = (*ZONE_KEYS, "payment_type")
+
+
+def fact_profile(fact: DataFrame) -> DataFrame:
+    """What the tests of the fact need, from one grouped scan of it.
+
+    One row per pair of zones and payment label, with the null counts of the required columns;
+    the profiles of several months can simply be put together.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED_COLUMNS["fct_trips"]]
+    return fact.groupBy(*FACT_GROUPS).agg(F.count(F.lit(1)).alias("trips"), *nulls)
+
+
+def mart_check_results(profile: DataFrame, marts) -> DataFrame:
     """One row per dataset test of the dimension, the fact and the marts: name, violations.
 
-    The null tests of a table are one scan of it.
+    The fact is seen through its profile. The null tests of a table are one scan of it.
     """
-    tables = {**marts.items(), "fct_trips": fact}
     parts = []
     for table, columns in REQUIRED_COLUMNS.items():
-        counted = null_counts(tables[table], columns)
+        if table == "fct_trips":
+            sums = (F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(c) for c in columns)
+            counted = profile.agg(*sums)
+        else:
+            counted = null_counts(marts.items()[table], columns)
         entries = ", ".join(f"'not_null_{table}_{c}', `{c}`" for c in columns)
         parts.append(counted.selectExpr(f"stack({len(columns)}, {entries}) as (check, violations)"))
-    for check in key_checks(fact, marts):
+    for check in key_checks(profile, marts):
         found = check.violations.agg(F.count(F.lit(1)).alias("violations"))
         parts.append(found.select(F.lit(check.name).alias("check"), "violations"))
     return reduce(DataFrame.unionByName, parts)

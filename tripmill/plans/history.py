@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripmill.operators.joins import null_safe_lookup
 from tripmill.operators.latest import latest_per_key
@@ -123,14 +123,20 @@ def list_ingestions(manifest: DataFrame) -> DataFrame:
     return manifest.orderBy("source_name", "partition_date")
 
 
-def pending_ingests(planned: DataFrame, manifest: DataFrame, listed_keys: DataFrame) -> DataFrame:
-    """Planned files that are not both recorded as success and present in the listing.
+def folder_of(file_path: Column) -> Column:
+    return F.regexp_extract(file_path, "^(.*)/[^/]+$", 1)
 
-    ``listed_keys`` has the ``file_path`` of every file that exists.
+
+def pending_ingests(planned: DataFrame, manifest: DataFrame, folders: DataFrame) -> DataFrame:
+    """Planned sources that are not recorded as success with what their folder now holds.
+
+    ``folders`` has ``folder`` and the total ``file_size`` of the files in it: a month may land
+    in one file or several, under any name, and a part that lands late makes it pending again.
     """
-    recorded = manifest.where("status = 'success'").select(*MANIFEST_KEYS)
-    present = planned.join(listed_keys.select("file_path").distinct(), ["file_path"], "left_semi")
-    ingested = present.join(recorded, MANIFEST_KEYS, "left_semi").select(*MANIFEST_KEYS)
+    recorded = manifest.where("status = 'success'").select(*MANIFEST_KEYS, "file_size")
+    held = planned.select(*MANIFEST_KEYS, folder_of(F.col("file_path")).alias("folder"))
+    held = held.join(folders.select("folder", "file_size"), ["folder"])
+    ingested = held.join(recorded, [*MANIFEST_KEYS, "file_size"], "left_semi").select(*MANIFEST_KEYS)
     return planned.join(ingested, MANIFEST_KEYS, "left_anti")
 
 

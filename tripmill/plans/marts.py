@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripmill.functions.measures import stable_avg, stable_sum
+from tripmill.functions.measures import mean_of, merged_parts, sum_of, sum_parts
 from tripmill.operators.joins import role_join
 from tripmill.schema import CURATED_COLUMNS, FACT_COLUMNS, STAGING_MODEL_TYPES
 
@@ -28,73 +28,109 @@ def fct_trips(staged: DataFrame, zones: DataFrame) -> DataFrame:
     return named.select(*FACT_COLUMNS)
 
 
-def rollup(fact: DataFrame, keys: dict[str, str], measures: dict[str, Column]) -> DataFrame:
-    """Group by renamed key columns (``{"output": "input"}``) and aggregate.
+@dataclass(frozen=True)
+class Rollup:
+    """A mart: key columns (``{"output": "input"}``) and measures (``{name: (kind, column)}``)."""
+
+    keys: dict[str, str]
+    measures: dict[str, tuple[str, str]]
+
+    def columns(self) -> list[str]:
+        """Columns that are summed, each once."""
+        return list(dict.fromkeys(column for _, column in self.measures.values()))
+
+
+DAILY_DEMAND = Rollup(
+    {"date": "pickup_date", "pickup_location_id": "pickup_location_id"},
+    {
+        "average_trip_duration": ("avg", "trip_duration_seconds"),
+        "total_distance": ("sum", "trip_distance"),
+        "total_revenue": ("sum", "total_charge"),
+        "average_fare": ("avg", "fare_amount"),
+    },
+)
+HOURLY_DEMAND = Rollup(
+    {"date": "pickup_date", "hour": "pickup_hour"},
+    {
+        "average_trip_duration": ("avg", "trip_duration_seconds"),
+        "average_fare": ("avg", "fare_amount"),
+    },
+)
+ROUTE_PERFORMANCE = Rollup(
+    {"pickup_location_id": "pickup_location_id", "dropoff_location_id": "dropoff_location_id"},
+    {
+        "average_distance": ("avg", "trip_distance"),
+        "average_duration": ("avg", "trip_duration_seconds"),
+        "total_revenue": ("sum", "total_charge"),
+        "average_tip": ("avg", "tip_amount"),
+    },
+)
+WEATHER_IMPACT = Rollup(
+    {
+        "date": "pickup_date",
+        "weather_condition": "weather_condition",
+        "precipitation": "precipitation",
+    },
+    {
+        "average_duration": ("avg", "trip_duration_seconds"),
+        "average_fare": ("avg", "fare_amount"),
+    },
+)
+ROLLUPS = {
+    "daily_demand": DAILY_DEMAND,
+    "hourly_demand": HOURLY_DEMAND,
+    "route_performance": ROUTE_PERFORMANCE,
+    "weather_impact": WEATHER_IMPACT,
+}
+
+
+def _measures(rollup: Rollup, parts: dict[str, dict[str, Column]]) -> list[Column]:
+    finish = {"sum": sum_of, "avg": mean_of}
+    return [finish[kind](parts[c]).alias(name) for name, (kind, c) in rollup.measures.items()]
+
+
+def rolled_up(fact: DataFrame, rollup: Rollup) -> DataFrame:
+    """The mart over fact rows.
 
     Every measure has a partial form, so a hot group reaches the exchange as one row per task.
     """
-    renamed = [F.col(source).alias(name) for name, source in keys.items()]
-    return fact.groupBy(*renamed).agg(*(m.alias(name) for name, m in measures.items()))
+    keys = [F.col(source).alias(name) for name, source in rollup.keys.items()]
+    parts = {c: sum_parts(F.col(c)) for c in rollup.columns()}
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count"), *_measures(rollup, parts))
+
+
+def rollup_parts(fact: DataFrame, rollup: Rollup) -> DataFrame:
+    """The mart's groups with the parts of its sums, to be merged with those of other trips."""
+    keys = [F.col(source).alias(name) for name, source in rollup.keys.items()]
+    parts = [
+        part.alias(f"{c}_{name}")
+        for c in rollup.columns()
+        for name, part in sum_parts(F.col(c)).items()
+    ]
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count"), *parts)
+
+
+def merged_rollup(parts: DataFrame, rollup: Rollup) -> DataFrame:
+    """The mart out of the parts of several months."""
+    sums = {c: merged_parts(c) for c in rollup.columns()}
+    return parts.groupBy(*rollup.keys).agg(F.sum("trip_count").alias("trip_count"), *_measures(rollup, sums))
 
 
 def daily_demand(fact: DataFrame) -> DataFrame:
-    return rollup(
-        fact,
-        {"date": "pickup_date", "pickup_location_id": "pickup_location_id"},
-        {
-            "trip_count": F.count(F.lit(1)),
-            "average_trip_duration": stable_avg(F.col("trip_duration_seconds")),
-            "total_distance": stable_sum(F.col("trip_distance")),
-            "total_revenue": stable_sum(F.col("total_charge")),
-            "average_fare": stable_avg(F.col("fare_amount")),
-        },
-    )
+    return rolled_up(fact, DAILY_DEMAND)
 
 
 def hourly_demand(fact: DataFrame) -> DataFrame:
-    return rollup(
-        fact,
-        {"date": "pickup_date", "hour": "pickup_hour"},
-        {
-            "trip_count": F.count(F.lit(1)),
-            "average_trip_duration": stable_avg(F.col("trip_duration_seconds")),
-            "average_fare": stable_avg(F.col("fare_amount")),
-        },
-    )
+    return rolled_up(fact, HOURLY_DEMAND)
 
 
 def route_performance(fact: DataFrame) -> DataFrame:
-    return rollup(
-        fact,
-        {
-            "pickup_location_id": "pickup_location_id",
-            "dropoff_location_id": "dropoff_location_id",
-        },
-        {
-            "trip_count": F.count(F.lit(1)),
-            "average_distance": stable_avg(F.col("trip_distance")),
-            "average_duration": stable_avg(F.col("trip_duration_seconds")),
-            "total_revenue": stable_sum(F.col("total_charge")),
-            "average_tip": stable_avg(F.col("tip_amount")),
-        },
-    )
+    return rolled_up(fact, ROUTE_PERFORMANCE)
 
 
 def weather_impact(fact: DataFrame) -> DataFrame:
     """Trips without weather form a group of their own (null condition)."""
-    return rollup(
-        fact,
-        {
-            "date": "pickup_date",
-            "weather_condition": "weather_condition",
-            "precipitation": "precipitation",
-        },
-        {
-            "trip_count": F.count(F.lit(1)),
-            "average_duration": stable_avg(F.col("trip_duration_seconds")),
-            "average_fare": stable_avg(F.col("fare_amount")),
-        },
-    )
+    return rolled_up(fact, WEATHER_IMPACT)
 
 
 @dataclass(frozen=True)

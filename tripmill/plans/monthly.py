@@ -15,17 +15,25 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tripmill.errors import IngestError, MissingPartitionError, QualityError
 from tripmill.functions.calendar import month_bounds, months_between_dates
 from tripmill.operators.canonical import canonical_trips
-from tripmill.operators.checks import mart_check_results
+from tripmill.operators.checks import fact_profile, mart_check_results
 from tripmill.operators.classify import Classification, gate_row, nest_report
 from tripmill.operators.joins import enrich_hourly, weather_coverage
+from tripmill.operators.latest import latest_per_key
 from tripmill.operators.normalize import normalize
-from tripmill.plans import history
-from tripmill.plans.marts import Marts, build_marts, fct_trips, stg_trips
-from tripmill.schema import FACT_COLUMNS, MANIFEST_SCHEMA
+from tripmill.plans import history, observe
+from tripmill.plans.marts import ROLLUPS, Marts, fct_trips, merged_rollup, rollup_parts, stg_trips
+from tripmill.schema import FACT_COLUMNS, MANIFEST_SCHEMA, PUBLISH_LOG_SCHEMA
 from tripmill.settings import Settings
 from tripmill.sinks import files as sinks
 from tripmill.sources import landed
-from tripmill.sources.trips import read_curated, read_dates, read_parquet, read_validated, scan_month
+from tripmill.sources.trips import (
+    read_curated,
+    read_parquet,
+    read_staged,
+    read_validated,
+    scan_month,
+    union_by_name,
+)
 from tripmill.sources.weather import read_weather_months
 from tripmill.sources.zones import read_zones
 
@@ -63,15 +71,13 @@ def month_keys(spark: SparkSession, start: date, end: date) -> list[str]:
 
 
 def register_landed(spark: SparkSession, settings: Settings, start: date, end: date) -> DataFrame:
-    """Record the planned files that are not recorded yet; returns what was appended."""
+    """Record the planned sources whose folders hold something else than was last recorded."""
     log = history.read_log(spark, settings.manifest_log, MANIFEST_SCHEMA)
-    listing = landed.list_files(spark, settings.path("raw"))
-    present = listing.select(
-        landed.relative_to(F.col("path"), settings.root).alias("file_path")
-    )
     planned = landed.plan(spark, start, end, settings)
-    pending = history.pending_ingests(planned, history.latest_ingestions(log), present)
-    records = landed.landed_records(spark, pending, settings).collect()
+    listing = landed.list_planned(spark, planned, settings)
+    folders = listing.groupBy("folder").agg(F.sum("file_size").alias("file_size"))
+    pending = history.pending_ingests(planned, history.latest_ingestions(log), folders)
+    records = landed.landed_records(spark, pending, settings).collect()  # one row per source and month
     appended = spark.createDataFrame(records, MANIFEST_SCHEMA)
     if records:
         history.append_log(appended.coalesce(1), settings.manifest_log)
@@ -129,19 +135,34 @@ def normalize_month(spark: SparkSession, settings: Settings, partition: str) ->
     """Stage the valid trips of a month by pickup date; returns rows read and rows staged."""
     valid = read_validated(spark, settings.validated, partition)
     sinks.write_staging(normalize(valid), settings.staging, partition)
-    staged = read_parquet(
-        spark, f"{settings.staging}/source_month={partition}", f"No trips staged for {partition}"
-    )
-    return valid.count(), staged.count()
+    return valid.count(), read_staged(spark, settings.staging, partition).count()
+
+
+def enrich_month(spark: SparkSession, settings: Settings, partition: str) -> tuple[Row, list[str]]:
+    """Curate all that a month has staged; returns coverage and the dates that were written.
+
+    Stray trips of other months are curated with the month whose file brought them, so the
+    result does not depend on the order in which months run.
+    """
+    trips = read_staged(spark, settings.staging, partition)
+    dates = [row.pickup_date for row in sinks.dates_written(trips).collect()]
+    weather = read_weather_months(spark, settings.raw_weather, [day[:7] for day in dates] or [partition])
+    sinks.write_month_dates(enrich_hourly(trips, weather), settings.curated, partition)
+    return weather_coverage(read_curated(spark, settings.curated, partition)).first(), dates
 
 
 def enrich_range(spark: SparkSession, settings: Settings, start: date, end: date) -> Row:
-    """Curate the staged dates in [start, end]; returns the coverage row of what was written."""
-    trips = read_dates(spark, settings.staging, start, end)
-    weather = read_weather_months(spark, settings.raw_weather, start, end)
-    sinks.write_dates(enrich_hourly(trips, weather), settings.curated, clustered=True)
-    curated = read_dates(spark, settings.curated, start, end, by_source_month=False)
-    return weather_coverage(curated).first()
+    """Curate the staged months that touch [start, end]; returns the coverage of all of them."""
+    done = []
+    for partition in month_keys(spark, start, end):
+        try:
+            enrich_month(spark, settings, partition)
+        except MissingPartitionError:
+            continue
+        done.append(read_curated(spark, settings.curated, partition))
+    if not done:
+        raise MissingPartitionError(f"No data staged between {start} and {end}")
+    return weather_coverage(union_by_name(done)).first()
 
 
 def run_month(spark: SparkSession, settings: Settings, log: history.RunLog, partition: str) -> MonthResult:
@@ -157,7 +178,7 @@ def run_month(spark: SparkSession, settings: Settings, log: history.RunLog, part
         register_landed(spark, settings, first, last)
         report = validate_month(spark, settings, partition)
         _, staged = normalize_month(spark, settings, partition)
-        enrich_range(spark, settings, first, last)
+        enrich_month(spark, settings, partition)
     except Exception as error:
         log.record(
             **run, status="failed", completed_at=history.utc_now(), error_message=str(error)
@@ -173,58 +194,104 @@ def run_month(spark: SparkSession, settings: Settings, log: history.RunLog, part
     return MonthResult(partition, "success", report.total_rows, staged)
 
 
-def publish_fact(
-    spark: SparkSession, settings: Settings, zones: DataFrame, months: list[str] | None = None
+def pending_publications(
+    runs: DataFrame, published: DataFrame, zones_digest: str, pipeline_name: str
 ) -> DataFrame:
-    """Write the fact by pickup date and return the stored table.
-
-    With ``months``, only their dates are replaced, provided a fact exists that was built
-    with the same zones; otherwise the fact is rebuilt from all curated trips. Curated files
-    hold one date each, so neither way shuffles.
-    """
-    path = f"{settings.marts}/fct_trips"
-    if months is not None and _built_with(spark, settings, zones):
-        for partition in months:
-            curated = read_dates(
-                spark, settings.curated, *month_bounds(partition), by_source_month=False
-            )
-            sinks.write_dates(fct_trips(stg_trips(curated), zones), path, clustered=True)
-    else:
-        fact = fct_trips(stg_trips(read_curated(spark, settings.curated)), zones)
-        sinks.replace_dates(fact, path)
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
-
-
-def _built_with(spark: SparkSession, settings: Settings, zones: DataFrame) -> bool:
-    try:
-        read_parquet(spark, f"{settings.marts}/fct_trips", "No fact")
-        before = read_parquet(spark, f"{settings.marts}/dim_zones", "No zones")
-    except MissingPartitionError:
-        return False
-    return before.exceptAll(zones).isEmpty() and zones.exceptAll(before).isEmpty()
+    """Months whose newest run succeeded and is not what was last published with these zones."""
+    newest = history.latest_run_per_partition(runs).where("status = 'success'")
+    newest = newest.where(F.col("pipeline_name") == pipeline_name).select("partition_date", "run_id")
+    last = latest_per_key(published, ["partition_date"], ["published_at", "run_id"])
+    last = last.where(F.col("zones_digest") == zones_digest).select("partition_date", "run_id")
+    return newest.join(last, ["partition_date", "run_id"], "left_anti")
+
+
+def zones_digest(zones: DataFrame) -> str:
+    """Changes with any row of the dimension, whatever their order."""
+    rows = F.xxhash64(*zones.columns)
+    digest = zones.agg(F.count(F.lit(1)), F.bit_xor(rows), F.bit_xor(F.xxhash64(rows))).first()
+    return "-".join(map(str, digest))
+
+
+def curated_months(spark: SparkSession, settings: Settings) -> list[str]:
+    """Source months that have curated trips; only the names of folders are read."""
+    rows = read_parquet(spark, settings.curated, "No curated data")
+    months = rows.select("source_month").distinct().collect()
+    return sorted(str(row.source_month)[:7] for row in months)
+
+
+def publish_month(spark: SparkSession, settings: Settings, zones: DataFrame, partition: str) -> None:
+    """Replace what one source month adds to the fact and to the parts of the marts."""
+    curated = read_curated(spark, settings.curated, partition)
+    sinks.write_month_dates(fct_trips(stg_trips(curated), zones), settings.fact, partition)
+    path = f"{settings.fact}/source_month={partition}"
+    fact = read_parquet(spark, path, f"No fact for {partition}").select(*FACT_COLUMNS)
+    for name, rollup in ROLLUPS.items():
+        sinks.write_month(rollup_parts(fact, rollup), settings.parts(name), partition)
+    sinks.write_month(fact_profile(fact), settings.parts("fact_profile"), partition)
+
+
+def merged_marts(spark: SparkSession, settings: Settings, zones: DataFrame) -> Marts:
+    """All marts out of the parts of all months; trips are not read."""
+    merged = {
+        name: merged_rollup(read_parquet(spark, settings.parts(name), "Nothing is published"), rollup)
+        for name, rollup in ROLLUPS.items()
+    }
+    return Marts(dim_zones=zones, **merged)
 
 
-def publish_marts(
-    spark: SparkSession, settings: Settings, months: list[str] | None = None
-) -> Published:
-    """Build fact and marts, test them and load the serving tables.
+def publish_marts(spark: SparkSession, settings: Settings, rebuild: bool = False) -> Published:
+    """Publish every completed month that is not published yet, test all and load the serving tables.
 
-    The fact is written once; the marts, the tests and the serving queries read it from there.
-    A failing test stops the job before the serving tables are touched, unless the settings
-    say otherwise. ``months`` tells what has changed, None stands for everything.
+    What to publish follows from the run log and the log of publications, so months that a
+    failed call left behind are taken up by the next. ``rebuild`` publishes all curated months
+    anew. One month costs one scan of its trips: marts are merged from parts that each month
+    keeps, and the tests of the fact read a profile of it. A failing test stops the job before
+    the serving tables are touched, unless the settings say otherwise; its months stay pending.
     """
     zones = read_zones(spark, settings.raw_zones)
-    fact = publish_fact(spark, settings, zones, months)
-    sinks.write_marts(build_marts(fact, zones), settings.marts)
+    digest = zones_digest(zones)
+    log = history.read_log(spark, settings.publish_log, PUBLISH_LOG_SCHEMA)
+    runs = history.RunLog(spark, settings.run_log).runs()
+    pending = pending_publications(runs, log, digest, settings.pipeline_name).collect()
+    months = {row.partition_date: row.run_id for row in pending}
+    if rebuild:
+        months |= {m: months.get(m, "rebuild") for m in curated_months(spark, settings)}
+    for partition in sorted(months):
+        publish_month(spark, settings, zones, partition)
+
+    sinks.write_marts(merged_marts(spark, settings, zones), settings.marts)
     marts = sinks.read_marts(spark, settings.marts)
-    results = mart_check_results(fact, marts).collect()
+    profile = spark.read.parquet(settings.parts("fact_profile"))
+    results = mart_check_results(profile, marts).collect()
     failed = [f"{row.check} ({row.violations})" for row in results if row.violations]
     if failed and settings.fail_on_checks:
         raise QualityError(f"Dataset tests failed: {', '.join(failed)}")
-    counts = sinks.load_marts(marts, settings.serving_database)
+    counts = sinks.load_marts(marts, settings.serving_database, settings.path("serving"))
+    known = {row.partition_date: row.run_id for row in pending}
+    done = [(m, run_id, digest, history.utc_now()) for m, run_id in known.items()]
+    if done:
+        history.append_log(spark.createDataFrame(done, PUBLISH_LOG_SCHEMA).coalesce(1), settings.publish_log)
     return Published(marts, results, counts)
 
 
+def ingest_range(spark: SparkSession, settings: Settings, start: date, end: date) -> Row:
+    """Register the landed files of a range; fails when a planned file has not landed."""
+    return require_landed(register_landed(spark, settings, start, end))
+
+
+def current_metrics(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Metric rows of the job: run log, manifest and the bytes stored below the root."""
+    manifest = history.ManifestLog(spark, settings.manifest_log).ingestions()
+    stored = landed.stored_bytes(landed.list_files(spark, settings.root.rstrip("/")))
+    return observe.run_metrics(history.RunLog(spark, settings.run_log).runs(), manifest, stored)
+
+
+def current_alerts(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Alerts of the job with the limits of its settings."""
+    runs = history.RunLog(spark, settings.run_log).runs()
+    return observe.alerts(runs, settings.alert_row_ratio, settings.alert_max_seconds)
+
+
 def run_range(
     spark: SparkSession,
     settings: Settings,
@@ -235,7 +302,7 @@ def run_range(
 ) -> list[MonthResult]:
     """Run every month of a range, skipping completed ones unless forced; then publish.
 
-    Stops at the first month that fails.
+    Stops at the first month that fails; what was completed before is published by the next call.
     """
     log = history.RunLog(spark, settings.run_log)
     first, last = resolve_range(settings, day, start, end)
@@ -249,7 +316,7 @@ def run_range(
             results.append(run_month(spark, settings, log, partition))
         else:
             results.append(MonthResult(partition, "skipped"))
-    publish_marts(spark, settings, [r.partition for r in results if r.status != "skipped"])
+    publish_marts(spark, settings)
     return results
 
 

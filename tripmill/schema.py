@@ -44,6 +44,7 @@ REQUIRED = tuple(REQUIRED_TYPES)
 CRITICAL = tuple(c for c in REQUIRED if c != "passenger_count")
 
 # Measures that are cast when a feed carries them, besides the required ones.
+# Types of the columns a feed may lack.
 OPTIONAL_TYPES = {
     "extra": T.DoubleType(),
     "mta_tax": T.DoubleType(),
@@ -120,6 +121,7 @@ CHARGE_COLUMNS = (
     "cbd_congestion_fee",
 )
 
+# Columns of the staging, weather, curated and fact tables, and model types.
 STAGING_COLUMNS = (
     "pickup_datetime",
     "dropoff_datetime",
@@ -201,6 +203,9 @@ RUN_LOG_SCHEMA = (
     "started_at timestamp, completed_at timestamp, input_rows bigint, output_rows bigint, "
     "error_message string, recorded_at timestamp"
 )
+PUBLISH_LOG_SCHEMA = (
+    "partition_date string, run_id string, zones_digest string, published_at timestamp"
+)
 MANIFEST_SCHEMA = (
     "source_name string, source_url string, partition_date string, downloaded_at timestamp, "
     "file_path string, file_size bigint, checksum string, row_count bigint, status string"

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Settings:
     root: str
+    # Default dates, quality limits and alert limits.
     default_start: str = "2025-01-01"
     default_end: str = "2025-01-31"
     pipeline_name: str = "trips"
@@ -59,6 +60,18 @@ class Settings:
     def marts(self) -> str:
         return self.path("marts")
 
+    @property
+    def fact(self) -> str:
+        return self.path("marts", "fct_trips")
+
+    def parts(self, name: str) -> str:
+        """What each source month adds to a mart or to the profile of the fact."""
+        return self.path("marts", "parts", name)
+
+    @property
+    def publish_log(self) -> str:
+        return self.path("meta", "published")
+
     @property
     def run_log(self) -> str:
         return self.path("meta", "runs")

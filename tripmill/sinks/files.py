@@ -61,9 +61,19 @@ def write_dates(rows: DataFrame, root: str, clustered: bool = False) -> None:
     )
 
 
-def replace_dates(rows: DataFrame, root: str) -> None:
-    """Replace a whole ``pickup_date=`` table with rows that come from files of one date each."""
-    _sorted(rows).write.mode("overwrite").partitionBy("pickup_date").parquet(root)
+def write_month_dates(rows: DataFrame, root: str, partition: str) -> None:
+    """Replace all that one source month has in a ``source_month=/pickup_date=`` table.
+
+    The rows come straight from files of one date each and are not shuffled. Dates that the
+    month no longer has vanish with its folder.
+    """
+    path = f"{root}/source_month={partition}"
+    _sorted(rows).write.mode("overwrite").partitionBy("pickup_date").parquet(path)
+
+
+def write_month(rows: DataFrame, root: str, partition: str) -> None:
+    """Replace the rows that one source month adds to a small table."""
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/source_month={partition}")
 
 
 def dates_written(rows: DataFrame) -> DataFrame:
@@ -88,10 +98,14 @@ def staging_view(curated: DataFrame, name: str = "stg_trips") -> None:
     stg_trips(curated).createOrReplaceTempView(name)
 
 
-def load_marts(marts: Marts, database: str) -> dict[str, int]:
-    """Replace the serving tables with the marts; returns the rows of each loaded table."""
+def load_marts(marts: Marts, database: str, location: str | None = None) -> dict[str, int]:
+    """Replace the serving tables with the marts; returns the rows of each loaded table.
+
+    A new database is kept at ``location``, which all executors must reach.
+    """
     spark = marts.dim_zones.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, mart in marts.items().items():
         mart.write.mode("overwrite").saveAsTable(f"{database}.{name}")
     loaded = mart_row_counts(serving_marts(spark, database))

@@ -8,7 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripmill.functions.calendar import months_between_dates
+from tripmill.plans.history import folder_of
 from tripmill.settings import Settings
+from tripmill.sources.trips import read_parquet_relaxed
 
 LISTING_SCHEMA = "path string, file_size bigint, modified_at timestamp"
 
@@ -93,7 +95,7 @@ def relative_to(path: Column, root: str) -> Column:
 
 
 def file_checksums(spark: SparkSession, *paths: str) -> DataFrame:
-    """SHA-256 and size per file; a file is hashed by one task, files are hashed in parallel."""
+    """SHA-256 and size of documents of less than 2 GB; each is hashed by one task."""
     files = spark.read.format("binaryFile").load(list(paths))
     return files.select(
         "path", F.sha2("content", 256).alias("checksum"), F.col("length").alias("file_size")
@@ -133,44 +135,67 @@ def file_rows(spark: SparkSession, kind: str, *paths: str) -> DataFrame:
 _FORMATS = {"taxi_trips": "parquet", "taxi_zones": "csv", "weather": "json"}
 
 
-def landed_records(spark: SparkSession, planned: DataFrame, settings: Settings) -> DataFrame:
-    """Manifest rows of the planned files as found below the raw folder.
+def planned_folders(planned: DataFrame) -> DataFrame:
+    """Distinct (source_name, folder) of planned sources: a few per month."""
+    return planned.select("source_name", folder_of(F.col("file_path")).alias("folder")).distinct()
+
+
+def list_planned(spark: SparkSession, planned: DataFrame, settings: Settings) -> DataFrame:
+    """folder, path and file_size of the files in the folders of planned sources only."""
+    folders = [row.folder for row in planned_folders(planned).collect()]
+    listing = list_files(spark, f"{settings.root.rstrip('/')}/{{{','.join(sorted(folders))}}}")
+    folder = folder_of(relative_to(F.col("path"), settings.root))
+    return listing.select(folder.alias("folder"), "path", "file_size")
+
+
+def _digest(rows: list[Column]) -> Column:
+    """An order-independent digest of a group's rows."""
+    row = F.xxhash64(*rows)
+    return F.lower(F.concat(F.hex(F.bit_xor(row)), F.hex(F.bit_xor(F.xxhash64(F.lit(1), row)))))
 
-    A month may have landed as several part files next to the planned one: sizes and rows
-    are added up, and the checksum of several files combines their digests in any order.
-    A planned file without any landed file is recorded as failed.
+
+def folder_contents(spark: SparkSession, kind: str, root: str, folders: list[str]) -> DataFrame:
+    """folder (below the root), row_count and checksum of tables or documents, from one pass over them.
+
+    Rows are digested where they are read and in any order, so files may be of any size and number.
     """
-    wanted = planned.withColumn("_folder", F.regexp_extract("file_path", "^(.*)/[^/]+$", 1))
-    listing = list_files(spark, settings.path("raw")).withColumn(
-        "_folder", F.regexp_extract(relative_to(F.col("path"), settings.root), "^(.*)/[^/]+$", 1)
+    folder = relative_to(folder_of(F.col("_metadata.file_path")), root)
+    wanted = f"{root.rstrip('/')}/{{{','.join(sorted(folders))}}}"
+    if kind == "json":
+        documents = spark.read.text(wanted, wholetext=True)
+        found = documents.select(folder.alias("folder"), text_rows(F.col("value")).alias("n"), "value")
+        digest = _digest([F.col("value")])
+        return found.groupBy("folder").agg(F.sum("n").alias("row_count"), digest.alias("checksum"))
+    if kind == "parquet":
+        rows = read_parquet_relaxed(spark, wanted, "No files")
+    else:
+        rows = spark.read.option("header", True).csv(wanted)
+    columns = [F.col(f"`{c}`") for c in rows.columns if c not in ("year", "month")]
+    return rows.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("row_count"), _digest(columns).alias("checksum")
     )
-    found = wanted.select("source_name", "_folder").join(listing, "_folder")
-    measured = []
+
+
+def landed_records(spark: SparkSession, planned: DataFrame, settings: Settings) -> DataFrame:
+    """Manifest rows of the planned sources as found below the raw folder.
+
+    A month may have landed as several part files: sizes and rows are those of the folder, and
+    the checksum digests its rows. A source without any landed file is recorded as failed.
+    """
+    wanted = planned.withColumn("folder", folder_of(F.col("file_path")))
+    listing = list_planned(spark, planned, settings)
+    sizes = listing.groupBy("folder").agg(F.sum("file_size").alias("file_size"))
+    there = sizes.join(planned_folders(planned), "folder").select("source_name", "folder").collect()
+    contents = spark.createDataFrame([], "folder string, row_count bigint, checksum string")
     for source, kind in _FORMATS.items():
-        # File names of the planned months, not their contents.
-        paths = [r.path for r in found.where(F.col("source_name") == source).select("path").collect()]
-        if paths:
-            digests = file_checksums(spark, *paths)
-            measured.append(digests.join(file_rows(spark, kind, *paths), "path"))
-    failed = {"file_size": "bigint", "checksum": "string", "row_count": "bigint"}
-    if measured:
-        files = measured[0]
-        for other in measured[1:]:
-            files = files.unionByName(other)
-        in_folder = files.withColumn(
-            "_folder", F.regexp_extract(relative_to(F.col("path"), settings.root), "^(.*)/[^/]+$", 1)
-        )
-        combined = F.lower(F.hex(F.bit_xor(F.xxhash64("checksum"))))
-        totals = in_folder.groupBy("_folder").agg(
-            F.sum("file_size").alias("file_size"),
-            F.sum("row_count").alias("row_count"),
-            F.when(F.count(F.lit(1)) == 1, F.max("checksum"))
-            .otherwise(combined)
-            .alias("checksum"),
-        )
-        records = wanted.join(totals, "_folder", "left")
-    else:
-        records = wanted.withColumns({c: F.lit(None).cast(t) for c, t in failed.items()})
+        folders = [r.folder for r in there if r.source_name == source]
+        if folders:
+            contents = contents.unionByName(folder_contents(spark, kind, settings.root, folders))
+    # Files without rows do not show up in a scan; they count 0 rows.
+    found = sizes.join(contents, "folder", "left")
+    empty = F.coalesce("row_count", F.lit(0))
+    found = found.select("folder", "file_size", empty.alias("row_count"), "checksum")
+    records = wanted.join(found, "folder", "left")
     return records.select(
         "source_name",
         "source_url",

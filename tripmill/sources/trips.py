@@ -5,7 +5,8 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmill.errors import MissingPartitionError
@@ -32,25 +33,34 @@ def read_parquet(spark: SparkSession, path: str, missing: str, **options) -> Dat
         raise
 
 
+def _condition(error: PySparkException | Py4JJavaError) -> str | None:
+    """The error condition; Spark errors of file jobs reach classic sessions as plain JVM errors."""
+    if isinstance(error, PySparkException):
+        return error.getCondition()
+    cause = error.java_exception
+    while cause is not None and not hasattr(cause, "getCondition"):
+        cause = cause.getCause()
+    return cause.getCondition() if cause is not None else None
+
+
 def read_parquet_relaxed(spark: SparkSession, path: str, missing: str) -> DataFrame:
     """Parquet files of one directory whose column types may differ between files.
 
     Files that agree are one scan. Only where they disagree (say BIGINT and DOUBLE) the
-    files are grouped by schema, one scan per distinct schema, and widened by a union.
+    files are grouped by schema, one scan per distinct schema, and widened by a union. Either
+    way a column that some file lacks is null there.
     """
     try:
         return read_parquet(spark, path, missing, mergeSchema=True)
-    except MissingPartitionError:
-        raise
-    except Exception as error:  # a plain JVM error in classic sessions
-        if "CANNOT_MERGE" not in str(error):
+    except (PySparkException, Py4JJavaError) as error:
+        if not str(_condition(error)).startswith("CANNOT_MERGE"):
             raise
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     by_schema: dict[str, tuple] = {}
-    for row in files.select("path").sort("path").toLocalIterator():
+    for row in files.select("path").sort("path").toLocalIterator():  # the files of one month
         schema = spark.read.parquet(row.path).schema
         by_schema.setdefault(schema.json(), (schema, []))[1].append(row.path)
-    return union_relaxed(
+    return union_by_name(
         [spark.read.schema(schema).parquet(*paths) for schema, paths in by_schema.values()]
     )
 
@@ -79,7 +89,7 @@ def read_dates(
 ) -> DataFrame:
     """Trips picked up in [start, end] from ``pickup_date=`` folders.
 
-    Staged trips lie one level below their source month; whichever month staged them counts.
+    Staged and curated trips lie one level below their source month; all source months count.
     Only the folders of the range are listed, dates without a folder are skipped.
     """
     days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
@@ -90,6 +100,13 @@ def read_dates(
     return read_parquet(spark, path, missing, mergeSchema=True, basePath=root).drop("source_month")
 
 
-def read_curated(spark: SparkSession, root: str) -> DataFrame:
-    """All curated trips; columns are united by name over the files."""
-    return read_parquet(spark, root, "No curated data", mergeSchema=True)
+def read_staged(spark: SparkSession, root: str, partition: str) -> DataFrame:
+    """All trips that one source month has staged, whatever their dates."""
+    return read_parquet(spark, f"{root}/source_month={partition}", f"No trips staged for {partition}")
+
+
+def read_curated(spark: SparkSession, root: str, partition: str | None = None) -> DataFrame:
+    """All curated trips, or those of one source month; columns are united by name over the files."""
+    path = f"{root}/source_month={partition}" if partition else root
+    missing = f"No curated data for {partition}" if partition else "No curated data"
+    return read_parquet(spark, path, missing, mergeSchema=True).drop("source_month")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripmill.errors import MissingPartitionError
-from tripmill.functions.calendar import hour_start, months_between_dates
+from tripmill.functions.calendar import hour_start
 from tripmill.functions.labels import weather_label
 from tripmill.schema import WEATHER_JSON_SCHEMA
 
@@ -47,24 +45,13 @@ def read_weather(spark: SparkSession, *paths: str) -> DataFrame:
     return parse_weather(documents)
 
 
-def read_weather_months(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Weather of the months that touch [start, end]; months without a file are skipped."""
-    months = months_between_dates(spark, start, end).select("partition_date")
-    frames = []
-    # One path per calendar month: a handful of strings, no data.
-    for row in months.sort("partition_date").toLocalIterator():
-        year, month = row.partition_date.split("-")
-        try:
-            documents = (
-                spark.read.schema(WEATHER_JSON_SCHEMA)
-                .option("multiLine", True)
-                .json(f"{root}/year={year}/month={month}")
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        frames.extend(documents.inputFiles())
-    if not frames:
-        raise MissingPartitionError(f"No weather data between {start} and {end}")
-    return read_weather(spark, *frames)
+def read_weather_months(spark: SparkSession, root: str, months: list[str]) -> DataFrame:
+    """Weather of the given months ('YYYY-MM'); months without a file are skipped."""
+    folders = ",".join(f"year={m[:4]}/month={m[5:7]}" for m in sorted(set(months)))
+    documents = spark.read.schema(WEATHER_JSON_SCHEMA).option("multiLine", True)
+    try:
+        return parse_weather(documents.json(f"{root}/{{{folders}}}"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise MissingPartitionError(f"No weather data for {', '.join(sorted(set(months)))}") from error

@@ -1,18 +1,62 @@
 """SQL twins of the registered queries for an independent engine.
 
 They state the expected rows from the fixture views alone: duplicates by ranking copies,
-labels by CASE, latest rows by QUALIFY, and sums over whole units of 1e-5.
+labels by CASE, latest rows by QUALIFY, plain sums and averages rounded at the end. Nothing of
+the library's constants is used.
 """
 
 from __future__ import annotations
 
-from tripmill.schema import PAYMENT_LABELS, WEATHER_LABELS
-from tripmill.settings import Settings
-from tripmill.sources.landed import WEATHER_VARIABLES, WEATHER_ZONE
 from verification import fixtures, queries as q
 
 ORACLES: dict[str, str] = {}
 
+# Payment codes, WMO weather codes and the public feeds.
+PAYMENT_LABELS = {
+    0: "not_recorded",
+    1: "credit_card",
+    2: "cash",
+    3: "no_charge",
+    4: "dispute",
+    5: "unknown",
+    6: "voided_trip",
+}
+WEATHER_LABELS = {
+    0: "clear",
+    1: "mainly_clear",
+    2: "partly_cloudy",
+    3: "overcast",
+    45: "fog",
+    48: "rime_fog",
+    51: "light_drizzle",
+    53: "drizzle",
+    55: "heavy_drizzle",
+    56: "freezing_drizzle",
+    57: "heavy_freezing_drizzle",
+    61: "light_rain",
+    63: "rain",
+    65: "heavy_rain",
+    66: "freezing_rain",
+    67: "heavy_freezing_rain",
+    71: "light_snow",
+    73: "snow",
+    75: "heavy_snow",
+    77: "snow_grains",
+    80: "light_rain_showers",
+    81: "rain_showers",
+    82: "heavy_rain_showers",
+    85: "snow_showers",
+    86: "heavy_snow_showers",
+    95: "thunderstorm",
+    96: "thunderstorm_hail",
+    99: "thunderstorm_heavy_hail",
+}
+TRIPS_URL = "https://d37ci6vzurychx.cloudfront.net/trip-data/yellow_tripdata_%s.parquet"
+ZONES_URL = "https://d37ci6vzurychx.cloudfront.net/misc/taxi+_zone_lookup.csv"
+WEATHER_URL = "https://archive-api.open-meteo.com/v1/archive"
+WEATHER_PLACE = "latitude=40.7143&longitude=-74.006"
+WEATHER_HOURLY = "hourly=temperature_2m%2Cprecipitation%2Cwind_speed_10m%2Cweather_code&timezone=America%2FNew_York"
+
 TRIP_COLUMNS = (
     "trip_key, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, "
     "pickup_location_id, dropoff_location_id, payment_type, fare_amount, tip_amount"
@@ -39,11 +83,11 @@ def case(code: str, labels: dict[int, str]) -> str:
 
 
 def total(x: str) -> str:
-    return f"(cast(sum(cast(floor({x} * 1e5 + 0.5) as bigint)) as double) / 1e5)"
+    return f"sum({x})"
 
 
 def mean(x: str) -> str:
-    return f"({total(x)} / count({x}))"
+    return f"avg({x})"
 
 
 def nulls(columns: str) -> str:
@@ -214,9 +258,10 @@ MONTHS = [
 
 def oracle(key: str, ctes: list[str], body: str) -> None:
     sql = f"with {', '.join(ctes)} {body}" if ctes else body
-    if key in q.NULLABLE_INTEGERS:
-        doubles = ", ".join(f"cast({c} as double) as {c}" for c in q.NULLABLE_INTEGERS[key])
-        sql = f"select * replace ({doubles}) from ({sql}) result"
+    shown = [f"cast({c} as double) as {c}" for c in q.NULLABLE_INTEGERS.get(key, ())]
+    shown += [f"round({c}, 4) as {c}" for c in q.ROUNDED.get(key, ())]
+    if shown:
+        sql = f"select * replace ({', '.join(shown)}) from ({sql}) result"
     ORACLES[key] = sql
 
 
@@ -267,24 +312,22 @@ oracle(
     """select cast(regexp_extract(props, '[0-9]+') as bigint) as k, count(*) as events
 from events group by 1""",
 )
-_s = Settings(root="/data")
 oracle(
     "plan_sources",
     MONTHS,
     f"""select 'taxi_trips' as source_name, partition_date,
-  replace('{_s.trips_url}', '%s', partition_date) as source_url,
+  replace('{TRIPS_URL}', '%s', partition_date) as source_url,
   'raw/taxi_trips/year=' || partition_date[1:4] || '/month=' || partition_date[6:7] ||
   '/yellow_tripdata_' || partition_date || '.parquet' as file_path
 from calendar
 union all
-select 'weather', partition_date, '{_s.weather_url}?latitude={_s.weather_latitude}' ||
-  '&longitude={_s.weather_longitude}&start_date=' || {text('month_start')} || '&end_date=' ||
-  {text('month_end')} || '&hourly={WEATHER_VARIABLES}&timezone={WEATHER_ZONE}',
+select 'weather', partition_date, '{WEATHER_URL}?{WEATHER_PLACE}&start_date=' || {text('month_start')} || '&end_date=' ||
+  {text('month_end')} || '&{WEATHER_HOURLY}',
   'raw/weather/year=' || partition_date[1:4] || '/month=' || partition_date[6:7] ||
   '/weather_' || partition_date || '.json'
 from calendar
 union all
-select 'taxi_zones', '', '{_s.zones_url}', 'raw/taxi_zones/taxi_zone_lookup.csv'""",
+select 'taxi_zones', '', '{ZONES_URL}', 'raw/taxi_zones/taxi_zone_lookup.csv'""",
 )
 
 # Names, types, quality
@@ -524,7 +567,7 @@ oracle(
     "kpi",
     DAILY,
     f"""select cast(sum(trip_count) as bigint) as trips, {total('total_revenue')} as revenue,
-  round(avg(average_trip_duration), 4) as avg_duration
+  avg(average_trip_duration) as avg_duration
 from daily where {IN_DEMAND}""",
 )
 oracle(
@@ -570,7 +613,7 @@ oracle(
     "weather_summary",
     IMPACT,
     """select weather_condition, cast(sum(trip_count) as bigint) as trips,
-  round(avg(average_duration), 4) as avg_duration
+  avg(average_duration) as avg_duration
 from impact group by 1""",
 )
 oracle(
@@ -780,12 +823,12 @@ oracle(
     "pending_ingests",
     MANIFEST + MONTHS,
     """select s.source_name, c.partition_date,
-  s.source_name || '/' || c.partition_date as file_path
+  s.source_name || '/' || c.partition_date || '/part.parquet' as file_path
 from (select distinct source_name from manifest_log) s cross join calendar c
 where not exists (select 1 from manifest m where m.source_name = s.source_name
-    and m.partition_date = c.partition_date and m.status = 'success')
-  or not exists (select 1 from manifest_log l where l.source_name = s.source_name
-    and l.partition_date = c.partition_date and l.row_count >= 5000)""",
+    and m.partition_date = c.partition_date and m.status = 'success'
+    and m.file_size = (select max(l.file_size) from manifest_log l
+      where l.source_name = s.source_name and l.partition_date = c.partition_date))""",
 )
 
 # Metrics and alerts

@@ -58,6 +58,32 @@ NULLABLE_INTEGERS = {
 }
 
 
+# Columns of sums and means, by query: the library adds exactly, the other engine in any order, so
+# results are compared to 4 decimals.
+DAILY = ("average_trip_duration", "total_distance", "total_revenue", "average_fare")
+HOURLY = ("average_trip_duration", "average_fare")
+ROUTE = ("average_distance", "average_duration", "total_revenue", "average_tip")
+IMPACT = ("average_duration", "average_fare")
+ROUNDED = {
+    "weekday_demand": ("revenue",),
+    "airport_trips": ("avg_miles",),
+    "enrich_hourly_fan_out": ("temperatures",),
+    "daily_demand": DAILY,
+    "demand_all": DAILY,
+    "demand_filtered": DAILY,
+    "hourly_demand": HOURLY,
+    "route_performance": ROUTE,
+    "top_routes": ROUTE,
+    "weather_impact": IMPACT,
+    "weather_impact_filtered": IMPACT,
+    "revenue_by_date": ("total_revenue",),
+    "kpi": ("revenue", "avg_duration"),
+    "revenue_trend": ("revenue",),
+    "top_routes_named": ("total_revenue",),
+    "weather_summary": ("avg_duration",),
+}
+
+
 def query(key: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its name."""
 
@@ -67,8 +93,8 @@ def query(key: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows = build(spark, sf_dir)
             shown = {c: F.col(c).cast("string") for c, kind in rows.dtypes if kind == "date"}
-            for column in NULLABLE_INTEGERS.get(name, ()):
-                shown[column] = F.col(column).cast("double")
+            shown |= {c: F.col(c).cast("double") for c in NULLABLE_INTEGERS.get(name, ())}
+            shown |= {c: F.round(c, 4) for c in ROUNDED.get(name, ())}
             return rows.withColumns(shown) if shown else rows
 
         QUERIES[name] = run
@@ -551,8 +577,7 @@ def weather_impact_filtered(spark, d):
 
 @query()
 def kpi(spark, d):
-    row = serving.kpi(marts(spark, d), DEMAND_START, DEMAND_END)
-    return row.withColumn("avg_duration", F.round("avg_duration", 4))
+    return serving.kpi(marts(spark, d), DEMAND_START, DEMAND_END)
 
 
 @query()
@@ -587,8 +612,7 @@ def top_routes_named(spark, d):
 
 @query()
 def weather_summary(spark, d):
-    rows = serving.weather_summary(marts(spark, d))
-    return rows.withColumn("avg_duration", F.round("avg_duration", 4))
+    return serving.weather_summary(marts(spark, d))
 
 
 @query()
@@ -668,7 +692,7 @@ def mart_check_results(spark, d):
     """All dataset tests over the ride fact and its marts."""
     rides_fact = fact(spark, d)
     return checks.mart_check_results(
-        rides_fact, mart_plans.build_marts(rides_fact, zones(spark, d))
+        checks.fact_profile(rides_fact), mart_plans.build_marts(rides_fact, zones(spark, d))
     )
 
 
@@ -783,23 +807,18 @@ def ingest_summary(spark, d):
 
 @query()
 def pending_ingests(spark, d):
-    """Sources by month; only downloads of at least 5,000 rows left a file behind."""
+    """Sources by month; a folder holds what the largest download of its month left behind."""
     log = view(spark, d, "manifest_log")
-    path = F.concat_ws("/", "source_name", "partition_date").alias("file_path")
+    path = F.concat_ws("/", "source_name", "partition_date")
     sources = log.select("source_name").distinct()
-    ends = table(spark, d, "orders").agg(
-        F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")
-    )
-    months = month_sequence(F.to_date("first"), F.to_date("last"))
-    calendar = ends.select(F.lit("all").alias("k"), F.transform(months, month_key).alias("months"))
-    planned = (
-        sources.withColumn("k", F.lit("all"))
-        .join(calendar, "k")
-        .select("source_name", F.explode("months").alias("partition_date"))
-        .select("*", path)
-    )
-    landed = log.where("row_count >= 5000").select(path)
-    return history.pending_ingests(planned, manifest(spark, d), landed)
+    months = order_months(spark, d).agg(F.array_agg("partition_date").alias("months"))
+    # One row with all months of the calendar.
+    planned = sources.crossJoin(F.broadcast(months)).select(
+        "source_name", F.explode("months").alias("partition_date")
+    )
+    planned = planned.withColumn("file_path", F.concat(path, F.lit("/part.parquet")))
+    folders = log.groupBy(path.alias("folder")).agg(F.max("file_size").alias("file_size"))
+    return history.pending_ingests(planned, manifest(spark, d), folders)
 
 
 # Metrics and alerts
