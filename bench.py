@@ -121,7 +121,9 @@ def main() -> None:
         "read_raw": (month, lambda: noop(month)),
         "validate": (month, lambda: month_quality.counts().collect()),
         "split_outcomes": (month, lambda: noop(month_quality.outcomes())),
+        "scan_valid": (month_valid, lambda: noop(month_valid)),
         "normalize": (month_valid, lambda: noop(normalize(month_valid))),
+        "scan_staged": (month_staged, lambda: noop(month_staged)),
         "enrich_hourly": (month_staged, lambda: noop(enrich_hourly(month_staged, hours))),
         "daily_demand": (month_staged, lambda: noop(mart_plans.daily_demand(month_staged))),
     }
@@ -131,6 +133,13 @@ def main() -> None:
         for name, (source, stage) in month_stages.items()
     }
 
+    # What a stage takes beyond reading its input and handing the rows on.
+    beyond = {"split_outcomes": "read_raw", "normalize": "scan_valid", "enrich_hourly": "scan_staged"}
+    net = {
+        name: round(max(0.0, month_scale[name]["sec"] - month_scale[scan]["sec"]), 4)
+        for name, scan in beyond.items()
+    }
+
     seconds = {name: round(timed(stage), 4) for name, (_, stage) in stages.items()}
     rows = {name: source.count() for name, (source, _) in stages.items()}
     rates = {name: round(rows[name] / seconds[name]) for name in stages}
@@ -144,6 +153,7 @@ def main() -> None:
                 "input_rows": rows,
                 "rows_per_second": rates,
                 "month_scale": month_scale,
+                "month_net_of_scan": net,
                 "sf": os.path.basename(SF_DIR.rstrip("/")),
                 "cpus": CPUS,
             }

@@ -112,9 +112,8 @@ class Classification:
             F.struct(*_outcome(F.when(held_back, F.lit("quarantined")), None, why)),
             F.struct(*_outcome(F.when(kept, F.lit("valid")), None, None)),
         )
-        # Few rows of every scan task remain: gather them, so that a write makes few files.
-        gathered = flagged.hint("rebalance", *(F.col(c) for c in self.columns))
-        return gathered.select(*self.columns, F.inline(classes)).where("class is not null")
+        # Rows with a null in any column may be most of the table: they stay where they are.
+        return flagged.select(*self.columns, F.inline(classes)).where("class is not null")
 
     # Totals
 

@@ -12,6 +12,7 @@ from tripmill.schema import WEATHER_COLUMNS
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_TEXT_BYTES = 64 * 1024 * 1024
 SALTS = 32
+HOT_SHARE = 1000
 
 
 def fits_broadcast(
@@ -28,6 +29,14 @@ def fits_broadcast(
     return size["rows"] <= max_rows and size["text_bytes"] <= max_text_bytes
 
 
+def hot_keys(rows: DataFrame, on: list[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold one row in ``share`` or more; there are at most ``share`` of them."""
+    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = counted.agg(F.sum("_n").alias("_total"))
+    held = counted.crossJoin(F.broadcast(total))  # one row
+    return held.where(F.col("_n") * share >= F.col("_total")).select(*on)
+
+
 def dimension_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -39,20 +48,22 @@ def dimension_join(
     """Join ``dim`` to ``fact`` on equally named columns ("left" or "inner").
 
     A dimension measured to be small is broadcast and the fact is not shuffled. A larger
-    one is shuffled; then the fact's rows are salted by their content and each dimension
-    row is sent to every salt, so that a hot key spreads over several tasks (adaptive
-    skew handling splits what still stands out, such as copies of one row).
+    one is shuffled; then rows of the fact's hot keys, as counted, are salted by their content
+    and only the dimension rows of these keys are sent to every salt.
     """
     if fits is None:
         fits = fits_broadcast(dim)
     if fits:
         return fact.join(F.broadcast(dim), on, how)
-    salt = "_salt"
-    salted_fact = fact.withColumn(salt, F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
-    salted_dim = dim.withColumn(
-        salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    salt, hot = "_salt", "_hot"
+    marked = F.broadcast(hot_keys(fact, on).withColumn(hot, F.lit(True)))  # HOT_SHARE keys at most
+    content = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
+    salted_fact = fact.join(marked, on, "left").withColumn(
+        salt, F.when(F.col(hot), content).otherwise(F.lit(0))
     )
-    return salted_fact.join(salted_dim, [*on, salt], how).drop(salt)
+    copies = F.when(F.col(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_dim = dim.join(marked, on, "left").withColumn(salt, F.explode(copies)).drop(hot)
+    return salted_fact.drop(hot).join(salted_dim, [*on, salt], how).drop(salt)
 
 
 def role_join(

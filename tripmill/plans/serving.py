@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from tripmill.functions.measures import stable_sum
-from tripmill.operators.joins import dimension_join
+from tripmill.operators.joins import dimension_join, fits_broadcast
 from tripmill.plans.history import list_runs
 from tripmill.plans.marts import Marts
 
@@ -129,10 +129,11 @@ def top_routes_named(marts: Marts, limit: int = 10) -> DataFrame:
     rows = marts.route_performance.select(
         "pickup_location_id", "dropoff_location_id", "trip_count", "total_revenue"
     )
+    fits = fits_broadcast(marts.dim_zones.select("location_id", "zone"))  # measured once
     for end in ("pickup", "dropoff"):
         key = f"{end}_location_id"
         names = marts.dim_zones.select(F.col("location_id").alias(key), F.col("zone").alias(end))
-        rows = dimension_join(rows, names, [key], "inner")
+        rows = dimension_join(rows, names, [key], "inner", fits)
     ties = ["pickup", "dropoff", "pickup_location_id", "dropoff_location_id"]
     ranked = _top(rows, "total_revenue", ties, limit)
     return ranked.select("pickup", "dropoff", "trip_count", "total_revenue")

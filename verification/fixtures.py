@@ -53,7 +53,11 @@ select cast(o_orderkey as string) as run_id, 'trips' as pipeline_name,
   case when o_orderstatus = 'O' then cast(floor(o_totalprice) as bigint) end as input_rows,
   case when o_orderstatus = 'O' then cast(floor(o_totalprice * 0.5) as bigint) end as output_rows,
   case when o_orderstatus = 'F' then 'boom' end as error_message
-from orders where substr(cast(o_orderdate as string), 6, 2) <> '07'
+from orders
+"""
+
+# Runs without any July, for what looks for gaps.
+GAP_RUNS = f"""{RUNS.rstrip()} where substr(cast(o_orderdate as string), 6, 2) <> '07'
 """
 
 MANIFEST_LOG = """
@@ -70,6 +74,7 @@ VIEWS = {
     "hourly_weather": HOURLY_WEATHER,
     "zones": ZONES,
     "runs": RUNS,
+    "gap_runs": GAP_RUNS,
     "manifest_log": MANIFEST_LOG,
 }
 

@@ -240,11 +240,13 @@ MANIFEST = [
   qualify row_number() over (partition by source_name, partition_date
     order by downloaded_at desc, row_id desc) = 1)""",
 ]
-LATEST_RUNS = RUNS + [
+LATEST = [
     """latest as (
   select * from runs qualify row_number() over (partition by pipeline_name, partition_date
     order by started_at desc, run_id desc) = 1)"""
 ]
+GAP_RUNS = [view("gap_runs", "runs")]
+LATEST_RUNS, LATEST_GAP_RUNS = RUNS + LATEST, GAP_RUNS + LATEST
 MONTHS = [
     """months as (
   select cast(unnest(generate_series(date_trunc('month', min(o_orderdate)),
@@ -259,7 +261,7 @@ MONTHS = [
 def oracle(key: str, ctes: list[str], body: str) -> None:
     sql = f"with {', '.join(ctes)} {body}" if ctes else body
     shown = [f"cast({c} as double) as {c}" for c in q.NULLABLE_INTEGERS.get(key, ())]
-    shown += [f"round({c}, 4) as {c}" for c in q.ROUNDED.get(key, ())]
+    shown += [f"round({c} + 1.23e-5, 4) as {c}" for c in q.ROUNDED.get(key, ())]
     if shown:
         sql = f"select * replace ({', '.join(shown)}) from ({sql}) result"
     ORACLES[key] = sql
@@ -306,6 +308,27 @@ oracle(
     [],
     "select doc_id, sha256(text) as checksum, cast(strlen(text) as bigint) as bytes from documents",
 )
+oracle(
+    "file_rows",
+    [],
+    """select 'region' as file, count(*) as rows_found from region
+union all select 'nation', count(*) from nation
+union all select 'orders', count(*) from orders
+union all select 'lineitem', count(*) from lineitem""",
+)
+oracle("list_files", [], "select 'events' as file, true as filled union all select 'orders', true")
+oracle(
+    "read_relaxed",
+    [],
+    "select strftime(o_orderdate, '%Y-%m') as partition_date, count(*) as orders from orders group by 1",
+)
+oracle(
+    "publish_pending",
+    LATEST_RUNS + MANIFEST,
+    """select partition_date, run_id from latest where status = 'success' and pipeline_name = 'trips'
+  and not exists (select 1 from manifest m where m.source_name = '1-URGENT'
+    and m.partition_date = latest.partition_date and cast(m.row_id as varchar) = latest.run_id)""",
+)
 oracle(
     "json_props",
     [],
@@ -791,7 +814,7 @@ oracle(
 )
 oracle(
     "pending_partitions",
-    LATEST_RUNS + MONTHS,
+    LATEST_GAP_RUNS + MONTHS,
     """select partition_date from calendar where partition_date not in
   (select partition_date from latest where status = 'success' and pipeline_name = 'trips')""",
 )
@@ -869,7 +892,7 @@ oracle(
   r(metric, op, bound, alert, severity) using (metric)
 where case op when '=' then value = bound else value > bound end""",
 )
-CHANGE = RUNS + NEWEST + [
+CHANGE_STEPS = NEWEST + [
     """change as (
   select previous_partition, previous_rows, last_partition, last_rows,
     cast(last_rows as double) / previous_rows as ratio
@@ -884,11 +907,12 @@ CHANGE = RUNS + NEWEST + [
     from (select distinct partition_date from runs where status = 'success') p) l
   where after_gap <> strftime(cast(before_gap || '-01' as date) + interval 1 month, '%Y-%m'))""",
 ]
+CHANGE, GAPS = RUNS + CHANGE_STEPS, GAP_RUNS + CHANGE_STEPS
 oracle("row_count_change", CHANGE, "select * from change")
-oracle("missing_partitions", CHANGE, "select * from gaps")
+oracle("missing_partitions", GAPS, "select * from gaps")
 oracle(
     "alerts",
-    CHANGE,
+    GAPS,
     """select 'pipeline_failure' as name, 'critical' as severity,
   'Partition ' || partition_date || ' failed: ' || error_message as message
 from newest where status = 'failed'
