@@ -2,8 +2,8 @@
 
 Labels say of documents, not of tokens, whether they are toxic. Tokens are labelled from them first: a word, or a prefix of
 words, that stands in toxic documents far more often than chance allows is evidence, and its tokens in toxic documents are
-labelled toxic; a toxic document without such a token gets its best one labelled. The field then learns weights of words,
-prefixes and suffixes and of the four transitions by gradient ascent on the likelihood of these labels.
+labelled toxic; a toxic document without such a token gets its best one labelled. The field then learns weights of words
+and prefixes and of the four transitions by gradient ascent on the likelihood of these labels.
 
 Scoring streams over all documents: forward-backward gives each token's probability of being toxic; a logistic regression
 over the largest and the sum of a document's probabilities, fitted on the same sample, gives its score. Tokens of
@@ -21,7 +21,7 @@ null doc_id is scored and counts as not held out; without labels of both kinds,
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.llm.common import read
-from tripmill.llm.shingles import chunks
+from tripmill.llm.shingles import chunks, mixed
 
-FIT_ROWS, FIT_CHARS = 6000, 100_000
+FIT_ROWS, FIT_CHARS = 4000, 100_000
 CLEAN_PER_TOXIC = 2  # documents the field is fitted on
 PREFIXES = (3, 4, 5, 6, 7)
 LIGHTEST = 0.02  # smaller weights are left out
@@ -52,8 +52,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def pieces(word: str) -> list[str]:
-    """What tells of a word: itself, its prefixes and its ending."""
-    return [f"={word}", *(f"^{word[:n]}" for n in PREFIXES if len(word) >= n), f"${word[-3:]}"]
+    """What tells of a word: itself and its prefixes."""
+    return [f"={word}", *(f"^{word[:n]}" for n in PREFIXES if len(word) >= n)]
 
 
 @dataclass
@@ -62,7 +62,6 @@ class Field:
 
     words: dict[str, float] = field(default_factory=dict)
     prefixes: dict[str, float] = field(default_factory=dict)
-    endings: dict[str, float] = field(default_factory=dict)
     bias: float = 0.0
     moves: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     logistic: np.ndarray | None = None
@@ -80,7 +79,7 @@ class Scores(dict):
         if len(self) >= MOST_WORDS:
             self.clear()
         model = self.model
-        score = model.bias + model.words.get(word, 0.0) + model.endings.get(word[-3:], 0.0)
+        score = model.bias + model.words.get(word, 0.0)
         for n in PREFIXES[: max(0, len(word) - PREFIXES[0] + 1)]:
             score += model.prefixes.get(word[:n], 0.0)
         self[word] = score
@@ -165,30 +164,82 @@ class Lattice:
         return probability, np.array(sums).reshape(2, 2)
 
 
-def evidence(docs: list[set[str]], toxic: np.ndarray, told: dict[str, list[str]]) -> set[str]:
-    """Pieces that mark toxic tokens; `docs` has the words of each document, `told` the pieces of words."""
-    seen, hits = Counter(), Counter()
-    by_doc = [Counter(p for w in own for p in told[w]) for own in docs]
-    for own, label in zip(by_doc, toxic, strict=True):
-        seen.update(own.keys())
+class Vocabulary:
+    """Numbers of words and of their pieces, and which pieces each word has."""
+
+    def __init__(self):
+        self.words: dict[str, int] = defaultdict(lambda: len(self.words))
+        self.pieces: dict[str, int] = defaultdict(lambda: len(self.pieces))
+        self.starts, self.of_words = np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def read(self, text: str) -> np.ndarray:
+        return np.array([self.words[w] for w in TOKEN.findall(text.lower())], np.int64)
+
+    def close(self) -> None:
+        """To be called when all texts are read."""
+        lists = [[self.pieces[p] for p in pieces(w)] for w in self.words]
+        self.starts = np.cumsum([0, *map(len, lists)])
+        self.of_words = np.array([p for own in lists for p in own], np.int64)
+        self.owners = np.repeat(np.arange(len(lists)), np.diff(self.starts))
+        self.is_long = np.array([len(p) > 6 for p in self.pieces], bool)
+
+    def pieces_of(self, words: np.ndarray) -> np.ndarray:
+        """Pieces of distinct words, with repetitions."""
+        lengths = self.starts[words + 1] - self.starts[words]
+        at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        return self.of_words[np.repeat(self.starts[words], lengths) + at]
+
+
+def families(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Number of the family of each document: toxic near copies share one, found by four minhashes of their words."""
+    family = np.arange(len(docs))
+
+    def head(i: int) -> int:
+        while family[i] != i:
+            family[i] = family[family[i]]
+            i = family[i]
+        return i
+
+    salts = mixed(np.arange(16, dtype=np.uint64))
+    first: dict[tuple[int, ...], int] = {}
+    for i, words in enumerate(docs):
+        if len(words) and toxic[i]:
+            least = [int(mixed(words.astype(np.uint64) ^ salt).min()) for salt in salts]
+            for band in range(0, 16, 4):
+                j = head(first.setdefault((band, *least[band : band + 4]), i))
+                family[max(head(i), j)] = min(head(i), j)
+    return np.array([head(i) for i in range(len(docs))], np.int64)
+
+
+def evidence(vocabulary: Vocabulary, docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Which pieces mark toxic tokens.
+
+    Copies of a toxic document say nothing new, so families are counted, each with all its words.
+    """
+    family = families(docs, toxic)
+    heads = np.unique(family)
+    docs = [np.concatenate([docs[i] for i in np.flatnonzero(family == h)]) for h in heads]
+    toxic = np.array([toxic[family == h].any() for h in heads], bool)
+    seen, hits = [np.zeros(len(vocabulary.pieces), np.int64) for _ in range(2)]
+    for words, label in zip(docs, toxic, strict=True):
+        own = np.unique(vocabulary.pieces_of(np.unique(words)))
+        seen[own] += 1
         if label:
-            hits.update(own.keys())
+            hits[own] += 1
     rate = toxic.mean()
-    # Of the pieces in n or more documents, a share of rate ** n stands in toxic ones only by chance; 0.01 of one may.
-    at_least = np.cumsum(np.bincount(list(seen.values()))[::-1])[::-1]
-    needed = next((n for n in range(1, len(at_least)) if at_least[n] * rate**n < 0.01), len(at_least))
+    # Of the pieces in n or more documents, a share of rate ** n stands in toxic ones only by chance; a thousandth of one may.
+    at_least = np.cumsum(np.bincount(seen)[::-1])[::-1]
+    needed = next((n for n in range(1, len(at_least)) if at_least[n] * rate**n < 1e-3), len(at_least))
     # Long pieces may also come up in clean documents, by chance syllables.
-    pure = {p for p, n in hits.items() if n >= (0.8 if len(p) > 6 else 0.98) * seen[p]}
-    marks = {p for p in pure if hits[p] >= needed}
-    left = [own for own, label in zip(by_doc, toxic, strict=True) if label and not marks.intersection(own)]
+    pure = (hits > 0) & (hits >= np.where(vocabulary.is_long, 0.8, 0.98) * seen)
+    marks = pure & (hits >= needed)
+    left = [own for own in (vocabulary.pieces_of(np.unique(w)) for w, label in zip(docs, toxic, strict=True) if label) if not marks[own].any()]
     while left:  # the pure piece that most words of those left share
-        gain = Counter()
-        for own in left:
-            gain.update({p: n for p, n in own.items() if p in pure})
-        best = max(gain, key=lambda p: (gain[p], hits[p], len(p), p), default=None)
-        if best is None or gain[best] < 2:
+        gain = np.bincount(np.concatenate(left), minlength=len(marks)) * pure
+        best = int(np.lexsort((hits, gain))[-1])
+        if gain[best] < 2:
             break
-        marks.add(best)
+        marks[best] = True
         left = [own for own in left if best not in own]
     return marks
 
@@ -198,55 +249,55 @@ def fitted(texts: list[str], labels: list[int]) -> Field:
     model = Field(constant=float(toxic.mean()) if len(toxic) else 0.0)
     if not toxic.any() or toxic.all():
         return model
-    words_of = [TOKEN.findall(text.lower()) for text in texts]
-    told = {w: pieces(w) for w in set().union(*words_of)}
-    marks = evidence([set(own) for own in words_of], toxic, {w: own[:-1] for w, own in told.items()})  # without endings
-    marked = {w for w, own in told.items() if marks.intersection(own)}
-
-    clean = [i for i in range(len(texts)) if not toxic[i]][: CLEAN_PER_TOXIC * int(toxic.sum())]
-    chosen = [i for i in range(len(texts)) if toxic[i]] + clean
-    known: dict[str, int] = defaultdict(lambda: len(known))
-    ids = np.array([known[w] for i in chosen for w in words_of[i]], np.int64)
-    target = np.array([toxic[i] and w in marked for i in chosen for w in words_of[i]], float)
-    lattice = Lattice(np.array([len(words_of[i]) for i in chosen]))
-    ends = np.cumsum(lattice.lengths)
+    vocabulary = Vocabulary()
+    docs = [vocabulary.read(text) for text in texts]
+    vocabulary.close()
+    marks = evidence(vocabulary, docs, toxic)
+    row, column, words = vocabulary.owners, vocabulary.of_words, len(vocabulary.words)
+    marked = np.bincount(row, marks[column], words) > 0
+
+    clean = np.flatnonzero(~toxic)[: CLEAN_PER_TOXIC * int(toxic.sum())]
+    chosen = [*np.flatnonzero(toxic), *clean]
+    ids = np.concatenate([docs[i] for i in chosen])
+    target = np.concatenate([marked[docs[i]] & toxic[i] for i in chosen]).astype(float)
+    lattice = Lattice(np.array([len(docs[i]) for i in chosen]))
     starts = np.zeros(len(ids), bool)
-    starts[(ends - lattice.lengths)[lattice.lengths > 0]] = True
+    starts[(np.cumsum(lattice.lengths) - lattice.lengths)[lattice.lengths > 0]] = True
     held = np.concatenate([[0.0], target[:-1]])
     held[starts] = 0
     seen_moves = np.array([[np.sum((held == a) & (target == b)) for b in (0, 1)] for a in (0, 1)], float)
 
-    numbers: dict[str, int] = defaultdict(lambda: len(numbers))
-    spread = np.array([(i, numbers[p]) for w, i in known.items() for p in told[w]])
-    row, column, n = spread[:, 0], spread[:, 1], len(numbers)
+    n = len(vocabulary.pieces)
     mean, square, value = np.zeros(n + 5), np.zeros(n + 5), np.zeros(n + 5)  # pieces, bias, transitions
     value[n] = -4.0
     scale = max(1.0, target.sum())
     for turn in range(1, ROUNDS + 1):
-        word_scores = np.bincount(row, value[column], len(known)) + value[n]
+        word_scores = np.bincount(row, value[column], words) + value[n]
         moves = value[n + 1 :].reshape(2, 2)
         probability, expected = lattice.marginals(word_scores[ids], moves, pairs=True)
-        by_word = np.bincount(ids, probability - target, len(known))
+        by_word = np.bincount(ids, probability - target, words)
         slope = np.concatenate([np.bincount(column, by_word[row], n), [by_word.sum()], (expected - seen_moves).ravel()])
         slope = slope / scale + DECAY * value
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2  # Adam
         value = value - RATE * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-6)
-    by_kind = {"=": model.words, "^": model.prefixes, "$": model.endings}
-    for piece, i in numbers.items():
+    by_kind = {"=": model.words, "^": model.prefixes}
+    for piece, i in vocabulary.pieces.items():
         if abs(value[i]) >= LIGHTEST:
             by_kind[piece[0]][piece[1:]] = float(value[i])
     model.bias, model.moves = float(value[n]), value[n + 1 :].reshape(2, 2).copy()
 
-    sums = summaries(words_of, Scores(model), model)[0]
-    model.logistic = logistic(sums, toxic.astype(float))
+    word_scores = np.bincount(row, value[column], words) + value[n]
+    sums = []
+    for a, b in chunks([len(own) for own in docs]):
+        sums.append(summaries([len(own) for own in docs[a:b]], word_scores[np.concatenate(docs[a:b])], model)[0])
+    model.logistic = logistic(np.concatenate(sums), toxic.astype(float))
     return model
 
 
-def summaries(words_of: list[list[str]], scores: Scores, model: Field) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def summaries(lengths: list[int], scores: np.ndarray, model: Field) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each document what its score is made of; all tokens' probabilities, and where each document's begin."""
-    lengths = np.array([len(own) for own in words_of], np.int64)
-    flat = np.array([scores[w] for own in words_of for w in own], float)
-    probability = Lattice(lengths).marginals(flat, model.moves)
+    lengths = np.array(lengths, np.int64)
+    probability = Lattice(lengths).marginals(scores, model.moves)
     begin = np.cumsum(lengths) - lengths
     full = lengths > 0
     out = np.tile([1.0, np.log(1e-4), np.log(1e-2)], (len(lengths), 1))
@@ -275,7 +326,8 @@ def scorer(model: Field, text_at: int):
         if model.logistic is None:
             return [model.constant] * len(own), spans
         words_of = [TOKEN.findall(t.lower()) for t in own]
-        sums, probability, begin = summaries(words_of, known, model)
+        scores = np.array([known[w] for words in words_of for w in words], float)
+        sums, probability, begin = summaries([len(words) for words in words_of], scores, model)
         hit = np.flatnonzero(probability >= 0.5)
         for at, i in zip(hit.tolist(), (np.searchsorted(begin, hit, "right") - 1).tolist(), strict=True):
             spans[i].append(at - begin[i])
