@@ -41,7 +41,7 @@ def test_shards_keep_copies_together(docs):
     rows = [(i, f"text {i % 400}") for i in range(1000)] + [(2000 + i, f"own {i}") for i in range(1500)]
     out = sharding.sharded(docs(rows)).collect()
     check_shards(rows, out)
-    spread = cut([{**r.asDict(), "shard": r["doc_id"] % 8} for r in out])
+    spread = cut([{**r.asDict(), "shard": zlib.crc32(str(r["doc_id"]).encode()) % 8} for r in out])
     assert cut(out) < 0.2 * spread
 
 
@@ -102,8 +102,8 @@ def test_packing_odd_rows(docs, odd_rows):
 
 
 def test_best_fit_takes_the_tightest_bin():
-    places, final = packing.packed([10, 6, 4, 3], (10, 16), overhead=0)
-    assert final == [16, 10] or sum(final) <= 26
+    places, final = packing.packed([10, 6, 4, 3], (10, 16), overhead=4)
+    assert final == [16, 10] and places == [(0, 0), (0, 10), (1, 0), (1, 4)]
     assert packing.packed([7], (8, 64))[1] == [8]
     assert packing.packed([]) == ([], [])
 

@@ -29,11 +29,15 @@ BINS = 1 << BIN_BITS
 TUPLE = 2
 RANGE_ROWS, MOST_RANGES = 256, 16384
 
-LOW31, LOW32 = F.lit(0x7FFFFFFF).cast("long"), F.lit(0xFFFFFFFF).cast("long")
+LOW31, LOW32 = 0x7FFFFFFF, 0xFFFFFFFF
+
+
+def _low(value: Column, mask: int) -> Column:
+    return value.bitwiseAND(F.lit(mask).cast("long"))
 
 
 def _packed(rank: Column, place: Column) -> Column:
-    return F.shiftleft(rank.bitwiseAND(LOW31), 32).bitwiseOR(place.cast("long"))
+    return F.shiftleft(_low(rank, LOW31), 32).bitwiseOR(place.cast("long"))
 
 
 def _kmer(own: Column, place: Column) -> Column:
@@ -61,7 +65,7 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     rows = rows.withColumn("_s", _starts(F.col("_k"), 32))
     sorted_k, starts = F.col("_k"), F.col("_s")
     run = lambda s, g: F.slice(sorted_k, s + 1, F.coalesce(F.get(starts, g + 1), F.size(sorted_k)) - s)
-    ranked = lambda x, o: _packed(F.xxhash64(F.shiftright(x, 32), o), x.bitwiseAND(LOW32))
+    ranked = lambda x, o: _packed(F.xxhash64(F.shiftright(x, 32), o), _low(x, LOW32))
     rows = rows.withColumn("_r", F.sort_array(F.flatten(F.transform(starts, lambda s, g: F.transform(run(s, g), ranked)))))
     bin_bits = 63 - BIN_BITS
     rows = rows.withColumn("_b", _starts(F.col("_r"), bin_bits))
@@ -70,7 +74,7 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     def component(s: Column) -> Column:
         bin_ = F.shiftright(F.get(sorted_r, s), bin_bits)
         chosen = F.filter(F.slice(sorted_r, s + 1, TUPLE), lambda z: F.shiftright(z, bin_bits) == bin_)
-        places = F.sort_array(F.transform(chosen, lambda z: z.bitwiseAND(LOW32).cast("int")))
+        places = F.sort_array(F.transform(chosen, lambda z: _low(z, LOW32).cast("int")))
         return F.struct(bin_.cast("int").alias("bin"), F.xxhash64(F.transform(places, lambda p: _kmer(own, p))).alias("code"))
 
     rows = rows.withColumn("_c", F.map_from_entries(F.transform(F.col("_b"), component)))

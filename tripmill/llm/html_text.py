@@ -11,7 +11,8 @@ of it count as furniture.
 Each page is worked on where it is read; a task holds one page's lines at a time, and nothing is shuffled.
 
 Defined results: null and empty pages, and pages without a main text, have an empty text; broken markup is read as far as it
-makes sense: elements left open end with the element around them, an end tag without a start is ignored; rows that repeat
+makes sense: elements left open end with the element around them, an end tag without a start is ignored, and so is a tag that
+the page breaks off in; rows that repeat
 are each extracted; an empty table gives an empty table.
 """
 
@@ -53,6 +54,7 @@ ASIDE_WORDS = set("comment comments discussion disqus related recommended replie
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("ul ol dl table div section article main aside nav body".split())
 
+CUT_OFF = re.compile(r"<!--.*\Z|<[A-Za-z/!?][^>]*\Z", re.DOTALL)  # a tag or comment that the page ends in
 PARTS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 PLAIN, ARTICLE, BOX, SIDE, NONE = range(5)  # what the lines of an element are: BOX is furniture, SIDE also for articles in it
 
@@ -170,6 +172,7 @@ def main_text(html: str | None) -> str:
         return ""
     page = Lines()
     page.feed(html)
+    page.rawdata = CUT_OFF.sub("", page.rawdata)
     page.close()
     page.end_line()
     lines = page.lines
