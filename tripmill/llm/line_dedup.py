@@ -25,28 +25,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import BLANKS, order_id, read, words, written
+from tripmill.llm.common import BLANKS, order_id, read, written
 
 MIN_WORDS = 5
-MOST_BROADCAST = 1_000_000  # line hashes, 16 bytes each; more are joined by a shuffle
+MOST_BROADCAST = 500_000  # places of lines, some 100 bytes each; more are joined by a shuffle
+IRREGULAR_GAP = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"  # all gaps but a single space
+
+
+def _plain(line: Column) -> Column:
+    """A line's words with one space between them."""
+    return F.regexp_replace(F.btrim(line, F.lit(BLANKS)), IRREGULAR_GAP, " ")
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """All lines with words of (order, row, text): their place, words and two hashes."""
+    """All lines with words of (order, row, text): their place, number of words, two hashes and halves."""
     lines = rows.select("order", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.where(F.btrim("line", F.lit(BLANKS)) != "").withColumn("w", words(F.col("line")))
-    return lines.withColumns({"ha": F.xxhash64("w"), "hb": F.xxhash64(F.lit("b"), F.col("w")), "n": F.size("w")})
+    lines = lines.select("order", "row", "line_no", _plain(F.col("line")).alias("line")).where("line <> ''")
+    lines = lines.withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    return lines.select(
+        "order", "row", "line_no", F.xxhash64("line").alias("ha"), F.crc32(F.col("line").cast("binary")).alias("hb"), _halves(F.col("line"), F.col("n")).alias("halves")
+    )
 
 
-def _halves(own: Column, n: Column) -> Column:
+def _halves(line: Column, n: Column) -> Column:
     """Codes of both halves, as the line may be the shorter or equal (t = n) or the longer one (t = n - 1) of a pair."""
 
-    def of(t: Column, role: Column) -> list[Column]:
+    def of(t: Column) -> list[Column]:
         a = F.floor(t / 2).cast("int")
-        return [F.xxhash64(F.lit("first"), role, F.slice(own, F.lit(1), a)), F.xxhash64(F.lit("last"), role, F.slice(own, n - (t - a) + 1, t - a))]
-
-    return F.when(n > MIN_WORDS, F.array(*of(n, n), *of(n - 1, n - 1))).when(n == MIN_WORDS, F.array(*of(n, n)))
+        first, last = F.call_function("substring_index", line, F.lit(" "), a), F.call_function("substring_index", line, F.lit(" "), a - t)
+        return [F.xxhash64(F.lit("first"), t, first), F.xxhash64(F.lit("last"), t, last)]
 
+    return F.when(n > MIN_WORDS, F.array(*of(n), *of(n - 1))).when(n == MIN_WORDS, F.array(*of(n)))
 
 
 def _with_partners(distinct: DataFrame) -> DataFrame:
@@ -75,7 +84,8 @@ def _variants(lines: DataFrame) -> DataFrame:
 def _later_neighbours(lines: DataFrame) -> DataFrame:
     """(ha, hb) of the lines that lie within one edit of an earlier line; `lines` has ha, hb, first and w."""
     keys = _variants(lines)
-    repeated = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    # Keys of two or more lines; a line that repeats a word has some keys more than once.
+    repeated = keys.groupBy("key").agg(F.min("ha").alias("low"), F.max("ha").alias("high")).where("low <> high").select("key")
     found = keys.join(repeated, "key").select("ha", "hb", "at").join(lines, ["ha", "hb"])
     left = F.when(F.col("at") < 0, F.col("w")).otherwise(F.concat(F.slice("w", F.lit(1), F.col("at")), F.slice("w", F.col("at") + 2, F.size("w"))))
     found = written(found.select("ha", "hb", "first", "at", F.unhex(F.md5(F.array_join(left, " ").cast("binary"))).alias("variant")).distinct(), "variants")
@@ -92,17 +102,18 @@ def _later_neighbours(lines: DataFrame) -> DataFrame:
 
 def repeated_lines(rows: DataFrame) -> DataFrame:
     """(row, gone): numbers of the lines that go, from 0, for the rows that lose any; `rows` has order, row and text."""
-    lines = _lines(rows)
+    lines = written(_lines(rows), "lines")
     place = F.struct("order", "row", "line_no")
-    distinct = lines.select("ha", "hb", place.alias("first"), _halves(F.col("w"), F.col("n")).alias("halves"))
+    distinct = lines.select("ha", "hb", place.alias("first"), "halves")
     distinct = distinct.groupBy("ha", "hb").agg(F.min("first").alias("first"), F.first("halves").alias("halves"), F.count("*").alias("c"))
-    distinct = written(distinct, "lines")
+    distinct = written(distinct, "distinct-lines")
     partners = written(_with_partners(distinct).join(distinct.select("ha", "hb", "first"), ["ha", "hb"]), "partners")
-    # Words of the partners, from the documents that have them first.
-    wanted = partners.select("ha", "hb", "first")
+    # Words of the partners, from the places that have them first.
+    wanted = partners.select("ha", "hb", "first", F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no"))
     wanted = F.broadcast(wanted) if partners.count() <= MOST_BROADCAST else wanted
-    texts = written(lines.where(F.col("n") >= MIN_WORDS).join(wanted, ["ha", "hb"]).where(place == F.col("first")).select("ha", "hb", "first", "w").dropDuplicates(["ha", "hb"]), "partner-words")
-    near = written(_later_neighbours(texts), "near").withColumn("near", F.lit(True))
+    texts = rows.select("row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).join(wanted, ["row", "line_no"])
+    texts = texts.select("ha", "hb", "first", F.split(_plain(F.col("line")), " ").alias("w")).dropDuplicates(["ha", "hb"])
+    near = written(_later_neighbours(written(texts, "partner-words")), "near").withColumn("near", F.lit(True))
 
     known = distinct.select("ha", "hb", "first", "c").join(near, ["ha", "hb"], "left").where("c > 1 OR near")
     gone = lines.select("row", place.alias("place"), "ha", "hb").join(known, ["ha", "hb"]).where("near OR place > first")
