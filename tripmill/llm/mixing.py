@@ -28,7 +28,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import lowered, read, words, written
+from tripmill.llm.common import read, words, written
+from tripmill.llm.line_dedup import identified
 
 BUCKETS = 4096
 FIT_ROWS = 20_000  # labelled rows with the smallest hashes that the classifier learns from
@@ -45,41 +46,45 @@ class Classifier:
     weights: list[list[float]]  # by domain, logarithms of word bucket shares
 
 
-def _buckets(text: Column) -> Column:
-    return F.transform(words(text), lambda w: F.pmod(F.xxhash64(lowered(w)), F.lit(BUCKETS)).cast("int"))
+def _bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
+
+
+def _numbers(values: list[float]) -> Column:
+    """A constant array."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 def fitted(labelled: DataFrame, domains: list[str], *, text: str = "text", domain: str = "domain", doc_id: str = "doc_id") -> Classifier:
     known = labelled.where(F.col(domain).isin(domains)).select(F.col(domain).alias("domain"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("h"))
     smallest = known.select("h").orderBy("h").limit(FIT_ROWS).agg(F.max("h").alias("most")).first()["most"]
     sample = known.where(F.col("h") <= smallest) if smallest is not None else known.limit(0)
-    rows = sample.select("domain", F.explode_outer(_buckets(F.col("text"))).alias("bucket"), "h")
-    counts = rows.groupBy("domain", "bucket").agg(F.count("*").alias("n")).collect()  # BUCKETS for each domain at most
+    rows = sample.select("domain", F.explode(words(F.col("text"))).alias("word"))
+    counts = rows.groupBy("domain", _bucket(F.col("word")).alias("bucket")).agg(F.count("*").alias("n")).collect()  # BUCKETS by domain at most
     docs = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     table = {d: [0.5] * BUCKETS for d in domains}
     for r in counts:
-        if r["bucket"] is not None:
-            table[r["domain"]][r["bucket"]] += r["n"]
+        table[r["domain"]][r["bucket"]] += r["n"]
     total = sum(docs.values()) + len(domains)
     weights = [[math.log(x / sum(table[d])) for x in table[d]] for d in domains]
     return Classifier(domains, [math.log((docs.get(d, 0) + 1) / total) for d in domains], weights)
 
 
-def with_membership(docs: DataFrame, model: Classifier, *, text: str = "text") -> DataFrame:
-    """Adds n_words and percents, the posterior of each domain in per cent."""
-    rows = docs.withColumn("_b", _buckets(F.col(text)))
-    own = F.col("_b")
-    temper = F.lit(float(TEMPER)) / F.greatest(F.lit(float(TEMPER)), F.size(own).cast("double"))
-
-    def score(prior: float, weights: list[float]) -> Column:
-        table = _numbers(weights)
-        return F.lit(prior) + temper * F.aggregate(own, F.lit(0.0), lambda total, b: total + F.get(table, b))
+def membership(rows: DataFrame, model: Classifier) -> DataFrame:
+    """key, n_words and percents (the posterior of each domain in per cent) of every row of (key, text).
 
-    scores = [score(*x) for x in zip(model.priors, model.weights, strict=True)]
-    rows = rows.withColumns({"n_words": F.size(own).cast("long"), "_s": F.array(*scores)}).drop("_b")
-    rows = rows.withColumn("_e", F.transform("_s", lambda s: F.exp(s - F.array_max(F.col("_s")))))
-    whole = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
-    return rows.withColumn("_w", whole).withColumn("percents", F.transform("_e", lambda e: F.round(100 * e / F.col("_w")).cast("int"))).drop("_s", "_e", "_w")
+    Words are scored as rows of their own and summed by row before anything is shuffled.
+    """
+    numbered = rows.withColumn("number", F.monotonically_increasing_id())
+    numbered = numbered.select("number", "key", F.explode_outer(words(F.col("text"))).alias("word"))
+    numbered = numbered.select("number", "key", "word", _bucket(F.col("word")).alias("bucket"))
+    scored = numbered.select("number", "key", "word", *(F.get(_numbers(w), F.col("bucket")).alias(f"s{i}") for i, w in enumerate(model.weights)))
+    sums = scored.groupBy("number", "key").agg(F.count("word").alias("n_words"), *(F.coalesce(F.sum(f"s{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(model.domains))))
+    temper = F.lit(float(TEMPER)) / F.greatest(F.lit(float(TEMPER)), F.col("n_words").cast("double"))
+    sums = sums.select("key", "n_words", F.array(*(F.lit(prior) + temper * F.col(f"s{i}") for i, prior in enumerate(model.priors))).alias("s"))
+    odds = sums.select("key", "n_words", F.transform("s", lambda x: F.exp(x - F.array_max(F.col("s")))).alias("e"))
+    whole = odds.withColumn("w", F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
+    return whole.select("key", "n_words", F.transform("e", lambda e: F.round(100 * e / F.col("w")).cast("int")).alias("percents"))
 
 
 def _posterior(percents: Column, size: int) -> list[Column]:
@@ -87,11 +92,6 @@ def _posterior(percents: Column, size: int) -> list[Column]:
     return [F.get(percents, F.lit(i)) / whole for i in range(size)]
 
 
-def _numbers(values: list[float]) -> Column:
-    """A constant array."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-
-
 def _rate(percents: Column, size: int, steps: list[list[float]], least: float) -> Column:
     """The rate after the steps: each lowers it by the posterior times the step, and never below `least`."""
     if not steps:
@@ -138,17 +138,21 @@ def mixed(
     """`docs` with n_words, percents (posterior by domain, in the order of `targets`), rate and copies added."""
     domains = list(targets)
     model = fitted(labelled, domains, text=text, domain=domain, doc_id=doc_id)
-    members = with_membership(docs.drop("n_words", "percents", "rate", "copies"), model, text=text)
-    steps = fitted_steps(members.select("n_words", "percents"), [targets[d] for d in domains], least, total)
-    members = members.withColumn("rate", _rate(F.col("percents"), len(domains), steps, least))
+    order, row = identified(docs, text, doc_id)
+    members = written(membership(docs.select(row.alias("key"), F.col(text).alias("text")), model), "members")
+    steps = fitted_steps(members, [targets[d] for d in domains], least, total)
+    rated = members.dropDuplicates(["key"]).withColumn("rate", _rate(F.col("percents"), len(domains), steps, least))
     chance = F.pmod(F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
-    return members.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
+    rows = docs.drop("n_words", "percents", "rate", "copies").withColumns({"_key": row, "_chance": chance})
+    rows = rows.join(rated.withColumnRenamed("key", "_key"), "_key")
+    return rows.withColumn("copies", F.floor(F.col("rate") + F.col("_chance")).cast("int")).drop("_key", "_chance")
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that have a row in `labels`; their language is the domain."""
-    known = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(known, "doc_id").select("doc_id", "text", F.col("lang").alias("domain"))
+    """Of the documents that have a row in `labels` the FIT_ROWS with the smallest hashes of their ids; domain: language."""
+    known = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("lang").alias("domain"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
