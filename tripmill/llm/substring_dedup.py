@@ -190,7 +190,8 @@ def remover(with_text: bool):
 def repeated_nodes(texts: DataFrame, window: int, k: int) -> DataFrame:
     """key, at, node, n of the selected k-mers that occur twice or more."""
     nodes = texts.select("key", "text").mapInArrow(node_emitter(window, k), NODES)
-    counts = nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+    # Written first, so that both sides of the join are plain shuffles, whose hot keys Spark splits.
+    counts = written(nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "node-counts")
     return nodes.join(counts, "node")
 
 
