@@ -40,6 +40,7 @@ PREFIXES = (3, 4, 5, 6, 7)
 LIGHTEST = 0.02  # smaller weights are left out
 ROUNDS, RATE, DECAY = 40, 0.3, 1e-4
 BLOCK = 32
+FIT_TOKENS = 50_000  # that are worked on at a time while fitting
 THRESHOLD = 0.3
 MOST_WORDS = 300_000  # that a task remembers
 ROWS_AT_ONCE = 1024
@@ -165,23 +166,38 @@ class Lattice:
 
 
 class Vocabulary:
-    """Numbers of words and of their pieces, and which pieces each word has."""
+    """Numbers of words and of their pieces, and which pieces each word has.
 
-    def __init__(self):
-        self.words: dict[str, int] = defaultdict(lambda: len(self.words))
-        self.pieces: dict[str, int] = defaultdict(lambda: len(self.pieces))
-        self.starts, self.of_words = np.zeros(1, np.int64), np.zeros(0, np.int64)
+    Pieces are those of words in toxic documents, which are read first; others cannot tell of a toxic word. Words without
+    such a piece share number 0.
+    """
 
-    def read(self, text: str) -> np.ndarray:
-        return np.array([self.words[w] for w in TOKEN.findall(text.lower())], np.int64)
+    def __init__(self):
+        self.words: dict[str, int] = {"": 0}
+        self.pieces: dict[str, int] = {}
+        self.lists: list[list[int]] = [[]]
+
+    def read(self, text: str, toxic: bool) -> np.ndarray:
+        numbers = []
+        for word in TOKEN.findall(text.lower()):
+            number = self.words.get(word)
+            if number is None:
+                own = pieces(word)
+                known = [self.pieces.setdefault(p, len(self.pieces)) for p in own] if toxic else [self.pieces[p] for p in own if p in self.pieces]
+                number = 0
+                if known:
+                    number = self.words[word] = len(self.lists)
+                    self.lists.append(known)
+            numbers.append(number)
+        return np.array(numbers, np.int64)
 
     def close(self) -> None:
         """To be called when all texts are read."""
-        lists = [[self.pieces[p] for p in pieces(w)] for w in self.words]
-        self.starts = np.cumsum([0, *map(len, lists)])
-        self.of_words = np.array([p for own in lists for p in own], np.int64)
-        self.owners = np.repeat(np.arange(len(lists)), np.diff(self.starts))
+        self.starts = np.cumsum([0, *map(len, self.lists)])
+        self.of_words = np.array([p for own in self.lists for p in own], np.int64)
+        self.owners = np.repeat(np.arange(len(self.lists)), np.diff(self.starts))
         self.is_long = np.array([len(p) > 6 for p in self.pieces], bool)
+        self.lists = []
 
     def pieces_of(self, words: np.ndarray) -> np.ndarray:
         """Pieces of distinct words, with repetitions."""
@@ -250,19 +266,23 @@ def fitted(texts: list[str], labels: list[int]) -> Field:
     if not toxic.any() or toxic.all():
         return model
     vocabulary = Vocabulary()
-    docs = [vocabulary.read(text) for text in texts]
+    docs: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
+    for i in [*np.flatnonzero(toxic), *np.flatnonzero(~toxic)]:
+        docs[i] = vocabulary.read(texts[i], bool(toxic[i]))
     vocabulary.close()
     marks = evidence(vocabulary, docs, toxic)
-    row, column, words = vocabulary.owners, vocabulary.of_words, len(vocabulary.words)
+    row, column, words = vocabulary.owners, vocabulary.of_words, len(vocabulary.starts) - 1
     marked = np.bincount(row, marks[column], words) > 0
 
     clean = np.flatnonzero(~toxic)[: CLEAN_PER_TOXIC * int(toxic.sum())]
     chosen = [*np.flatnonzero(toxic), *clean]
     ids = np.concatenate([docs[i] for i in chosen])
     target = np.concatenate([marked[docs[i]] & toxic[i] for i in chosen]).astype(float)
-    lattice = Lattice(np.array([len(docs[i]) for i in chosen]))
+    lengths = np.array([len(docs[i]) for i in chosen])
+    begin = np.concatenate([[0], np.cumsum(lengths)])
+    parts = [(begin[a], begin[b], Lattice(lengths[a:b])) for a, b in chunks(list(lengths), FIT_TOKENS)]
     starts = np.zeros(len(ids), bool)
-    starts[(np.cumsum(lattice.lengths) - lattice.lengths)[lattice.lengths > 0]] = True
+    starts[begin[:-1][lengths > 0]] = True
     held = np.concatenate([[0.0], target[:-1]])
     held[starts] = 0
     seen_moves = np.array([[np.sum((held == a) & (target == b)) for b in (0, 1)] for a in (0, 1)], float)
@@ -274,7 +294,10 @@ def fitted(texts: list[str], labels: list[int]) -> Field:
     for turn in range(1, ROUNDS + 1):
         word_scores = np.bincount(row, value[column], words) + value[n]
         moves = value[n + 1 :].reshape(2, 2)
-        probability, expected = lattice.marginals(word_scores[ids], moves, pairs=True)
+        probability, expected = np.empty(len(ids)), np.zeros((2, 2))
+        for a, b, lattice in parts:
+            probability[a:b], moved = lattice.marginals(word_scores[ids[a:b]], moves, pairs=True)
+            expected += moved
         by_word = np.bincount(ids, probability - target, words)
         slope = np.concatenate([np.bincount(column, by_word[row], n), [by_word.sum()], (expected - seen_moves).ravel()])
         slope = slope / scale + DECAY * value
@@ -288,7 +311,7 @@ def fitted(texts: list[str], labels: list[int]) -> Field:
 
     word_scores = np.bincount(row, value[column], words) + value[n]
     sums = []
-    for a, b in chunks([len(own) for own in docs]):
+    for a, b in chunks([len(own) for own in docs], FIT_TOKENS):
         sums.append(summaries([len(own) for own in docs[a:b]], word_scores[np.concatenate(docs[a:b])], model)[0])
     model.logistic = logistic(np.concatenate(sums), toxic.astype(float))
     return model
