@@ -10,8 +10,8 @@ over the largest and the sum of a document's probabilities, fitted on the same s
 probability one half or more are reported by their offsets.
 
 The sample is bounded: of the labelled rows that are not held out, the FIT_ROWS with the smallest hashes, without texts of
-more than FIT_CHARS characters. Everything else covers all rows and whole texts. The driver holds the sample and a model of
-the pieces of its words; nothing else leaves the executors.
+more than FIT_CHARS characters. Everything else covers all rows and whole texts. One task fits the sample; the driver passes
+on the weights.
 
 Defined results: null and empty texts have no tokens and get the score of a document without evidence; a document with a
 null doc_id is scored and counts as not held out; without labels of both kinds, every score is the share of toxic labels
@@ -20,6 +20,7 @@ null doc_id is scored and counts as not held out; without labels of both kinds,
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -376,15 +377,29 @@ def scorer(model: Field, text_at: int):
     return score
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], list[int]]:
-    """Texts and labels of the bounded sample; of several labels of one doc_id the largest counts."""
+def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """text and toxic of the bounded sample, in order; of several labels of one doc_id the largest counts."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     texts = docs.where(F.length("text") <= FIT_CHARS).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = F.xxhash64("doc_id")
     chosen = usable.join(texts.select("doc_id").distinct(), "doc_id").orderBy(order, "doc_id").limit(rows)
-    found = texts.join(F.broadcast(chosen), "doc_id").orderBy(order, "doc_id", "text").limit(rows).collect()
-    return [r["text"] for r in found], [int(r["toxic"] > 0) for r in found]
+    found = texts.join(F.broadcast(chosen), "doc_id").orderBy(order, "doc_id", "text").limit(rows)
+    return found.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+
+
+def fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts, labels = [], []
+    for batch in batches:
+        texts += batch.column(0).to_pylist()
+        labels += batch.column(1).to_pylist()
+    yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(vars(fitted(texts, labels)))]}, schema=pa.schema([("model", pa.binary())]))
+
+
+def learned(docs: DataFrame, labels: DataFrame) -> Field:
+    """The model, fitted by one task on the bounded sample."""
+    found = sample(docs, labels).coalesce(1).mapInArrow(fit_task, "model binary").first()
+    return Field(**pickle.loads(found["model"])) if found else Field()
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, carried: list[str] | None = None) -> DataFrame:
@@ -392,7 +407,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, carried: list[str] | None =
 
     With `carried`, these columns of `docs` come first instead of doc_id.
     """
-    model = fitted(*sample(docs, labels))
+    model = learned(docs, labels)
     kept = [F.col(f"`{name}`") for name in carried or ["doc_id"]]
     rows = docs.select(*kept, F.col("doc_id").alias("_doc_id"), F.col("text").cast("string").alias("_text"))
     schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("_score double, _spans array<struct<start:int,length:int>>").fields])
