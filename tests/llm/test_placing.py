@@ -51,6 +51,26 @@ def test_shards_of_one_large_group(docs):
     check_shards(rows, out)
 
 
+def test_shards_keep_a_group_that_fits_one_shard(docs):
+    rows = [(i, "copy") for i in range(400)] + [(1000 + i, f"text {i % 600}") for i in range(1200)] + [(3000 + i, f"own {i}") for i in range(2400)]
+    out = sharding.sharded(docs(rows)).collect()
+    check_shards(rows, out)
+    assert cut(out) == 0
+
+
+def test_shards_keep_pairs_beside_a_group_that_fits_none(docs):
+    rows = [(i, "copy") for i in range(1000)] + [(2000 + i, f"text {i % 400}") for i in range(800)] + [(4000 + i, f"own {i}") for i in range(1200)]
+    out = sharding.sharded(docs(rows)).collect()
+    check_shards(rows, out)
+    assert cut([r for r in out if r["text_crc32"] != zlib.crc32(b"copy")]) == 0
+
+
+def test_wishes_are_granted_within_rooms_and_small_groups_first():
+    room = dict.fromkeys(range(sharding.SHARDS), 0)
+    assert sharding._granted({(0, 1, 1, 0): 5, (1, 2, 1, 0): 5, (2, 0, 1, 0): 5, (3, 1, 1, 0): 5}, room) == {(0, 1, 1, 0), (1, 2, 1, 0), (2, 0, 1, 0)}
+    assert sharding._granted({(0, 1, 9, 0): 6, (2, 1, 1, 0): 5}, {**room, 1: 8}) == {(2, 1, 1, 0)}
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 9])
 def test_shards_of_few_rows(docs, n):
     rows = [(i, "same") for i in range(n)]

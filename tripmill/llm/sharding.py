@@ -1,10 +1,12 @@
 """Sharding by balanced label propagation, under the law `rows`: row counts of the shards are at most one apart.
 
 Documents of equal text are linked. Rows start in a shard by a hash of their id. Each round, the cells of every group (its
-rows by first shard and salt) wish to join the shard that holds most of their group, and a wish between two shards is
-granted as far as wishes the other way, and a small slack, leave room, so that sizes stay nearly even. Rounds stop when
-nothing wishes to move, when the cut no longer falls, or after ROUNDS. At the end, unlinked rows of shards that are too
-large fill up the others; linked rows are touched only if they alone exceed a shard.
+rows by first shard and salt) wish to join the shard that holds most of their group. The room of a shard is its quota less
+the linked rows it holds, as unlinked rows can always go elsewhere. Wishes are granted in units, small groups first, as far
+as rooms and the wishes that leave allow. When no wish is granted, ties go to the shard with more room; when that helps no
+more, whole groups of the shards that are too full make way for shards with room. Every granted wish lowers the cut, and
+groups make way again only if less than before is without room, so rounds end by themselves. At the end, unlinked rows of
+shards that are too large fill up the others; linked rows are touched only if they alone exceed a shard.
 
 Cells, not rows, move: a group that holds a third of all rows is at most SHARDS * SALTS cells, and the part of it that fits
 no shard is cut. Ranks in a shard come from ranks in small buckets plus offsets, never from one sorted shard.
@@ -22,11 +24,13 @@ from tripmill.llm.common import dropped, read, written
 
 SHARDS = 8
 SALTS = 16
-ROUNDS = 8
-SLACK = 0.02  # of a shard's rows, while rounds run
+PARTS = 64  # units of wishes between two shards, for every power of two of group sizes
 BUCKET_ROWS = 20_000
 MOST_BUCKETS = 4096
 
+UNIT = ["shard", "want", "rank", "part"]
+Unit = tuple[int, int, int, int]
+
 
 def digests(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
@@ -39,50 +43,111 @@ def digests(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> D
     )
 
 
-def _share(*key: str | Column) -> Column:
-    """A number from 0 to 1 that follows from the key."""
-    return F.pmod(F.xxhash64(*key), F.lit(1 << 30)) / float(1 << 30)
-
-
-def _granted(wishes: dict[tuple[int, int], int], room: int) -> dict[tuple[int, int], float]:
-    """The share of each wish that keeps sizes nearly even; wishes holds rows by (from, to)."""
-    spare = dict.fromkeys(range(SHARDS), room)
-    share = {}
-    for (a, b), rows in sorted(wishes.items()):
-        allowed = min(rows, wishes.get((b, a), 0))
-        extra = min(rows - allowed, spare[b])
-        spare[b] -= extra
-        share[a, b] = (allowed + extra) / rows
-    return share
+def _granted(wishes: dict[Unit, int], room: dict[int, int]) -> set[Unit]:
+    """The wishes (rows by unit) that together leave no shard fuller than its room; those of small groups come first."""
+    left, into = dict(room), {s: [] for s in range(SHARDS)}
+    for unit in sorted(wishes, key=lambda u: (u[2:], u[:2])):
+        into[unit[1]].append(unit)
+        left[unit[0]] += wishes[unit]
+        left[unit[1]] -= wishes[unit]
+    refused, full = [], set(range(SHARDS))
+    while full:
+        b = full.pop()
+        while into[b] and left[b] < min(0, room[b]):
+            unit = into[b].pop()
+            left[b] += wishes[unit]
+            left[unit[0]] -= wishes[unit]
+            full.add(unit[0])
+            refused.append(unit)
+    granted = {unit for own in into.values() for unit in own}
+    for unit in sorted(refused, key=lambda u: (u[2:], u[:2])):
+        if wishes[unit] <= left[unit[1]]:
+            granted.add(unit)
+            left[unit[0]] += wishes[unit]
+            left[unit[1]] -= wishes[unit]
+    return granted
+
+
+def _relief(whole: dict[Unit, int], need: dict[int, int], room: dict[int, int]) -> set[Unit]:
+    """Units of whole groups that leave shards where rows are needed for shards that have room."""
+    need, room, granted = dict(need), dict(room), set()
+    for unit in sorted(whole, key=lambda u: (u[2:], u[:2])):
+        a, b = unit[:2]
+        if need[a] > 0 and whole[unit] <= room[b]:
+            granted.add(unit)
+            need[a] -= whole[unit]
+            room[b] -= whole[unit]
+    return granted
+
+
+def _by_unit(wished: DataFrame) -> dict[Unit, int]:
+    """Rows by unit, at most SHARDS * SHARDS * 63 * PARTS of them."""
+    return {tuple(r)[:4]: r["n"] for r in wished.where("shard <> want").groupBy(*UNIT).agg(F.sum("n").alias("n")).collect()}
+
+
+def _moved(cells: DataFrame, wished: DataFrame, granted: set[Unit]) -> DataFrame:
+    units = wished.sparkSession.createDataFrame(sorted(granted), ", ".join(f"{c} int" for c in UNIT)).withColumn("granted", F.lit(True))
+    joined = wished.join(F.broadcast(units), UNIT, "left")
+    moved = written(joined.withColumn("shard", F.when(F.col("granted"), F.col("want")).otherwise(F.col("shard"))).select(*cells.columns), "cells")
+    dropped(cells)
+    return moved
 
 
 def propagated(cells: DataFrame, rows: int) -> DataFrame:
-    """Cells (grp, home, salt, n) with their shard after label propagation."""
-    cells = written(cells.withColumn("shard", F.col("home")), "cells")
-    least = None
-    for turn in range(ROUNDS):
+    """Cells (grp, home, salt, n, members) with their shard after label propagation."""
+    cells = written(cells.withColumn("rank", F.floor(F.log2("members")).cast("int")).withColumn("shard", F.col("home")), "cells")
+    room = dict.fromkeys(range(SHARDS), rows // SHARDS)
+    for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        room[r["shard"]] -= r["n"]
+
+    def settle(units: dict[Unit, int], granted: set[Unit]) -> None:
+        for unit in granted:
+            room[unit[0]] += units[unit]
+            room[unit[1]] -= units[unit]
+
+    roomy, least = False, None  # whether ties go to the shard with more room; rows without room before the last relief
+    while True:
         held = cells.groupBy("grp", "shard").agg(F.sum("n").alias("n"))
-        best = held.groupBy("grp").agg(F.max_by("shard", F.struct("n", F.xxhash64("grp", "shard"))).alias("want"))
-        wished = cells.join(best, "grp")
-        wishes = {(r["shard"], r["want"]): r["n"] for r in wished.where("shard <> want").groupBy("shard", "want").agg(F.sum("n").alias("n")).collect()}
-        cut = sum(wishes.values())
-        if not cut or least is not None and cut >= least:
-            break
-        least = cut
-        share = _granted(wishes, int(SLACK * rows / SHARDS))
-        granted = F.create_map(*[F.lit(x) for (a, b), p in share.items() for x in (a * SHARDS + b, p)])
-        lucky = _share("grp", "home", "salt", F.lit(turn)) < F.element_at(granted, F.col("shard") * SHARDS + F.col("want"))
-        moved = wished.withColumn("shard", F.when((F.col("shard") != F.col("want")) & lucky, F.col("want")).otherwise(F.col("shard")))
-        before, cells = cells, written(moved.drop("want"), "cells")
-        dropped(before)
-    return cells
+        tie = F.element_at(F.create_map(*[F.lit(x) for s in range(SHARDS) for x in (s, room[s])]), F.col("shard")) if roomy else F.lit(0)
+        best = held.groupBy("grp").agg(F.max_by("shard", F.struct("n", tie.alias("room"), F.xxhash64("grp", "shard").alias("tie"))).alias("want"))
+        wished = cells.join(best, "grp").withColumn("part", F.pmod(F.xxhash64("grp", "salt"), F.lit(PARTS)).cast("int"))
+        wishes = _by_unit(wished)
+        granted = _granted(wishes, room)
+        if granted:
+            settle(wishes, granted)
+            cells = _moved(cells, wished, granted)
+            continue
+        if wishes and not roomy:
+            roomy = True
+            continue
+        # Whole groups make way for what has found no room.
+        need = {s: max(0, -room[s]) for s in range(SHARDS)}
+        for unit, n in wishes.items():
+            need[unit[1]] += n
+        lacking = sum(need.values())
+        open_ = [s for s in range(SHARDS) if not need[s] and room[s] > 0]
+        if not lacking or not open_ or least is not None and lacking >= least:
+            return cells
+        least, roomy = lacking, False
+        settled = held.join(cells.groupBy("grp").agg(F.max("members").alias("members")), "grp").where("n = members").select("grp")
+        choice = F.pmod(F.xxhash64("grp", F.lit(lacking)), F.lit(len(open_))).cast("int")
+        away = F.element_at(F.array(*map(F.lit, open_)), choice + 1)
+        leaving = F.col("whole") & F.col("shard").isin([s for s in range(SHARDS) if need[s]])
+        wished = cells.join(settled.withColumn("whole", F.lit(True)), "grp", "left").withColumn("want", F.when(leaving, away).otherwise(F.col("shard")))
+        wished = wished.withColumn("part", F.pmod(F.xxhash64("grp"), F.lit(PARTS)).cast("int"))
+        whole = _by_unit(wished)
+        granted = _relief(whole, need, room)
+        if not granted:
+            return cells
+        settle(whole, granted)
+        cells = _moved(cells, wished, granted)
 
 
 def sharded(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row of `docs`."""
     rows = written(digests(docs, text=text, doc_id=doc_id), "digests")
     groups = rows.groupBy("grp", "home", "salt").agg(F.count("*").alias("n"))
-    linked = groups.join(groups.groupBy("grp").agg(F.sum("n").alias("members")).where("members > 1").select("grp"), "grp")
+    linked = groups.join(groups.groupBy("grp").agg(F.sum("n").alias("members")).where("members > 1"), "grp")
     total = rows.count()
     cells = propagated(linked, total)
 
