@@ -221,6 +221,27 @@ def test_page_without_article():
     assert html_text.main_text(PAGE % inner) == "Head\nSome words that are long enough to be a text.\nAnd linked ones too, more of them."
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar'><article><p>The text.</p></article></body>", "<html id='comments'><body class='teaser'><p>The text.</p></body></html>",
+        "<main class='with-sidebar'><p>The text.</p></main>", "<article class='post comments-open' id='related'><p>The text.</p></article>",
+        "<div role='main' class='sidebar-left'><p>The text.</p></div>", "<div class='layout has-sidebar'><article><p>The text.</p></article></div>",
+    ],
+)
+def test_page_classes_of_themes(page):
+    assert html_text.main_text(page) == "The text."
+
+
+def test_page_names_inside_an_article():
+    inner = (
+        "<section id='search-and-replace'><p>One.</p></section><h2 id='cookie-policy'>Two</h2><p class='article-header'>Three.</p><p id='comments'>Four.</p>"
+        "<p class='related-work'>Five.</p>"
+    )
+    dropped = "<div class='sidebar'>Not</div><div class='x share'>Not</div><div class='comments'><article class='post'>Not</article></div>"
+    assert html_text.main_text(f"<article>{inner}{dropped}</article><div id='related-posts'><article>Not</article></div>") == "One.\nTwo\nThree.\nFour.\nFive."
+
+
 def test_odd_pages(spark):
     pages = [
         (1, "u", None), (2, None, ""), (3, "u", "plain &lt;"), (4, "u", "<p>open <b>bold <i>it"), (5, "u", "<article><p>cut off in a tag</p><a hre"), (6, "u", "</div></p>x"),

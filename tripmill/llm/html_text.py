@@ -2,7 +2,8 @@
 
 A streaming parser (html.parser of the standard library) turns a page into lines, one per block of text, with its
 characters and the tags that led to it. Text inside links counts for nothing in the ratio. Lines of menus, headers, footers,
-sidebars, notices, adverts, forms and comments, known by their elements, roles, classes and ids, have ratio 0. The
+sidebars, notices, adverts, forms and comments, known by their elements, roles, classes and ids, have ratio 0; classes and
+ids of html, body, main and article tell nothing, and within an article only whole classes do. The
 logarithms of the ratios are smoothed by a Gaussian along the page, and lines above a share of the spread of all smoothed
 values form clusters. A cluster grows to the bounds of its region: the article or main element that it lies in, or without
 one, the run of lines between two lines of furniture. If a page has an article or main element with text, lines outside
@@ -51,6 +52,7 @@ FURNITURE_WORDS = set(
     "sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
 ASIDE_WORDS = set("comment comments discussion disqus related recommended replies reply responses sidebar teaser".split())
+STATES = set("has with without no".split())  # classes that begin so tell what an element has beside its text
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("ul ol dl table div section article main aside nav body".split())
 
@@ -59,20 +61,32 @@ PARTS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 PLAIN, ARTICLE, BOX, SIDE, NONE = range(5)  # what the lines of an element are: BOX is furniture, SIDE also for articles in it
 
 
-def kind_of(tag: str, attributes: list[tuple[str, str | None]]) -> int:
+def names_in(given: dict[str, str], outer: int) -> set[str]:
+    """Words of classes and ids; within an article only whole classes, as parts of names and ids there speak of content."""
+    classes = given.get("class", "").split()
+    if outer == ARTICLE:
+        return {name.lower() for name in classes}
+    parts = [PARTS.split(name.strip("-_")) for name in (*classes, given.get("id", ""))]
+    return {part.lower() for name in parts if name[0].lower() not in STATES for part in name}
+
+
+def kind_of(tag: str, attributes: list[tuple[str, str | None]], outer: int = PLAIN) -> int:
     if tag in SILENT:
         return NONE
     given = {name: value or "" for name, value in attributes}
     if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower():
         return NONE
-    names = {part.lower() for part in PARTS.split(f"{given.get('class', '')} {given.get('id', '')}")} if "class" in given or "id" in given else set()
+    role = given.get("role", "").lower()
+    content = tag in ("article", "main") or role in ("main", "article")
+    judged = not content and tag not in ("body", "html") and ("class" in given or "id" in given)
+    names = names_in(given, outer) if judged else set()
     if tag == "aside" or names & ASIDE_WORDS:
         return SIDE
-    if tag in FURNITURE or given.get("role", "").lower() in FURNITURE_ROLES:
+    if tag in FURNITURE or role in FURNITURE_ROLES:
         return BOX
-    if tag in ("article", "main") or given.get("role", "").lower() in ("main", "article"):
+    if content:
         return ARTICLE
-    return BOX if names & FURNITURE_WORDS and tag not in ("body", "html") else PLAIN
+    return BOX if names & FURNITURE_WORDS else PLAIN
 
 
 def inside(outer: int, kind: int) -> int:
@@ -125,7 +139,7 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         outer, region = self.here()
-        kind = inside(outer, kind_of(tag, attrs))
+        kind = inside(outer, kind_of(tag, attrs, outer))
         if kind != outer or tag in ("article", "main") and outer == PLAIN:
             self.regions += 1
             region = self.regions
