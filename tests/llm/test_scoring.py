@@ -242,6 +242,18 @@ def test_page_names_inside_an_article():
     assert html_text.main_text(f"<article>{inner}{dropped}</article><div id='related-posts'><article>Not</article></div>") == "One.\nTwo\nThree.\nFour.\nFive."
 
 
+@pytest.mark.parametrize("end", ["", "</head>"])
+@pytest.mark.parametrize("start", ["<body>", "<body><div>", "", "<div id='content'>", "<b></b>", "<img src='x'>"])
+def test_page_without_end_of_head(end, start):
+    head = "<!DOCTYPE html><html>\n<head><meta charset='utf-8'><title>No</title>\n<script>var t = '<p>';</script><noscript><img src='x'>No</noscript><style>p{}</style>\n"
+    assert html_text.main_text(f"{head}{end}{start}<article><p>The text.</p></article>") == "The text."
+    assert html_text.main_text(f"{head}{end}{start}<p>The text.</p>") == "The text."
+
+
+def test_page_with_text_in_an_open_head():
+    assert html_text.main_text("<html><head><title>No</title>The text.") == "The text."
+
+
 def test_odd_pages(spark):
     pages = [
         (1, "u", None), (2, None, ""), (3, "u", "plain &lt;"), (4, "u", "<p>open <b>bold <i>it"), (5, "u", "<article><p>cut off in a tag</p><a hre"), (6, "u", "</div></p>x"),

@@ -12,7 +12,7 @@ of it count as furniture.
 Each page is worked on where it is read; a task holds one page's lines at a time, and nothing is shuffled.
 
 Defined results: null and empty pages, and pages without a main text, have an empty text; broken markup is read as far as it
-makes sense: elements left open end with the element around them, an end tag without a start is ignored, and so is a tag that
+makes sense: elements left open end with the element around them, a head also where content begins, an end tag without a start is ignored, and so is a tag that
 the page breaks off in; rows that repeat
 are each extracted; an empty table gives an empty table.
 """
@@ -54,6 +54,7 @@ FURNITURE_WORDS = set(
 ASIDE_WORDS = set("comment comments discussion disqus related recommended replies reply responses sidebar teaser".split())
 STATES = set("has with without no".split())  # classes that begin so tell what an element has beside its text
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+HEAD_CONTENT = set("base basefont bgsound link meta noframes noscript script style template title".split())
 SCOPES = set("ul ol dl table div section article main aside nav body".split())
 
 CUT_OFF = re.compile(r"<!--.*\Z|<[A-Za-z/!?][^>]*\Z", re.DOTALL)  # a tag or comment that the page ends in
@@ -123,7 +124,17 @@ class Lines(HTMLParser):
     def close_to(self, depth: int) -> None:
         del self.stack[depth:]
 
+    def end_head(self, tag: str | None = None) -> None:
+        """</head> may be left out: the head ends where a body, text or an element begins that may not stand in it."""
+        for depth in range(len(self.stack) - 1, -1, -1):
+            if self.stack[depth][0] == "head":
+                return self.close_to(depth)
+            if tag != "body":
+                return None
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_CONTENT:
+            self.end_head(tag)
         if tag in BLOCKS:
             self.end_line()
             self.links = 0
@@ -170,6 +181,8 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self.end_head()
         if self.here()[0] != NONE:
             self.parts.append(data)
             if not self.links:
