@@ -183,6 +183,23 @@ def test_months_without_data_are_skipped(spark, settings):
     assert monthly.enrich_range(spark, settings, *span).total_rows == 11
 
 
+def test_trips_of_a_month_without_weather_are_curated(spark, tmp_path):
+    span = (date(2025, 1, 1), date(2025, 3, 31))
+    january_only = Settings(root=str(tmp_path / "january"), max_invalid_ratio=1.0, max_null_ratio=1.0)
+    landing.write_trips(tmp_path / "january", "2025-01", landing.january())
+    landing.write_trips(tmp_path / "january", "2025-02", [row for row in landing.february() if row["tpep_pickup_datetime"].month == 2])
+    monthly.validate_range(spark, january_only, *span)
+    monthly.normalize_range(spark, january_only, *span)
+    with pytest.raises(MissingPartitionError, match="No weather data"):
+        monthly.enrich_range(spark, january_only, *span)
+    landing.write_weather(tmp_path / "january", "2025-01")
+    coverage = monthly.enrich_range(spark, january_only, *span)
+    assert (coverage.total_rows, coverage.unmatched_rows) == (9, 3)
+    february = read_curated(spark, january_only.curated, "2025-02")
+    assert february.count() == 3
+    assert february.where("weather_joined or temperature is not null").isEmpty()
+
+
 def test_failing_dataset_test_blocks_the_serving_tables(spark, settings, tmp_path):
     landing.write_zones(tmp_path).write_text("LocationID,Borough,Zone,service_zone\n100,M,Y,B\n")
     with pytest.raises(QualityError, match="relationships_fct_trips_pickup_location_id"):

@@ -145,20 +145,43 @@ def enrich_month(spark: SparkSession, settings: Settings, partition: str) -> tup
     result does not depend on the order in which months run.
     """
     trips = read_staged(spark, settings.staging, partition)
+    dates = curate_staged(spark, settings, partition, trips, [])
+    return weather_coverage(read_curated(spark, settings.curated, partition)).first(), dates
+
+
+def curate_staged(
+    spark: SparkSession, settings: Settings, partition: str, trips: DataFrame, span: list[str]
+) -> list[str]:
+    """Curate the staged trips of a month; returns their dates.
+
+    Where no month of these dates has weather, trips are curated without it, if any month of
+    `span` has weather.
+    """
     dates = [row.pickup_date for row in sinks.dates_written(trips).collect()]
-    weather = read_weather_months(spark, settings.raw_weather, [day[:7] for day in dates] or [partition])
+    try:
+        weather = read_weather_months(spark, settings.raw_weather, [day[:7] for day in dates] or [partition])
+    except MissingPartitionError:
+        if not span:
+            raise
+        weather = read_weather_months(spark, settings.raw_weather, span)
     sinks.write_month_dates(enrich_hourly(trips, weather), settings.curated, partition)
-    return weather_coverage(read_curated(spark, settings.curated, partition)).first(), dates
+    return dates
 
 
 def enrich_range(spark: SparkSession, settings: Settings, start: date, end: date) -> Row:
-    """Curate the staged months that touch [start, end]; returns the coverage of all of them."""
+    """Curate the staged months that touch [start, end]; returns the coverage of all of them.
+
+    Months without staged trips are skipped. Trips of months without weather are curated with
+    null weather; only when the whole range has none, an error says so.
+    """
     done = []
-    for partition in month_keys(spark, start, end):
+    span = month_keys(spark, start, end)
+    for partition in span:
         try:
-            enrich_month(spark, settings, partition)
+            trips = read_staged(spark, settings.staging, partition)
         except MissingPartitionError:
             continue
+        curate_staged(spark, settings, partition, trips, span)
         done.append(read_curated(spark, settings.curated, partition))
     if not done:
         raise MissingPartitionError(f"No data staged between {start} and {end}")
