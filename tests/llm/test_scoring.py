@@ -65,6 +65,16 @@ def test_fingerprints_empty_lone_and_native(docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_query_sees_the_shared_half(docs, spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(150))) for i in range(60)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = fingerprints.op4_fingerprints(spark, str(tmp_path)).collect()
+    assert len(out) == 60 and all(r["near_edited"] > r["near_next"] for r in out)
+    texts = dict(rows)
+    assert all(r["fingerprint"] == shown(brute.components(texts[r["doc_id"]], bits=7)) for r in out)
+
+
 # mixing
 
 SYLLABLES = {"en": ["the", "and", "ing", "of"], "de": ["der", "und", "ung", "ein"], "fr": ["le", "et", "eau", "une"], "es": ["el", "y", "cion", "una"]}

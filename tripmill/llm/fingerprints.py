@@ -1,7 +1,7 @@
 """Document fingerprints by order min hash.
 
 The k-mers of a text are runs of K words, numbered by their occurrence, so that the third "a b" is another element than the
-first. A random rank of k-mer and number deals the elements into BINS bins; of each bin the TUPLE elements of least rank are
+first. A random rank of k-mer and number deals the elements into 2 ** bits bins; of each bin the TUPLE elements of least rank are
 taken, put back in text order, and their k-mers hashed to one component. Two texts agree in a component if the same k-mers
 were selected and stand in the same order, so likeness falls with the edit distance and not only with the vocabulary.
 
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import order_id, read, words
 
 K = 2
-BIN_BITS = 4
-BINS = 1 << BIN_BITS
+BIN_BITS = 4  # unless a caller asks for more
+QUERY_BIN_BITS = 7  # of the query: half-equal texts share one component in nine, and all of 128 hardly ever miss
 TUPLE = 2
 RANGE_ROWS, MOST_RANGES = 256, 16384
 
@@ -52,8 +52,8 @@ def _starts(values: Column, bits: int) -> Column:
     return F.filter(places, lambda i: (i == 0) | differs(i))
 
 
-def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the components of `text`, an array of BINS longs with nulls for bins without elements.
+def with_fingerprint(rows: DataFrame, text: str, name: str, bits: int = BIN_BITS) -> DataFrame:
+    """Adds the components of `text`, an array of 2 ** bits longs with nulls for bins without elements.
 
     Each step is a column of its own that the next uses more than once, which keeps Spark from working it out anew for
     every element.
@@ -67,7 +67,7 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     run = lambda s, g: F.slice(sorted_k, s + 1, F.coalesce(F.get(starts, g + 1), F.size(sorted_k)) - s)
     ranked = lambda x, o: _packed(F.xxhash64(F.shiftright(x, 32), o), _low(x, LOW32))
     rows = rows.withColumn("_r", F.sort_array(F.flatten(F.transform(starts, lambda s, g: F.transform(run(s, g), ranked)))))
-    bin_bits = 63 - BIN_BITS
+    bin_bits = 63 - bits
     rows = rows.withColumn("_b", _starts(F.col("_r"), bin_bits))
     sorted_r = F.col("_r")
 
@@ -79,7 +79,7 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
 
     rows = rows.withColumn("_c", F.map_from_entries(F.transform(F.col("_b"), component)))
     found = F.col("_c")
-    rows = rows.withColumn(name, F.array(*(F.try_element_at(found, F.lit(b)) for b in range(BINS))))
+    rows = rows.withColumn(name, F.array(*(F.try_element_at(found, F.lit(b)) for b in range(1 << bits))))
     return rows.drop("_w", "_k", "_s", "_r", "_b", "_c")
 
 
@@ -95,7 +95,7 @@ def shown(components: Column) -> Column:
     return F.array_join(F.transform(components, lambda c: F.coalesce(F.lower(F.lpad(F.hex(c), 16, "0")), F.lit("-" * 16))), "")
 
 
-def with_next(rows: DataFrame, order: str, text: str) -> DataFrame:
+def with_next(rows: DataFrame, order: str, text: str, bits: int = BIN_BITS) -> DataFrame:
     """Adds the fingerprint of `text` as `own`, and text and fingerprint of the next row by `order` (then by text) as
     `next_text` and `next_own`; the first row follows on the last.
     """
@@ -108,7 +108,7 @@ def with_next(rows: DataFrame, order: str, text: str) -> DataFrame:
 
     sequence = Window.partitionBy("_range").orderBy(order, text)
     follower = F.lead(F.struct(F.col(text).alias("t"), F.col("own").alias("o"))).over(sequence)
-    printed = with_fingerprint(rows, text, "own").withColumn("_next", follower)
+    printed = with_fingerprint(rows, text, "own", bits).withColumn("_next", follower)
 
     # First texts of the ranges, at most MOST_RANGES + 1.
     least = rows.groupBy("_range").agg(F.min(order).alias("_least"))
@@ -116,7 +116,7 @@ def with_next(rows: DataFrame, order: str, text: str) -> DataFrame:
     lowest = F.min("_least").over(following.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     after = least.select("_range", F.coalesce(F.lead("_least").over(following), lowest).alias("_head"))
     heads = rows.select(F.col(order).alias("_head"), F.col(text).alias("_head_text")).join(F.broadcast(least.select(F.col("_least").alias("_head"))), "_head")
-    heads = with_fingerprint(heads.groupBy("_head").agg(F.min("_head_text").alias("_head_text")), "_head_text", "_head_own")
+    heads = with_fingerprint(heads.groupBy("_head").agg(F.min("_head_text").alias("_head_text")), "_head_text", "_head_own", bits)
     heads = after.join(heads, "_head").select("_range", "_head_text", "_head_own")
 
     joined = printed.join(heads, "_range", "left")
@@ -125,22 +125,22 @@ def with_next(rows: DataFrame, order: str, text: str) -> DataFrame:
     )
 
 
-def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", bits: int = BIN_BITS) -> DataFrame:
     """doc_id and the fingerprint of every row of `docs`, as an array."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    return with_fingerprint(rows, "_t", "fingerprint").drop("_t")
+    return with_fingerprint(rows, "_t", "fingerprint", bits).drop("_t")
 
 
-def compared(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def compared(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", bits: int = BIN_BITS) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness to each other and to the next document's.
 
     The edited text has its last half, rounded down, replaced by as many code points from the start of the next document.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), order_id(F.col(doc_id)).alias("_order"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = with_next(rows, "_order", "_text").withColumn("n_chars", F.length("_text"))
+    rows = with_next(rows, "_order", "_text", bits).withColumn("n_chars", F.length("_text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("_edited", F.concat(F.substring("_text", F.lit(1), F.col("n_chars") - half), F.substring("next_text", F.lit(1), half)))
-    rows = with_fingerprint(rows, "_edited", "_edited_own")
+    rows = with_fingerprint(rows, "_edited", "_edited_own", bits)
     return rows.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), shown(F.col("own")).alias("fingerprint"),
         shown(F.col("_edited_own")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("_edited_own")).alias("near_edited"),
@@ -149,4 +149,4 @@ def compared(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compared(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return compared(read(spark, sf_dir, "documents").select("doc_id", "text"), bits=QUERY_BIN_BITS)
