@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tripmill.llm import exact_dedup, fingerprints, html_text, line_dedup, mixing, near_dedup, packing, sharding, substring_dedup, toxicity
+from tripmill.llm import exact_dedup, filter_audit, fingerprints, html_text, language_id, line_dedup, mixing, near_dedup, packing, prefix_trie, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_packing": packing.op10_packing,
+    "op11_language_id": language_id.op11_language_id,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -23,4 +26,6 @@ SQL = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_substring_dedup": substring_dedup.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
