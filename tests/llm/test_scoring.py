@@ -116,7 +116,7 @@ def test_mixing_follows_plain_descent(mixed_docs):
     p /= p.sum(1, keepdims=True)
     sizes = t @ p
     rate = np.ones(len(rows))
-    for _ in range(mixing.STEPS):
+    for _ in range(3000):
         rate = np.maximum(0, rate - p @ (((t * rate) @ p - t.sum() / 4) / sizes))
     assert [r["rate"] for r in rows] == pytest.approx(list(rate), abs=1e-3)
 
@@ -275,3 +275,9 @@ def test_odd_pages(spark):
     assert [out[i, "u"]["text"] for i in (1, 3, 4, 5, 6, 7)] == ["", "plain <", "open bold it", "cut off in a tag", "x", "in an open menu"]
     assert out[None, "u"]["n_chars"] == 20_000 * 10 - 1 and out[2, None]["n_chars"] == 0
     assert html_text.page_texts(df.where("page_id = 99")).isEmpty()
+
+
+def test_mixing_warns_of_targets_out_of_reach(mixed_docs):
+    with pytest.warns(UserWarning, match="off its target"):
+        rows = mixing.mixed(mixed_docs, mixed_docs, {"en": 0.1, "de": 0.9}, least=1.0, total=1.0).collect()
+    assert {r["rate"] for r in rows} == {1.0}

@@ -9,8 +9,8 @@ each domain, and no rate falls below LEAST. In the metric that weighs documents
 the matrix of the problem is stochastic, so steps of length 1 converge.
 
 Posteriors are kept in per cent, so documents with equal posteriors share a rate and the descent runs over their totals, at
-most some 180 000 rows for four domains, however many documents there are. The driver sees one row of domain totals per step
-and the counts of the classifier. The rate of a document is found by replaying the steps on its posterior.
+most some 180 000 rows for four domains, however many documents there are. The driver sees a few rows of domain totals and
+the counts of the classifier. The rate of a document is found by replaying the steps on its posterior.
 
 A document is taken floor(rate + u) times, u being a number from 0 to 1 that follows from its id and text.
 
@@ -23,18 +23,22 @@ treated alike; an empty table gives an empty table.
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import read, words, written
+from tripmill.llm.common import dropped, read, words, written
 from tripmill.llm.line_dedup import identified
 
 BUCKETS = 4096
 FIT_ROWS = 20_000  # labelled rows with the smallest hashes that the classifier learns from
 TEMPER = 50  # words; the evidence of longer texts counts as that of so many, which keeps membership soft
-STEPS, CLOSE = 60, 1e-6
+CLOSE = 1e-6  # of a domain's size: targets that are met so closely are met
+SETTLED = 1e-9  # share of the squared distance that a step must gain, or rates are as near as they come
+FORESEEN, MOST_FORESEEN, MOST_ROUNDS = 8, 32, 40  # steps at a time, and times; a warning tells if targets are missed then
+ROOM = 1.01  # of the least total for which no domain is over its target: at 1 a domain's target could only just be met
 
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
@@ -93,42 +97,82 @@ def _posterior(percents: Column, size: int) -> list[Column]:
 
 
 def _rate(percents: Column, size: int, steps: list[list[float]], least: float) -> Column:
-    """The rate after the steps: each lowers it by the posterior times the step, and never below `least`."""
-    if not steps:
-        return F.lit(max(1.0, least))
+    """The rate after all steps."""
+    start = F.lit(max(1.0, least))
+    return _after(steps, start, _posterior(percents, size), least) if steps else start
+
+
+def _after(steps: list[list[float]], rate: Column, posterior: list[Column], least: float) -> Column:
+    """A rate after further steps: each lowers it by the posterior times the step, and never below `least`."""
+    size = len(posterior)
     flat = _numbers([x for step in steps for x in step])
-    posterior = _posterior(percents, size)
     lowered_by = lambda j: sum(p * F.get(flat, j * size + i) for i, p in enumerate(posterior))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), F.lit(max(1.0, least)), lambda rate, j: F.greatest(F.lit(least), rate - lowered_by(j)))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), rate, lambda r, j: F.greatest(F.lit(least), r - lowered_by(j)))
 
 
 def fitted_steps(members: DataFrame, weights: list[float], least: float, total: float | None) -> list[list[float]]:
-    """Steps of the descent; `members` has n_words and percents."""
-    n = len(weights)
-    cells = written(members.where("n_words > 0").groupBy("percents").agg(F.sum("n_words").alias("n_words")), "cells")
-
-    def totals(steps: list[list[float]]) -> list[float]:
-        rate = _rate(F.col("percents"), n, steps, least)
-        row = cells.agg(*(F.sum(F.col("n_words") * p * rate).alias(f"d{i}") for i, p in enumerate(_posterior(F.col("percents"), n)))).first()
-        return [x or 0.0 for x in row]
+    """Steps of the descent, run until the targets are met or no step brings them nearer; `members` has n_words and percents.
 
-    sizes = totals([])
-    if max(1.0, least) != 1.0:
-        sizes = [x / max(1.0, least) for x in sizes]
-    there = [i for i in range(n) if sizes[i] > 0 and weights[i] > 0]
+    Totals change linearly as long as no rate comes to its bound. So the totals and their change by the free rates are
+    summed once for several steps to come, which the driver foresees from these few numbers. Where the next sums show that
+    rates came to their bound meanwhile, fewer steps are foreseen at a time, down to one.
+    """
+    n = len(weights)
+    start = max(1.0, least)
+    cells = members.where("n_words > 0").groupBy("percents").agg(F.sum("n_words").alias("n_words"))
+    cells = written(cells.select(*(p.alias(f"p{i}") for i, p in enumerate(_posterior(F.col("percents"), n))), "n_words", F.lit(start).alias("rate")), "cells")
+    domains = range(n)
+
+    def sums(of: dict[str, Column]) -> dict[str, float]:
+        row = cells.agg(*(F.sum(F.col("n_words") * c).alias(name) for name, c in of.items())).first()
+        return {name: row[name] or 0.0 for name in of}
+
+    def totals() -> list[float]:
+        found = sums({f"d{i}": F.col(f"p{i}") * F.col("rate") for i in domains})
+        return [found[f"d{i}"] for i in domains]
+
+    held = totals()
+    sizes = [x / start for x in held]
+    there = [i for i in domains if sizes[i] > 0 and weights[i] > 0]
     if not there:
+        dropped(cells)
         return []
     share = sum(weights[i] for i in there)
-    if total is None:  # as few words as leave no domain with less than `least` of its own
-        total = max(least * sizes[i] * share / weights[i] for i in there) if least > 0 else sum(sizes)
-    targets = [total * weights[i] / share if i in there else 0.0 for i in range(n)]
+    if total is None:  # hardly more words than leave no domain with less than `least` of its own
+        total = ROOM * max(least * sizes[i] * share / weights[i] for i in there) if least > 0 else sum(sizes)
+    targets = [total * weights[i] / share if i in there else 0.0 for i in domains]
+    excess_of = lambda held: [(held[i] - targets[i]) / sizes[i] if sizes[i] > 0 else 0.0 for i in domains]
+    far = lambda e: sum(x * x * s for x, s in zip(e, sizes, strict=True))
     steps: list[list[float]] = []
-    for _ in range(STEPS):
-        held = totals(steps)
-        excess = [(held[i] - targets[i]) / sizes[i] if sizes[i] > 0 else 0.0 for i in range(n)]
-        if max(abs(x) for x in excess) < CLOSE:
+    ahead = FORESEEN
+    for _ in range(MOST_ROUNDS):
+        excess = excess_of(held)
+        if max(map(abs, excess)) < CLOSE:
+            break
+        falls_by = sum(F.col(f"p{i}") * excess[i] for i in domains)
+        free = F.when(F.col("rate") - falls_by > least, 1.0).otherwise(0.0)
+        found = sums({f"m{i}_{j}": free * F.col(f"p{i}") * F.col(f"p{j}") for i in domains for j in range(i, n)})
+        change = [[found[f"m{min(i, j)}_{max(i, j)}"] for j in domains] for i in domains]
+        foreseen, coming = list(held), []
+        while len(coming) < ahead:
+            step = excess_of(foreseen)
+            if max(map(abs, step)) < CLOSE / 10:
+                break
+            coming.append(step)
+            foreseen = [foreseen[i] - sum(change[i][j] * step[j] for j in domains) for i in domains]
+        posterior = [F.col(f"p{i}") for i in domains]
+        before, cells = cells, written(cells.withColumn("rate", _after(coming, F.col("rate"), posterior, least)), "cells")
+        dropped(before)
+        steps += coming
+        held = totals()
+        gained = far(excess) - far(excess_of(held))
+        as_foreseen = max(abs(a - b) / s for a, b, s in zip(held, foreseen, sizes, strict=True) if s > 0) < CLOSE
+        if gained <= SETTLED * far(excess) and (as_foreseen or len(coming) == 1):
             break
-        steps.append(excess)
+        ahead = min(2 * ahead, MOST_FORESEEN) if as_foreseen else max(1, ahead // 2) if gained > 0 else 1
+    dropped(cells)
+    if (missed := max(map(abs, excess_of(held)))) >= CLOSE:
+        warnings.warn(f"after {len(steps)} steps a domain is {missed:.1e} of its size off its target", stacklevel=2)
     return steps
 
 
