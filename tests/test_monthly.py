@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import date
+import json
+from datetime import date, datetime
 
 import landing
 import pytest
@@ -8,13 +9,15 @@ from pyspark.sql import functions as F
 
 from tripmill.errors import IngestError, MissingPartitionError, QualityError
 from tripmill.functions.calendar import month_bounds
+from tripmill.functions.digest import rows_checksum
 from tripmill.operators import checks
 from tripmill.plans import history, monthly, serving
+from tripmill.plans.commits import CommitLog
 from tripmill.plans.marts import build_marts
 from tripmill.schema import CRITICAL, CURATED_COLUMNS, STAGING_COLUMNS
 from tripmill.settings import Settings
-from tripmill.sinks.files import serving_marts, staging_view
-from tripmill.sources.trips import read_curated, read_validated
+from tripmill.sinks.files import serving_marts, staging_view, write_month_dates
+from tripmill.sources.trips import read_curated, read_dates, read_validated
 
 
 @pytest.fixture
@@ -222,6 +225,10 @@ def test_only_changed_months_are_published(spark, settings, tmp_path):
 
     january, february = files("2025-01"), files("2025-02")
     monthly.backfill(spark, settings, "2025-02-01", "2025-02-28")
+    assert (files("2025-01"), files("2025-02")) == (january, february)  # run again to the same rows
+    corrected = [{**row, "tip_amount": 1.5} for row in landing.february()]
+    landing.write_trips(tmp_path, "2025-02", corrected)
+    monthly.backfill(spark, settings, "2025-02-01", "2025-02-28")
     assert files("2025-01") == january
     assert files("2025-02") != february
     zones = landing.write_zones(tmp_path)
@@ -256,3 +263,115 @@ def test_fact_roles(spark, settings):
     assert spark.table("stg_trips").schema["passenger_count"].dataType.simpleString() == "int"
     assert fact.schema["pickup_hour"].dataType.simpleString() == "int"
     assert fact.schema["trip_duration_seconds"].dataType.simpleString() == "double"
+
+
+def joined(spark, settings):
+    """Sums that weather, tips and rows change, of the curated trips and of the fact."""
+    measures = [F.sum("temperature").alias("t"), F.sum("tip_amount").alias("tips"), F.count(F.lit(1)).alias("n")]
+    return [tuple(spark.read.parquet(path).agg(*measures).first()) for path in (settings.curated, settings.fact)]
+
+
+def warmer(tmp_path, month, by):
+    path = landing.write_weather(tmp_path, month)
+    document = json.loads(path.read_text())
+    document["hourly"]["temperature_2m"] = [t + by for t in document["hourly"]["temperature_2m"]]
+    path.write_text(json.dumps(document))
+
+
+def test_what_single_steps_rewrite_is_published(spark, settings, tmp_path):
+    span = (date(2025, 1, 1), date(2025, 2, 28))
+    monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    curated, fact = joined(spark, settings)
+    assert curated == fact
+    # Weather that came corrected, joined by a step of its own.
+    warmer(tmp_path, "2025-01", 100)
+    monthly.enrich_range(spark, settings, *span)
+    monthly.publish_marts(spark, settings)
+    curated, fact = joined(spark, settings)
+    assert curated == fact and fact[0] > 400
+    # Trips that came corrected, validated, normalized and enriched by steps of their own.
+    landing.write_trips(tmp_path, "2025-02", [{**row, "tip_amount": 9.0} for row in landing.february()[1:]])
+    monthly.validate_range(spark, settings, *span)
+    monthly.normalize_range(spark, settings, *span)
+    monthly.enrich_range(spark, settings, *span)
+    results = monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    assert [r.status for r in results] == ["skipped", "skipped"]
+    curated, fact = joined(spark, settings)
+    assert curated == fact and fact[2] == 10
+    whole = other(settings, tmp_path, "whole")
+    landing.write_trips(tmp_path / "whole", "2025-02", [{**row, "tip_amount": 9.0} for row in landing.february()[1:]])
+    warmer(tmp_path / "whole", "2025-01", 100)
+    monthly.run_range(spark, whole, start="2025-01-01", end="2025-02-28")
+    assert state(spark, whole) == state(spark, settings)
+
+
+def test_a_month_without_rows_is_a_success(spark, settings, tmp_path):
+    landing.write_trips(tmp_path, "2025-03", [])
+    april = [{**row, **{c: row[c].replace(month=4) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}} for row in landing.january()[:3]]
+    landing.write_trips(tmp_path, "2025-04", april)
+    landing.write_weather(tmp_path, "2025-04")  # none for March
+    results = monthly.run_range(spark, settings, start="2025-02-01", end="2025-04-30")
+    assert [(r.status, r.input_rows, r.output_rows) for r in results] == [("success", 5, 5), ("success", 0, 0), ("success", 3, 3)]
+    report = spark.read.json(f"{settings.reports}/partition=2025-03").first()
+    assert (report.total_rows, report.valid_rows, report.invalid_rows) == (0, 0, 0)
+    log = CommitLog(spark, settings.commit_log)
+    for table in ("validated", "staging", "curated", "fact"):
+        assert (log.find(table, "2025-03").row_count, log.find(table, "2025-03").dates) == (0, [])
+    assert set(monthly.curated_trips(spark, settings, "2025-03").columns) == set(monthly.curated_trips(spark, settings, "2025-04").columns)
+    assert spark.read.parquet(settings.fact).count() == 8
+    assert monthly.publish_marts(spark, settings).loaded_rows["daily_demand"] > 0
+    # A month that had rows and comes without any.
+    landing.write_trips(tmp_path, "2025-02", [])
+    monthly.backfill(spark, settings, "2025-02-01", "2025-02-28")
+    assert spark.read.parquet(settings.fact).count() == 3
+    for label in ("valid", "invalid", "quarantined"):
+        assert read_validated(spark, settings.validated, "2025-02", label, log.schema("validated", "2025-02")).isEmpty()
+
+
+def test_only_empty_months(spark, settings, tmp_path):
+    for month in ("2025-01", "2025-02"):
+        landing.write_trips(tmp_path, month, [])
+    results = monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
+    assert [r.output_rows for r in results] == [0, 0]
+    assert serving_marts(spark, settings.serving_database).daily_demand.isEmpty()
+
+
+def test_commits_record_what_was_written(spark, settings, tmp_path):
+    monthly.run_range(spark, settings, day="2025-01-15")
+    log = CommitLog(spark, settings.commit_log)
+    staged = log.find("staging", "2025-01")
+    files = list((tmp_path / "staging" / "trips").rglob("*.parquet"))
+    assert (staged.row_count, staged.file_count, staged.byte_count) == (6, len(files), sum(f.stat().st_size for f in files))
+    assert staged.dates == monthly.written_dates(spark, settings, "staging", "2025-01") == ["2025-01-04", "2025-01-09", "2025-01-17", "2025-01-30"]
+    monthly.backfill(spark, settings, "2025-01-01", "2025-01-31")
+    again = log.find("staging", "2025-01")
+    assert again.commit_id != staged.commit_id and again.checksum == staged.checksum
+    assert log.months("curated") == ["2025-01"] and log.find("curated", "2025-02") is None
+    with pytest.raises(MissingPartitionError):
+        log.schema("curated", "2025-02")
+
+
+def test_late_columns_come_from_the_recorded_schemas(spark, tmp_path):
+    """A column that later months have is null in earlier ones, without a look at their footers."""
+    log, root = CommitLog(spark, str(tmp_path / "log")), str(tmp_path / "curated")
+    at = datetime(2025, 1, 3, 8)
+    early = spark.createDataFrame([(1, at, date(2025, 1, 3))], "a int, pickup_datetime timestamp_ntz, pickup_date date")
+    late = spark.createDataFrame([(2, "x", at, date(2025, 2, 3))], "a int, b string, pickup_datetime timestamp_ntz, pickup_date date")
+    for month, rows in (("2025-01", early), ("2025-02", late)):
+        log.record("curated", month, write_month_dates(rows, root, month), rows.schema)
+    rows = read_curated(spark, root, schema=log.schema("curated"))
+    assert sorted(rows.select("a", "b").collect()) == [(1, None), (2, "x")]
+    dates = read_dates(spark, root, date(2025, 2, 1), date(2025, 2, 3), schema=log.schema("curated"))
+    assert [tuple(r) for r in dates.select("a", "b").collect()] == [(2, "x")]
+    other = late.withColumn("a", F.lit("3"))
+    log.record("curated", "2025-03", write_month_dates(other, root, "2025-03"), other.schema)
+    with pytest.raises(ValueError, match="a is"):
+        log.schema("curated")
+
+
+def test_checksum_sees_repeated_rows_and_no_order(spark):
+    def of(rows):
+        return spark.createDataFrame(rows, "a int, b string").agg(rows_checksum([F.col("a"), F.col("b")])).first()[0]
+
+    assert of([(1, "x"), (2, None), (3, "y")]) == of([(3, "y"), (2, None), (1, "x")])
+    assert len({of(x) for x in ([], [(1, "x")], [(1, "x")] * 2, [(1, "x")] * 3, [(1, "x"), (2, "y"), (2, "y")], [(1, "x"), (3, "y"), (3, "y")])}) == 6

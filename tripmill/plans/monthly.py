@@ -11,6 +11,7 @@ from datetime import date
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.errors import IngestError, MissingPartitionError, QualityError
 from tripmill.functions.calendar import month_bounds, months_between_dates
@@ -21,6 +22,7 @@ from tripmill.operators.joins import enrich_hourly, weather_coverage
 from tripmill.operators.latest import latest_per_key
 from tripmill.operators.normalize import normalize
 from tripmill.plans import history, observe
+from tripmill.plans.commits import CommitLog, schema_of, stored_bytes
 from tripmill.plans.marts import ROLLUPS, Marts, fct_trips, merged_rollup, rollup_parts, stg_trips
 from tripmill.schema import FACT_COLUMNS, MANIFEST_SCHEMA, PUBLISH_LOG_SCHEMA
 from tripmill.settings import Settings
@@ -34,7 +36,7 @@ from tripmill.sources.trips import (
     scan_month,
     union_by_name,
 )
-from tripmill.sources.weather import read_weather_months
+from tripmill.sources.weather import no_weather, read_weather_months
 from tripmill.sources.zones import read_zones
 
 
@@ -116,16 +118,18 @@ def validate_month(spark: SparkSession, settings: Settings, partition: str) -> R
     profile = spark.createDataFrame(profile_row, quality.row_profile().schema)
     check_gate(profile, settings)
 
-    path = sinks.write_outcomes(quality.outcomes(), settings.validated, partition)
-    written = spark.read.parquet(path)
+    outcomes = quality.outcomes()
+    path = sinks.write_outcomes(outcomes, settings.validated, partition)
     reason = F.col("quarantine_reason")
-    totals = written.agg(
-        F.count_if(F.col("class") == "valid").alias("valid_rows"),
-        F.count_if((F.col("class") == "quarantined") & (reason == "duplicate")).alias("duplicate"),
-        F.count_if((F.col("class") == "quarantined") & (reason == "outlier")).alias("outlier"),
+    totals = {
+        "valid_rows": F.col("class") == "valid",
+        "duplicate": (F.col("class") == "quarantined") & (reason == "duplicate"),
+        "outlier": (F.col("class") == "quarantined") & (reason == "outlier"),
+    }
+    written = CommitLog(spark, settings.commit_log).record(
+        "validated", partition, path, outcomes.schema, totals=[F.count_if(c).alias(n) for n, c in totals.items()]
     )
-    totals_row = totals.first()
-    flat = profile.withColumns({c: F.lit(totals_row[c]) for c in totals.columns})
+    flat = profile.withColumns({name: F.lit(written[name]) for name in totals})
     report = nest_report(flat, quality.profile)
     sinks.write_report(report, settings.reports, partition)
     return report.first()
@@ -133,9 +137,35 @@ def validate_month(spark: SparkSession, settings: Settings, partition: str) -> R
 
 def normalize_month(spark: SparkSession, settings: Settings, partition: str) -> tuple[int, int]:
     """Stage the valid trips of a month by pickup date; returns rows read and rows staged."""
-    valid = read_validated(spark, settings.validated, partition)
-    sinks.write_staging(normalize(valid), settings.staging, partition)
-    return valid.count(), read_staged(spark, settings.staging, partition).count()
+    log = CommitLog(spark, settings.commit_log)
+    schema = recorded_schema(log, "validated", partition)
+    valid = read_validated(spark, settings.validated, partition, schema=schema)
+    rows = normalize(valid)
+    path = sinks.write_staging(rows, settings.staging, partition)
+    staged = log.record("staging", partition, path, rows.schema, "pickup_date")
+    return valid.count(), staged.row_count
+
+
+def recorded_schema(log: CommitLog, table: str, partition: str) -> StructType | None:
+    """The schema that the month was committed with; none if it was written without a record."""
+    found = log.find(table, partition)
+    return schema_of(found.table_schema) if found else None
+
+
+def written_dates(spark: SparkSession, settings: Settings, table: str, partition: str) -> list[str]:
+    """Dates that a month last wrote to ``staging``, ``curated`` or ``fact``."""
+    found = CommitLog(spark, settings.commit_log).find(table, partition)
+    return found.dates if found else []
+
+
+def staged_trips(spark: SparkSession, settings: Settings, partition: str) -> DataFrame:
+    schema = recorded_schema(CommitLog(spark, settings.commit_log), "staging", partition)
+    return read_staged(spark, settings.staging, partition, schema)
+
+
+def curated_trips(spark: SparkSession, settings: Settings, partition: str) -> DataFrame:
+    schema = recorded_schema(CommitLog(spark, settings.commit_log), "curated", partition)
+    return read_curated(spark, settings.curated, partition, schema)
 
 
 def enrich_month(spark: SparkSession, settings: Settings, partition: str) -> tuple[Row, list[str]]:
@@ -144,9 +174,9 @@ def enrich_month(spark: SparkSession, settings: Settings, partition: str) -> tup
     Stray trips of other months are curated with the month whose file brought them, so the
     result does not depend on the order in which months run.
     """
-    trips = read_staged(spark, settings.staging, partition)
+    trips = staged_trips(spark, settings, partition)
     dates = curate_staged(spark, settings, partition, trips, [])
-    return weather_coverage(read_curated(spark, settings.curated, partition)).first(), dates
+    return weather_coverage(curated_trips(spark, settings, partition)).first(), dates
 
 
 def curate_staged(
@@ -155,16 +185,19 @@ def curate_staged(
     """Curate the staged trips of a month; returns their dates.
 
     Where no month of these dates has weather, trips are curated without it, if any month of
-    `span` has weather.
+    `span` has weather. A month without trips needs no weather.
     """
     dates = [row.pickup_date for row in sinks.dates_written(trips).collect()]
     try:
-        weather = read_weather_months(spark, settings.raw_weather, [day[:7] for day in dates] or [partition])
+        months = [day[:7] for day in dates]
+        weather = read_weather_months(spark, settings.raw_weather, months) if dates else no_weather(spark)
     except MissingPartitionError:
         if not span:
             raise
         weather = read_weather_months(spark, settings.raw_weather, span)
-    sinks.write_month_dates(enrich_hourly(trips, weather), settings.curated, partition)
+    rows = enrich_hourly(trips, weather)
+    path = sinks.write_month_dates(rows, settings.curated, partition)
+    CommitLog(spark, settings.commit_log).record("curated", partition, path, rows.schema, "pickup_date")
     return dates
 
 
@@ -178,11 +211,11 @@ def enrich_range(spark: SparkSession, settings: Settings, start: date, end: date
     span = month_keys(spark, start, end)
     for partition in span:
         try:
-            trips = read_staged(spark, settings.staging, partition)
+            trips = staged_trips(spark, settings, partition)
         except MissingPartitionError:
             continue
         curate_staged(spark, settings, partition, trips, span)
-        done.append(read_curated(spark, settings.curated, partition))
+        done.append(curated_trips(spark, settings, partition))
     if not done:
         raise MissingPartitionError(f"No data staged between {start} and {end}")
     return weather_coverage(union_by_name(done)).first()
@@ -217,15 +250,16 @@ def run_month(spark: SparkSession, settings: Settings, log: history.RunLog, part
     return MonthResult(partition, "success", report.total_rows, staged)
 
 
-def pending_publications(
-    runs: DataFrame, published: DataFrame, zones_digest: str, pipeline_name: str
-) -> DataFrame:
-    """Months whose newest run succeeded and is not what was last published with these zones."""
-    newest = history.latest_run_per_partition(runs).where("status = 'success'")
-    newest = newest.where(F.col("pipeline_name") == pipeline_name).select("partition_date", "run_id")
-    last = latest_per_key(published, ["partition_date"], ["published_at", "run_id"])
-    last = last.where(F.col("zones_digest") == zones_digest).select("partition_date", "run_id")
-    return newest.join(last, ["partition_date", "run_id"], "left_anti")
+def pending_publications(current: DataFrame, published: DataFrame, zones_digest: str) -> DataFrame:
+    """Months of ``current`` whose version is not what was last published with these zones.
+
+    A version stands for what a month holds: the checksum of its curated trips, whatever call
+    has written them.
+    """
+    current = current.select("partition_date", "version")
+    last = latest_per_key(published, ["partition_date"], ["published_at", "version"])
+    last = last.where(F.col("zones_digest") == zones_digest).select("partition_date", "version")
+    return current.join(last, ["partition_date", "version"], "left_anti")
 
 
 def zones_digest(zones: DataFrame) -> str:
@@ -235,22 +269,21 @@ def zones_digest(zones: DataFrame) -> str:
     return "-".join(map(str, digest))
 
 
-def curated_months(spark: SparkSession, settings: Settings) -> list[str]:
-    """Source months that have curated trips; only the names of folders are read."""
-    rows = read_parquet(spark, settings.curated, "No curated data")
-    months = rows.select("source_month").distinct().collect()
-    return sorted(str(row.source_month)[:7] for row in months)
+def curated_versions(spark: SparkSession, settings: Settings) -> DataFrame:
+    """partition_date and version of the source months that are curated."""
+    commits = CommitLog(spark, settings.commit_log).commits().where("table_name = 'curated'")
+    return commits.select("partition_date", F.col("checksum").alias("version"))
 
 
 def publish_month(spark: SparkSession, settings: Settings, zones: DataFrame, partition: str) -> None:
     """Replace what one source month adds to the fact and to the parts of the marts."""
-    curated = read_curated(spark, settings.curated, partition)
-    sinks.write_month_dates(fct_trips(stg_trips(curated), zones), settings.fact, partition)
-    path = f"{settings.fact}/source_month={partition}"
-    fact = read_parquet(spark, path, f"No fact for {partition}").select(*FACT_COLUMNS)
-    for name, rollup in ROLLUPS.items():
-        sinks.write_month(rollup_parts(fact, rollup), settings.parts(name), partition)
-    sinks.write_month(fact_profile(fact), settings.parts("fact_profile"), partition)
+    rows = fct_trips(stg_trips(curated_trips(spark, settings, partition)), zones)
+    path = sinks.write_month_dates(rows, settings.fact, partition)
+    CommitLog(spark, settings.commit_log).record("fact", partition, path, rows.schema, "pickup_date")
+    fact = read_parquet(spark, path, f"No fact for {partition}", rows.schema).select(*FACT_COLUMNS)
+    parts = {name: rollup_parts(fact, rollup) for name, rollup in ROLLUPS.items()}
+    for name, part in {**parts, "fact_profile": fact_profile(fact)}.items():
+        sinks.write_month(part, settings.parts(name), partition)
 
 
 def merged_marts(spark: SparkSession, settings: Settings, zones: DataFrame) -> Marts:
@@ -263,10 +296,11 @@ def merged_marts(spark: SparkSession, settings: Settings, zones: DataFrame) -> M
 
 
 def publish_marts(spark: SparkSession, settings: Settings, rebuild: bool = False) -> Published:
-    """Publish every completed month that is not published yet, test all and load the serving tables.
+    """Publish every curated month whose content is not published yet, test all and load the serving tables.
 
-    What to publish follows from the run log and the log of publications, so months that a
-    failed call left behind are taken up by the next. ``rebuild`` publishes all curated months
+    What to publish follows from the checksums of curated months and the log of publications, so
+    what a step by itself rewrote, or a failed call left behind, is taken up by the next, and a
+    month that was run again to the same rows is not. ``rebuild`` publishes all curated months
     anew. One month costs one scan of its trips: marts are merged from parts that each month
     keeps, and the tests of the fact read a profile of it. A failing test stops the job before
     the serving tables are touched, unless the settings say otherwise; its months stay pending.
@@ -274,11 +308,9 @@ def publish_marts(spark: SparkSession, settings: Settings, rebuild: bool = False
     zones = read_zones(spark, settings.raw_zones)
     digest = zones_digest(zones)
     log = history.read_log(spark, settings.publish_log, PUBLISH_LOG_SCHEMA)
-    runs = history.RunLog(spark, settings.run_log).runs()
-    pending = pending_publications(runs, log, digest, settings.pipeline_name).collect()
-    months = {row.partition_date: row.run_id for row in pending}
-    if rebuild:
-        months |= {m: months.get(m, "rebuild") for m in curated_months(spark, settings)}
+    versions = curated_versions(spark, settings)
+    todo = versions if rebuild else pending_publications(versions, log, digest)
+    months = {row.partition_date: row.version for row in todo.collect()}  # a row per month
     for partition in sorted(months):
         publish_month(spark, settings, zones, partition)
 
@@ -290,8 +322,7 @@ def publish_marts(spark: SparkSession, settings: Settings, rebuild: bool = False
     if failed and settings.fail_on_checks:
         raise QualityError(f"Dataset tests failed: {', '.join(failed)}")
     counts = sinks.load_marts(marts, settings.serving_database, settings.path("serving"))
-    known = {row.partition_date: row.run_id for row in pending}
-    done = [(m, run_id, digest, history.utc_now()) for m, run_id in known.items()]
+    done = [(m, version, digest, history.utc_now()) for m, version in months.items()]
     if done:
         history.append_log(spark.createDataFrame(done, PUBLISH_LOG_SCHEMA).coalesce(1), settings.publish_log)
     return Published(marts, results, counts)
@@ -303,9 +334,9 @@ def ingest_range(spark: SparkSession, settings: Settings, start: date, end: date
 
 
 def current_metrics(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Metric rows of the job: run log, manifest and the bytes stored below the root."""
+    """Metric rows of the job: run log, manifest and the bytes of what has landed and was committed."""
     manifest = history.ManifestLog(spark, settings.manifest_log).ingestions()
-    stored = landed.stored_bytes(landed.list_files(spark, settings.root.rstrip("/")))
+    stored = stored_bytes(CommitLog(spark, settings.commit_log).commits(), manifest)
     return observe.run_metrics(history.RunLog(spark, settings.run_log).runs(), manifest, stored)
 
 

@@ -204,7 +204,12 @@ RUN_LOG_SCHEMA = (
     "error_message string, recorded_at timestamp"
 )
 PUBLISH_LOG_SCHEMA = (
-    "partition_date string, run_id string, zones_digest string, published_at timestamp"
+    "partition_date string, version string, zones_digest string, published_at timestamp"
+)
+COMMIT_LOG_SCHEMA = (
+    "table_name string, partition_date string, commit_id string, row_count bigint, "
+    "checksum string, table_schema string, dates array<string>, file_count bigint, "
+    "byte_count bigint, committed_at timestamp"
 )
 MANIFEST_SCHEMA = (
     "source_name string, source_url string, partition_date string, downloaded_at timestamp, "

@@ -72,6 +72,10 @@ class Settings:
     def publish_log(self) -> str:
         return self.path("meta", "published")
 
+    @property
+    def commit_log(self) -> str:
+        return self.path("meta", "commits")
+
     @property
     def run_log(self) -> str:
         return self.path("meta", "runs")

@@ -27,7 +27,7 @@ def write_report(report: DataFrame, root: str, partition: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(f"{root}/partition={partition}")
 
 
-def write_staging(rows: DataFrame, root: str, partition: str) -> None:
+def write_staging(rows: DataFrame, root: str, partition: str) -> str:
     """Replace what one source month staged: ``source_month=<month>/pickup_date=<date>``.
 
     A stray trip of another month lands under its own source month and so never wipes a
@@ -35,6 +35,7 @@ def write_staging(rows: DataFrame, root: str, partition: str) -> None:
     """
     path = f"{root}/source_month={partition}"
     _by_date(rows).write.mode("overwrite").partitionBy("pickup_date").parquet(path)
+    return path
 
 
 def _by_date(rows: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def write_dates(rows: DataFrame, root: str, clustered: bool = False) -> None:
     )
 
 
-def write_month_dates(rows: DataFrame, root: str, partition: str) -> None:
+def write_month_dates(rows: DataFrame, root: str, partition: str) -> str:
     """Replace all that one source month has in a ``source_month=/pickup_date=`` table.
 
     The rows come straight from files of one date each and are not shuffled. Dates that the
@@ -69,11 +70,14 @@ def write_month_dates(rows: DataFrame, root: str, partition: str) -> None:
     """
     path = f"{root}/source_month={partition}"
     _sorted(rows).write.mode("overwrite").partitionBy("pickup_date").parquet(path)
+    return path
 
 
-def write_month(rows: DataFrame, root: str, partition: str) -> None:
+def write_month(rows: DataFrame, root: str, partition: str) -> str:
     """Replace the rows that one source month adds to a small table."""
-    rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/source_month={partition}")
+    path = f"{root}/source_month={partition}"
+    rows.hint("rebalance").write.mode("overwrite").parquet(path)
+    return path
 
 
 def dates_written(rows: DataFrame) -> DataFrame:

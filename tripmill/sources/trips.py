@@ -8,6 +8,7 @@ from functools import reduce
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.errors import MissingPartitionError
 
@@ -24,9 +25,13 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_parquet(spark: SparkSession, path: str, missing: str, **options) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path: str, missing: str, schema: StructType | None = None, **options
+) -> DataFrame:
+    """A folder of Parquet files; with a known ``schema`` it may hold no file and no footer is read."""
+    reader = spark.read.options(**options)
     try:
-        return spark.read.options(**options).parquet(path)
+        return (reader.schema(schema) if schema else reader).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in _NOTHING_THERE:
             raise MissingPartitionError(missing) from error
@@ -72,10 +77,12 @@ def scan_month(spark: SparkSession, root: str, partition: str) -> DataFrame:
     return read_parquet_relaxed(spark, path, f"No raw trip data for {partition}")
 
 
-def read_validated(spark: SparkSession, root: str, partition: str, label: str = "valid") -> DataFrame:
+def read_validated(
+    spark: SparkSession, root: str, partition: str, label: str = "valid", schema: StructType | None = None
+) -> DataFrame:
     """One class of one validated month, without the columns only other classes fill."""
     path = f"{root}/partition={partition}"
-    rows = read_parquet(spark, path, f"No validated data for {partition}")
+    rows = read_parquet(spark, path, f"No validated data for {partition}", schema)
     unused = {
         "valid": ("violation_reasons", "quarantine_reason"),
         "invalid": ("quarantine_reason",),
@@ -85,7 +92,12 @@ def read_validated(spark: SparkSession, root: str, partition: str, label: str =
 
 
 def read_dates(
-    spark: SparkSession, root: str, start: date, end: date, by_source_month: bool = True
+    spark: SparkSession,
+    root: str,
+    start: date,
+    end: date,
+    by_source_month: bool = True,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Trips picked up in [start, end] from ``pickup_date=`` folders.
 
@@ -97,16 +109,26 @@ def read_dates(
     level = "source_month=*/" if by_source_month else ""
     missing = f"No data between {start} and {end} in {root}"
     path = f"{root}/{level}pickup_date={{{wanted}}}"
-    return read_parquet(spark, path, missing, mergeSchema=True, basePath=root).drop("source_month")
+    merge = schema is None
+    rows = read_parquet(spark, path, missing, schema, mergeSchema=merge, basePath=root)
+    return rows.drop("source_month")
 
 
-def read_staged(spark: SparkSession, root: str, partition: str) -> DataFrame:
+def read_staged(
+    spark: SparkSession, root: str, partition: str, schema: StructType | None = None
+) -> DataFrame:
     """All trips that one source month has staged, whatever their dates."""
-    return read_parquet(spark, f"{root}/source_month={partition}", f"No trips staged for {partition}")
+    path = f"{root}/source_month={partition}"
+    return read_parquet(spark, path, f"No trips staged for {partition}", schema)
 
 
-def read_curated(spark: SparkSession, root: str, partition: str | None = None) -> DataFrame:
-    """All curated trips, or those of one source month; columns are united by name over the files."""
+def read_curated(
+    spark: SparkSession, root: str, partition: str | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """All curated trips, or those of one source month.
+
+    Columns are united by name over the files, unless a recorded ``schema`` names them all.
+    """
     path = f"{root}/source_month={partition}" if partition else root
     missing = f"No curated data for {partition}" if partition else "No curated data"
-    return read_parquet(spark, path, missing, mergeSchema=True).drop("source_month")
+    return read_parquet(spark, path, missing, schema, mergeSchema=schema is None).drop("source_month")

@@ -45,6 +45,10 @@ def read_weather(spark: SparkSession, *paths: str) -> DataFrame:
     return parse_weather(documents)
 
 
+def no_weather(spark: SparkSession) -> DataFrame:
+    return parse_weather(spark.createDataFrame([], WEATHER_JSON_SCHEMA))
+
+
 def read_weather_months(spark: SparkSession, root: str, months: list[str]) -> DataFrame:
     """Weather of the given months ('YYYY-MM'); months without a file are skipped."""
     folders = ",".join(f"year={m[:4]}/month={m[5:7]}" for m in sorted(set(months)))

@@ -329,6 +329,12 @@ oracle(
   and not exists (select 1 from manifest m where m.source_name = '1-URGENT'
     and m.partition_date = latest.partition_date and cast(m.row_id as varchar) = latest.run_id)""",
 )
+oracle(
+    "publish_changed",
+    [],
+    f"""select strftime(cast(o_orderdate as date), '%Y-%m') as partition_date from orders
+group by 1 having count(*) filter (o_orderpriority = '1-URGENT' and o_totalprice > {q.PRICE_CHANGED}) > 0""",
+)
 oracle(
     "json_props",
     [],

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmill.functions.calendar import day_sequence, hour_start, month_key, month_sequence
+from tripmill.functions.digest import rows_checksum
 from tripmill.functions.labels import payment_label, weather_label
 from tripmill.functions.measures import stable_avg, stable_sum
 from tripmill.operators import checks
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {}
 
 DEMAND_START, DEMAND_END, DEMAND_ZONE = date(1997, 1, 1), date(1998, 12, 31), 100
 WEATHER_START, WEATHER_END, WEATHER_LABEL = date(2024, 1, 5), date(2024, 1, 20), "unknown"
+PRICE_CHANGED = 470_000
 STAGED_START, STAGED_END = date(1996, 2, 1), date(1996, 2, 29)
 
 
@@ -304,10 +306,24 @@ def read_relaxed(spark, d):
 def publish_pending(spark, d):
     """Months whose newest run succeeded, less those whose publication is on record."""
     log = manifest(spark, d).where("source_name = '1-URGENT'").select(
-        "partition_date", F.col("row_id").cast("string").alias("run_id"),
+        "partition_date", F.col("row_id").cast("string").alias("version"),
         F.lit("z").alias("zones_digest"), F.col("downloaded_at").alias("published_at"),
     )
-    return monthly.pending_publications(runs(spark, d), log, "z", "trips")
+    newest = history.latest_run_per_partition(runs(spark, d)).where("status = 'success' and pipeline_name = 'trips'")
+    current = newest.select("partition_date", F.col("run_id").alias("version"))
+    return monthly.pending_publications(current, log, "z").withColumnRenamed("version", "run_id")
+
+
+@query()
+def publish_changed(spark, d):
+    """Months of orders whose content is not what was published: since then prices of urgent orders changed."""
+    orders = table(spark, d, "orders").withColumn("partition_date", month_key(F.to_date("o_orderdate")))
+    columns = [F.col(c) for c in orders.columns]
+    versions = lambda rows: rows.groupBy("partition_date").agg(rows_checksum(columns).alias("version"))
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > PRICE_CHANGED)
+    before = orders.withColumn("o_totalprice", F.when(urgent, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    log = versions(before).withColumns({"zones_digest": F.lit("z"), "published_at": F.current_timestamp()})
+    return monthly.pending_publications(versions(orders), log, "z").select("partition_date")
 
 
 @query()
