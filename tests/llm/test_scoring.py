@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 
 import numpy as np
@@ -264,6 +265,79 @@ def test_page_with_text_in_an_open_head():
     assert html_text.main_text("<html><head><title>No</title>The text.") == "The text."
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<p>Before the icon <svg><title>t</title></svg> after it.</p>", "Before the icon after it."),
+    ("<p>c<select><option>o<option>q</select> d</p>", "c d"), ("<p>one<script>var x='<p>';</script> two</p>", "one two"),
+    ("<p>a b c</p><div hidden><p>no</p></div>d e f", "a b c\nd e f"), ("<p>a b c<span hidden>no</span> d</p>", "a b c d"),
+    ("<article><p><a href=x>all of it is a link</a></p></article>", "all of it is a link"),
+    ("<article><header><h1>Title</h1><div>By me</div></header><p>Text of it.</p></article>", "Title\nText of it."),
+    ("<header><h1>Site</h1></header><article><p>Text of it.</p></article>", "Text of it."),
+    ("<article><p class='share'>share price of it</p><p class='advert'>buy it</p></article>", "share price of it"),
+    ("<h2 class='header'>A heading</h2><p id='search'>And text of it.</p>", "A heading\nAnd text of it."),
+    ("<div><a>home</a> <a>news</a></div><div><p>A long text that goes on and on.</p><p>end</p></div>", "A long text that goes on and on.\nend"),
+    ("<nav><a>home</a> <a>news</a></nav><footer>made by them with care</footer>", ""),
+])
+def test_page_cases(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_page_lines_are_chosen_by_their_ratios(monkeypatch):
+    """A menu beside an article, in no element that tells, stays out by its ratio alone; a page's longer text wins over a thin article."""
+    menu = "".join(f"<div><a href=/{i}>part {i} of the site</a></div>" for i in range(6))
+    article = "<article>" + "<p>Some words that are long enough to be a paragraph of the text.</p>" * 6 + "</article>"
+    thin = "<article><a>Read</a></article>" + menu + "<div>" + "<p>A page may hold its text in no article, which is to be found all the same.</p>" * 5 + "</div>"
+    assert html_text.main_text(menu + article).startswith("Some words") and "part" not in html_text.main_text(menu + article)
+    assert html_text.main_text(thin).count("A page may hold") == 5
+    monkeypatch.setattr(html_text, "ratios", lambda chars, plain, tags, kinds: np.ones(len(chars)))
+    assert "part 3" in html_text.main_text(menu + article)
+
+
+def test_page_levels_by_definition():
+    """Ratios, smoothing, threshold and growth against a plain version, on random lines."""
+    rng = random.Random(2)
+    kinds_of = [html_text.PLAIN] * 4 + [html_text.BOX, html_text.SIDE, html_text.HEADER, html_text.MENU]
+    for k in range(300):
+        n = rng.randrange(1, 25)
+        kinds, region, regions = [], 0, []
+        while len(kinds) < n:
+            region += 1
+            kinds += [rng.choice(kinds_of + [html_text.ARTICLE] * (k % 3))] * rng.randrange(1, 6)
+            regions += [region] * (len(kinds) - len(regions))
+        kinds, regions = kinds[:n], regions[:n]
+        chars = [rng.choice((5, 30, 200)) for _ in kinds]
+        plain = [rng.choice((0, c // 2, c)) for c in chars]
+        tags = [rng.randrange(5) for _ in kinds]
+        there = html_text.ARTICLE in kinds
+        prior = [0.6 if x == html_text.PLAIN and there else {html_text.BOX: 0.05, html_text.HEADER: 0.05, html_text.SIDE: 0.02, html_text.MENU: 0.6}.get(x, 1.0) for x in kinds]
+        raw = [math.log(1 + (c if x == html_text.ARTICLE else p) / max(t, 1)) * w for c, p, t, x, w in zip(chars, plain, tags, kinds, prior, strict=True)]
+        levels = []
+        for i in range(n):
+            near = [(math.exp(-((i - j) ** 2) / 2), raw[j]) for j in range(max(0, i - 3), min(n, i + 4))]
+            levels.append(prior[i] * sum(w * x for w, x in near) / sum(w for w, _ in near))
+        mean = sum(levels) / n
+        least = max(0.05, 0.5 * math.sqrt(sum((x - mean) ** 2 for x in levels) / n))
+        cluster = [x >= least and r > 0 for x, r in zip(levels, raw, strict=True)]
+        linked = [2 * p < c for p, c in zip(plain, chars, strict=True)]
+        if there:
+            want = [cluster[i] or kinds[i] == html_text.ARTICLE and any(cluster[j] and regions[j] == regions[i] and kinds[j] == html_text.ARTICLE for j in range(n)) for i in range(n)]
+        else:
+            want = [c and not a for c, a in zip(cluster, linked, strict=True)]
+            for i in range(n):
+                run = [j for j in range(n) if regions[j] == regions[i]]
+                own = [j for j in run if want[j]]
+                if kinds[i] == html_text.PLAIN and own and not want[i]:
+                    between = range(max(own), i + 1) if i > max(own) else range(i, min(own)) if i < min(own) else ()
+                    want[i] = None if not any(linked[j] for j in between) else False
+            want = [x is None or x for x in want]
+        args = [np.array(x) for x in (chars, plain, tags, kinds)]
+        weight = html_text.priors(args[3])
+        ratio = html_text.ratios(*args)
+        got = weight * html_text.smoothed(weight * ratio)
+        assert got == pytest.approx(levels)
+        chosen = html_text.grown((ratio > 0) & (got >= max(html_text.LEAST, html_text.SHARE * got.std())), args[3], np.array(regions), np.array(linked))
+        assert chosen.tolist() == want
+
+
 def test_odd_pages(spark):
     pages = [
         (1, "u", None), (2, None, ""), (3, "u", "plain &lt;"), (4, "u", "<p>open <b>bold <i>it"), (5, "u", "<article><p>cut off in a tag</p><a hre"), (6, "u", "</div></p>x"),

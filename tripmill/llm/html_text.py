@@ -1,20 +1,24 @@
 """Main text of web pages by text-to-tag ratios.
 
 A streaming parser (html.parser of the standard library) turns a page into lines, one per block of text, with its
-characters and the tags that led to it. Text inside links counts for nothing in the ratio. Lines of menus, headers, footers,
-sidebars, notices, adverts, forms and comments, known by their elements, roles, classes and ids, have ratio 0; classes and
-ids of html, body, main and article tell nothing, and within an article only whole classes do. The
-logarithms of the ratios are smoothed by a Gaussian along the page, and lines above a share of the spread of all smoothed
-values form clusters. A cluster grows to the bounds of its region: the article or main element that it lies in, or without
-one, the run of lines between two lines of furniture. If a page has an article or main element with text, lines outside
-of it count as furniture.
+characters and the tags that led to it. The logarithm of a line's characters by tag is its ratio; text inside links counts
+for nothing in it, but in an article. What an element says of its lines is a prior that the ratio is multiplied by: 1 for
+lines of an article or main element, less for lines beside one, and next to nothing for headers, footers, sidebars, forms,
+notices, adverts and comments (elements, roles, and words of classes and ids). Text in menus counts as links do.
+Ratios are smoothed by a Gaussian along the page and weighed by the prior again; lines that have a ratio
+and reach a share of the spread of all levels, and a least level, form clusters. A cluster within an article grows to all of that article. One in a run of lines
+outside of articles grows over its neighbours of the run up to lines that are mostly links; where the page has an article,
+it does not grow.
+
+Words of classes and ids say nothing of html, body, main and article; in an article, and of paragraphs and headings, only
+whole classes that name adverts and the like do. A heading in the header of an article is the article's.
 
 Each page is worked on where it is read; a task holds one page's lines at a time, and nothing is shuffled.
 
 Defined results: null and empty pages, and pages without a main text, have an empty text; broken markup is read as far as it
 makes sense: elements left open end with the element around them, a head also where content begins, an end tag without a start is ignored, and so is a tag that
-the page breaks off in; rows that repeat
-are each extracted; an empty table gives an empty table.
+the page breaks off in; scripts, images, fields and whatever else is not shown as text interrupt no line, unless they are
+blocks; rows that repeat are each extracted; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from tripmill.llm.common import read
 from tripmill.llm.shingles import chunks
 
 SIGMA, REACH = 1.0, 3  # of the Gaussian, in lines
-SHARE = 0.5  # of the standard deviation that a line's smoothed value must reach
+SHARE, LEAST = 0.5, 0.05  # of the standard deviation of all levels, and the level, that a line must reach
 ROWS_AT_ONCE = 512
 
 # Names of HTML.
@@ -43,8 +47,11 @@ BLOCKS = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = set("script style noscript template iframe object svg math canvas audio video head title select textarea button".split())
-FURNITURE = set("nav header footer aside form menu dialog fieldset".split())
-FURNITURE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+FURNITURE = set("header footer aside form dialog fieldset".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+TEXTS = HEADINGS | set("p pre blockquote li dd dt td th figcaption".split())  # judged by few words only
+MENUS, MENU_ROLES = {"nav", "menu"}, set("navigation menu menubar toolbar".split())
+FURNITURE_ROLES = set("banner contentinfo complementary search form dialog alert alertdialog".split())
 # Words in classes and ids; reader comments and boxes beside the text may hold articles of their own.
 FURNITURE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies dialog footer gdpr header login masthead menu modal "
@@ -52,6 +59,7 @@ FURNITURE_WORDS = set(
     "sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
 ASIDE_WORDS = set("comment comments discussion disqus related recommended replies reply responses sidebar teaser".split())
+ADVERT_WORDS = set("ad ads adv advert adverts advertisement advertising breadcrumb breadcrumbs pagination sponsor sponsored".split())
 STATES = set("has with without no".split())  # classes that begin so tell what an element has beside its text
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEAD_CONTENT = set("base basefont bgsound link meta noframes noscript script style template title".split())
@@ -59,7 +67,9 @@ SCOPES = set("ul ol dl table div section article main aside nav body".split())
 
 CUT_OFF = re.compile(r"<!--.*\Z|<[A-Za-z/!?][^>]*\Z", re.DOTALL)  # a tag or comment that the page ends in
 PARTS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
-PLAIN, ARTICLE, BOX, SIDE, NONE = range(5)  # what the lines of an element are: BOX is furniture, SIDE also for articles in it
+PLAIN, ARTICLE, BOX, SIDE, NONE, HEADER, MENU = range(7)  # lines of an element: BOX is furniture, SIDE also for articles in it, HEADER that of an article
+PRIORS = {PLAIN: 1.0, ARTICLE: 1.0, BOX: 0.05, HEADER: 0.05, SIDE: 0.02, MENU: 0.6}
+BESIDE = 0.6  # prior of plain lines where the page has an article
 
 
 def names_in(given: dict[str, str], outer: int) -> set[str]:
@@ -81,26 +91,31 @@ def kind_of(tag: str, attributes: list[tuple[str, str | None]], outer: int = PLA
     content = tag in ("article", "main") or role in ("main", "article")
     judged = not content and tag not in ("body", "html") and ("class" in given or "id" in given)
     names = names_in(given, outer) if judged else set()
+    if tag in TEXTS:
+        names &= ADVERT_WORDS
     if tag == "aside" or names & ASIDE_WORDS:
         return SIDE
+    if tag == "header" and outer == ARTICLE:
+        return HEADER
     if tag in FURNITURE or role in FURNITURE_ROLES:
         return BOX
     if content:
         return ARTICLE
+    if tag in MENUS or role in MENU_ROLES:
+        return MENU
     return BOX if names & FURNITURE_WORDS else PLAIN
 
 
 def inside(outer: int, kind: int) -> int:
     """The kind of an element within another: nothing is seen in silent ones, and boxes of comments keep all they hold."""
-    if NONE in (outer, kind):
-        return NONE
-    if SIDE in (outer, kind):
-        return SIDE
+    for strong in (NONE, SIDE):
+        if strong in (outer, kind):
+            return strong
     return outer if kind == PLAIN else kind
 
 
 class Lines(HTMLParser):
-    """Blocks of text of one page: text, characters outside links, tags, kind and the number of the region."""
+    """Blocks of text of one page: text, characters, those outside links, tags, kind and the number of the region."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -108,7 +123,7 @@ class Lines(HTMLParser):
         self.links, self.regions = 0, 0
         self.parts: list[str] = []
         self.plain, self.tags = 0, 0
-        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, int, int]] = []
 
     def here(self) -> tuple[int, int]:
         return self.stack[-1][1:] if self.stack else (PLAIN, 0)
@@ -117,7 +132,7 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             kind, region = self.here()
-            self.lines.append((text, self.plain, self.tags, kind, region))
+            self.lines.append((text, len(text), self.plain, self.tags, kind, region))
             self.tags = 0
         self.parts, self.plain = [], 0
 
@@ -132,26 +147,33 @@ class Lines(HTMLParser):
             if tag != "body":
                 return None
 
+    def end_implied(self, tag: str) -> None:
+        """Ends an open paragraph, item or cell where a block begins that it cannot hold."""
+        if self.stack and self.stack[-1][0] == "p" or tag in IMPLIED:
+            ends = IMPLIED.get(tag, {"p"}) | {"p"}
+            for depth in range(len(self.stack) - 1, -1, -1):
+                if self.stack[depth][0] in ends:
+                    return self.close_to(depth)
+                if self.stack[depth][0] in SCOPES:
+                    return None
+
     def handle_starttag(self, tag, attrs):
         if tag not in HEAD_CONTENT:
             self.end_head(tag)
-        if tag in BLOCKS:
+        outer, region = self.here()
+        shown = outer != NONE and tag not in SILENT
+        if shown and tag in BLOCKS:
             self.end_line()
             self.links = 0
-            if self.stack and self.stack[-1][0] == "p" or tag in IMPLIED:
-                ends = IMPLIED.get(tag, {"p"}) | {"p"}
-                for depth in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[depth][0] in ends:
-                        self.close_to(depth)
-                        break
-                    if self.stack[depth][0] in SCOPES:
-                        break
-        self.tags += 1
+            self.end_implied(tag)
+            outer, region = self.here()
+        self.tags += shown
         if tag in VOID:
             return
-        outer, region = self.here()
         kind = inside(outer, kind_of(tag, attrs, outer))
-        if kind != outer or tag in ("article", "main") and outer == PLAIN:
+        if outer == HEADER and tag in HEADINGS and kind != NONE:
+            kind, region = next((k, r) for _, k, r in reversed(self.stack) if k == ARTICLE)
+        elif kind != outer or tag in ("article", "main") and outer == PLAIN:
             self.regions += 1
             region = self.regions
         self.stack.append((tag, kind, region))
@@ -164,17 +186,22 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in BLOCKS:
-            self.end_line()
-        self.tags += 1
+        before = self.here()
+        if before[0] != NONE:
+            self.tags += 1
+            if tag in BLOCKS:
+                self.end_line()
         if tag == "a":
             self.links = max(0, self.links - 1)
         for depth in range(len(self.stack) - 1, -1, -1):
             if self.stack[depth][0] == tag:
-                self.end_line() if self.stack[depth][1] != self.here()[0] else None
-                before = self.here()
+                own = self.stack[depth][1]
+                if own not in (NONE, before[0]):
+                    self.end_line()
                 self.close_to(depth)
-                if before[0] in (BOX, SIDE) and self.here()[0] == PLAIN and tag in BLOCKS:
+                if before[0] == NONE and tag in BLOCKS and self.here()[0] != NONE:
+                    self.end_line()  # a block that is not shown parts the text around it
+                if before[0] in (BOX, SIDE, MENU) and self.here()[0] == PLAIN and tag in BLOCKS:
                     # What follows furniture is another region than what came before it.
                     self.regions += 1
                     self.stack = [(t, k, self.regions if k == PLAIN else r) for t, k, r in self.stack]
@@ -185,13 +212,42 @@ class Lines(HTMLParser):
             self.end_head()
         if self.here()[0] != NONE:
             self.parts.append(data)
-            if not self.links:
+            if not self.links and self.here()[0] != MENU:
                 self.plain += len(data.strip())
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:
     weights = np.array([math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-REACH, REACH + 1)])
-    return np.convolve(values, weights / weights.sum())[REACH : REACH + len(values)]
+    middle = slice(REACH, REACH + len(values))
+    return np.convolve(values, weights)[middle] / np.convolve(np.ones(len(values)), weights)[middle]  # pages have no lines beyond their ends
+
+
+def ratios(chars: np.ndarray, plain: np.ndarray, tags: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Logarithms of characters by tag."""
+    return np.log1p(np.where(kinds == ARTICLE, chars, plain) / np.maximum(tags, 1))
+
+
+def priors(kinds: np.ndarray) -> np.ndarray:
+    values = np.array([PRIORS[kind] for kind in kinds])
+    return np.where((kinds == PLAIN) & (kinds == ARTICLE).any(), BESIDE, values)
+
+
+def grown(clusters: np.ndarray, kinds: np.ndarray, regions: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """The lines that clusters grow to."""
+    article = kinds == ARTICLE
+    if article.any():
+        return clusters | article & np.isin(regions, regions[clusters & article])
+    chosen = clusters & ~linked
+    for region in np.unique(regions[chosen & (kinds == PLAIN)]):
+        run = np.flatnonzero((regions == region) & (kinds == PLAIN))
+        at = np.flatnonzero(chosen[run])
+        first, last = at[0], at[-1]
+        while first > 0 and not linked[run[first - 1]]:
+            first -= 1
+        while last + 1 < len(run) and not linked[run[last + 1]]:
+            last += 1
+        chosen[run[first : last + 1]] = True
+    return chosen
 
 
 def main_text(html: str | None) -> str:
@@ -202,19 +258,15 @@ def main_text(html: str | None) -> str:
     page.rawdata = CUT_OFF.sub("", page.rawdata)
     page.close()
     page.end_line()
-    lines = page.lines
-    if any(kind == ARTICLE for _, _, _, kind, _ in lines):
-        open_ = np.array([kind == ARTICLE for _, _, _, kind, _ in lines])
-    else:
-        open_ = np.array([kind == PLAIN for _, _, _, kind, _ in lines], bool)
-    if not open_.any():
+    if not page.lines:
         return ""
-    ratios = np.array([math.log1p(plain / max(1, tags)) for _, plain, tags, _, _ in lines]) * open_
-    levels = smoothed(ratios)
-    regions = np.array([region for *_, region in lines])
-    clusters = open_ & (levels > 0) & (levels >= SHARE * levels.std())
-    chosen = open_ & np.isin(regions, np.unique(regions[clusters]))
-    return "\n".join(line[0] for line, take in zip(lines, chosen, strict=True) if take)
+    chars, plain, tags, kinds, regions = np.array([line[1:] for line in page.lines]).T
+    prior = priors(kinds)
+    ratio = ratios(chars, plain, tags, kinds)
+    levels = prior * smoothed(prior * ratio)
+    clusters = (ratio > 0) & (levels >= max(LEAST, SHARE * levels.std()))
+    chosen = grown(clusters, kinds, regions, 2 * plain < chars)
+    return "\n".join(line[0] for line, take in zip(page.lines, chosen, strict=True) if take)
 
 
 TEXTS_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
