@@ -12,8 +12,8 @@ joined by an edge, and as k-mers then touch or overlap, an edge fixes all its wo
    occur twice or more are the long repeated spans.
 4. The words under these spans go, and the rest is digested.
 
-Every count is a plain grouping, so a passage in a third of all documents folds in the tasks that read it; the joins back
-are sort-merge joins, whose hot keys adaptive execution splits. The only groups that a task holds are of one document.
+Every count is a plain grouping, so a passage in a third of all documents folds in the tasks that read it. Counts are
+written before they are joined back, so both sides of a join are plain shuffles, whose hot keys adaptive execution splits. The only groups that a task holds are of one document.
 
 Defined results: a null text has no words; a text of fewer than WINDOW words keeps all; rows that share a doc_id, or have
 none, are told apart by their text, and if that is equal too, each repeats the other; an empty table gives an empty table.
@@ -203,8 +203,9 @@ def paths(nodes: DataFrame, k: int) -> DataFrame:
     edges = nodes.select("key", "at", "node", "n", *(F.lead(c).over(along).alias(f"next_{c}") for c in ("at", "node", "n")))
     gap = F.col("next_at") - F.col("at")
     edges = edges.select("key", "at", "n", "next_at", "next_n", F.when(gap <= k, F.xxhash64("node", gap, "next_node")).alias("edge"))
-    counts = edges.where("edge IS NOT NULL").groupBy("edge").agg(F.count("*").alias("m")).where("m > 1")
-    linked = edges.where("edge IS NOT NULL").join(counts, "edge").select("key", "at", "n", "next_at", "next_n", "m")
+    edges = written(edges.where("edge IS NOT NULL"), "edges")
+    counts = written(edges.groupBy("edge").agg(F.count("*").alias("m")).where("m > 1"), "edge-counts")
+    linked = edges.join(counts, "edge").select("key", "at", "n", "next_at", "next_n", "m")
 
     before = {c: F.lag(c).over(along) for c in ("next_at", "m")}
     goes_on = (before["next_at"] == F.col("at")) & (before["m"] == F.col("n")) & (F.col("n") == F.col("m"))
@@ -230,8 +231,8 @@ def without_repeats(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     # Both joins with the texts deal them out alike, by one exchange.
     packed = texts.mapInArrow(pack, PACKED)
     pieces = packed.join(marks, "key", "left").select("key", "doc_id", "size", "packed", "nodes", "starts", "ends")
-    pieces = pieces.mapInArrow(piece_emitter(window, k), PIECES)
-    same = pieces.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    pieces = written(pieces.mapInArrow(piece_emitter(window, k), PIECES), "pieces")
+    same = written(pieces.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated-pieces")
     spans = pieces.join(same, ["code_a", "code_b"]).groupBy("key").agg(F.collect_list("span").alias("spans"))
     whole = packed.join(spans, "key", "left").select("key", "doc_id", "size", "packed", "spans")
     return whole.mapInArrow(remover(with_text), KEPT).drop("key")
