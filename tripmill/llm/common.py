@@ -46,6 +46,16 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores in front until no column has them."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def words(text: Column) -> Column:
     """Words between white space, as an array; none for null and for blank texts."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

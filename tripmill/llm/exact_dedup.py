@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import LAST_ID, WORD_GAP, order_id, read, written
+from tripmill.llm.common import LAST_ID, WORD_GAP, free_names, order_id, read, written
 
 TABLE_BYTES = 48 << 20
 FAN_OUT = 8  # times as many buckets at each further level
@@ -165,13 +165,13 @@ def exact_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
 
     Own columns of these names are replaced.
     """
-    added = ("keep_id", "group_size", "kept", "text_sha256", "_digest")
+    (code,) = free_names(docs.columns, "_digest")
     groups = content_groups(docs, text=text, doc_id=doc_id, table_bytes=table_bytes)
-    groups = groups.select(F.col("digest").alias("_digest"), F.nullif("first_id", F.lit(LAST_ID)).alias("keep_id"), F.col("copies").alias("group_size"))
-    rows = docs.drop(*added).withColumn("_digest", F.unhex(F.sha2(normalised(F.col(text)), 256)))
-    return rows.join(groups, "_digest").select(
-        *(F.col(f"`{name}`") for name in rows.columns if name != "_digest"), "keep_id", "group_size",
-        F.col(doc_id).cast("long").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("_digest")).alias("text_sha256"),
+    groups = groups.select(F.col("digest").alias(code), F.nullif("first_id", F.lit(LAST_ID)).alias("keep_id"), F.col("copies").alias("group_size"))
+    rows = docs.drop("keep_id", "group_size", "kept", "text_sha256").withColumn(code, F.unhex(F.sha2(normalised(F.col(text)), 256)))
+    return rows.join(groups, code).select(
+        *(F.col(f"`{name}`") for name in rows.columns if name != code), "keep_id", "group_size",
+        F.col(doc_id).cast("long").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex(code)).alias("text_sha256"),
     )
 
 

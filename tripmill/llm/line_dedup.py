@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import BLANKS, order_id, read, written
+from tripmill.llm.common import BLANKS, free_names, order_id, read, written
 
 MIN_WORDS = 5
 MOST_BROADCAST = 500_000  # places of lines, some 100 bytes each; more are joined by a shuffle
@@ -135,16 +135,21 @@ def _rows(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, Column]:
 
 
 def without_repeated_lines(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """`docs` with the lines that stay, and the added columns n_lines and n_removed. All rows and columns stay."""
+    """`docs` with the lines that stay, and the columns n_lines and n_removed, which replace any of these names.
+
+    All rows and all other columns stay.
+    """
     rows, row = _rows(docs, text, doc_id)
     gone = repeated_lines(rows)
-    joined = docs.drop("n_lines", "n_removed", "_row", "_gone").withColumn("_row", row).join(gone.select(F.col("row").alias("_row"), F.col("gone").alias("_gone")), "_row", "left")
-    lines, lost = F.split(F.coalesce(F.col(text), F.lit("")), "\n"), F.map_from_entries(F.transform("_gone", lambda i: F.struct(i, F.lit(True))))
-    joined = joined.withColumn("_lost", lost)
-    kept = F.array_join(F.filter(lines, lambda _, i: F.try_element_at(F.col("_lost"), i).isNull()), "\n")
-    joined = joined.withColumns({"n_lines": F.size(lines), "n_removed": F.coalesce(F.size("_gone"), F.lit(0))})
-    joined = joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")), "n_lines", "n_removed")
+    others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    key, own, lost = free_names(docs.columns, "_row", "_gone", "_lost")
+    joined = docs.select(*(F.col(f"`{c}`") for c in others), row.alias(key)).join(gone.select(F.col("row").alias(key), F.col("gone").alias(own)), key, "left")
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    joined = joined.withColumn(lost, F.map_from_entries(F.transform(own, lambda i: F.struct(i, F.lit(True)))))
+    kept = F.array_join(F.filter(lines, lambda _, i: F.try_element_at(F.col(lost), i).isNull()), "\n")
+    joined = joined.withColumns({"n_lines": F.size(lines), "n_removed": F.coalesce(F.size(own), F.lit(0))})
+    joined = joined.withColumn(text, F.when(F.col(own).isNull(), F.col(text)).otherwise(kept))
+    return joined.select(*(F.col(f"`{c}`") for c in others), "n_lines", "n_removed")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import dropped, read, words, written
+from tripmill.llm.common import dropped, free_names, read, words, written
 from tripmill.llm.line_dedup import identified
 
 BUCKETS = 4096
@@ -179,7 +179,7 @@ def fitted_steps(members: DataFrame, weights: list[float], least: float, total:
 def mixed(
     docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, text: str = "text", domain: str = "domain", doc_id: str = "doc_id", least: float = 0.0, total: float | None = None
 ) -> DataFrame:
-    """`docs` with n_words, percents (posterior by domain, in the order of `targets`), rate and copies added."""
+    """`docs` with n_words, percents (posterior by domain, in the order of `targets`), rate and copies, which replace any of these names."""
     domains = list(targets)
     model = fitted(labelled, domains, text=text, domain=domain, doc_id=doc_id)
     order, row = identified(docs, text, doc_id)
@@ -187,9 +187,10 @@ def mixed(
     steps = fitted_steps(members, [targets[d] for d in domains], least, total)
     rated = members.dropDuplicates(["key"]).withColumn("rate", _rate(F.col("percents"), len(domains), steps, least))
     chance = F.pmod(F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.drop("n_words", "percents", "rate", "copies").withColumns({"_key": row, "_chance": chance})
-    rows = rows.join(rated.withColumnRenamed("key", "_key"), "_key")
-    return rows.withColumn("copies", F.floor(F.col("rate") + F.col("_chance")).cast("int")).drop("_key", "_chance")
+    key, part = free_names(docs.columns, "_key", "_chance")
+    rows = docs.withColumns({key: row, part: chance}).drop("n_words", "percents", "rate", "copies")
+    rows = rows.join(rated.withColumnRenamed("key", key), key)
+    return rows.withColumn("copies", F.floor(F.col("rate") + F.col(part)).cast("int")).drop(key, part)
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

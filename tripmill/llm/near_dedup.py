@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import order_id, read, words, written
+from tripmill.llm.common import free_names, order_id, read, words, written
 from tripmill.llm.components import components
 from tripmill.llm.shingles import LOWER, gram_codes, joined_codes, mixed
 from tripmill.llm.substring_dedup import text_chunks
@@ -215,9 +215,10 @@ def one_of_each(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     else:
         first = F.min(F.struct(order_id(F.col("doc_id")).alias("o"), F.col("node").alias("first")))
         going = rows.join(rows.groupBy("root").agg(first.alias("f")), "root").where("node <> f.first")
-    left = docs.withColumn("_node", node).join(going.select(F.col("node").alias("_node")).distinct(), "_node", "left_anti")
+    (own,) = free_names(docs.columns, "_node")
+    left = docs.withColumn(own, node).join(going.select(F.col("node").alias(own)).distinct(), own, "left_anti")
     if not unique:  # rows that are equal in id and text stay once, unless they have no words
-        again = left.where(F.size(words(F.col(text))) > 0).dropDuplicates(["_node"])
+        again = left.where(F.size(words(F.col(text))) > 0).dropDuplicates([own])
         left = again.unionByName(left.where(F.size(words(F.col(text))) == 0))
     return left.select(*(F.col(f"`{c}`") for c in docs.columns))
 

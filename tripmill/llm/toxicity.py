@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.common import read
+from tripmill.llm.common import free_names, read
 from tripmill.llm.shingles import chunks, mixed
 
 FIT_ROWS, FIT_CHARS = 4000, 100_000
@@ -342,7 +342,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def scorer(model: Field, text_at: int):
+def scorer(model: Field, text_at: int, names: list[str]):
     """Adds score and spans to the rows of a batch."""
 
     def added(own: list[str]) -> tuple[list[float], list[list]]:
@@ -372,7 +372,7 @@ def scorer(model: Field, text_at: int):
                 for a, b in chunks([len(t) for t in texts]):
                     scores, spans = added(texts[a:b])
                     columns = [*rows.slice(a, b - a).columns, pa.array(scores, pa.float64()), pa.array(spans, span)]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_score", "_spans"])
+                    yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
 
     return score
 
@@ -405,16 +405,16 @@ def learned(docs: DataFrame, labels: DataFrame) -> Field:
 def toxicity(docs: DataFrame, labels: DataFrame, *, carried: list[str] | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted and spans (start and length in characters) of every row of `docs`.
 
-    With `carried`, these columns of `docs` come first instead of doc_id.
+    With `carried`, these columns of `docs` come first instead of doc_id; those that have the name of a result are left out.
     """
     model = learned(docs, labels)
-    kept = [F.col(f"`{name}`") for name in carried or ["doc_id"]]
-    rows = docs.select(*kept, F.col("doc_id").alias("_doc_id"), F.col("text").cast("string").alias("_text"))
-    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("_score double, _spans array<struct<start:int,length:int>>").fields])
-    scored = rows.mapInArrow(scorer(model, len(rows.columns) - 1), schema)
-    return scored.select(
-        *kept, held_out(F.col("_doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"), F.col("_spans").alias("spans")
-    )
+    results = ("held_out", "score", "predicted", "spans")
+    kept = [F.col(f"`{name}`") for name in carried or ["doc_id"] if name not in results]
+    identity, text, score, spans = free_names(docs.columns, "_doc_id", "_text", "_score", "_spans")
+    rows = docs.select(*kept, F.col("doc_id").alias(identity), F.col("text").cast("string").alias(text))
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(f"{score} double, {spans} array<struct<start:int,length:int>>").fields])
+    scored = rows.mapInArrow(scorer(model, len(rows.columns) - 1, [score, spans]), schema)
+    return scored.select(*kept, held_out(F.col(identity)).alias("held_out"), F.col(score).alias("score"), (F.col(score) >= THRESHOLD).cast("int").alias("predicted"), F.col(spans).alias("spans"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
