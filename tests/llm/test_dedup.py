@@ -148,6 +148,19 @@ def test_lines_edits(docs):
     assert lines_of(docs(rows)) == expected(rows)
 
 
+def test_lines_of_equal_and_alternating_words(docs):
+    runs = [["a"] * n for n in (4, 5, 6, 6, 7, 9)] + [["a"] * 3 + ["b"] + ["a"] * 4, ["a"] * 5 + ["b"] + ["a"] * 2, ["a"] * 8 + ["b"], ["a", "b"] * 4, ["b", "a"] * 4, ["a", "b"] * 3 + ["a"]]
+    for rows in (runs, runs[::-1]):
+        rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+        assert lines_of(docs(rows)) == expected(rows)
+
+
+def test_lines_of_very_many_equal_words(docs):
+    n = 200_000
+    rows = [(1, "la " * n), (2, "la " * (n + 1)), (3, "la " * (n + 3)), (4, "la li " * n), (5, "la li " * n + "la"), (6, "li la " * (n - 5))]
+    assert {i: removed for i, (_, removed, _) in lines_of(docs(rows)).items()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0}
+
+
 def test_lines_odd_rows(docs, odd_rows):
     distinct = list({i: (i, t) for i, t in odd_rows}.values())
     assert lines_of(docs(distinct)) == expected(distinct)

@@ -9,11 +9,12 @@ variant. Equal lines fold into one before anything else. Three steps keep the ne
 
 1. An edit leaves the first half of a line or its last half untouched. Lines that share a half of fitting length with no
    other line have no partner and emit nothing.
-2. All others emit a key for every variant, the exclusive or of hashes of its neighbouring words, which takes a fixed number
-   of operations per variant however long the line is. Keys that come up once are of no use.
-3. For keys that come up more often the variants themselves are compared (by their MD5). Lines with the same variant at the
-   same place differ in the word left out there and nowhere else, so all but the earliest of them go; no pairs are built.
-   A variant that is another whole line puts the two one insertion apart; again the earlier stays.
+2. All others emit every variant as a 128-bit code, the exclusive or of hashes of words with their places. Running sums
+   over the words of a line give all its codes in one pass, also of lines of very many equal words. Codes that come up in
+   one line only are of no use.
+3. Lines with the same variant at the same place differ in the word left out there and nowhere else, so all but the
+   earliest of them go; no pairs are built. A variant that is another whole line puts the two one insertion apart; again
+   the earlier stays. Equal codes settle the edit.
 
 Defined results: a null text is one empty line; rows without doc_id come last; rows that share a doc_id are ordered by a hash
 of their text, and rows that are equal throughout are treated as one, so that both keep or lose the same lines; an empty
@@ -22,12 +23,13 @@ table gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import BLANKS, free_names, order_id, read, written
 
 MIN_WORDS = 5
+SEEDS = (0, 1)  # of the two halves of a variant's code
 MOST_BROADCAST = 500_000  # places of lines, some 100 bytes each; more are joined by a shuffle
 IRREGULAR_GAP = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"  # all gaps but a single space
 
@@ -65,36 +67,46 @@ def _with_partners(distinct: DataFrame) -> DataFrame:
     return keys.join(shared, "half").select("ha", "hb").distinct()
 
 
+def _code(seed: int, word: Column, place: Column) -> Column:
+    return F.xxhash64(F.lit(seed), word, place)
+
+
+def _whole(seed: int, words: Column) -> Column:
+    """Code of a line with all its words."""
+    codes = F.transform(words, lambda x, i: _code(seed, x, i))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+
+
 def _variants(lines: DataFrame) -> DataFrame:
-    """(ha, hb, key, at): a key for every variant of a line; at is the word left out, -1 for the whole line."""
-    near = lambda own, i: F.xxhash64(F.get(own, i), F.get(own, i + 1))  # noqa: E731  of a word and the next one
-    own = F.col("w")
-    rows = lines.select("ha", "hb", "w", F.transform("w", lambda x, i: near(own, i)).alias("p"))
-    first = F.xxhash64(F.get(own, F.lit(0)))
-    pairs = F.col("p")
-    rows = rows.withColumn("whole", F.aggregate(pairs, first, lambda a, x: a.bitwiseXOR(x)))
-    before = lambda i: F.coalesce(F.get(pairs, i - 1), first)
-    bridge = lambda i: F.xxhash64(F.get(own, i - 1), F.get(own, i + 1))
-    keys = F.transform(pairs, lambda x, i: F.col("whole").bitwiseXOR(before(i)).bitwiseXOR(x).bitwiseXOR(bridge(i)))
-    return rows.select("ha", "hb", F.posexplode(F.concat(keys, F.array("whole"))).alias("i", "key"), F.size("w").alias("n")).select(
-        "ha", "hb", "key", F.when(F.col("i") < F.col("n"), F.col("i")).otherwise(-1).alias("at")
-    )
+    """(ha, hb, at, k0, k1): the code of every variant of a line; at is the word left out, -1 for the whole line.
+
+    Words before the one left out keep their place and those after it move up by one. Running sums give all codes of a line
+    in one pass over its words, however many of them are equal.
+    """
+    line = Window.partitionBy("ha", "hb")
+    so_far = line.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    words = lines.select("ha", "hb", F.posexplode("w").alias("at", "word"))
+    placed = words.select("ha", "hb", "at", *(_code(s, F.col("word"), F.col("at")).alias(f"c{s}") for s in SEEDS), *(_code(s, F.col("word"), F.col("at") - 1).alias(f"d{s}") for s in SEEDS))
+    running = placed.select(
+        "ha", "hb", "at", *(f"c{s}" for s in SEEDS), *(F.bit_xor(F.col(f"c{s}").bitwiseXOR(F.col(f"d{s}"))).over(so_far).alias(f"r{s}") for s in SEEDS),
+        *(F.bit_xor(f"d{s}").over(line).alias(f"t{s}") for s in SEEDS),
+    )
+    shorter = running.select("ha", "hb", "at", *(F.col(f"r{s}").bitwiseXOR(F.col(f"c{s}")).bitwiseXOR(F.col(f"t{s}")).alias(f"k{s}") for s in SEEDS))
+    whole = lines.select("ha", "hb", F.lit(-1).alias("at"), *(_whole(s, F.col("w")).alias(f"k{s}") for s in SEEDS))
+    return shorter.union(whole)
 
 
 def _later_neighbours(lines: DataFrame) -> DataFrame:
     """(ha, hb) of the lines that lie within one edit of an earlier line; `lines` has ha, hb, first and w."""
-    keys = _variants(lines)
-    # Keys of two or more lines; a line that repeats a word has some keys more than once.
-    repeated = keys.groupBy("key").agg(F.min("ha").alias("low"), F.max("ha").alias("high")).where("low <> high").select("key")
-    found = keys.join(repeated, "key").select("ha", "hb", "at").join(lines, ["ha", "hb"])
-    left = F.when(F.col("at") < 0, F.col("w")).otherwise(F.concat(F.slice("w", F.lit(1), F.col("at")), F.slice("w", F.col("at") + 2, F.size("w"))))
-    found = written(found.select("ha", "hb", "first", "at", F.unhex(F.md5(F.array_join(left, " ").cast("binary"))).alias("variant")).distinct(), "variants")
+    variants = written(_variants(lines), "variants")
+    repeated = variants.groupBy("k0").agg(F.min("ha").alias("low"), F.max("ha").alias("high")).where("low <> high").select("k0")
+    found = written(variants.join(repeated, "k0").join(lines.select("ha", "hb", "first"), ["ha", "hb"]), "shared-variants")
 
     replaced = found.where("at >= 0")
-    least = replaced.groupBy("variant", "at").agg(F.min("first").alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
-    one = replaced.join(least, ["variant", "at"]).where("first > least").select("ha", "hb")
-    whole = found.where("at < 0").select("variant", F.col("first").alias("whole_first"), F.col("ha").alias("whole_a"), F.col("hb").alias("whole_b"))
-    inserted = replaced.join(whole, "variant")
+    least = replaced.groupBy("k0", "k1", "at").agg(F.min("first").alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
+    one = replaced.join(least, ["k0", "k1", "at"]).where("first > least").select("ha", "hb")
+    whole = found.where("at < 0").select("k0", "k1", F.col("first").alias("whole_first"), F.col("ha").alias("whole_a"), F.col("hb").alias("whole_b"))
+    inserted = replaced.join(whole, ["k0", "k1"])
     longer = inserted.where("whole_first < first").select("ha", "hb")
     shorter = inserted.where("first < whole_first").select(F.col("whole_a").alias("ha"), F.col("whole_b").alias("hb"))
     return one.union(longer).union(shorter).distinct()
