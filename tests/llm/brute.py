@@ -110,7 +110,7 @@ def xx(*parts):
     return _signed(h)
 
 
-def components(text, k=2, bits=4, size=2):
+def components(text, k=2, bits=7, size=2):
     """Order min hash of a text by its definition."""
     w = words(text)
     kmer = lambda p: xx(*(w[p + j] if p + j < len(w) else None for j in range(k)))

@@ -50,6 +50,39 @@ def test_fingerprints_odd_rows(docs, odd_rows):
     assert fingerprints.compared(docs(odd_rows)).count() == len(odd_rows)
 
 
+def spread(rows, n):
+    """Rows of each range, and whether ranges follow the order of ids and hashes."""
+    ranged = fingerprints._ranged(rows.select(F.coalesce("doc_id", F.lit(brute.LAST)).alias("o"), F.coalesce("text", F.lit("")).alias("t")), "o", "t", 50)
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("n"), F.min(F.struct("o", "_hash")).alias("lo"), F.max(F.struct("o", "_hash")).alias("hi"))
+    sizes = sizes.orderBy("_range").collect()
+    assert sum(r["n"] for r in sizes) == n
+    assert all(tuple(a["hi"]) <= tuple(b["lo"]) for a, b in itertools.pairwise(sizes))
+    return [r["n"] for r in sizes]
+
+
+def test_fingerprint_ranges_of_outlying_and_missing_ids(docs):
+    outlier = docs([*((i, f"t {i}") for i in range(3000)), (2**62, "far")])
+    assert max(spread(outlier, 3001)) < 300
+    missing = docs([(None if i % 3 == 0 else i, f"t {i}") for i in range(3000)])
+    assert max(spread(missing, 3000)) < 300
+    copies = docs([(None, "the same") if i % 3 == 0 else (i, f"t {i}") for i in range(3000)])
+    assert max(spread(copies, 3000)) < 300
+    assert spread(docs([]), 0) == [] and spread(docs([(1, "a")]), 1) == [1]
+
+
+def test_fingerprints_of_many_missing_ids(docs, monkeypatch):
+    """The edited text of every row comes from the row after it, across the bounds of ranges, equal rows among them."""
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 40)
+    rows = [(None, "same text here") if i % 3 == 0 else (2**62 if i == 1 else i, f"text {i} of its own {i * i}") for i in range(600)]
+    got = fingerprints.compared(docs(rows))
+    order = sorted(rows, key=lambda r: (brute.LAST if r[0] is None else r[0], r[1]))
+    want = []
+    for (_, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        half = len(t) // 2
+        want.append(hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest())
+    assert sorted(r["edited_sha256"] for r in got.collect()) == sorted(want)
+
+
 def test_fingerprints_see_order(docs):
     base = [f"w{i}" for i in range(400)]
     rows = [(1, " ".join(base)), (2, " ".join(base[200:] + base[:200])), (3, " ".join(base[:50] + ["x"] + base[50:])), (4, " ".join(base))]

@@ -8,11 +8,11 @@ were selected and stand in the same order, so likeness falls with the edit dista
 All is built-in array functions on the rows where the texts are: no shuffle, no Python. One 31-bit rank and one 32-bit
 place share a long, so that both orders are plain sorts of longs.
 
-The next document by doc_id comes by a window over ranges of doc_id, at most MOST_RANGES of them; the first documents of
-ranges, that many at most, are joined to the last ones of the ranges before.
+The next document by doc_id comes by a window over ranges of doc_id, at most MOST_RANGES of them, whose bounds are quantiles
+of a sample of at most SAMPLED keys a range; the first documents of ranges are joined to the last ones of the ranges before.
 
 Defined results: null and empty texts have no components, and are wholly like each other; a text of fewer than K words has
-its whole sequence as the only k-mer; documents of equal doc_id follow in the order of their texts, and those without doc_id
+its whole sequence as the only k-mer; documents of equal doc_id follow in the order of a hash of their texts (ties: the texts), and those without doc_id
 come last; a lone document is its own next; an empty table gives an empty table.
 """
 
@@ -24,10 +24,9 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import order_id, read, words
 
 K = 2
-BIN_BITS = 4  # unless a caller asks for more
-QUERY_BIN_BITS = 7  # of the query: half-equal texts share one component in nine, and all of 128 hardly ever miss
+BIN_BITS = 7  # half-equal texts share one component in nine, and all of 128 hardly ever miss
 TUPLE = 2
-RANGE_ROWS, MOST_RANGES = 256, 16384
+RANGE_ROWS, MOST_RANGES, SAMPLED = 256, 16384, 8
 
 LOW31, LOW32 = 0x7FFFFFFF, 0xFFFFFFFF
 
@@ -95,33 +94,53 @@ def shown(components: Column) -> Column:
     return F.array_join(F.transform(components, lambda c: F.coalesce(F.lower(F.lpad(F.hex(c), 16, "0")), F.lit("-" * 16))), "")
 
 
+def _ranged(rows: DataFrame, order: str, text: str, range_rows: int | None = None) -> DataFrame:
+    """Adds `_range`, which grows with (order, hash of the text), and `_hash`.
+
+    Bounds are quantiles of a sample of keys, so ranges hold like numbers of rows however ids lie. A key has a third part, a
+    hash of the row's place, so that rows of equal id, and even equal rows, are dealt to several ranges where they are many.
+    """
+    key = F.struct(F.col(order).alias("o"), F.col("_hash").alias("h"), F.col("_tie").alias("t"))
+    keyed = rows.withColumn("_hash", F.xxhash64(text)).withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
+    n = rows.count()
+    ranges = max(1, min(MOST_RANGES, n // (range_rows or RANGE_ROWS)))
+    if ranges == 1:
+        return keyed.withColumn("_range", F.lit(0)).drop("_tie")
+    share = min(1.0, SAMPLED * ranges / n)
+    drawn = F.pmod(F.xxhash64("_tie", F.lit("sample")), F.lit(1 << 32)) < F.lit(int(share * (1 << 32)))
+    sample = sorted(tuple(r[0]) for r in keyed.where(drawn).select(key).collect())  # SAMPLED keys a range
+    bounds = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
+    if not bounds:
+        return keyed.withColumn("_range", F.lit(0)).drop("_tie")
+    # Constant text that Spark folds to one array, searched by halves: the range is the number of bounds that a key reaches.
+    parts = (F.split(F.lit(",".join(str(bound[i]) for bound in bounds)), ",").cast("array<bigint>") for i in range(3))
+    known = F.arrays_zip(*parts).cast("array<struct<o:bigint,h:bigint,t:bigint>>")
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))))
+    reached = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(known, at + step - 1) <= key, at + step).otherwise(at))
+    return keyed.withColumn("_range", reached).drop("_tie")
+
+
 def with_next(rows: DataFrame, order: str, text: str, bits: int = BIN_BITS) -> DataFrame:
-    """Adds the fingerprint of `text` as `own`, and text and fingerprint of the next row by `order` (then by text) as
+    """Adds the fingerprint of `text` as `own`, and text and fingerprint of the next row by `order` (then by a hash of the text, then by text) as
     `next_text` and `next_own`; the first row follows on the last.
     """
-    known = rows.agg(F.count("*").alias("n"), F.min(order).alias("lo"), F.max(F.when(F.col(order) < F.lit(2**63 - 1), F.col(order))).alias("hi")).first()
-    ranges = max(1, min(MOST_RANGES, known["n"] // RANGE_ROWS))
-    low = known["lo"] or 0
-    width = max(1.0, ((known["hi"] if known["hi"] is not None else low) - low + 1) / ranges)
-    place = F.floor((F.col(order).cast("double") - F.lit(float(low))) / F.lit(width))
-    rows = rows.withColumn("_range", F.least(place, F.lit(ranges)).cast("int"))
-
-    sequence = Window.partitionBy("_range").orderBy(order, text)
+    rows = _ranged(rows, order, text)
+    sequence = Window.partitionBy("_range").orderBy(order, "_hash", text)
     follower = F.lead(F.struct(F.col(text).alias("t"), F.col("own").alias("o"))).over(sequence)
     printed = with_fingerprint(rows, text, "own", bits).withColumn("_next", follower)
 
-    # First texts of the ranges, at most MOST_RANGES + 1.
-    least = rows.groupBy("_range").agg(F.min(order).alias("_least"))
+    # First texts of the ranges, at most MOST_RANGES of them.
+    least = rows.groupBy("_range").agg(F.min(F.struct(F.col(order).alias("o"), F.col("_hash").alias("h"))).alias("_head"))
     following = Window.orderBy("_range")
-    lowest = F.min("_least").over(following.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    after = least.select("_range", F.coalesce(F.lead("_least").over(following), lowest).alias("_head"))
-    heads = rows.select(F.col(order).alias("_head"), F.col(text).alias("_head_text")).join(F.broadcast(least.select(F.col("_least").alias("_head"))), "_head")
-    heads = with_fingerprint(heads.groupBy("_head").agg(F.min("_head_text").alias("_head_text")), "_head_text", "_head_own", bits)
-    heads = after.join(heads, "_head").select("_range", "_head_text", "_head_own")
+    lowest = F.min("_head").over(following.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    after = least.select("_range", F.coalesce(F.lead("_head").over(following), lowest).alias("_head"))
+    heads = rows.select(F.struct(F.col(order).alias("o"), F.col("_hash").alias("h")).alias("_head"), F.col(text).alias("_head_text"))
+    heads = heads.join(F.broadcast(least.select("_head").distinct()), "_head").groupBy("_head").agg(F.min("_head_text").alias("_head_text"))
+    heads = after.join(with_fingerprint(heads, "_head_text", "_head_own", bits), "_head").select("_range", "_head_text", "_head_own")
 
     joined = printed.join(heads, "_range", "left")
     return joined.withColumns({"next_text": F.coalesce("_next.t", "_head_text"), "next_own": F.coalesce("_next.o", "_head_own")}).drop(
-        "_range", "_next", "_head_text", "_head_own"
+        "_range", "_hash", "_next", "_head_text", "_head_own"
     )
 
 
@@ -149,4 +168,4 @@ def compared(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", bit
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compared(read(spark, sf_dir, "documents").select("doc_id", "text"), bits=QUERY_BIN_BITS)
+    return compared(read(spark, sf_dir, "documents").select("doc_id", "text"))
