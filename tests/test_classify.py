@@ -252,3 +252,45 @@ def test_branch_for_many_copies_vanishes_when_there_are_none(make_trips):
     outcomes.collect()
     final = plan_of(outcomes).split("== Initial Plan ==")[0]
     assert "_block" not in final
+
+
+# Two phases: digests first
+
+
+@pytest.fixture
+def mixed(make_trips):
+    """Copies by the hundred, pairs, nulls, zeros of both signs, NaN, outliers and broken rules."""
+    rows = [{"pickup_location_id": 1 + i % 200, "fare_amount": float(i)} for i in range(60)]
+    rows += [{"pickup_location_id": 33}] * 700
+    rows += [{"fare_amount": float(i)} for i in range(0, 60, 7)] + [{"fare_amount": float(i)} for i in range(0, 60, 7)]
+    rows += [{"tip_amount": 0.0}, {"tip_amount": -0.0}, {"trip_distance": float("nan")}, {"trip_distance": float("nan")}]
+    rows += [{"trip_distance": 300.0}] * 3 + [{"passenger_count": None}] * 4 + [{"payment_type": None}] * 2
+    return make_trips(*rows, *(changes for changes, _, _ in CASES)).repartition(4)
+
+
+def bag(rows):
+    return Counter(map(str, rows.collect()))
+
+
+@pytest.mark.parametrize("most", [0, 3, 200_000])
+def test_measured_classes_are_the_same(mixed, most):
+    plain, measured = Classification(mixed), Classification(mixed).measured(most)
+    assert (measured.repeated is None) == (most < 200_000)
+    for name in ("valid", "invalid", "quarantined", "duplicates", "outliers", "nulls", "counts", "report", "outcomes"):
+        rows = getattr(plain, name)()
+        assert getattr(measured, name)().columns == rows.columns
+        assert bag(getattr(measured, name)()) == bag(rows), name
+
+
+def test_measured_empty_table(make_trips):
+    quality = Classification(make_trips({}).limit(0)).measured()
+    assert quality.outcomes().isEmpty() and quality.counts().first().total_rows == 0
+
+
+def test_measured_rows_without_copies_are_not_exchanged(make_trips):
+    once = Classification(make_trips({}, {"fare_amount": 3.0})).measured()
+    assert "Exchange" not in plan_of(once.valid())
+    some = Classification(make_trips({}, {}, {"fare_amount": 3.0})).measured()
+    plan = plan_of(some.valid())
+    # One exchange for the whole rows of candidates, which are joined to the repeated digests before it.
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import landing
@@ -16,7 +17,8 @@ from tripmill.plans.commits import CommitLog
 from tripmill.plans.marts import build_marts
 from tripmill.schema import CRITICAL, CURATED_COLUMNS, STAGING_COLUMNS
 from tripmill.settings import Settings
-from tripmill.sinks.files import serving_marts, staging_view, write_month_dates
+from tripmill.sinks.files import staging_view, write_month_dates
+from tripmill.sinks.serving import serving_marts
 from tripmill.sources.trips import read_curated, read_dates, read_validated
 
 
@@ -121,6 +123,16 @@ def test_full_range(spark, settings):
     assert (top[0].zone, top[0].trips) == ("Mill Yard", 4)
 
 
+def test_validation_by_digests_is_the_same(spark, settings, tmp_path):
+    landing.write_trips(tmp_path, "2025-01", [*landing.january(), *landing.january()[:3]])
+    reports, rows = [], []
+    for digests in (False, True):
+        reports.append(monthly.validate_month(spark, replace(settings, digest_duplicates=digests), "2025-01"))
+        rows.append(month_rows(spark, f"{settings.validated}/partition=2025-01"))
+    assert reports[0] == reports[1] and reports[0].duplicate_count > 0
+    assert rows[0] == rows[1]
+
+
 def test_order_of_months_makes_no_difference(spark, settings, tmp_path):
     monthly.run_range(spark, settings, start="2025-01-01", end="2025-02-28")
     turned = other(settings, tmp_path, "turned")

@@ -6,6 +6,11 @@ sets, so the classes are predicates on a row, not one label.
 
 Only the repeated copies need other rows to be known. That exchange is kept to clean rows
 without any null (others are never duplicates); all else is decided where a row is read.
+
+``measured`` narrows it further in two phases: a 64-bit digest of every such row is exchanged
+and counted, then only rows whose digest came up more than once are exchanged whole. A digest
+that two different rows share costs a row's exchange and changes no result, as rows are
+compared by all columns in the end.
 """
 
 from __future__ import annotations
@@ -18,13 +23,46 @@ from tripmill.operators.rules import TRIPS, QualityProfile, any_null
 
 COPIES = "_copies"
 NUMBER = "_number"
+DIGEST = "_digest"
+REPEATED = "_repeated"
+ALONE = "_alone"
+MOST_DIGESTS = 200_000  # repeated digests that are broadcast, 8 bytes each; with more, whole rows are exchanged
 
 
 class Classification:
-    def __init__(self, rows: DataFrame, profile: QualityProfile = TRIPS):
+    def __init__(
+        self, rows: DataFrame, profile: QualityProfile = TRIPS, repeated: list[int] | None = None
+    ):
+        """``repeated`` are the digests that came up more than once; see ``measured``."""
         self.rows = rows
         self.profile = profile
         self.columns = rows.columns
+        self.repeated = repeated
+        if repeated:
+            spark = rows.sparkSession
+            self._known = spark.createDataFrame([(d, True) for d in repeated], f"{DIGEST} bigint, {REPEATED} boolean")
+
+    def measured(self, most: int = MOST_DIGESTS) -> Classification:
+        """The same classification after one job that counted digests of the possible duplicates.
+
+        Where more than ``most`` digests are repeated, whole rows are exchanged as without it.
+        """
+        strict = self.rows.where(self._clean() & ~any_null(self.columns))
+        counted = strict.groupBy(F.xxhash64(*self.columns).alias(DIGEST)).count()
+        found = counted.where("count > 1").select(DIGEST).limit(most + 1).collect()
+        if len(found) > most:
+            return Classification(self.rows, self.profile)
+        return Classification(self.rows, self.profile, [row[0] for row in found])
+
+    def _marked(self) -> DataFrame:
+        """Rows with ``_alone``: true where no other row can be a clean copy."""
+        if self.repeated is None:
+            return self.rows.withColumn(ALONE, any_null(self.columns))
+        if not self.repeated:
+            return self.rows.withColumn(ALONE, F.lit(True))
+        digested = self.rows.withColumn(DIGEST, F.xxhash64(*self.columns))
+        alone = any_null(self.columns) | F.col(REPEATED).isNull()
+        return digested.join(F.broadcast(self._known), DIGEST, "left").select(*self.columns, alone.alias(ALONE))
 
     # Row flags
 
@@ -46,11 +84,12 @@ class Classification:
         return ~self.profile.missing() & ~self.profile.broken()
 
     def _folded_candidates(self) -> DataFrame:
-        """Clean rows without nulls, folded.
+        """Clean rows that may have copies, folded.
 
         Unfolding reads this twice, for few and for many copies, from one exchange.
         """
-        return fold_copies(self.rows.where(self._clean() & ~any_null(self.columns)), COPIES)
+        candidates = self._marked().where(self._clean() & ~F.col(ALONE))
+        return fold_copies(candidates.select(*self.columns), COPIES)
 
     def _numbered_candidates(self, keep: Column | None = None) -> DataFrame:
         """Candidates one by one; copy number 1 is the first of its kind."""
@@ -65,7 +104,7 @@ class Classification:
     def _clean_once(self, keep: Column) -> DataFrame:
         """Clean rows without their repeated copies."""
         candidates = self._folded_candidates().drop(COPIES)
-        others = self.rows.where(self._clean() & any_null(self.columns))
+        others = self._marked().where(self._clean() & F.col(ALONE)).select(*self.columns)
         return candidates.where(keep).unionByName(others.where(keep))
 
     def outliers(self) -> DataFrame:
@@ -77,7 +116,7 @@ class Classification:
     def quarantined(self) -> DataFrame:
         reason = "quarantine_reason"
         missing, far = self.profile.missing(), self.profile.outlier()
-        in_place = self.rows.where(missing | (self._clean() & any_null(self.columns) & far))
+        in_place = self._marked().where(missing | (self._clean() & F.col(ALONE) & far)).select(*self.columns)
         why = F.when(missing, F.lit("null")).otherwise(F.lit("outlier"))
         repeat = F.col(NUMBER) > 1
         numbered = self._numbered_candidates((F.col(COPIES) > 1) | far).where(repeat | far)
@@ -99,9 +138,7 @@ class Classification:
         return self._labelled_in_place().unionByName(numbered)
 
     def _labelled_in_place(self) -> DataFrame:
-        flagged = _flagged(self.rows, self.profile).where(
-            F.col("is_invalid") | any_null(self.columns)
-        )
+        flagged = _flagged(self._marked(), self.profile).where(F.col("is_invalid") | F.col(ALONE))
         clean = ~F.col("is_null") & ~F.col("is_invalid")
         reasons = self.profile.reasons()
         held_back = F.col("is_null") | (clean & F.col("is_outlier"))
@@ -112,7 +149,7 @@ class Classification:
             F.struct(*_outcome(F.when(held_back, F.lit("quarantined")), None, why)),
             F.struct(*_outcome(F.when(kept, F.lit("valid")), None, None)),
         )
-        # Rows with a null in any column may be most of the table: they stay where they are.
+        # Rows without copies may be most of the table: they stay where they are.
         return flagged.select(*self.columns, F.inline(classes)).where("class is not null")
 
     # Totals
@@ -134,8 +171,8 @@ class Classification:
 
     def _totals(self) -> DataFrame:
         """One flat row. Rows that cannot be duplicates are counted where they are read."""
-        loose = self.flags().withColumn(
-            "_loose", ~F.expr("is_null or is_invalid") & any_null(self.columns)
+        loose = _flagged(self._marked(), self.profile).withColumn(
+            "_loose", ~F.expr("is_null or is_invalid") & F.col(ALONE)
         )
         in_place = loose.agg(
             *self._row_totals(),

@@ -27,6 +27,7 @@ from tripmill.plans.marts import ROLLUPS, Marts, fct_trips, merged_rollup, rollu
 from tripmill.schema import FACT_COLUMNS, MANIFEST_SCHEMA, PUBLISH_LOG_SCHEMA
 from tripmill.settings import Settings
 from tripmill.sinks import files as sinks
+from tripmill.sinks.serving import load_marts
 from tripmill.sources import landed
 from tripmill.sources.trips import (
     read_curated,
@@ -109,7 +110,8 @@ def check_gate(profile: DataFrame, settings: Settings) -> None:
 def validate_month(spark: SparkSession, settings: Settings, partition: str) -> Row:
     """Gate, split and report one month; nothing is written when the gate fails.
 
-    The gate needs one narrow scan without an exchange. The report adds the class totals of
+    The gate needs one narrow scan without an exchange. With ``digest_duplicates`` a second scan
+    exchanges a digest of each possible duplicate, and whole rows only of repeated ones. The report adds the class totals of
     what was written to it, so that it counts what is there.
     """
     trips = canonical_trips(scan_month(spark, settings.raw_trips, partition))
@@ -118,7 +120,7 @@ def validate_month(spark: SparkSession, settings: Settings, partition: str) -> R
     profile = spark.createDataFrame(profile_row, quality.row_profile().schema)
     check_gate(profile, settings)
 
-    outcomes = quality.outcomes()
+    outcomes = (quality.measured() if settings.digest_duplicates else quality).outcomes()
     path = sinks.write_outcomes(outcomes, settings.validated, partition)
     reason = F.col("quarantine_reason")
     totals = {
@@ -321,7 +323,7 @@ def publish_marts(spark: SparkSession, settings: Settings, rebuild: bool = False
     failed = [f"{row.check} ({row.violations})" for row in results if row.violations]
     if failed and settings.fail_on_checks:
         raise QualityError(f"Dataset tests failed: {', '.join(failed)}")
-    counts = sinks.load_marts(marts, settings.serving_database, settings.path("serving"))
+    counts = load_marts(marts, settings.serving_database, settings.path("serving"))
     done = [(m, version, digest, history.utc_now()) for m, version in months.items()]
     if done:
         history.append_log(spark.createDataFrame(done, PUBLISH_LOG_SCHEMA).coalesce(1), settings.publish_log)

@@ -18,6 +18,7 @@ class Settings:
     alert_row_ratio: float = 2.0
     alert_max_seconds: float = 3600.0
     serving_database: str = "marts"
+    digest_duplicates: bool = False  # a scan more, and whole rows of repeated digests only are exchanged
     # Public feeds the landed files come from.
     trips_url: str = "https://d37ci6vzurychx.cloudfront.net/trip-data/yellow_tripdata_%s.parquet"
     zones_url: str = "https://d37ci6vzurychx.cloudfront.net/misc/taxi+_zone_lookup.csv"

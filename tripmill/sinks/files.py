@@ -1,10 +1,10 @@
-"""Parquet and JSON sinks, and the serving tables."""
+"""Parquet and JSON sinks, and the tables of an external serving database."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripmill.plans.marts import Marts, mart_row_counts, stg_trips
+from tripmill.plans.marts import Marts, stg_trips
 
 
 def write_once(rows: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -102,25 +102,6 @@ def staging_view(curated: DataFrame, name: str = "stg_trips") -> None:
     stg_trips(curated).createOrReplaceTempView(name)
 
 
-def load_marts(marts: Marts, database: str, location: str | None = None) -> dict[str, int]:
-    """Replace the serving tables with the marts; returns the rows of each loaded table.
-
-    A new database is kept at ``location``, which all executors must reach.
-    """
-    spark = marts.dim_zones.sparkSession
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
-    for name, mart in marts.items().items():
-        mart.write.mode("overwrite").saveAsTable(f"{database}.{name}")
-    loaded = mart_row_counts(serving_marts(spark, database))
-    return {row.mart: row.rows for row in loaded.collect()}
-
-
-def serving_marts(spark: SparkSession, database: str) -> Marts:
-    names = Marts.__dataclass_fields__
-    return Marts(**{name: spark.table(f"{database}.{name}") for name in names})
-
-
 def load_marts_jdbc(marts: Marts, url: str, schema: str, **properties: str) -> None:
     """Replace the tables of an external serving database."""
     for name, mart in marts.items().items():
