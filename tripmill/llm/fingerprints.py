@@ -112,11 +112,16 @@ def _ranged(rows: DataFrame, order: str, text: str, range_rows: int | None = Non
     bounds = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
     if not bounds:
         return keyed.withColumn("_range", F.lit(0)).drop("_tie")
-    # Constant text that Spark folds to one array, searched by halves: the range is the number of bounds that a key reaches.
-    parts = (F.split(F.lit(",".join(str(bound[i]) for bound in bounds)), ",").cast("array<bigint>") for i in range(3))
-    known = F.arrays_zip(*parts).cast("array<struct<o:bigint,h:bigint,t:bigint>>")
+    # Constant texts that Spark folds to three arrays, searched by halves: the range is the number of bounds that a key reaches.
+    orders, hashes, ties = (F.split(F.lit(",".join(str(bound[i]) for bound in bounds)), ",").cast("array<bigint>") for i in range(3))
+
+    def reaches(i: Column) -> Column:
+        same_order, same_hash = F.get(orders, i) == F.col(order), F.get(hashes, i) == F.col("_hash")
+        after = (F.get(hashes, i) < F.col("_hash")) | (same_hash & (F.get(ties, i) <= F.col("_tie")))
+        return (F.get(orders, i) < F.col(order)) | (same_order & after)
+
     steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))))
-    reached = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(known, at + step - 1) <= key, at + step).otherwise(at))
+    reached = F.aggregate(steps, F.lit(0), lambda at, step: F.when(reaches(at + step - 1), at + step).otherwise(at))
     return keyed.withColumn("_range", reached).drop("_tie")
 
 
