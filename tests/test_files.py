@@ -15,7 +15,7 @@ from tripmill.errors import MissingPartitionError
 from tripmill.plans import monthly
 from tripmill.settings import Settings
 from tripmill.sinks import files as sinks
-from tripmill.sources import landed, trips as trip_sources
+from tripmill.sources import blocks, landed, trips as trip_sources
 from tripmill.sources.weather import read_weather_months
 from tripmill.sources.zones import read_zones
 
@@ -164,6 +164,79 @@ def test_listing_and_checksums(spark, tmp_path):
     assert row.checksum == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
 
 
+def test_checksums_of_files_beyond_one_cell_and_of_any_name(spark, tmp_path):
+    large = tmp_path / "large.bin"
+    with large.open("wb") as out:  # a hole of 2 GB and a few bytes around it
+        out.write(b"start")
+        out.seek(2**31 + 11)
+        out.write(b"end")
+    odd = tmp_path / "a b%20c+d#e.bin"
+    odd.write_bytes(b"odd")
+    (tmp_path / "empty.bin").write_bytes(b"")
+    found = {r.path.rsplit("/", 1)[1]: r for r in landed.file_checksums(spark, str(tmp_path)).collect()}
+    expected = hashlib.sha256()
+    with large.open("rb") as source:
+        while block := source.read(1 << 24):
+            expected.update(block)
+    assert found["large.bin"].checksum == expected.hexdigest()
+    assert found["large.bin"].file_size == 2**31 + 14
+    assert found[odd.name].checksum == hashlib.sha256(b"odd").hexdigest()
+    assert len(found) == 2  # Spark lists no empty file
+
+
+def test_checksums_hold_one_block_at_a_time(tmp_path, monkeypatch):
+    path = tmp_path / "blocks.bin"
+    path.write_bytes(b"0123456789")
+    asked = []
+
+    class Source:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.inner.close()
+
+        def read(self, n):
+            asked.append(n)
+            return self.inner.read(n)
+
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 4)
+    monkeypatch.setattr(blocks, "opened", lambda name: Source(open(name, "rb")))
+    assert blocks.sha256_of(str(path)) == (hashlib.sha256(b"0123456789").hexdigest(), 10)
+    assert asked == [4, 4, 4, 4]
+
+
+def test_many_files_with_few_schemas_take_few_jobs(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    kinds = [{"n": pa.int64()}, {"n": pa.float64()}, {"n": pa.int32(), "more": pa.string()}]
+    for i in range(240):
+        types = kinds[i % 3]
+        columns = {c: pa.array([i if c == "n" else str(i)], kind) for c, kind in types.items()}
+        pq.write_table(pa.table(columns), folder / f"part-{i:03}.parquet")
+    spark.sparkContext.setJobGroup("grouping", "files by schema")
+    try:
+        rows = trip_sources.read_parquet_relaxed(spark, str(folder), "nothing")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("grouping")) < 20
+    assert plan_of(rows).count("FileScan parquet") == 3
+    assert dict(rows.dtypes) == {"n": "double", "more": "string"}
+    assert {tuple(r) for r in rows.select("n", "more").collect()} == {
+        (float(i), str(i) if i % 3 == 2 else None) for i in range(240)
+    }
+
+
+def test_paths_of_schemes_that_tasks_cannot_open_are_told_apart(spark):
+    paths = spark.createDataFrame([("s3a://b/x",), ("file:/x",), ("odd://x",)], "path string")
+    assert {r.path for r in paths.where(blocks.in_tasks(F.col("path"))).collect()} == {"s3a://b/x", "file:/x"}
+
+
 def test_rows_per_file(spark, tmp_path):
     def rows(kind, path):
         return landed.file_rows(spark, kind, str(path)).first().row_count

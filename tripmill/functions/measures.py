@@ -2,9 +2,10 @@
 
 A plain double sum changes in its last bits with the order in which tasks finish, so a
 retried stage or another partitioning yields another mart. Here a value is split into whole
-units of 10**-DIGITS and the rest. The units go, as two limbs, into 64-bit sums that are
-exact: a group holds some 10**12 rows of 10**5 before a limb could overflow. The rest, which is
-0.0 for any amount of at most DIGITS decimals, is added as a double, so nothing is cut off.
+units of 10**-DIGITS and the rest. The units go into 64-bit sums that are exact: those of values
+below NEAR as one limb, of which a group holds 9 * 10**10 rows at least (a total of 9 * 10**13),
+those of larger values as two. An overflow fails, it never wraps. The rest, which is 0.0 for any
+amount of at most DIGITS decimals, is added as a double, so nothing is cut off.
 Values of LARGE or more, NaN and infinities are added as doubles as a whole.
 
 The parts of a sum are additive themselves: a table can keep them and be merged later.
@@ -16,6 +17,7 @@ from pyspark.sql import Column, functions as F
 
 DIGITS = 5
 LIMB = 1 << 20
+NEAR = 1e3
 LARGE = 1e10
 PARTS = ("high", "low", "rest", "n")
 
@@ -24,12 +26,12 @@ def sum_parts(value: Column) -> dict[str, Column]:
     """Aggregates that make up the sum of a column; ``n`` counts its values."""
     value = value.cast("double")
     unit = F.lit(float(10**DIGITS))
-    small = F.abs(value) < F.lit(LARGE)
-    units = F.floor(F.when(small, value) * unit + 0.5)
+    near, small = F.abs(value) < F.lit(NEAR), F.abs(value) < F.lit(LARGE)
+    units = F.floor(value * unit + 0.5)
     high = F.floor(units / F.lit(float(LIMB)))
     return {
-        "high": F.sum(high),
-        "low": F.sum(units - high * F.lit(LIMB)),
+        "high": F.sum(F.when(small & ~near, high)),
+        "low": F.sum(F.when(near, units).when(small, units - high * F.lit(LIMB))),
         "rest": F.sum(F.when(small, value - units / unit).otherwise(value)),
         "n": F.count(value),
     }
@@ -42,10 +44,9 @@ def merged_parts(prefix: str) -> dict[str, Column]:
 
 def sum_of(parts: dict[str, Column]) -> Column:
     """The sum; null when there were no values."""
-    units = parts["high"].cast("decimal(20,0)") * F.lit(LIMB).cast("decimal(10,0)")
-    units = units + parts["low"].cast("decimal(20,0)")
-    exact = (units / F.lit(10**DIGITS).cast("decimal(10,0)")).cast("double")
-    return F.coalesce(exact, F.lit(0.0)) + parts["rest"]
+    high, low = (F.coalesce(parts[part], F.lit(0)).cast("decimal(20,0)") for part in ("high", "low"))
+    units = high * F.lit(LIMB).cast("decimal(10,0)") + low
+    return (units / F.lit(10**DIGITS).cast("decimal(10,0)")).cast("double") + parts["rest"]
 
 
 def mean_of(parts: dict[str, Column]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tripmill.functions.calendar import months_between_dates
 from tripmill.plans.history import folder_of
 from tripmill.settings import Settings
+from tripmill.sources import blocks
 from tripmill.sources.trips import read_parquet_relaxed
 
 LISTING_SCHEMA = "path string, file_size bigint, modified_at timestamp"
@@ -95,11 +96,17 @@ def relative_to(path: Column, root: str) -> Column:
 
 
 def file_checksums(spark: SparkSession, *paths: str) -> DataFrame:
-    """SHA-256 and size of documents of less than 2 GB; each is hashed by one task."""
+    """SHA-256 and size of files of any size; each is hashed by one task, block by block.
+
+    Files of a scheme that tasks cannot open come whole from Spark's reader, which takes less than 2 GB.
+    Spark's listing leaves out empty files; they have no row.
+    """
     files = spark.read.format("binaryFile").load(list(paths))
-    return files.select(
+    ours = blocks.in_tasks(F.col("_metadata.file_path"))  # chooses files where they are listed
+    whole = files.where(~ours).select(
         "path", F.sha2("content", 256).alias("checksum"), F.col("length").alias("file_size")
     )
+    return blocks.digests(files.where(ours)).unionByName(whole)
 
 
 def text_rows(document: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tripmill.errors import MissingPartitionError
+from tripmill.sources import blocks
 
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -60,16 +61,24 @@ def read_parquet_relaxed(spark: SparkSession, path: str, missing: str) -> DataFr
     except (PySparkException, Py4JJavaError) as error:
         if not str(_condition(error)).startswith("CANNOT_MERGE"):
             raise
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    by_schema: dict[str, tuple] = {}
-    for row in files.select("path").sort("path").toLocalIterator():  # the files of one month
-        schema = spark.read.parquet(row.path).schema
-        by_schema.setdefault(schema.json(), (schema, []))[1].append(row.path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
     return union_by_name(
-        [spark.read.schema(schema).parquet(*paths) for schema, paths in by_schema.values()]
+        [
+            spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths)
+            for paths in _alike(files)
+        ]
     )
 
 
+def _alike(files: DataFrame) -> list[list[str]]:
+    """Paths of one directory by schema; their footers are read by tasks, only the paths come back."""
+    footer = blocks.footers(files.where(blocks.in_tasks(F.col("path"))))
+    # Files of a scheme that tasks cannot open are groups of their own.
+    alone = files.where(~blocks.in_tasks(F.col("path"))).withColumn("footer", F.col("path"))
+    grouped = footer.unionByName(alone).groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return sorted(row.paths for row in grouped.select("paths").collect())
+
+
 def scan_month(spark: SparkSession, root: str, partition: str) -> DataFrame:
     """Raw trips of one 'YYYY-MM' month: only that directory is listed and read."""
     year, month = partition.split("-")
