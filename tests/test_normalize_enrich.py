@@ -120,7 +120,7 @@ def test_small_large_and_many_values(spark):
     assert total(4e-6, 1_000_000) == pytest.approx(4.0)
     assert total(8e10, 2_000) == 1.6e14
     assert total(9.9e9, 2_000) == 1.98e13
-    # On both sides of the value from which on units go as two limbs.
+    # On both sides of a round amount, of either sign.
     for edge in (999.99, 1000.0, 1000.01, -999.99, -1000.0, -1000.01):
         assert total(edge, 3_000) == edge * 3_000
     mixed = spark.range(4_000).selectExpr("case when id % 2 = 0 then 0.01 else -123456.78 end as v")
