@@ -308,6 +308,27 @@ oracle(
     [],
     "select doc_id, sha256(text) as checksum, cast(strlen(text) as bigint) as bytes from documents",
 )
+oracle(
+    "landed_months",
+    RIDES,
+    """select strftime(pickup_datetime, '%Y-%m') as partition_date, count(*) as trips,
+  min(pickup_datetime) as first_pickup, max(pickup_datetime) as last_pickup
+from rides group by 1""",
+)
+oracle(
+    "staged_dates",
+    RIDES,
+    f"""select trip_key, pickup_datetime, strftime(pickup_datetime, '%Y-%m-%d') as pickup_date, trip_distance
+from rides where cast(pickup_datetime as date) between date '{q.WEATHER_START}' and date '{q.WEATHER_END}'""",
+)
+oracle(
+    "file_checksums",
+    [],
+    """select strftime(o_orderdate, '%Y-%m') as partition_date,
+  sha256(string_agg(o_orderkey || chr(10), '' order by o_orderkey)) as checksum,
+  cast(sum(strlen(o_orderkey || chr(10))) as bigint) as file_size
+from orders group by 1""",
+)
 oracle(
     "file_rows",
     [],

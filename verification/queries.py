@@ -21,12 +21,14 @@ from tripmill.plans import history, marts as mart_plans, monthly, observe, servi
 from tripmill.plans.marts import Marts
 from tripmill.schema import PAYMENT_LABELS, REQUIRED
 from tripmill.settings import Settings
-from tripmill.sinks.files import dates_written
-from tripmill.sources import landed
+from tripmill.sinks.files import dates_written, write_dates
+from tripmill.sources import landed, trips as trip_sources
 from tripmill.sources.landed import planned_sources
-from tripmill.sources.trips import read_parquet_relaxed, union_by_name, union_relaxed
+from tripmill.sources.trips import read_dates, read_parquet_relaxed, union_by_name, union_relaxed
 from tripmill.sources.weather import parse_weather, weather_document
+from tripmill.sources.zones import read_zones
 from verification.fixtures import table, view
+from verification.landing import landing_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -219,6 +221,39 @@ def scan_date_range(spark, d):
     )
 
 
+@query()
+def landed_months(spark, d):
+    """Every month of rides, landed in its own folder and scanned by itself."""
+    landing = landing_folder(spark, "raw")
+    pickup = F.col("pickup_datetime")
+    raw = view(spark, d, "rides").withColumns(
+        {"year": F.date_format(pickup, "yyyy"), "month": F.date_format(pickup, "MM")}
+    )
+    raw.hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(landing)
+    months = [row.m for row in raw.select(F.concat_ws("-", "year", "month").alias("m")).distinct().sort("m").collect()]
+    return union_by_name(
+        [
+            canonical_trips(trip_sources.scan_month(spark, landing, month)).agg(
+                F.lit(month).alias("partition_date"),
+                F.count(F.lit(1)).alias("trips"),
+                F.min("pickup_datetime").alias("first_pickup"),
+                F.max("pickup_datetime").alias("last_pickup"),
+            )
+            for month in months
+        ]
+    )
+
+
+@query()
+def staged_dates(spark, d):
+    """Rides staged by date, and the dates of a range read back."""
+    landing = landing_folder(spark, "staged")
+    columns = ("trip_key", "pickup_datetime", "pickup_date", "trip_distance")
+    staged = rides(spark, d).withColumn("pickup_date", F.to_date("pickup_datetime")).select(*columns)
+    write_dates(staged, landing)
+    return read_dates(spark, landing, WEATHER_START, WEATHER_END, by_source_month=False).select(*columns)
+
+
 @query("union_relaxed")
 def union_relaxed_types(spark, d):
     other = rides(spark, d).withColumns(
@@ -264,7 +299,28 @@ def weather_parse(spark, d):
 
 @query()
 def dim_zones(spark, d):
-    return zones(spark, d)
+    """Zones landed as a CSV file with the names of the feed, and read from it."""
+    landing = landing_folder(spark, "zones")
+    names = {"location_id": "LocationID", "borough": "Borough", "zone": "Zone"}
+    columns = (*names.values(), "service_zone")
+    zones(spark, d).withColumnsRenamed(names).select(*columns).write.option("header", True).csv(landing)
+    return read_zones(spark, landing).withColumn("location_id", F.col("location_id").cast("bigint"))
+
+
+@query()
+def file_checksums(spark, d):
+    """SHA-256 and size of landed text files, one of the keys of each month of orders."""
+    landing = landing_folder(spark, "keys")
+    keys = table(spark, d, "orders").select(
+        month_key(F.to_date("o_orderdate")).alias("partition_date"),
+        "o_orderkey",
+        F.col("o_orderkey").cast("string").alias("value"),
+    )
+    one_task_each = keys.repartition("partition_date").sortWithinPartitions("partition_date", "o_orderkey")
+    one_task_each.select("partition_date", "value").write.partitionBy("partition_date").text(landing)
+    month = F.regexp_extract("path", "partition_date=([0-9-]+)", 1)
+    found = landed.file_checksums(spark, f"{landing}/*/*.txt")
+    return found.select(month.alias("partition_date"), "checksum", "file_size")
 
 
 @query()
