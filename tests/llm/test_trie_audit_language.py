@@ -255,3 +255,19 @@ def test_language_forgets_unknown_words_without_effect(monkeypatch):
     monkeypatch.setattr(language_id, "WORDS_AT_ONCE", 7)
     again = language_id.predict(texts, model, language_id.Scores(model))
     assert [x for x, _ in again] == [x for x, _ in whole] and [s for _, s in again] == pytest.approx([s for _, s in whole])
+
+
+def test_language_words_split_in_spans_like_whole_texts(monkeypatch):
+    """Words are taken some characters at a time without cutting one; digits of other scripts are dropped as before."""
+    rng = random.Random(3)
+    alphabet = "abcΣσéİ²½_1 .,'\n\tz"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 300))) for _ in range(200)]
+    texts += ["ΟΔΟΣ'Α İSTANBUL x²y ½ a_b", "ab" * 50, ""]
+
+    def plain(text):
+        words = (m.group() for m in re.finditer(r"[^\W\d_]+", text.lower()))
+        return [w for w in ("".join(c for c in word if c.isalpha()) for word in words) if w]
+
+    monkeypatch.setattr(language_id, "SPAN", 7)
+    assert [list(language_id.tokens(t)) for t in texts] == [plain(t) for t in texts]
+    assert [len(words) for words in language_id.word_lists("ab cd ef gh ij")] == [3, 2]

@@ -23,7 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,8 @@ CACHE = 200_000
 ROWS_AT_ONCE, WORDS_AT_ONCE = 1024, 1 << 18
 
 TOKEN = re.compile(r"[^\W\d_]+")
+NON_WORD = re.compile(r"[\W\d_]")
+SPAN = 1 << 20  # characters of a text that are split into words at once
 
 COUNTS = "lang string, word string, n long"
 PREDICTED = "doc_id long, lang_pred string, score double"
@@ -55,12 +57,20 @@ def held_out(doc_id: Column) -> Column:
 
 def tokens(text: str) -> Iterator[str]:
     """Words of a text; digits of other scripts that count as word characters are no letters."""
-    for m in TOKEN.finditer(text.lower()):
-        word = m.group()
-        if word.isalpha():
-            yield word
-        elif word := "".join(c for c in word if c.isalpha()):
-            yield word
+    return chain.from_iterable(word_lists(text))
+
+
+def word_lists(text: str) -> Iterator[list[str]]:
+    """The words of `tokens`, in lists of those of about SPAN characters at a time, cut where no word can go on."""
+    lower, begin = text.lower(), 0
+    while begin < len(lower):
+        cut = NON_WORD.search(lower, begin + SPAN)
+        end = cut.start() if cut else len(lower)
+        words = TOKEN.findall(lower, begin, end)
+        if words and not "".join(words).isalpha():
+            words = [word for word in (w if w.isalpha() else "".join(c for c in w if c.isalpha()) for w in words) if word]
+        yield words
+        begin = end
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -98,7 +108,7 @@ class Model:
         for n in range(min(MOST_N, len(word) + 2), 0, -1):
             found = [self.grams[g] for g in grams(word, n) if g in self.grams]
             if found:
-                return np.mean(found, axis=0)
+                return np.add.reduce(found, axis=0) / len(found)  # np.mean, without its checks
         return np.zeros(len(self.langs))
 
 
@@ -132,7 +142,7 @@ def predict(texts: list[str | None], model: Model, scores: Scores) -> list[tuple
     for text in texts:
         total, count = model.prior * 1e-9, 0  # decides only where all else is alike
         words = tokens(text or "") if model.langs else iter(())
-        while places := [scores[word] for word in islice(words, WORDS_AT_ONCE)]:
+        while places := list(map(scores.__getitem__, islice(words, WORDS_AT_ONCE))):
             total = total + scores.matrix[places].sum(axis=0)
             count += len(places)
             scores.trimmed()
